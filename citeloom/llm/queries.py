@@ -4,16 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from citeloom.llm import byte_bpe, packing
 from citeloom.llm import exact_dedup as exact
 from citeloom.llm import near_dedup as near
+from citeloom.llm import token_counts as counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the rank file has the vocabulary of byte_bpe_50k.json, and gives the same ids
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return packing.pack(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, capacity=1024, end_id=2)
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.round_trip(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return counts.token_counts(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_dedup(_table(spark, sf_dir, "documents"), per_cent=85)
 
@@ -37,6 +56,9 @@ select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from r
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_best_fit_packing": op1_best_fit_packing,
+        "op4_byte_bpe": op4_byte_bpe,
+        "op8_token_counts": op8_token_counts,
         "op6_minhash_near_dedup": op6_minhash_near_dedup,
         "op10_exact_dedup": op10_exact_dedup,
     }
