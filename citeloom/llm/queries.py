@@ -7,10 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from citeloom.llm import byte_bpe, packing
+from citeloom.llm import byte_bpe, language, packing, quality
 from citeloom.llm import exact_dedup as exact
 from citeloom.llm import near_dedup as near
 from citeloom.llm import token_counts as counts
+from citeloom.llm.common import held_out
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +34,17 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    spans = language.label_spans(docs, language.train(docs))
+    return spans.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return quality.score_quality(docs, quality.train(docs, labels), cutoff=0.7)
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_dedup(_table(spark, sf_dir, "documents"), per_cent=85)
 
@@ -59,6 +71,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_best_fit_packing": op1_best_fit_packing,
         "op4_byte_bpe": op4_byte_bpe,
         "op8_token_counts": op8_token_counts,
+        "op5_language_id": op5_language_id,
+        "op7_quality_classifier": op7_quality_classifier,
         "op6_minhash_near_dedup": op6_minhash_near_dedup,
         "op10_exact_dedup": op10_exact_dedup,
     }
