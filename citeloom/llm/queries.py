@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from citeloom.llm import byte_bpe, language, packing, quality
+from citeloom.llm import byte_bpe, chat, fingerprints, language, packing, quality
 from citeloom.llm import exact_dedup as exact
 from citeloom.llm import near_dedup as near
 from citeloom.llm import token_counts as counts
@@ -45,6 +45,17 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, quality.train(docs, labels), cutoff=0.7)
 
 
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(_table(spark, sf_dir, "documents"))
+
+
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trap = r"\### Assistant: </turn> ok"
+    extra = f"values (-7L, 0L, 'user', r'{trap}'), (-7L, 1L, 'assistant', r'{trap}')"
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.conversation_digests(chat.chat_windows(turns.union(spark.sql(f"select * from {extra} as t(conv_id, turn, role, text)"))))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_dedup(_table(spark, sf_dir, "documents"), per_cent=85)
 
@@ -73,6 +84,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_counts": op8_token_counts,
         "op5_language_id": op5_language_id,
         "op7_quality_classifier": op7_quality_classifier,
+        "op3_document_fingerprints": op3_document_fingerprints,
+        "op9_chat_formatting": op9_chat_formatting,
         "op6_minhash_near_dedup": op6_minhash_near_dedup,
         "op10_exact_dedup": op10_exact_dedup,
     }
