@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.llm import textvec as tv
-from citeloom.llm.common import held_out, materialize
+from citeloom.llm.common import held_out
 
 BITS = 18
 #: The model is fitted on at most so many labelled rows, those with the smallest hashes of their ids.
@@ -187,6 +187,13 @@ def score_quality(docs: DataFrame, model: QualityModel, cutoff: float = 0.7) ->
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, cutoff: float = 0.7) -> DataFrame:
-    """The rows of docs that the classifier accepts, with all their columns."""
-    bad = materialize(score_quality(docs, train(docs, labels), cutoff).where("predicted = 0").select(F.col("doc_id").alias("_bad")).distinct(), "rejected")
-    return docs.join(bad, docs["doc_id"] == bad["_bad"], "left_anti")
+    """The rows of docs that the classifier accepts, with all their columns; no row moves."""
+    model = train(docs, labels)
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [model.scores(model.margins(*features(raw, at), j - i)) for i, j, raw, at in tv.slices(batch.column(0))]
+            keep = pa.array(np.concatenate(found) >= cutoff if found else np.zeros(0, bool))
+            yield pa.RecordBatch.from_arrays([c.filter(keep) for c in batch.columns[1:]], batch.schema.names[1:])
+
+    return docs.select(F.col("text").cast("string").alias("_scored"), *docs.columns).mapInArrow(over, docs.schema)

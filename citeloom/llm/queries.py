@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from citeloom.llm import byte_bpe, chat, fingerprints, language, packing, quality
 from citeloom.llm import exact_dedup as exact
 from citeloom.llm import near_dedup as near
+from citeloom.llm import suffix_dedup as suffix
 from citeloom.llm import token_counts as counts
 from citeloom.llm.common import held_out
 
@@ -45,6 +46,10 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, quality.train(docs, labels), cutoff=0.7)
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(_table(spark, sf_dir, "documents"))
 
@@ -84,6 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_counts": op8_token_counts,
         "op5_language_id": op5_language_id,
         "op7_quality_classifier": op7_quality_classifier,
+        "op2_suffix_array_dedup": op2_suffix_array_dedup,
         "op3_document_fingerprints": op3_document_fingerprints,
         "op9_chat_formatting": op9_chat_formatting,
         "op6_minhash_near_dedup": op6_minhash_near_dedup,
