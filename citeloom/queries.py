@@ -1,4 +1,8 @@
-"""Queries of the engine's operators over the tables of a folder, each with the SQL that states its result."""
+"""Queries of the engine's operators over the tables of a folder, each with the SQL that states its result.
+
+Orders stand for publications, their ordered parts for references, parts for cited works, customers and brands for
+authors, documents and embeddings for texts and vectors.
+"""
 
 from __future__ import annotations
 
@@ -7,27 +11,568 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citeloom.functions import columns as fc
+from citeloom.functions import text as ft
+from citeloom.operators import curation, filters, networks, providers, quality, reports, topics, viz
+from citeloom.sources import corpus, sinks
+from citeloom.streaming import arrivals
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under its function's name, with its SQL if there is one."""
+
+    def add(function: Query) -> Query:
+        QUERIES[function.__name__] = function
+        if sql:
+            SQL[function.__name__] = sql
+        return function
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cocitation_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mentions = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey").distinct()
-    left, right = mentions.withColumnRenamed("l_partkey", "source"), mentions.withColumnRenamed("l_partkey", "target")
-    return left.join(right, "l_orderkey").where("source < target").groupBy("source", "target").agg(F.count("*").alias("weight"))
+def publications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    item = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    lists = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["l_partkey"].cast("string")).alias("References"))
+    rows = orders.join(customer, orders["o_custkey"] == customer["c_custkey"], "left").join(lists, orders["o_orderkey"] == lists["l_orderkey"], "left")
+    return rows.select(
+        F.col("o_orderkey").alias("ord"), F.col("o_orderkey").cast("string").alias("Bibcode"), F.year("o_orderdate").alias("Year"), F.array("c_name").alias("Author"),
+        F.coalesce("References", F.array().cast("array<string>")).alias("References"), F.col("o_orderpriority").alias("Title"))
+
 
+def cited_works(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("ord"), F.col("p_partkey").cast("string").alias("Bibcode"), (F.col("p_size") + 1950).alias("Year"), F.array("p_brand").alias("Author"),
+        F.col("p_name").alias("Title"), F.col("p_type").alias("Journal"))
 
-COCITATION_EDGES_SQL = """
-with m as (select distinct l_orderkey, l_partkey from lineitem)
-select a.l_partkey as source, b.l_partkey as target, count(*) as weight
-from m a join m b on a.l_orderkey = b.l_orderkey and a.l_partkey < b.l_partkey group by 1, 2
+
+MENTIONS = """
+pubs as (select o_orderkey as ord, o_orderkey::varchar as paper, year(o_orderdate)::int as year, c_name as author, o_orderpriority as title from orders left join customer on o_custkey = c_custkey),
+m as (select o_orderkey as ord, o_orderkey::varchar as paper, year(o_orderdate)::int as year, l_partkey::varchar as ref, c_name as author,
+  row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity) - 1 as pos
+  from lineitem join orders on l_orderkey = o_orderkey left join customer on o_custkey = c_custkey)
 """
+CO_DETAIL = "co as (select a.year, a.ref as source, b.ref as target, a.paper from m a join m b on a.paper = b.paper and a.pos < b.pos and a.ref <> b.ref)"
+CO_PAIRS = "cp as (select least(source, target) as lo, greatest(source, target) as hi, count(distinct paper) as n from co group by 1, 2)"
+COUPLING = """
+u as (select distinct paper, ord, year, ref from m),
+bc as (select a.year, a.paper as source, b.paper as target, a.ref as shared_ref from u a join u b on a.ref = b.ref and a.ord < b.ord)"""
+
+
+@query(f"with {MENTIONS} select paper as source, ref as target, pos::int as ref_index, year from m")
+def direct_citations(spark, d):
+    return networks.direct_citations(publications(spark, d))
+
+
+@query(f"with {MENTIONS} select paper as source, ref as target, pos::int as ref_index, year from m where ref in (select ref from m group by ref having count(*) >= 35)")
+def direct_citations_min_count(spark, d):
+    return networks.direct_citations(publications(spark, d), min_count=35)
+
+
+@query(f"with {MENTIONS} select paper as source, ref as target, min(year)::int as year, count(*) as weight from m group by 1, 2")
+def direct_graph_edges(spark, d):
+    return networks.graph_edges(networks.direct_citations(publications(spark, d)), directed=True)
+
+
+@query(f"with {MENTIONS}, {CO_DETAIL}, {CO_PAIRS} select year, source, target, paper as cocit_source from co join cp on lo = least(source, target) and hi = greatest(source, target) and n >= 2")
+def co_citation_detail(spark, d):
+    return networks.co_citations(publications(spark, d), min_count=2)
+
+
+@query(f"with {MENTIONS}, {CO_DETAIL} select least(source, target) as source, greatest(source, target) as target, min(year)::int as year, count(*) as weight from co group by least(source, target), greatest(source, target)")
+def cocitation_edges(spark, d):
+    return networks.graph_edges(networks.co_citations(publications(spark, d)))
+
+
+@query(f"with {MENTIONS}, {CO_DETAIL}, {CO_PAIRS} select lo as source, hi as target, min(year)::int as year, count(*) as weight from co join cp on lo = least(source, target) and hi = greatest(source, target) and n >= 2 group by lo, hi")
+def co_citation_min2(spark, d):
+    return networks.graph_edges(networks.co_citations(publications(spark, d), min_count=2))
+
+
+@query(f"with {MENTIONS}, {COUPLING} select least(source, target) as source, greatest(source, target) as target, min(year)::int as year, count(*) as weight from bc group by least(source, target), greatest(source, target)")
+def coupling_graph(spark, d):
+    return networks.graph_edges(networks.coupling(publications(spark, d)))
+
+
+@query(f"""with {MENTIONS}, {COUPLING}, k as (select source as s, target as t from bc group by 1, 2 having count(distinct shared_ref) >= 2)
+select least(source, target) as source, greatest(source, target) as target, min(year)::int as year, count(*) as weight from bc join k on s = source and t = target group by least(source, target), greatest(source, target)""")
+def coupling_min_shared2(spark, d):
+    return networks.graph_edges(networks.coupling(publications(spark, d), min_shared=2))
+
+
+AUTHORS = "ca as (select distinct paper, year, p_brand as author from m join part on ref = p_partkey::varchar), ac as (select a.year, a.author as source, b.author as target, a.paper from ca a join ca b on a.paper = b.paper and a.author < b.author)"
+
+
+@query(f"with {MENTIONS}, {AUTHORS} select source, target, source as source_label, target as target_label, min(year)::int as year, count(*) as weight from ac group by source, target")
+def author_co_citation_graph(spark, d):
+    return networks.graph_edges(networks.author_co_citations(publications(spark, d), cited_works(spark, d)))
+
+
+def brand_entities(spark: SparkSession, d: str) -> DataFrame:
+    brands = table(spark, d, "part").select("p_brand").distinct()
+    return brands.where("p_brand not like '%1'").select(F.col("p_brand").alias("author_uid"), F.concat(F.lit("Maker "), F.lower("p_brand")).alias("author_display_name"))
+
+
+BRAND = "case when {0} like '%1' then {0} else 'Maker ' || lower({0}) end"
+
+
+@query(f"with {MENTIONS}, {AUTHORS} select year, source, target, paper as source_citation, {BRAND.format('source')} as source_label, {BRAND.format('target')} as target_label from ac where (source, target) in (select (source, target) from ac group by source, target having count(distinct paper) >= 5)")
+def author_co_citation_labels(spark, d):
+    return networks.author_co_citations(publications(spark, d), cited_works(spark, d), 5, brand_entities(spark, d))
+
+
+@query(f"""with {MENTIONS} select paper as id, title as "Title", year as "Year", 0 as from_refs from pubs
+union all select p_partkey::varchar, p_name, p_size + 1950, 1 from part where p_partkey::varchar not in (select paper from pubs)""")
+def graph_nodes(spark, d):
+    nodes = networks.graph_nodes(publications(spark, d), cited_works(spark, d))
+    return nodes.select("id", "Title", "Year", F.col("Journal").isNotNull().cast("int").alias("from_refs"))
+
+
+@query(f"with {MENTIONS}, e as (select paper as id from m where ref in (select ref from m group by ref having count(*) >= 35) union select ref from m group by ref having count(*) >= 35) select id from e")
+def nodes_in_edges(spark, d):
+    pubs = publications(spark, d)
+    edges = networks.graph_edges(networks.direct_citations(pubs, 35), directed=True)
+    return networks.nodes_in_edges(networks.graph_nodes(pubs, cited_works(spark, d)), edges).select("id")
+
+
+@query(f"with {MENTIONS}, {AUTHORS}, e as (select source as id from ac union select target from ac) select id, id as author_uid, {BRAND.format('id')} as label from e")
+def author_nodes(spark, d):
+    edges = networks.graph_edges(networks.author_co_citations(publications(spark, d), cited_works(spark, d)))
+    return networks.author_nodes(edges, brand_entities(spark, d)).select("id", "author_uid", "label")
+
+
+@query(f"""with {MENTIONS} select paper as "Bibcode" from pubs where regexp_matches(author, '(?i)#0+1[0-9]$|#0*77$')""")
+def filter_authors_regex(spark, d):
+    return publications(spark, d).where(filters.authors_match(F.col("Author"), ["#0+1[0-9]$", "#0*77$"])).select("Bibcode")
+
+
+@query(f"""with {MENTIONS} select paper as source, ref as target, pos::int as ref_index, year from m where contains(lower(author), '00000001') or contains(lower(author), '#000000002')""")
+def filter_authors_literal(spark, d):
+    return networks.direct_citations(publications(spark, d), authors=["00000001", "#000000002"])
+
+
+@query("""select p_partkey::varchar as "Bibcode" from part where p_brand in ('Brand#11', 'Brand#23') and p_partkey % 7 <> 0""")
+def filter_uid_overlap(spark, d):
+    refs = cited_works(spark, d).withColumn("author_uids", F.when(F.col("ord") % 7 == 0, F.array(F.lit(None).cast("string"))).otherwise(F.col("Author")))
+    return refs.where(filters.citing_filter(None, ["Brand#11", "Brand#23"], refs.columns)).select("Bibcode")
+
+
+@query(f"""with {MENTIONS} select paper as "Bibcode", coalesce(string_agg(ref, ',' order by pos) filter (where p_brand is not null and p_brand not like '%#1%'), '') as refs
+from pubs left join m using (paper) left join part on ref = p_partkey::varchar group by paper""")
+def exclude_cited_authors(spark, d):
+    out = filters.filter_corpus(publications(spark, d), cited_works(spark, d), exclude_authors=["#1"])
+    return out.select("Bibcode", F.array_join("References", ",").alias("refs"))
+
+
+@query(f"""with {MENTIONS}, l as (select paper, string_agg(ref, ',' order by pos) as refs from m group by paper)
+select 10000000 - ord as ord, paper as "Bibcode", coalesce(refs, '') as refs from pubs left join l using (paper)""")
+def align_citation_inputs(spark, d):
+    pubs = publications(spark, d)
+    listed = pubs.select((F.lit(10_000_000) - F.col("ord")).alias("ord"), "Bibcode", "References")
+    again = listed.withColumn("ord", F.col("ord") + 50_000_000)
+    return networks.align(pubs, listed.withColumn("References", F.array(F.lit("x"))).unionByName(again)).select("ord", "Bibcode", F.array_join("References", ",").alias("refs"))
+
+
+@query(f"with {MENTIONS} select ref, count(*) as n from m group by ref having count(*) >= 5 order by n desc, min(ord * 1000 + pos) limit 50")
+def reference_top_n(spark, d):
+    return filters.top_references(publications(spark, d), least=5, most=50)
+
+
+def topic_docs(spark: SparkSession, d: str) -> DataFrame:
+    topic = F.when(F.col("doc_id") % 17 == 0, F.lit(None)).when(F.col("doc_id") % 10 == 0, -1).when(F.col("lang") == "de", 0).when(F.col("lang") == "en", 1).when(F.col("lang") == "es", 2).otherwise(3)
+    return table(spark, d, "documents").select(
+        F.col("doc_id").alias("ord"), F.col("doc_id").cast("string").alias("Bibcode"), topic.cast("int").alias("topic_id"), F.concat(F.lit("Topic "), "lang").alias("Name"), "text", "source", "lang")
+
+
+TOPICS = """docs as (select doc_id as ord, doc_id::varchar as bibcode, case when doc_id % 17 = 0 then null when doc_id % 10 = 0 then -1 when lang = 'de' then 0 when lang = 'en' then 1 when lang = 'es' then 2 else 3 end::int as topic_id,
+ 'Topic ' || lang as name, text, source, lang from documents)"""
+
+
+@query(f"""with {TOPICS} select topic_id as cluster, arg_min(name, ord) as label, count(*) as "Count", round_even(100.0::double * count(*) / (select count(*) from docs), 1)::double as "Percentage" from docs where topic_id is not null group by 1""")
+def cluster_summary(spark, d):
+    return curation.cluster_summary(topic_docs(spark, d))
+
+
+def layered(spark: SparkSession, d: str) -> DataFrame:
+    nation, region = table(spark, d, "nation"), table(spark, d, "region")
+    rows = table(spark, d, "customer").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))  # fixed small tables
+    return rows.select(
+        F.col("c_custkey").alias("ord"), F.col("c_custkey").cast("string").alias("Bibcode"), F.when(F.col("c_custkey") % 11 == 0, F.lit(None)).otherwise(F.col("n_nationkey")).alias("topic_layer_0_id"),
+        F.col("n_name").alias("topic_layer_0_label"), F.col("r_regionkey").alias("topic_layer_1_id"), F.col("r_name").alias("topic_layer_1_label"))
+
+
+LAYERED = """lay as (select c_custkey as ord, case when c_custkey % 11 = 0 then null else n_nationkey end as id0, n_name as label0, r_regionkey as id1, r_name as label1
+ from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey)"""
+
+
+@query(f"""with {LAYERED}, l as (select ord, 0 as layer, id0 as cluster, label0 as label from lay union all select ord, 1, id1, label1 from lay)
+select layer::int as layer, cluster, arg_min(label, ord) as label, count(*) as "Count", round_even(100.0::double * count(*) / (select count(*) from lay), 1)::double as "Percentage", layer = 1 as is_working_layer from l where cluster is not null group by layer, cluster""")
+def hierarchy_summary(spark, d):
+    return curation.hierarchy_summary(layered(spark, d), [0, 1], working=curation.working_layer(2))
+
+
+@query(f"""with {TOPICS} select bibcode as "Bibcode", topic_id from docs where topic_id is null or topic_id not in (-1, 1)""")
+def remove_clusters(spark, d):
+    return filters.remove_clusters(topic_docs(spark, d), filters.flat_selection(["-1", 1])).select("Bibcode", "topic_id")
+
+
+@query(f"""with {LAYERED} select ord::varchar as "Bibcode" from lay where not (coalesce(id0 in (3, 7), false) or coalesce(id1 = 2, false))""")
+def remove_layered_clusters(spark, d):
+    targets = [{"layer": 0, "cluster_id": 3}, {"layer": 0, "cluster_id": 7}, {"layer": 1, "cluster_id": "2"}]
+    return filters.remove_layered_clusters(layered(spark, d), targets).select("Bibcode")
+
+
+@query(f"""with {TOPICS} select bibcode as "Bibcode" from docs where ord % 13 = 0 or lower(source) not in ('src0', 'src1')""")
+def filter_by_field(spark, d):
+    rows = topic_docs(spark, d).withColumn("source", F.when(F.col("ord") % 13 != 0, F.col("source")))
+    return filters.filter_by_field(rows, "source", ["SRC0", "Src1"], keep=False).select("Bibcode")
+
+
+def untidy(spark: SparkSession, d: str) -> DataFrame:
+    """Publications with padded, repeated and empty keys, and lists with blanks, repeats and unknown keys."""
+    pubs = publications(spark, d)
+    refs = F.concat("References", F.array(F.lit(" "), F.concat(F.lit(" "), F.coalesce(F.try_element_at("References", F.lit(1)), F.lit("x")), F.lit(" ")), F.concat(F.lit("gone"), (F.col("ord") % 7).cast("string"))))
+    first = pubs.withColumns({"Bibcode": F.when(F.col("ord") % 50 == 0, F.lit(" ")).otherwise(F.concat(F.lit(" "), "Bibcode")), "References": refs})
+    again = pubs.where("ord % 4 = 0").withColumns({"ord": F.col("ord") + 10_000_000, "Title": F.lit(" "), "References": F.when(F.col("ord") % 8 == 0, F.concat(refs, F.array(F.lit("more")))).otherwise(refs)})
+    return first.unionByName(again)
+
+
+UNTIDY = f"""{MENTIONS}, l as (select paper, list(ref order by pos) as refs from m group by paper),
+base as (select ord, paper, title, coalesce(refs, []) as refs from pubs left join l using (paper)),
+more as (select ord, paper, title, refs || [' ', ' ' || coalesce(refs[1], 'x') || ' ', 'gone' || (ord % 7)] as refs from base),
+dirty as (select ord, case when ord % 50 = 0 then ' ' else ' ' || paper end as key, title, refs, len(refs) as n from more
+ union all select ord + 10000000, paper, ' ', case when ord % 8 = 0 then refs || ['more'] else refs end, len(refs) + (ord % 8 = 0)::int from more where ord % 4 = 0),
+best as (select *, trim(key) as k from dirty where trim(key) <> '' qualify row_number() over (partition by trim(key) order by n desc, (trim(title) <> '')::int desc, ord) = 1),
+items as (select k, ord, trim(unnest(refs)) as ref, unnest(range(len(refs))) as pos from best)"""
+
+
+@query(f"""with {UNTIDY} select k as "Bibcode", ord, n as n_refs from best""")
+def dedupe_best_row(spark, d):
+    return quality.best_rows(untidy(spark, d)).select("Bibcode", "ord", F.size("References").cast("long").alias("n_refs"))
+
+
+@query(f"""with {UNTIDY}, o as (select k, ref, min(pos) as pos from items where ref in (select p_partkey::varchar from part) group by 1, 2), g as (select k, string_agg(ref, ',' order by pos) as refs from o group by k)
+select k as "Bibcode", coalesce(g.refs, '') as refs from best left join g using (k)""")
+def clean_references(spark, d):
+    out = quality.clean_references(quality.best_rows(untidy(spark, d)), cited_works(spark, d))
+    return out.select("Bibcode", F.array_join("References", ",").alias("refs"))
+
+
+@query(f"""with {UNTIDY} select ref, count(distinct k) as mentions from items where ref <> '' and ref not in (select p_partkey::varchar from part) group by ref order by 2 desc, 1 limit 20""")
+def missing_references_top(spark, d):
+    return quality.missing_references(quality.reference_mentions(quality.best_rows(untidy(spark, d)), cited_works(spark, d)))
+
+
+@query(f"""with {UNTIDY}, r as (select k, ref, row_number() over (partition by k, ref order by pos) as n, ref in (select p_partkey::varchar from part) as known from items)
+select (select count(*) from dirty) as publications_rows, (select count(*) from dirty where trim(key) = '') as publications_empty_keys,
+ (select count(*) - count(distinct trim(key)) from dirty where trim(key) <> '') as publications_duplicate_rows, (select count(*) from dirty where trim(key) <> key) as publications_padded_keys,
+ (select count(*) from part) as references_rows, 0::bigint as references_empty_keys, 0::bigint as references_duplicate_rows, 0::bigint as references_padded_keys,
+ count(*) filter (where ref = '') as empty_mentions, count(*) filter (where ref <> '' and n > 1) as duplicate_mentions,
+ count(*) filter (where ref <> '' and not known) as missing_mentions, count(distinct ref) filter (where ref <> '' and not known) as missing_keys from r""")
+def cleaning_report(spark, d):
+    return quality.cleaning_report(untidy(spark, d), cited_works(spark, d))
+
+
+@query("""with s as (select s_suppkey, ['uid:' || s_nationkey, 'unknown', ' uid:' || s_nationkey || ' ', 'uid:' || s_suppkey, 'a::none'] as u, [s_name, 'x', 'y'] as n from supplier)
+select s_suppkey, case when s_nationkey <> s_suppkey then 'uid:' || s_nationkey || ',' || 'uid:' || s_suppkey else 'uid:' || s_nationkey end as uids,
+ case when s_nationkey <> s_suppkey then s_name || ',' else s_name end as names from supplier""")
+def clean_author_uids(spark, d):
+    nation = F.concat(F.lit("uid:"), F.col("s_nationkey").cast("string"))
+    rows = table(spark, d, "supplier").select("s_suppkey", F.array(nation, F.lit("unknown"), F.concat(F.lit(" "), nation, F.lit(" ")), F.concat(F.lit("uid:"), F.col("s_suppkey").cast("string")), F.lit("a::none")).alias("author_uids"), F.array(F.col("s_name"), F.lit("x"), F.lit("y")).alias("author_display_names"))
+    return quality.clean_identities(rows).select("s_suppkey", F.array_join("author_uids", ",").alias("uids"), F.array_join("author_display_names", ",").alias("names"))
+
+
+@query(f"""with {TOPICS}, i as (select unnest([-1, 0, 1, 2, 3, 99])::int as "Topic") select "Topic", count(topic_id) as "Count" from i left join docs on topic_id = "Topic" group by 1""")
+def topic_count_sync(spark, d):
+    info = spark.createDataFrame([(k, 0) for k in (-1, 0, 1, 2, 3, 99)], "Topic int, Count long")
+    return quality.sync_topic_counts(info, topic_docs(spark, d))
+
+
+@query("""select page_id, md5(regexp_replace(replace(replace(replace(replace(replace(html, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&'), '&amp', '&'), '<[^\n\r]*?>', '', 'g')) as clean_md5 from pages""")
+def clean_html_pages(spark, d):
+    return table(spark, d, "pages").select("page_id", F.md5(ft.clean_html(F.col("html")).cast("binary")).alias("clean_md5"))
+
+
+@query("""select p_partkey, trim(split_part(p_partkey || ' - ' || (p_partkey + 9), '-', 1)) as first_part, (p_size + 1)::varchar as first_page, (p_size + 9)::varchar as last_page, 9::int as pages from part""")
+def clean_ranges(spark, d):
+    both = F.concat((F.col("p_size") + 1).cast("string"), F.lit(" – "), (F.col("p_size") + 9).cast("string"))
+    rows = table(spark, d, "part").select("p_partkey", ft.clean_range(F.concat_ws(" - ", F.col("p_partkey").cast("string"), (F.col("p_partkey") + 9).cast("string"))).alias("first_part"), ft.page_range(both).alias("r"))
+    return rows.select("p_partkey", "first_part", F.col("r.first").alias("first_page"), F.col("r.last").alias("last_page"), fc.page_count(F.col("r.first"), F.col("r.last")).alias("pages"))
+
+
+@query("""select c_custkey, c_name || '|' || 'Doe, J|Roe|Li, X' as names, 4::int as n, 'Doe' as second_surname from customer""")
+def parse_authors(spark, d):
+    written = F.concat("c_name", F.lit("; Doe, J and Roe et al.; & Li, X; 12 colleagues"))
+    names = table(spark, d, "customer").select("c_custkey", ft.parse_authors(written).alias("a"))
+    return names.select("c_custkey", F.array_join("a", "|").alias("names"), F.size("a").alias("n"), ft.surname(F.col("a")[1]).alias("second_surname"))
+
+
+@query("""select o_orderkey::varchar as "Bibcode", 'T ' || o_orderpriority as "Title", year(o_orderdate)::varchar as "Year", 2::int as authors from orders where o_orderkey % 5 <> 0""")
+def parse_export_records(spark, d):
+    o = table(spark, d, "orders")
+    fields = [F.concat(F.lit(" "), F.col("o_orderkey").cast("string"), F.lit(" ")), F.lit("Doe, J and Roe, K"), F.concat(F.lit("T\n"), "o_orderpriority"), F.year("o_orderdate").cast("string"), *([F.lit("")] * 12)]
+    short = F.when(F.col("o_orderkey") % 5 == 0, F.lit("onlyxOxthreexOxfields")).otherwise(F.concat(F.concat_ws("xOx", *fields), F.lit("xOx")))
+    return corpus.parse_export(o.select(short.alias("value"))).select("Bibcode", "Title", "Year", F.size("Author").alias("authors"))
+
+
+@query("""select p_partkey, 'Brand' || '#' || substr(p_brand, 7) as name from part""")
+def first_author_surname(spark, d):
+    rows = table(spark, d, "part").select("p_partkey", F.array(F.when(F.col("p_partkey") % 2 == 0, F.concat("p_brand", F.lit(", A B"))).otherwise(F.concat(F.lit("A B "), "p_brand"))).alias("Author"))
+    return rows.select("p_partkey", networks.first_author_id(rows.columns).alias("name"))
+
+
+@query(f"""with {MENTIONS}, o as (select paper, ref, min(pos) as pos from m where ref::bigint % 5 <> 0 group by 1, 2), l as (select paper, string_agg(ref, ';' order by pos) as refs from o group by paper)
+select paper as "Bibcode", year as "Year", title as "Title", author as authors, coalesce(refs, '') as refs from pubs left join l using (paper)""")
+def normalize_source_input(spark, d):
+    pubs = publications(spark, d).select("ord", F.concat(F.lit(" "), "Bibcode").alias("Bibcode"), F.concat(F.col("Year").cast("string"), F.lit(".0")).alias("Year"), F.array_join("Author", " ; ").alias("Author"), F.concat_ws("", "Title", F.lit(" \n")).alias("Title"), F.lit(None).cast("string").alias("Abstract"), F.concat("References", F.array(F.lit(" "))).alias("References"))
+    refs = cited_works(spark, d).where("ord % 5 <> 0").withColumnRenamed("Journal", "venue")
+    out, _ = corpus.normalize_source(pubs, refs)
+    return out.select("Bibcode", "Year", "Title", F.array_join("Author", ";").alias("authors"), F.array_join("References", ";").alias("refs"))
+
+
+@query("select (select count(*) from orders) as expected, (select count(*) from orders where o_orderkey % 9 <> 0) as parsed, (select count(*) from orders where o_orderkey % 9 = 0) as missing")
+def export_coverage(spark, d):
+    pubs = table(spark, d, "orders").select(F.col("o_orderkey").alias("Bibcode"))
+    return reports.export_coverage(pubs, pubs.where("Bibcode % 9 <> 0"))
+
+
+@query(f"""with {MENTIONS} select round(avg((paper in (select paper from m))::int), 4)::double as "References_coverage", 1.0::double as "Title_coverage" from pubs""")
+def source_coverage(spark, d):
+    return reports.source_coverage(publications(spark, d), ["References", "Title"])
+
+
+@query("""select o_orderkey::varchar as "Bibcode", year(o_orderdate)::int as "Year" from orders qualify row_number() over (partition by year(o_orderdate) order by o_orderkey) <= 25""")
+def yearly_quota(spark, d):
+    return corpus.yearly_quota(publications(spark, d), 25).select("Bibcode", "Year")
+
+
+@query("""select o_orderkey::varchar as "Bibcode", year(o_orderdate)::int as "Year", c_name as author, 'x:author:' || c_custkey as uid, 'x:1' as refs, '10' as first_page, '19' as last_page from orders join customer on o_custkey = c_custkey""")
+def parse_nested_records(spark, d):
+    o = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    author = F.array(F.struct(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name")), F.struct(F.lit("9").alias("id"), F.lit(" ").alias("name")))
+    cited = F.array(F.struct(F.lit("1").alias("id")), F.struct(F.lit("1").alias("id")), F.struct(F.lit(None).cast("string").alias("id")))
+    record = F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.lit("10—19").alias("pages"), author.alias("authors"), cited.alias("references")))
+    rows = corpus.parse_records(o.select(record.alias("value")), "x")
+    return rows.select(F.substring("Bibcode", 3, 30).alias("Bibcode"), "Year", F.col("Author")[0].alias("author"), F.col("author_uids")[0].alias("uid"), F.array_join("References", ",").alias("refs"), F.col("First Page").alias("first_page"), F.col("Last Page").alias("last_page"))
+
+
+@query("select doc_id, md5(coalesce(case when doc_id % 3 <> 0 then source end, '') || '. ' || text) as full_md5 from documents")
+def full_text(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.md5(ft.full_text(F.when(F.col("doc_id") % 3 != 0, F.col("source")), F.col("text")).cast("binary")).alias("full_md5"))
+
+
+STOP = ", ".join(f"'{w}'" for w in topics.STOP_WORDS)
+TOKENS = f"tok as (select doc_id, lang, list_filter(regexp_extract_all(lower(text), '\\p{{L}}+'), lambda w: length(w) >= 3 and w not in ({STOP})) as tokens from documents)"
+
+
+@query(f"with {TOKENS} select doc_id, len(tokens)::int as n_tokens, md5(array_to_string(tokens, ' ')) as tokens_md5 from tok")
+def tokens(spark, d):
+    rows = table(spark, d, "documents").select("doc_id", topics.tokens(F.col("text")).alias("t"))
+    return rows.select("doc_id", F.size("t").alias("n_tokens"), F.md5(F.array_join("t", " ").cast("binary")).alias("tokens_md5"))
+
+
+GRAMS = f"""{TOKENS}, g as (select lang as topic, unnest(list_concat(tokens, [tokens[i] || ' ' || tokens[i + 1] for i in range(1, len(tokens))], [tokens[i] || ' ' || tokens[i + 1] || ' ' || tokens[i + 2] for i in range(1, len(tokens) - 1)])) as term from tok),
+tc as (select topic, term, count(*) as tf from g group by 1, 2)"""
+
+
+def term_counts(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "documents").select(F.col("lang").alias("topic_id"), topics.tokens(F.col("text")).alias("tokens"))
+    return topics.term_counts(rows)
+
+
+@query(f"with {GRAMS} select topic, term, tf from tc where tf >= 3")
+def ngram_counts(spark, d):
+    return term_counts(spark, d).where("tf >= 3")
+
+
+@query(f"""with {GRAMS}, f as (select term, sum(tf) as f from tc group by term), a as (select avg(n) as a from (select sum(tf) as n from tc group by topic)),
+w as (select topic, term, tf, tf * ln(1 + a / f) as weight from tc join f using (term), a)
+select topic, term, tf, round(weight, 6)::double as weight from w qualify row_number() over (partition by topic order by weight desc, term) <= 20""")
+def ctfidf_top_terms(spark, d):
+    return topics.class_tfidf(term_counts(spark, d)).withColumn("weight", F.round("weight", 6))
+
+
+@query("select count(*) filter (where coalesce(l <> 'en', true) and text <> '')::bigint as text_other from (select text, case when doc_id % 19 <> 0 then lang end as l from documents)")
+def language_tally(spark, d):
+    return reports.language_tally(table(spark, d, "documents").withColumn("text_lang", F.when(F.col("doc_id") % 19 != 0, F.col("lang"))), ["text"])
+
+
+@query("select doc_id from documents where (doc_id % 19 = 0 or lang <> 'en') and text <> ''")
+def translation_targets(spark, d):
+    return filters.translation_targets(table(spark, d, "documents").withColumn("text_lang", F.when(F.col("doc_id") % 19 != 0, F.col("lang"))), "text").select("doc_id")
+
+
+def vectors(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("Bibcode"), F.when(F.col("vec_id") % 5 == 0, -1).otherwise(F.col("label")).cast("int").alias("topic_id"), "embedding")
+
+
+VECTORS = """v as (select vec_id, case when vec_id % 5 = 0 then -1 else label end::int as topic_id, embedding from embeddings),
+e as (select topic_id, unnest(embedding)::double as x, unnest(range(len(embedding))) as pos from v where topic_id <> -1),
+c as (select topic_id, list(m order by pos) as centroid from (select topic_id, pos, avg(x) as m from e group by 1, 2) group by 1),
+s as (select vec_id, c.topic_id, list_cosine_similarity(v.embedding::double[], c.centroid) as sim from v, c where v.topic_id = -1),
+b as (select vec_id, topic_id from s where sim >= 0.1 and sim > 0 qualify row_number() over (partition by vec_id order by sim desc, topic_id) = 1)"""
+
+
+@query(f"with {VECTORS} select topic_id as cluster, round(list_sum(centroid), 4)::double as total, (select count(*) from v where v.topic_id = c.topic_id) as n from c")
+def centroids(spark, d):
+    out = topics.centroids(vectors(spark, d))
+    return out.select("cluster", F.round(F.aggregate("centroid", F.lit(0.0), lambda a, x: a + x), 4).alias("total"), "n")
+
+
+@query(f"""with {VECTORS} select v.vec_id::varchar as "Bibcode", coalesce(b.topic_id, v.topic_id)::int as topic_id from v left join b using (vec_id)""")
+def outlier_reassign(spark, d):
+    return topics.reassign_outliers(vectors(spark, d), threshold=0.1).select("Bibcode", "topic_id")
+
+
+@query(f"""with {VECTORS}, f as (select v.vec_id, coalesce(b.topic_id, v.topic_id)::int as topic_id, v.embedding from v left join b using (vec_id)),
+w as (select vec_id, case when label % 2 = 0 and vec_id % 7 <> 0 then label % 3 else -1 end::int as coarse, embedding from embeddings),
+e1 as (select coarse, unnest(embedding)::double as x, unnest(range(len(embedding))) as pos from w where coarse <> -1),
+c1 as (select coarse, list(m order by pos) as centroid from (select coarse, pos, avg(x) as m from e1 group by 1, 2) group by 1),
+s1 as (select vec_id, c1.coarse, list_cosine_similarity(w.embedding::double[], c1.centroid) as sim from w, c1 where w.coarse = -1),
+b1 as (select vec_id, coarse from s1 where sim >= 0.1 and sim > 0 qualify row_number() over (partition by vec_id order by sim desc, coarse) = 1)
+select vec_id::varchar as "Bibcode", 0::int as layer, topic_id as cluster_id from f
+union all select vec_id::varchar, 1, case when w.coarse <> -1 then w.coarse when f.topic_id <> -1 then f.topic_id % 3 else coalesce(b1.coarse, -1) end::int from f join w using (vec_id) left join b1 using (vec_id)""")
+def hierarchical_outliers(spark, d):
+    v = vectors(spark, d).join(table(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("Bibcode"), "label", "vec_id"), "Bibcode")
+    coarse = F.when((F.col("label") % 2 == 0) & (F.col("vec_id") % 7 != 0), F.col("label") % 3).otherwise(-1)
+    assigned = v.select("Bibcode", F.lit(0).alias("layer"), F.col("topic_id").alias("cluster_id")).union(v.select("Bibcode", F.lit(1).alias("layer"), coarse.cast("int").alias("cluster_id")))
+    tree = spark.createDataFrame([(0, k, 1, k % 3) for k in range(10)], "child_layer int, child_id int, parent_layer int, parent_id int")
+    return topics.reassign_layers(assigned, v.select("Bibcode", "embedding"), tree, 2, threshold=0.1)
+
+
+@query(f"""with {TOPICS} select topic_id as "Topic", count(*) as "Count", case when topic_id = -1 then 'Outlier Topic' when topic_id = 1 then 'English' else 'Topic ' || topic_id end as "Name" from docs where topic_id is not null group by 1""")
+def topic_info(spark, d):
+    return topics.topic_info(topic_docs(spark, d), spark.createDataFrame([(1, "English")], "topic int, name string"))
+
+
+@query("""select vec_id::varchar as "Bibcode", case when vec_id % 5 = 0 then -1 else label end::int as topic_id, case when vec_id % 5 = 0 then null else 'T' || label end as "Name", round(embedding[1]::double, 4)::double as x from embeddings""")
+def topic_dataframe(spark, d):
+    info = spark.createDataFrame([(k, f"T{k}") for k in range(10)], "Topic int, Name string")
+    docs = vectors(spark, d).withColumn("reduced_2d", F.slice("embedding", 1, 2)).drop("embedding")
+    return topics.topic_frame(docs, info).select("Bibcode", "topic_id", "Name", F.round(F.col("embedding_2d_x").cast("double"), 4).alias("x"))
+
+
+@query(f"""with {MENTIONS}, r as (select paper, string_agg(p_brand || ', ' || (p_size + 1950) || ', ' || replace(p_type, '.', ''), chr(10) || '   ' order by pos) as cr from m join part on ref = p_partkey::varchar group by paper)
+select paper as "Bibcode", md5('PT J' || chr(10) || 'AU ' || author || chr(10) || 'TI ' || title || chr(10) || 'DT Article' || chr(10) || coalesce('CR ' || cr || chr(10), '') || 'PY ' || year || chr(10) || 'BI ' || paper || chr(10) || 'ER' || chr(10)) as record_md5 from pubs left join r using (paper)""")
+def citation_records(spark, d):
+    return sinks.citation_records(publications(spark, d), cited_works(spark, d)).select("Bibcode", F.md5(F.col("value").cast("binary")).alias("record_md5"))
+
+
+@query()
+def graph_json(spark, d):
+    pubs = publications(spark, d)
+    edges = networks.graph_edges(networks.direct_citations(pubs, 35), directed=True)
+    nodes, rows = sinks.graph_json_rows(edges, networks.nodes_in_edges(networks.graph_nodes(pubs, cited_works(spark, d)), edges))
+    return nodes.union(rows)
+
+
+@query("""select event_type as step, 'p' || (user_id % 3) as provider, 'm' as model, count(*) as calls, sum(event_id % 100)::bigint as prompt_tokens, sum(event_id % 10)::bigint as completion_tokens, sum(event_id % 100 + event_id % 10)::bigint as total_tokens,
+ round(sum(case when user_id % 3 = 0 then null else value end), 4)::double as cost_usd from events group by 1, 2""")
+def cost_summary(spark, d):
+    e = table(spark, d, "events").select(F.col("event_type").alias("step"), F.concat(F.lit("p"), (F.col("user_id") % 3).cast("string")).alias("provider"), F.lit("m").alias("model"), (F.col("event_id") % 100).alias("prompt_tokens"), (F.col("event_id") % 10).alias("completion_tokens"), (F.col("event_id") % 100 + F.col("event_id") % 10).alias("total_tokens"), F.when(F.col("user_id") % 3 != 0, F.col("value")).alias("cost_usd"))
+    return reports.cost_summary(e).withColumn("cost_usd", F.round("cost_usd", 4))
+
+
+@query("""select count(*) as calls, count(*) filter (where event_id % 3 <> 2) as priced, count(*) filter (where event_id % 3 = 2) as missing, count(*) filter (where event_id % 3 = 0) as direct, count(*) filter (where event_id % 3 = 1) as fetched from events""")
+def cost_resolution(spark, d):
+    e = table(spark, d, "events").select(F.col("event_id").alias("generation_id"), F.when(F.col("event_id") % 3 == 0, F.col("value")).alias("cost_usd"))
+    fetched = table(spark, d, "events").where("event_id % 3 = 1").select(F.col("event_id").alias("generation_id"), F.col("value").alias("cost_usd"))
+    return reports.cost_resolution(reports.with_fetched_costs(e, fetched))
+
+
+@query(f"with {TOPICS} select count(*) as rows, count(distinct topic_id) as topics_nunique, count(*) filter (where topic_id = -1) as outliers, round(count(*) filter (where topic_id = -1) / count(*), 4)::double as outlier_rate from docs")
+def run_counts(spark, d):
+    return reports.run_counts(topic_docs(spark, d))
+
+
+@query("select (select count(*) from orders) as publications, count(*) as total_references, count(distinct l_partkey) as unique_references from lineitem")
+def search_stats(spark, d):
+    return reports.search_stats(publications(spark, d))
+
+
+@query("select make_date(min(year(o_orderdate)), 1, 1) as first_day, make_date(max(year(o_orderdate)) + 1, 1, 1) as end_day from orders")
+def histogram_years(spark, d):
+    return reports.histogram_years(publications(spark, d))
+
+
+@query("""select doc_id::varchar as bibcode, 'W' || source as title, case when length(text) > 200 then substr(text, 1, 200) || '...' else text end as abstract, case when doc_id % 4 = 0 then 0 else doc_id % 100 end::int as citation_count,
+ make_date(1990 + (doc_id % 30), 12, 31) as date, round(ln(1 + case when doc_id % 4 = 0 then 0 else doc_id % 100 end) + 1, 6)::double as size from documents""")
+def point_payload(spark, d):
+    rows = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("Bibcode"), F.lit(0.0).alias("embedding_2d_x"), F.lit(0.0).alias("embedding_2d_y"), F.lit(0).alias("topic_id"), F.concat(F.lit("W"), "source").alias("Title_en"), (F.col("doc_id") % 30 + 1990).cast("int").alias("Year"), F.col("text").alias("Abstract_en"), F.when(F.col("doc_id") % 4 == 0, F.lit("many")).otherwise((F.col("doc_id") % 100).cast("string")).alias("Citation Count"))
+    return viz.point_payload(rows).select("bibcode", "title", "abstract", "citation_count", "date", F.round("size", 6).alias("size"))
+
+
+@query(f"""with {TOPICS} select case when topic_id = -1 then 'flat::noise::' when topic_id is null then 'flat::label::' || name else 'flat::' || topic_id end as key, arg_min(name, ord) as label, count(*) as "count", min(ord) as first from docs group by 1""")
+def topic_panel_rows(spark, d):
+    return viz.panel_rows(topic_docs(spark, d))
+
+
+@query(f"""with {LAYERED} select 1::int as layer, 'layer_1::' || id1 as key, null::varchar as parent, arg_min(label1, ord) as label, count(*) as "count", lpad(min(ord)::varchar, 12, '0') as path from lay group by id1
+union all select 0, key, 'layer_1::' || arg_min(id1, ord), arg_min(label0, ord), count(*), (select lpad(min(z.ord)::varchar, 12, '0') from lay z where z.id1 = arg_min(k.id1, k.ord)) || '/' || lpad(min(ord)::varchar, 12, '0') from (select *, case when id0 is null then 'layer_0::label::' || label0 else 'layer_0::' || id0 end as key from lay) k group by key""")
+def hierarchical_panel(spark, d):
+    return viz.hierarchical_panel(layered(spark, d), [0, 1])
+
+
+@query(f"""with {TOPICS}, f as (select name as label, min(ord) as first from docs where topic_id <> -1 group by 1) select label, ['#111111', '#222222', '#333333'][(row_number() over (order by first, label) - 1) % 3 + 1] as colour from f""")
+def label_colours(spark, d):
+    return curation.colours(topic_docs(spark, d).where("topic_id <> -1"), ["#111111", "#222222", "#333333"])
+
+
+@query(f"""with {LAYERED} select ord::varchar as "Bibcode", id0 as topic_layer_0_id, label0 as topic_layer_0_label, id1 as topic_layer_1_id, label1 as topic_layer_1_label, 1::int as topic_primary_layer_index, 2::int as topic_layer_count from lay""")
+def wide_layers(spark, d):
+    rows = curation.layer_rows(layered(spark, d), [0, 1]).select(F.col("ord").cast("string").alias("Bibcode"), "layer", F.col("cluster").alias("cluster_id"), "label")
+    return curation.wide_layers(rows, [0, 1], 1)
+
+
+@query("select date_trunc('hour', ts)::timestamp as start, event_type, count(*) as n, round(sum(value), 4)::double as total from events group by 1, 2")
+def windowed_event_counts(spark, d):
+    out = arrivals.windowed_counts(table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")))
+    return out.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
+@query(f"with {MENTIONS} select ref as target, count(*) as mentions, min(year)::int as first_year from m group by ref")
+def arriving_citation_counts(spark, d):
+    return arrivals.citation_counts(publications(spark, d))
+
+
+@query()
+def language_id(spark, d):
+    docs = table(spark, d, "documents")
+    profiles = providers.train_language_profiles(docs.orderBy(F.xxhash64("doc_id")).limit(2000), "text", "lang")
+    return providers.identify_language(docs, "text", profiles).select("doc_id", "text_lang")
+
+
+@query()
+def pca_reduction(spark, d):
+    return providers.reduce_dimensions(vectors(spark, d), "Bibcode")
+
+
+@query()
+def cluster_documents(spark, d):
+    return providers.cluster_kmeans(vectors(spark, d), "Bibcode", "embedding", 10, noise_quantile=0.95)
+
+
+@query()
+def author_blocking(spark, d):
+    return providers.block_authors(table(spark, d, "customer").select(F.col("c_custkey").alias("mention"), F.concat(F.lit("Author"), (F.col("c_custkey") % 97).cast("string"), F.lit(", "), F.substring("c_mktsegment", 1, 3)).alias("name")))
+
+
+@query()
+def embed_documents(spark, d):
+    return providers.embed_documents(table(spark, d, "documents"), "doc_id", "text", providers.hash_embedder(32)).select("doc_id", "text_sha256", F.size("embedding").alias("dimensions"))
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"cocitation_edges": cocitation_edges}
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"cocitation_edges": COCITATION_EDGES_SQL}
+    return dict(SQL)
