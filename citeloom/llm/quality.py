@@ -188,12 +188,12 @@ def score_quality(docs: DataFrame, model: QualityModel, cutoff: float = 0.7) ->
 
 def keep_good(docs: DataFrame, labels: DataFrame, cutoff: float = 0.7) -> DataFrame:
     """The rows of docs that the classifier accepts, with all their columns; no row moves."""
-    model = train(docs, labels)
+    model, text = train(docs, labels), docs.columns.index("text")
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [model.scores(model.margins(*features(raw, at), j - i)) for i, j, raw, at in tv.slices(batch.column(0))]
+            found = [model.scores(model.margins(*features(raw, at), j - i)) for i, j, raw, at in tv.slices(batch.column(text))]
             keep = pa.array(np.concatenate(found) >= cutoff if found else np.zeros(0, bool))
-            yield pa.RecordBatch.from_arrays([c.filter(keep) for c in batch.columns[1:]], batch.schema.names[1:])
+            yield batch.filter(keep)
 
-    return docs.select(F.col("text").cast("string").alias("_scored"), *docs.columns).mapInArrow(over, docs.schema)
+    return docs.mapInArrow(over, docs.schema)
