@@ -50,7 +50,7 @@ def clean_html(c: Column) -> Column:
 
 
 #: The entities that strip_tags decodes without Python.
-BASIC_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
+BASIC_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": "\xa0", "&amp;": "&"}
 
 
 def strip_tags(c: Column) -> Column:

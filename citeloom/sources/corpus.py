@@ -27,8 +27,8 @@ def read_export(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_export(records: DataFrame, fields: list[str] = EXPORT_FIELDS) -> DataFrame:
     """Rows of the records that have all fields; newlines become blanks, authors become a list, keys are trimmed."""
-    parts = F.split(F.regexp_replace(F.col("value"), f"{FIELD_END}$", ""), FIELD_END)
-    whole = records.select(parts.alias("_f")).where(F.size("_f") == len(fields))
+    n = len(fields)
+    whole = records.select(F.split("value", FIELD_END).alias("_f")).where((F.size("_f") == n) | (F.size("_f") == n + 1) & (F.get("_f", F.lit(n)) == ""))
     rows = whole.select(*(ft.flatten_newlines(F.col("_f")[k]).alias(name) for k, name in enumerate(fields)))
     changes: dict[str, Column] = {"Bibcode": ft.strip(F.col("Bibcode"))}
     if "Author" in fields:
@@ -83,7 +83,7 @@ def _normalize(df: DataFrame, publications: bool) -> DataFrame:
         else:
             changes[c] = fc.clean_list(F.col(c)) if kinds[c].startswith("array") else fc.list_from_text(F.col(c).cast("string"))
     for c in ("Title", "Abstract"):
-        changes[c] = ft.squeeze(F.col(c)) if c in df.columns else F.lit("")
+        changes[c] = F.coalesce(ft.squeeze(F.col(c)), F.lit("")) if c in df.columns else F.lit("")
     for c, default in DEFAULTS.items():
         changes[c] = F.coalesce(F.col(f"`{c}`"), F.lit(default)) if c in df.columns else F.lit(default)
     return df.withColumns(changes)
