@@ -31,6 +31,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear(spark: SparkSession) -> None:
+    """Delete what materialize has written in the shared folder; results that are still to be read go with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/citeloom")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def crc32_of_id(column: str = "doc_id"):
     """crc32 of the id written as text; it deals rows to folds."""
     return F.crc32(F.col(column).cast("string").cast("binary"))

@@ -11,6 +11,8 @@ bucketed table, and stay there; only what concerns anchors moves:
 3. blocks remove the bytes and hash the rest.
 
 Copies within a block are merged before anything moves, so an anchor sends one row for each block and context at most.
+An anchor that very many blocks share (HOT_BLOCKS) may have a context for each document; its windows are sent one by one,
+to buckets by their own hashes, so that only equal windows have to meet.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,17 +36,31 @@ WIDTH, GRAM = 100, 32
 REACH = WIDTH - GRAM + 1
 #: Bytes of text in a block, and positions that one pass over a long text covers.
 BLOCK_BYTES, PASS = 4 << 20, 1 << 21
+#: An anchor in more blocks than this is compared window by window.
+HOT_BLOCKS = 1024
 #: Bytes of a symbol of the suffix array.
 SYMBOL = 8
 _POSITION = 24
 
 
-class Segments:
+class Runs(NamedTuple):
     """Runs of windows with one anchor: row, first and last window, anchor (all from the row's start), hashes."""
 
-    def __init__(self, raw: np.ndarray, at: np.ndarray):
-        parts = [_segments(*part) for part in _passes(raw, at)]
-        self.row, self.first, self.last, self.anchor, self.gram, self.context = (np.concatenate(x) if parts else np.zeros(0, d) for x, d in zip(zip(*parts) if parts else [[]] * 6, (np.int64,) * 4 + (np.uint64,) * 2))
+    row: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    anchor: np.ndarray
+    gram: np.ndarray
+    context: np.ndarray
+
+
+_KINDS = (np.int64,) * 4 + (np.uint64,) * 2
+
+
+def segments(raw: np.ndarray, at: np.ndarray) -> Runs:
+    """The segments of all rows, in the order of rows and places."""
+    parts = [_segments(*part) for part in _passes(raw, at)]
+    return Runs(*(np.concatenate(x) for x in zip(*parts))) if parts else Runs(*(np.zeros(0, d) for d in _KINDS))
 
 
 def _passes(raw: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -64,7 +81,7 @@ def _passes(raw: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.nd
 def _segments(rows: np.ndarray, starts: np.ndarray, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
     n = len(raw)
     if n < WIDTH:
-        return tuple(np.zeros(0, d) for d in (np.int64,) * 4 + (np.uint64,) * 2)
+        return tuple(np.zeros(0, d) for d in _KINDS)
     up, down = tv._powers(n)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(tv._BYTE_KEYS[raw] * up[:n], out=sums[1:])
@@ -135,31 +152,46 @@ class Block:
             self.table = table = table.take(pa.array(self.order))
             self.raw, self.at = tv.text_bytes(table.column("text"))
             self.ids = table.column("doc_id").fill_null(-(1 << 63)).to_numpy()
-        self.seg = Segments(self.raw, self.at)
+        self.seg = segments(self.raw, self.at)
         self.grams, self.of_gram, self.times = np.unique(self.seg.gram, return_inverse=True, return_counts=True)
         self.where = _bucket(self.grams, buckets)
 
-    def places(self) -> tuple[np.ndarray, np.ndarray]:
-        """Of each segment the id and the place within the id: the row and the anchor."""
-        return self.ids[self.seg.row], self.seg.row << np.int64(40) | self.seg.anchor
-
-    def repeated(self, verdicts: dict[int, bytes]) -> np.ndarray:
-        """Which distinct anchors are repeated, here or elsewhere."""
-        out = self.times > 1
+    def candidates(self, verdicts: dict[int, bytes]) -> Runs:
+        """The segments of repeated anchors, those of hot ones cut into single windows with hashes of their own."""
+        repeated, hot = self.times > 1, np.zeros(len(self.grams), bool)
         for b in np.unique(self.where):
             at = np.flatnonzero(self.where == b)
-            out[at] |= np.unpackbits(np.frombuffer(verdicts[int(b)], np.uint8), count=len(at)).astype(bool)
-        return out
-
-    def contexts(self, repeated: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(first segment of each distinct context of a repeated anchor, ordered by bucket and hashes; its number for each segment or -1)."""
-        of = np.flatnonzero(repeated[self.of_gram])
-        order = of[np.lexsort((of, self.seg.context[of], self.seg.gram[of], self.where[self.of_gram[of]]))]
+            bits = np.unpackbits(np.frombuffer(verdicts[int(b)], np.uint8), count=2 * len(at)).astype(bool)
+            repeated[at] |= bits[: len(at)]
+            hot[at] = bits[len(at) :]
+        runs = Runs(*(x[repeated[self.of_gram]] for x in self.seg))
+        cut = hot[self.of_gram][repeated[self.of_gram]]
+        if not cut.any():
+            return runs
+        whole, split = Runs(*(x[~cut] for x in runs)), Runs(*(x[cut] for x in runs))
+        times = split.last - split.first + 1
+        of = np.repeat(np.arange(len(times)), times)
+        first = split.first[of] + np.arange(len(of)) - np.repeat(np.cumsum(times) - times, times)
+        gram, keys = np.empty(len(of), np.uint64), tv.salt(WIDTH, 53)
+        for k in range(0, len(of), 20_000):
+            start = self.at[split.row[of[k : k + 20_000]]] + first[k : k + 20_000]
+            gram[k : k + 20_000] = tv.mix((tv._BYTE_KEYS[self.raw[start[:, None] + np.arange(WIDTH)]] * keys).sum(1, dtype=np.uint64))
+        single = Runs(split.row[of], first, first, split.anchor[of], gram, tv.mix(gram ^ split.gram[of]))
+        both = Runs(*(np.concatenate(x) for x in zip(whole, single)))
+        order = np.lexsort((both.first, both.row))  # the order of places
+        return Runs(*(x[order] for x in both))
+
+    def places(self, runs: Runs) -> tuple[np.ndarray, np.ndarray]:
+        """Of each segment the id and the place within the id: the row and the first window's anchor or start."""
+        return self.ids[runs.row], runs.row << np.int64(40) | runs.first
+
+    def contexts(self, runs: Runs) -> tuple[np.ndarray, np.ndarray]:
+        """(first segment of each distinct context, by bucket and hashes; its bucket)."""
+        where = _bucket(runs.gram, self.buckets)
+        order = np.lexsort((np.arange(len(where)), runs.context, runs.gram, where))
         fresh = np.ones(len(order), bool)
-        fresh[1:] = (self.seg.gram[order[1:]] != self.seg.gram[order[:-1]]) | (self.seg.context[order[1:]] != self.seg.context[order[:-1]])
-        number = np.full(len(self.seg.row), -1)
-        number[order] = np.cumsum(fresh) - 1
-        return order[fresh], number
+        fresh[1:] = (runs.gram[order[1:]] != runs.gram[order[:-1]]) | (runs.context[order[1:]] != runs.context[order[:-1]])
+        return order[fresh], where[order[fresh]]
 
 
 _ANCHORS = "bucket long, block long, blob binary"
@@ -188,18 +220,23 @@ def _send_anchors(buckets: int):
 
 
 def _shared_anchors(table: pa.Table) -> pa.Table:
-    """For each block's anchors of a bucket whether another block has them too, a bit for each."""
+    """For each block's anchors of a bucket a bit for those of other blocks too, then a bit for those of very many."""
     own = [np.cumsum(_unpack(x, (np.uint64,))[0], dtype=np.uint64) for x in table.column("blob").to_pylist()]
-    every = np.sort(np.concatenate(own))
-    often = np.unique(every[1:][every[1:] == every[:-1]])
+    every, times = np.unique(np.concatenate(own), return_counts=True)
+    often, hot = every[times > 1], every[times > HOT_BLOCKS]
     out = []
     for block, grams in zip(table.column("block").to_pylist(), own):
-        at = np.minimum(np.searchsorted(often, grams), max(len(often) - 1, 0))
-        bits = often[at] == grams if len(often) else np.zeros(len(grams), bool)
+        bits = np.concatenate([_among(grams, often), _among(grams, hot)])
         out.append((block, table.column("bucket")[0].as_py(), 1, np.packbits(bits).tobytes()))
     return _rows(out, _FOUND_ROWS)
 
 
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def _verdicts(found: pa.Table, kind: int) -> dict[int, bytes]:
     rows = zip(*(found.column(c).to_pylist() for c in ("bucket", "kind", "blob")))
     return {b: blob for b, k, blob in rows if k == kind}
@@ -213,9 +250,9 @@ def _send_contexts(buckets: int):
         if not table.num_rows:
             return _rows([], _ANCHOR_ROWS)
         block = Block(table, buckets)
-        seg = block.seg
-        lead, _ = block.contexts(block.repeated(_verdicts(found, 1)))
-        where, (doc, place) = block.where[block.of_gram[lead]], block.places()
+        seg = block.candidates(_verdicts(found, 1))
+        lead, where = block.contexts(seg)
+        doc, place = block.places(seg)
         start = block.at[seg.row[lead]] + seg.first[lead]
         size = seg.last[lead] - seg.first[lead] + WIDTH
         out = []
@@ -319,9 +356,8 @@ def _compare_contexts(table: pa.Table) -> pa.Table:
 def _remove(buckets: int, with_kept: bool):
     def over(key: tuple, table: pa.Table, found: pa.Table) -> pa.Table:
         block = Block(table, buckets)
-        seg = block.seg
-        lead, number = block.contexts(block.repeated(_verdicts(found, 1)))
-        where = block.where[block.of_gram[lead]]
+        seg = block.candidates(_verdicts(found, 1))
+        lead, where = block.contexts(seg)
         verdict, masks = np.zeros(len(lead), np.uint8), np.zeros((len(lead), REACH), bool)
         answers = _verdicts(found, 2)
         wide = -(-REACH // 8)
@@ -331,11 +367,10 @@ def _remove(buckets: int, with_kept: bool):
             verdict[at] = np.frombuffer(data[: len(at)], np.uint8)
             masks[at[verdict[at] == 2]] = np.unpackbits(np.frombuffer(data[len(at) :], np.uint8).reshape(-1, wide), axis=1, count=REACH).astype(bool)
         base = block.at[seg.row]
-        known = number >= 0
-        first_here = np.zeros(len(number), bool)
+        first_here = np.zeros(len(seg.row), bool)
         first_here[lead] = verdict > 0
         change = np.zeros(len(block.raw) + 1, np.int32)
-        gone = known & ~first_here
+        gone = ~first_here
         np.add.at(change, base[gone] + seg.first[gone], 1)
         np.add.at(change, base[gone] + seg.last[gone] + WIDTH, -1)
         which, window = np.nonzero(masks)

@@ -151,6 +151,16 @@ def as_rows(df):
     return sorted((tuple(r) for r in df.collect()), key=str)
 
 
+def test_written_tables_can_be_cleared(spark):
+    from citeloom.llm import common
+
+    held = common.materialize(spark.range(3).toDF("x"), "test")
+    assert held.count() == 3 and common.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    path = held.inputFiles()[0].removeprefix("file://").removeprefix("file:")
+    common.clear(spark)
+    assert not os.path.exists(path)
+
+
 def test_suffix_array_is_sorted():
     rng = random.Random(0)
     for _ in range(1500):
@@ -173,7 +183,10 @@ def test_suffix_on_odd_rows_and_edges(spark, odd, none, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 4096)
     monkeypatch.setattr(suffix_dedup, "PASS", 2048)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert as_rows(suffix_dedup.remove_repeats(df)) == brute_repeats(rows)
+    want = brute_repeats(rows)
+    assert as_rows(suffix_dedup.remove_repeats(df)) == want
+    monkeypatch.setattr(suffix_dedup, "HOT_BLOCKS", 2)
+    assert as_rows(suffix_dedup.remove_repeats(df)) == want
     assert as_rows(suffix_dedup.remove_repeats(odd)) == brute_repeats([(r["doc_id"], r["text"]) for r in odd.collect()])
     assert suffix_dedup.remove_repeats(none).count() == 0
     out = suffix_dedup.without_repeats(odd)
