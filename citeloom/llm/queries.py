@@ -82,6 +82,24 @@ select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from r
 """
 
 
+OP6_SQL = r"""
+with recursive w as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws
+  from documents),
+s as (
+  select doc_id, case when len(ws) >= 5 then list_distinct([array_to_string(ws[i:i + 4], ' ') for i in range(1, len(ws) - 3)])
+                      when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end as sh
+  from w),
+e as (select doc_id, unnest(sh) as g from s),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as c from e a join e b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+l as (select a, b from p join s x on x.doc_id = a join s y on y.doc_id = b where 100 * c >= 85 * (len(x.sh) + len(y.sh) - c)),
+ends as (select a, b from l union select b, a from l),
+r as (select doc_id as d, doc_id as t from s union select r.d, ends.b from r join ends on r.t = ends.a),
+m as (select d, min(t) as component_id from r group by d)
+select doc_id, len(sh)::bigint as n_shingles, component_id, doc_id = component_id as kept from s join m on d = doc_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
@@ -98,4 +116,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_exact_dedup": OP10_SQL}
+    return {"op6_minhash_near_dedup": OP6_SQL, "op10_exact_dedup": OP10_SQL}
