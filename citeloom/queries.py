@@ -543,6 +543,52 @@ def arriving_citation_counts(spark, d):
     return arrivals.citation_counts(publications(spark, d))
 
 
+@query(f"with {TOPICS} select coalesce(arg_min(name, ord), 'Unlabelled') as noise_label from docs where topic_id = -1")
+def noise_label(spark, d):
+    return viz.noise_label(topic_docs(spark, d))
+
+
+@query(f"""with {TOPICS}, f as (select name as label, min(ord) as first from docs where topic_id <> -1 group by 1), c as (select label, ['#111111', '#222222', '#333333'][(row_number() over (order by first, label) - 1) % 3 + 1] as colour from f)
+select bibcode as "Bibcode", case when topic_id = -1 then '#999999' else coalesce(colour, '#999999') end as colour from docs left join c on name = label""")
+def marker_colours(spark, d):
+    return viz.marker_colours(topic_docs(spark, d), ["#111111", "#222222", "#333333"]).select("Bibcode", "colour")
+
+
+@query("""select o_orderkey::varchar as "Bibcode", 1::int as n_refs, case when o_orderkey % 2 = 0 then 'https://link/' || o_orderkey || '/ADS_PDF' end as "PDF_URL" from orders""")
+def search_pages(spark, d):
+    key = F.col("o_orderkey").cast("string")
+    doc = F.struct(key.alias("bibcode"), F.array(key).alias("reference"), F.array(F.lit("EPRINT_HTML"), F.when(F.col("o_orderkey") % 2 == 0, F.lit("ADS_PDF")).otherwise(F.lit("PUB_HTML"))).alias("esources"))
+    page = F.to_json(F.struct(F.struct(F.array(doc).alias("docs")).alias("response")))
+    rows = corpus.search_rows(table(spark, d, "orders").select(page.alias("value")))
+    return rows.select("Bibcode", F.size("References").alias("n_refs"), "PDF_URL")
+
+
+@query(f"with {MENTIONS} select row_number() over (order by paper, pos) - 1 as id, paper as source, ref as target, pos::int as ref_index, year from m")
+def evidence_ids(spark, d):
+    return networks.with_edge_ids(networks.direct_citations(publications(spark, d)), ["source", "ref_index"])
+
+
+@query("select doc_id, md5(case when lang = 'en' or doc_id % 19 = 0 and text = '' then text else upper(text) end) as text_md5 from (select doc_id, text, case when doc_id % 19 <> 0 then lang end as lang from documents)")
+def translated_texts(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text", F.when(F.col("doc_id") % 19 != 0, F.col("lang")).alias("text_lang"))
+    out = providers.translate(docs, "doc_id", "text", lambda texts, languages: [t.replace("ß", "ẞ").upper() for t in texts])
+    return out.select("doc_id", F.md5(F.col("text_en").cast("binary")).alias("text_md5"))
+
+
+@query()
+def chunked_and_joined(spark, d):
+    rows = table(spark, d, "documents").select("doc_id", ft.merged(ft.chunks(F.col("text"))).alias("t"))
+    return rows.select("doc_id", F.md5(F.col("t").cast("binary")).alias("joined_md5"))
+
+
+@query()
+def author_identities(spark, d):
+    pubs = publications(spark, d)
+    named = providers.block_authors(pubs.select("Bibcode", F.posexplode("Author").alias("pos", "name")))
+    out = providers.attach_identities(pubs, named)
+    return out.select("Bibcode", F.array_join("author_uids", ";").alias("uids"), F.array_join("author_display_names", ";").alias("names"))
+
+
 @query()
 def language_id(spark, d):
     docs = table(spark, d, "documents")

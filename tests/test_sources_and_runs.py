@@ -149,6 +149,25 @@ def test_run_and_variant(spark, tmp_path):
     assert stages.invalidate(lacking, cfg.with_overrides(c, {"tokenize.min_length": 4})) == "tokenize" and "pubs_tokens" not in lacking.tables and "pubs" in lacking.tables
 
 
+def test_session(spark, tmp_path):
+    from citeloom.plans.session import Session
+
+    pubs = spark.createDataFrame([(1, "p1", 2000, ["A"], "t", "a", ["r1"])], "ord long, Bibcode string, Year int, Author array<string>, Title string, Abstract string, References array<string>")
+    pubs.write.parquet(str(tmp_path / "pubs"))
+    pubs.select("ord", F.lit("r1").alias("Bibcode"), "Year", "Author", "Title").write.parquet(str(tmp_path / "refs"))
+    session = Session(spark, str(tmp_path / "runs"))
+    with pytest.raises(ValueError, match="export"):
+        session.run_stage("translate")
+    assert session.set_section("source", publications=str(tmp_path / "pubs"), references=str(tmp_path / "refs")) == "export"
+    session.run_stage("export")
+    session.run_stage("translate")
+    assert session.table("pubs_translated").first()["Title_en"] == "t"
+    assert session.set_section("translate", target="de") == "translate" and "pubs_translated" not in session.ctx.tables
+    with pytest.raises(ValueError):
+        session.set_section("nothing", x=1)
+    assert session.save_summary()["stages"] == ["export", "translate"]
+
+
 def test_streams(spark, small, tmp_path):
     pubs = spark.createDataFrame([(1, "p1", 2020, ["r1", "r2"]), (2, "p2", 2019, ["r1", None])], "ord int, Bibcode string, Year int, References array<string>")
     for k in (1, 2):
