@@ -1,10 +1,12 @@
 """MinHash near-dedup: an inverted join on signature coordinates.
 
-Every class of equal shingle sets has a signature of K minima.  Each (coordinate, minimum) is a token; a pair that agrees
-in at least T of K tokens must share one of the first K - T + 1 tokens of both in any common order.  Ordered by how many
-classes hold them, the tokens that only one class holds come first, so a class with fewer than T shared tokens has no
+Every class of equal shingle sets has a signature of K minima.  Each (coordinate, minimum) of the first P is a token; a
+pair that agrees in T of K coordinates agrees in T' = T - (K - P) tokens at least, and so it must share one of the first
+P - T' + 1 tokens of both in any common order.  Ordered by how many
+classes hold them, the tokens that only one class holds come first, so a class with fewer than T' shared tokens has no
 partner and is skipped at once, and a token of a frequent passage is posted only by classes that consist mostly of it.
-Collisions are then counted within a posting list on whole signatures, and candidates are confirmed on whole sets.
+Collisions are then counted within a posting list on whole signatures, a pair being left to the list of its first common
+coordinate, and candidates are confirmed on whole sets.
 
 A list does not emit all its pairs.  Two rounds compare a list only with one pivot, and join what is confirmed; then only
 pairs whose ends are not connected yet are compared, in blocks, so that no list has to fit one task.
@@ -24,8 +26,11 @@ from citeloom.llm.common import materialize
 from citeloom.llm.graph import components
 
 #: Coordinates of a signature, and the least number that a candidate pair agrees in.  At a similarity of 0.85 fewer than
-#: 17 of 32 agree with a probability of about 5e-6.
-COORDINATES, MATCHES = 32, 17
+#: 41 of 64 agree with a probability of 9e-6.
+COORDINATES, MATCHES = 64, 41
+#: Coordinates that are tokens, and how many of them a candidate pair agrees in at least.
+TOKENS = 40
+TOKEN_MATCHES = MATCHES - (COORDINATES - TOKENS)
 SHINGLE = 5
 #: Most members of one list in a block of the last round.
 BLOCK = 2048
@@ -61,9 +66,9 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         minima = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(len(ids), COORDINATES)
-        token = minima.astype(np.int64) << np.int64(6) | np.arange(COORDINATES, dtype=np.int64)
+        token = minima[:, :TOKENS].astype(np.int64) << np.int64(6) | np.arange(TOKENS, dtype=np.int64)
         for k in range(0, len(ids), 2000):
-            yield pa.RecordBatch.from_arrays([pa.array(token[k : k + 2000].ravel()), pa.array(np.repeat(ids[k : k + 2000], COORDINATES))], ["token", "rep"])
+            yield pa.RecordBatch.from_arrays([pa.array(token[k : k + 2000].ravel()), pa.array(np.repeat(ids[k : k + 2000], TOKENS))], ["token", "rep"])
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,8 +88,8 @@ def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(shared, pa.int64()), pa.array(total, pa.int64())], ["a", "b", "shared", "total"])
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(ids, sizes, labels, sides, signatures) of each list of a partition sorted by token, pair and id.
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(coordinate, ids, sizes, labels, sides, masks, signatures) of each list of a partition sorted by token, pair and id.
 
     A list that goes on in the next batch is held back; a block bounds its length.
     """
@@ -94,9 +99,9 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.nd
         keys = [table.column(c).to_numpy() for c in ("token", "pair")]
         edge = np.flatnonzero((keys[0][1:] != keys[0][:-1]) | (keys[1][1:] != keys[1][:-1])) + 1
         bounds = [0, *edge.tolist(), *([table.num_rows] if last else [])]
-        ids, size, label, side = (table.column(c).to_numpy() for c in ("rep", "n_shingles", "label", "side"))
+        columns = [table.column(c).to_numpy() for c in ("rep", "n_shingles", "label", "side", "mask")]
         signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, COORDINATES)
-        parts = [tuple(x[i:j] for x in (ids, size, label, side, signature)) for i, j in zip(bounds, bounds[1:])]
+        parts = [(int(keys[0][i]) & 63, *(x[i:j] for x in (*columns, signature))) for i, j in zip(bounds, bounds[1:])]
         return parts, table.slice(bounds[-1])
 
     for batch in batches:
@@ -112,7 +117,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.nd
 
 def _pairs(per_cent: int):
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, size, label, side, signature in _runs(batches):
+        for coordinate, ids, size, label, side, mask, signature in _runs(batches):
             found: list[tuple[np.ndarray, np.ndarray]] = []
             left = np.flatnonzero(side <= 0)
             for i in left:
@@ -121,7 +126,10 @@ def _pairs(per_cent: int):
                 least, most = np.minimum(size[others], size[i]), np.maximum(size[others], size[i])
                 others = others[100 * least >= per_cent * most]
                 if len(others):
-                    others = others[(signature[others] == signature[i]).sum(1) >= MATCHES]
+                    same = signature[others] == signature[i]
+                    both = (mask[others] & mask[i])[:, None] >> np.arange(coordinate, dtype=np.int64) & 1
+                    # a pair belongs to the list of the first coordinate under which both are posted and agree
+                    others = others[(same.sum(1) >= MATCHES) & ~(same[:, :coordinate] & (both == 1)).any(1)]
                     found.append((np.repeat(ids[i], len(others)), ids[others]))
             if found:
                 a, b = (np.concatenate(x) for x in zip(*found))
@@ -146,13 +154,14 @@ def near_links(rows: DataFrame, per_cent: int = 85) -> tuple[DataFrame, DataFram
     tokens = classes.select("rep", "signature").mapInArrow(_tokens, "token long, rep long")
     frequent = tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
     shared = tokens.join(frequent, "token").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("held"))
-    posted = shared.where(F.size("held") >= MATCHES).select("rep", F.explode(F.slice("held", F.lit(1), F.size("held") - (MATCHES - 1))).alias("t")).select("rep", F.col("t.token").alias("token"))
+    posted = shared.where(F.size("held") >= TOKEN_MATCHES).select("rep", F.explode(F.slice("held", F.lit(1), F.size("held") - (TOKEN_MATCHES - 1))).alias("t")).select("rep", F.col("t.token").alias("token"))
     lists = posted.groupBy("token").agg(F.count("*").alias("members"), F.min("rep").alias("pivot")).where("members > 1")
     posted = materialize(posted.join(lists, "token"), "near-posted")
-    involved = posted.select("rep").distinct()
+    # bit c: posted under coordinate c
+    involved = posted.groupBy("rep").agg(F.sum(F.expr("shiftleft(1L, cast(token & 63 as int))")).alias("mask"))
     facts = materialize(classes.select("rep", "n_shingles", "signature").join(involved, "rep"), "near-facts")
     # the whole sets of those classes that are on some list
-    texts = rows.join(involved.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
+    texts = rows.join(facts.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     sets = materialize(texts.mapInArrow(_full_sets, "rep long, members binary").dropDuplicates(["rep"]), "near-sets")
 
     labels = facts.select("rep", F.col("rep").alias("label"))
@@ -200,7 +209,7 @@ def _block_pairs(now: DataFrame, facts: DataFrame, per_cent: int) -> DataFrame:
     lo, hi = F.least("block", "other"), F.greatest("block", "other")
     side = F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), -1).otherwise(1)
     spread = spread.select("token", "rep", "label", (lo * F.col("blocks") + hi).alias("pair"), side.cast("int").alias("side"))
-    full = spread.join(facts, "rep").select("token", "pair", "rep", "n_shingles", "label", "side", "signature")
+    full = spread.join(facts, "rep").select("token", "pair", "rep", "n_shingles", "label", "side", "mask", "signature")
     return full.repartition("token", "pair").sortWithinPartitions("token", "pair", "rep").mapInArrow(_pairs(per_cent), "a long, b long")
 
 
@@ -223,6 +232,6 @@ def near_dedup(docs: DataFrame, per_cent: int = 85, id_column: str = "doc_id", t
 
 
 def keep_one_of_each(docs: DataFrame, per_cent: int = 85) -> DataFrame:
-    """The rows of docs that near_dedup keeps, with all their columns."""
+    """The rows of docs that near_dedup keeps, with all their columns; rows without id stay."""
     gone = near_dedup(docs, per_cent).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
