@@ -5,11 +5,12 @@ pair that agrees in T of K coordinates agrees in T' = T - (K - P) tokens at leas
 P - T' + 1 tokens of both in any common order.  Ordered by how many
 classes hold them, the tokens that only one class holds come first, so a class with fewer than T' shared tokens has no
 partner and is skipped at once, and a token of a frequent passage is posted only by classes that consist mostly of it.
-Collisions are then counted within a posting list on whole signatures, a pair being left to the list of its first common
-coordinate, and candidates are confirmed on whole sets.
+Collisions are then counted within a posting list on whole signatures.
 
-A list does not emit all its pairs.  Two rounds compare a list only with one pivot, and join what is confirmed; then only
-pairs whose ends are not connected yet are compared, in blocks, so that no list has to fit one task.
+No list emits its pairs.  A list sends only links that join its candidates; the components of these links hold every
+candidate pair, and each class goes with its whole set to the one component that it is in.  There all candidate pairs are
+confirmed exactly, and again only links that join are sent.  Lists and components too large for one task are cut into
+blocks, and each pair of blocks is compared by a task of its own.
 """
 
 from __future__ import annotations
@@ -32,8 +33,8 @@ COORDINATES, MATCHES = 64, 41
 TOKENS = 40
 TOKEN_MATCHES = MATCHES - (COORDINATES - TOKENS)
 SHINGLE = 5
-#: Most members of one list in a block of the last round.
-BLOCK = 2048
+#: About the most members, and shingles, of a block.
+BLOCK, BLOCK_SHINGLES = 2048, 1 << 21
 
 _PROFILE = "doc_id long, n_shingles long, s1 long, s2 long, signature binary"
 
@@ -77,140 +78,145 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([ids, pa.array([hashed[at[i] : at[i + 1]].tobytes() for i in range(n)], pa.binary())], ["rep", "members"])
 
 
-def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        shared, total = [], []
-        for left, right in zip(batch.column(2), batch.column(3)):
-            both = np.concatenate((np.frombuffer(left.as_buffer(), np.uint64), np.frombuffer(right.as_buffer(), np.uint64)))
-            both.sort()
-            total.append(len(both))
-            shared.append(int((both[1:] == both[:-1]).sum()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(shared, pa.int64()), pa.array(total, pa.int64())], ["a", "b", "shared", "total"])
+class Forest:
+    """Union-find over the members of a group."""
 
+    def __init__(self, n: int):
+        self.up = list(range(n))
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """(coordinate, ids, sizes, labels, sides, masks, signatures) of each list of a partition sorted by token, pair and id.
+    def root(self, i: int) -> int:
+        while self.up[i] != i:
+            self.up[i] = self.up[self.up[i]]
+            i = self.up[i]
+        return i
 
-    A list that goes on in the next batch is held back; a block bounds its length.
-    """
-    held: pa.Table | None = None
+    def join(self, i: int, j: int) -> bool:
+        """Whether the two were apart."""
+        a, b = self.root(i), self.root(j)
+        self.up[max(a, b)] = min(a, b)
+        return a != b
 
-    def cut(table: pa.Table, last: bool):
-        keys = [table.column(c).to_numpy() for c in ("token", "pair")]
-        edge = np.flatnonzero((keys[0][1:] != keys[0][:-1]) | (keys[1][1:] != keys[1][:-1])) + 1
-        bounds = [0, *edge.tolist(), *([table.num_rows] if last else [])]
-        columns = [table.column(c).to_numpy() for c in ("rep", "n_shingles", "label", "side", "mask")]
-        signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, COORDINATES)
-        parts = [(int(keys[0][i]) & 63, *(x[i:j] for x in (*columns, signature))) for i, j in zip(bounds, bounds[1:])]
-        return parts, table.slice(bounds[-1])
 
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each key and pair of a partition sorted by them; what goes on in the next batch is held back."""
+    held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
             continue
-        table = pa.Table.from_batches([batch])
-        held = pa.concat_tables([held, table]) if held is not None and held.num_rows else table
-        parts, held = cut(held, False)
-        yield from parts
-    if held is not None and held.num_rows:
-        yield from cut(held, True)[0]
+        a, b = batch.column("key").to_numpy(), batch.column("pair").to_numpy()
+        edge = (np.flatnonzero((a[1:] != a[:-1]) | (b[1:] != b[:-1])) + 1).tolist()
+        if held and (held[-1].column("key")[0] != batch.column("key")[0] or held[-1].column("pair")[0] != batch.column("pair")[0]):
+            yield pa.Table.from_batches(held)
+            held = []
+        for i, j in zip([0, *edge], edge):
+            yield pa.Table.from_batches([*held, batch.slice(i, j - i)])
+            held = []
+        held.append(batch.slice(edge[-1] if edge else 0))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _candidates(table: pa.Table, per_cent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, others): pairs of a group whose signatures agree enough and whose sizes allow the similarity, each once.
+
+    side 0 are members of a block that is compared with itself; -1 and 1 are those of two blocks that are compared.
+    """
+    size, side = table.column("n_shingles").to_numpy(), table.column("side").to_numpy()
+    signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, COORDINATES)
+    right = np.flatnonzero(side == 1)
+    for i in np.flatnonzero(side <= 0).tolist():
+        others = np.arange(i + 1, len(size)) if side[i] == 0 else right
+        least, most = np.minimum(size[others], size[i]), np.maximum(size[others], size[i])
+        others = others[100 * least >= per_cent * most]
+        if len(others):
+            others = others[(signature[others] == signature[i]).sum(1) >= MATCHES]
+            if len(others):
+                yield i, others
+
+
+def _links(rep: np.ndarray, found: list[tuple[int, int]]) -> pa.RecordBatch:
+    i, j = (np.array(x, np.int64) for x in zip(*found))
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(rep[i], rep[j])), pa.array(np.maximum(rep[i], rep[j]))], ["a", "b"])
+
+
+def _join_candidates(per_cent: int):
+    """Links that join the candidates of each list."""
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches):
+            forest, found = Forest(table.num_rows), []
+            for i, others in _candidates(table, per_cent):
+                found += [(i, j) for j in others.tolist() if forest.join(i, j)]
+            if found:
+                yield _links(table.column("rep").to_numpy(), found)
+
+    return over
 
 
-def _pairs(per_cent: int):
+def _confirm(per_cent: int):
+    """Links that join the classes of each group whose whole sets reach the similarity."""
+
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for coordinate, ids, size, label, side, mask, signature in _runs(batches):
-            found: list[tuple[np.ndarray, np.ndarray]] = []
-            left = np.flatnonzero(side <= 0)
-            for i in left:
-                others = np.arange(i + 1, len(ids)) if side[i] == 0 else np.flatnonzero(side == 1)
-                others = others[label[others] != label[i]]
-                least, most = np.minimum(size[others], size[i]), np.maximum(size[others], size[i])
-                others = others[100 * least >= per_cent * most]
-                if len(others):
-                    same = signature[others] == signature[i]
-                    both = (mask[others] & mask[i])[:, None] >> np.arange(coordinate, dtype=np.int64) & 1
-                    # a pair belongs to the list of the first coordinate under which both are posted and agree
-                    others = others[(same.sum(1) >= MATCHES) & ~(same[:, :coordinate] & (both == 1)).any(1)]
-                    found.append((np.repeat(ids[i], len(others)), ids[others]))
+        for table in _groups(batches):
+            forest, found = Forest(table.num_rows), []
+            size = table.column("n_shingles").to_numpy()
+            shingle = np.unique(np.frombuffer(b"".join(table.column("members").to_pylist()), np.uint64), return_inverse=True)[1]
+            at = np.concatenate(([0], np.cumsum(size)))
+            own = np.zeros(len(shingle) + 1, bool)
+            for i, others in _candidates(table, per_cent):
+                mine = shingle[at[i] : at[i + 1]]
+                own[mine] = True
+                for k in range(0, len(others), 256):
+                    part = others[k : k + 256]
+                    ends = np.cumsum(size[part])
+                    index = np.arange(ends[-1]) + np.repeat(at[part] - (ends - size[part]), size[part])
+                    shared = np.add.reduceat(own[shingle[index]].astype(np.int64), ends - size[part])
+                    linked = part[100 * shared >= per_cent * (size[i] + size[part] - shared)]
+                    found += [(i, j) for j in linked.tolist() if forest.join(i, j)]
+                own[mine] = False
             if found:
-                a, b = (np.concatenate(x) for x in zip(*found))
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+                yield _links(table.column("rep").to_numpy(), found)
 
     return over
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
-    """The pairs whose whole sets reach the similarity."""
-    left, right = sets.select(F.col("rep").alias("a"), F.col("members").alias("x")), sets.select(F.col("rep").alias("b"), F.col("members").alias("y"))
-    counted = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_common, "a long, b long, shared long, total long")
-    return counted.where(F.col("shared") * 100 >= (F.col("total") - F.col("shared")) * per_cent).select("a", "b")
+def _blocked(members: DataFrame) -> DataFrame:
+    """(rep, key, pair, side) of (rep, key, blocks): members meet once, in the pair of their blocks."""
+    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("long")
+    spread = members.select("rep", "key", "blocks", block.alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    lo, hi = F.least("block", "other"), F.greatest("block", "other")
+    side = F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), -1).otherwise(1)
+    return spread.select("rep", "key", (lo * F.col("blocks") + hi).alias("pair"), side.cast("int").alias("side"))
+
+
+def _by_group(rows: DataFrame) -> DataFrame:
+    return rows.repartition("key", "pair").sortWithinPartitions("key", "pair", "rep")
 
 
 def near_links(rows: DataFrame, per_cent: int = 85) -> tuple[DataFrame, DataFrame]:
     """(profiles, links): a row for each document with its class, and confirmed links that join each component of classes."""
     profiles = materialize(rows.mapInArrow(_profiles, _PROFILE), "near-profiles")
     classes = profiles.where("n_shingles > 0").groupBy("n_shingles", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")).where("rep is not null")
-    classes = materialize(classes, "near-classes")
+    facts = materialize(classes.select("rep", "n_shingles", "signature"), "near-classes")
 
-    tokens = classes.select("rep", "signature").mapInArrow(_tokens, "token long, rep long")
+    tokens = facts.select("rep", "signature").mapInArrow(_tokens, "token long, rep long")
     frequent = tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
     shared = tokens.join(frequent, "token").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("held"))
-    posted = shared.where(F.size("held") >= TOKEN_MATCHES).select("rep", F.explode(F.slice("held", F.lit(1), F.size("held") - (TOKEN_MATCHES - 1))).alias("t")).select("rep", F.col("t.token").alias("token"))
-    lists = posted.groupBy("token").agg(F.count("*").alias("members"), F.min("rep").alias("pivot")).where("members > 1")
-    posted = materialize(posted.join(lists, "token"), "near-posted")
-    # bit c: posted under coordinate c
-    involved = posted.groupBy("rep").agg(F.sum(F.expr("shiftleft(1L, cast(token & 63 as int))")).alias("mask"))
-    facts = materialize(classes.select("rep", "n_shingles", "signature").join(involved, "rep"), "near-facts")
-    # the whole sets of those classes that are on some list
-    texts = rows.join(facts.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    sets = materialize(texts.mapInArrow(_full_sets, "rep long, members binary").dropDuplicates(["rep"]), "near-sets")
-
-    labels = facts.select("rep", F.col("rep").alias("label"))
-    links: DataFrame | None = None
-    for last in (False, False, True):
-        now = posted.join(labels, "rep")
-        if links is not None:
-            mixed = now.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi")
-            # the next pivot is the smallest member outside the component of the list's smallest label
-            second = now.join(mixed.select("token", "lo"), "token").where("label != lo").groupBy("token").agg(F.min("rep").alias("pivot"))
-            now = now.drop("pivot").join(second, "token")
-        if last:
-            pairs = _block_pairs(now, facts, per_cent)
-        else:
-            star = now.where("rep != pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b"), "label").distinct()
-            pivot = labels.select(F.col("rep").alias("a"), F.col("label").alias("label_a"))
-            star = star.join(pivot, "a").where("label != label_a").select("a", "b")
-            left = facts.select(F.col("rep").alias("a"), F.col("n_shingles").alias("na"), F.col("signature").alias("sa"))
-            right = facts.select(F.col("rep").alias("b"), F.col("n_shingles").alias("nb"), F.col("signature").alias("sb"))
-            star = star.join(left, "a").join(right, "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * per_cent)
-            pairs = star.select("a", "b", "sa", "sb").mapInArrow(_agree, "a long, b long")
-        found = materialize(_confirm(pairs.distinct(), sets, per_cent), "near-links")
-        links = found if links is None else links.union(found)
-        if not last:
-            joined = components(links)
-            labels = materialize(facts.select("rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("label")), "near-labels")
-    return profiles, links
-
-
-def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        left, right = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint32).reshape(-1, COORDINATES) for k in (2, 3))
-        keep = pa.array((left == right).sum(1) >= MATCHES)
-        yield pa.RecordBatch.from_arrays([batch.column(k).filter(keep) for k in (0, 1)], ["a", "b"])
-
-
-def _block_pairs(now: DataFrame, facts: DataFrame, per_cent: int) -> DataFrame:
-    """Pairs of one list with different labels that agree in enough coordinates; long lists are compared block by block."""
-    block = F.pmod(F.xxhash64("rep"), F.ceil(F.col("members") / BLOCK)).cast("long")
-    now = now.select("token", "rep", "label", F.ceil(F.col("members") / BLOCK).cast("long").alias("blocks"), block.alias("block"))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    spread = now.select("token", "rep", "label", "blocks", "block", other.alias("other"))
-    lo, hi = F.least("block", "other"), F.greatest("block", "other")
-    side = F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), -1).otherwise(1)
-    spread = spread.select("token", "rep", "label", (lo * F.col("blocks") + hi).alias("pair"), side.cast("int").alias("side"))
-    full = spread.join(facts, "rep").select("token", "pair", "rep", "n_shingles", "label", "side", "mask", "signature")
-    return full.repartition("token", "pair").sortWithinPartitions("token", "pair", "rep").mapInArrow(_pairs(per_cent), "a long, b long")
+    posted = shared.where(F.size("held") >= TOKEN_MATCHES).select("rep", F.explode(F.slice("held", F.lit(1), F.size("held") - (TOKEN_MATCHES - 1))).alias("t"))
+    posted = materialize(posted.select("rep", F.col("t.token").alias("key")), "near-posted")
+    lists = posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks"))
+    listed = _by_group(_blocked(posted.join(lists, "key")).join(facts, "rep"))
+    joined = components(listed.mapInArrow(_join_candidates(per_cent), "a long, b long"))
+
+    groups = materialize(facts.join(joined.select(F.col("node").alias("rep"), F.col("component").alias("key")), "rep"), "near-groups")
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("long")
+    sizes = groups.groupBy("key").agg(blocks.alias("blocks"))
+    texts = rows.join(groups.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    sets = texts.mapInArrow(_full_sets, "rep long, members binary")
+    # rows repeated under one id may have several sets; the class's own has its size
+    full = materialize(groups.join(sets, "rep").where(F.octet_length("members") == F.col("n_shingles") * 8).dropDuplicates(["rep"]), "near-sets")
+    spread = _blocked(groups.select("rep", "key").dropDuplicates(["rep"]).join(sizes, "key")).join(full.drop("key"), "rep")
+    return profiles, materialize(_by_group(spread).mapInArrow(_confirm(per_cent), "a long, b long"), "near-links")
 
 
 def near_dedup(docs: DataFrame, per_cent: int = 85, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
