@@ -41,7 +41,7 @@ def simple_spacing(text: str) -> bool:
 class BytePairEncoder:
     """Exact encoding of single pattern matches under byte-pair merges in rank order."""
 
-    PAIRS = 1 << 20
+    PAIRS = 1 << 19
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
@@ -50,7 +50,7 @@ class BytePairEncoder:
         self.made: dict[int, tuple[int, int]] = {}
         self.merged: dict[tuple[int, int], int] = {}
         self.shorter: dict[int, int | None] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.automaton = ahocorasick.Automaton()
         for rank in sorted(self.tokens):
             token = self.tokens[rank]
@@ -107,7 +107,7 @@ class BytePairEncoder:
                 left = part[1]
 
     def compatible(self, left: int, right: int) -> bool:
-        key = (left, right)
+        key = left << 32 | right
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= self.PAIRS:
@@ -133,7 +133,7 @@ class BytePairEncoder:
             last = out[-1] if out else None
             while token is not None:
                 end = at + length[token]
-                if alive[end] and (last is None or (ok := pairs.get((last, token))) or ok is None and self.compatible(last, token)):
+                if alive[end] and (last is None or (ok := pairs.get(last << 32 | token)) or ok is None and self.compatible(last, token)):
                     break
                 token = shorter[token]
             if token is None:
