@@ -175,4 +175,4 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 def keep_first_copies(docs: DataFrame) -> DataFrame:
     """The rows of docs that exact_dedup keeps, with all their columns; rows without id stay."""
     gone = exact_dedup(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"] == gone["_gone"], "left_anti")

@@ -211,7 +211,8 @@ def near_links(rows: DataFrame, per_cent: int = 85) -> tuple[DataFrame, DataFram
     groups = materialize(facts.join(joined.select(F.col("node").alias("rep"), F.col("component").alias("key")), "rep"), "near-groups")
     blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("long")
     sizes = groups.groupBy("key").agg(blocks.alias("blocks"))
-    texts = rows.join(groups.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    # texts are dealt by id at every size; the ids are the side that is hashed, so texts need no sort
+    texts = rows.join(groups.select(F.col("rep").alias("doc_id")).hint("shuffle_hash"), "doc_id", "left_semi")
     sets = texts.mapInArrow(_full_sets, "rep long, members binary")
     # rows repeated under one id may have several sets; the class's own has its size
     full = materialize(groups.join(sets, "rep").where(F.octet_length("members") == F.col("n_shingles") * 8).dropDuplicates(["rep"]), "near-sets")
@@ -240,4 +241,4 @@ def near_dedup(docs: DataFrame, per_cent: int = 85, id_column: str = "doc_id", t
 def keep_one_of_each(docs: DataFrame, per_cent: int = 85) -> DataFrame:
     """The rows of docs that near_dedup keeps, with all their columns; rows without id stay."""
     gone = near_dedup(docs, per_cent).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"] == gone["_gone"], "left_anti")
