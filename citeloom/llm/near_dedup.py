@@ -16,6 +16,7 @@ blocks, and each pair of blocks is compared by a task of its own.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -26,16 +27,32 @@ from citeloom.llm import textvec as tv
 from citeloom.llm.common import materialize
 from citeloom.llm.graph import components
 
-#: Coordinates of a signature, and the least number that a candidate pair agrees in.  At a similarity of 0.85 fewer than
-#: 41 of 64 agree with a probability of 9e-6.
-COORDINATES, MATCHES = 64, 41
-#: Coordinates that are tokens, and how many of them a candidate pair agrees in at least.
-TOKENS = 40
-TOKEN_MATCHES = MATCHES - (COORDINATES - TOKENS)
+#: Coordinates of a signature, and the most that a pair at the threshold may be missed as a candidate with.
+COORDINATES, MISS = 64, 1e-5
+#: The fewest coordinates that are tokens, and the fewest tokens that a candidate pair should agree in.
+TOKENS, TOKEN_MATCHES = 40, 8
 SHINGLE = 5
 #: About the most members, and shingles, of a block.
 BLOCK, BLOCK_SHINGLES = 2048, 1 << 21
 
+
+def matches(per_cent: int) -> tuple[int, int]:
+    """(T, P) for a threshold: coordinates that a candidate pair agrees in at least, and coordinates that are tokens.
+
+    T is the largest number that a pair exactly at the threshold falls short of with a probability of at most MISS; at
+    0.85 it is 41 of 64, with 9e-6.  P leaves some tokens that such a pair must share.  A threshold for which no
+    coordinate is sure enough to agree, below 17, is refused.
+    """
+    if not 0 < per_cent <= 100:
+        raise ValueError(f"per_cent must be in 1 to 100, not {per_cent}")
+    share, short, least = per_cent / 100, 0.0, 0
+    while least < COORDINATES and (short := short + comb(COORDINATES, least) * share**least * (1 - share) ** (COORDINATES - least)) <= MISS:
+        least += 1
+    if not least:
+        raise ValueError(f"{COORDINATES} coordinates can't find pairs at a similarity of {per_cent} per cent")
+    return least, min(COORDINATES, max(TOKENS, COORDINATES - least + TOKEN_MATCHES))
+
+
 _PROFILE = "doc_id long, n_shingles long, s1 long, s2 long, signature binary"
 
 
@@ -63,13 +80,16 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([ids, pa.array(count.astype(np.int64)), pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)), signature], ["doc_id", "n_shingles", "s1", "s2", "signature"])
 
 
-def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
-        minima = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(len(ids), COORDINATES)
-        token = minima[:, :TOKENS].astype(np.int64) << np.int64(6) | np.arange(TOKENS, dtype=np.int64)
-        for k in range(0, len(ids), 2000):
-            yield pa.RecordBatch.from_arrays([pa.array(token[k : k + 2000].ravel()), pa.array(np.repeat(ids[k : k + 2000], TOKENS))], ["token", "rep"])
+def _tokens(count: int):
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            minima = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(len(ids), COORDINATES)
+            token = minima[:, :count].astype(np.int64) << np.int64(6) | np.arange(count, dtype=np.int64)
+            for k in range(0, len(ids), 2000):
+                yield pa.RecordBatch.from_arrays([pa.array(token[k : k + 2000].ravel()), pa.array(np.repeat(ids[k : k + 2000], count))], ["token", "rep"])
+
+    return over
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,7 +136,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _candidates(table: pa.Table, per_cent: int) -> Iterator[tuple[int, np.ndarray]]:
+def _candidates(table: pa.Table, per_cent: int, least_matches: int) -> Iterator[tuple[int, np.ndarray]]:
     """(i, others): pairs of a group whose signatures agree enough and whose sizes allow the similarity, each once.
 
     side 0 are members of a block that is compared with itself; -1 and 1 are those of two blocks that are compared.
@@ -129,7 +149,7 @@ def _candidates(table: pa.Table, per_cent: int) -> Iterator[tuple[int, np.ndarra
         least, most = np.minimum(size[others], size[i]), np.maximum(size[others], size[i])
         others = others[100 * least >= per_cent * most]
         if len(others):
-            others = others[(signature[others] == signature[i]).sum(1) >= MATCHES]
+            others = others[(signature[others] == signature[i]).sum(1) >= least_matches]
             if len(others):
                 yield i, others
 
@@ -141,11 +161,12 @@ def _links(rep: np.ndarray, found: list[tuple[int, int]]) -> pa.RecordBatch:
 
 def _join_candidates(per_cent: int):
     """Links that join the candidates of each list."""
+    least_matches, _ = matches(per_cent)
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches):
             forest, found = Forest(table.num_rows), []
-            for i, others in _candidates(table, per_cent):
+            for i, others in _candidates(table, per_cent, least_matches):
                 found += [(i, j) for j in others.tolist() if forest.join(i, j)]
             if found:
                 yield _links(table.column("rep").to_numpy(), found)
@@ -155,6 +176,7 @@ def _join_candidates(per_cent: int):
 
 def _confirm(per_cent: int):
     """Links that join the classes of each group whose whole sets reach the similarity."""
+    least_matches, _ = matches(per_cent)
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches):
@@ -163,7 +185,7 @@ def _confirm(per_cent: int):
             shingle = np.unique(np.frombuffer(b"".join(table.column("members").to_pylist()), np.uint64), return_inverse=True)[1]
             at = np.concatenate(([0], np.cumsum(size)))
             own = np.zeros(len(shingle) + 1, bool)
-            for i, others in _candidates(table, per_cent):
+            for i, others in _candidates(table, per_cent, least_matches):
                 mine = shingle[at[i] : at[i + 1]]
                 own[mine] = True
                 for k in range(0, len(others), 256):
@@ -195,14 +217,16 @@ def _by_group(rows: DataFrame) -> DataFrame:
 
 def near_links(rows: DataFrame, per_cent: int = 85) -> tuple[DataFrame, DataFrame]:
     """(profiles, links): a row for each document with its class, and confirmed links that join each component of classes."""
+    least_matches, count = matches(per_cent)
+    shared_least = least_matches - (COORDINATES - count)
     profiles = materialize(rows.mapInArrow(_profiles, _PROFILE), "near-profiles")
     classes = profiles.where("n_shingles > 0").groupBy("n_shingles", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")).where("rep is not null")
     facts = materialize(classes.select("rep", "n_shingles", "signature"), "near-classes")
 
-    tokens = facts.select("rep", "signature").mapInArrow(_tokens, "token long, rep long")
+    tokens = facts.select("rep", "signature").mapInArrow(_tokens(count), "token long, rep long")
     frequent = tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
     shared = tokens.join(frequent, "token").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("held"))
-    posted = shared.where(F.size("held") >= TOKEN_MATCHES).select("rep", F.explode(F.slice("held", F.lit(1), F.size("held") - (TOKEN_MATCHES - 1))).alias("t"))
+    posted = shared.where(F.size("held") >= shared_least).select("rep", F.explode(F.slice("held", F.lit(1), F.size("held") - (shared_least - 1))).alias("t"))
     posted = materialize(posted.select("rep", F.col("t.token").alias("key")), "near-posted")
     lists = posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks"))
     listed = _by_group(_blocked(posted.join(lists, "key")).join(facts, "rep"))
@@ -227,6 +251,9 @@ def near_dedup(docs: DataFrame, per_cent: int = 85, id_column: str = "doc_id", t
     component is named by its smallest id, the one document that is kept.  A text of fewer words has its whole sequence
     as its only shingle; a null, empty or white-space text has none and is its own component.  A row without id takes
     the component of its equals, if any, and is not kept then.  Rows repeated under one id have one component.
+
+    A pair exactly at the threshold is missed with a probability of at most 1e-5; thresholds below 17, at which
+    signatures can't promise that, raise an error.
     """
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     profiles, links = near_links(rows, per_cent)

@@ -1,6 +1,7 @@
 """Exact, near and suffix dedup, fingerprints, chat windows and the pipeline against brute force."""
 
 import hashlib
+import math
 import os
 import random
 import re
@@ -116,6 +117,31 @@ def test_near_finds_planted_chains_and_long_lists(spark, monkeypatch):
     assert got == brute_components(rows)
 
 
+def test_near_thresholds_set_the_matches():
+    assert near_dedup.matches(85) == (41, 40)  # the form that the registered query was measured with
+    for per_cent in range(17, 101):
+        least, tokens = near_dedup.matches(per_cent)
+        share = per_cent / 100
+        missed = sum(math.comb(64, k) * share**k * (1 - share) ** (64 - k) for k in range(least))
+        assert missed <= 1e-5 and 1 <= least - (64 - tokens) and tokens <= 64
+    for per_cent in (0, 16, 101):
+        with pytest.raises(ValueError):
+            near_dedup.matches(per_cent)
+
+
+def test_near_against_brute_force_at_lower_thresholds(spark):
+    rng = random.Random(60)
+    rows = []
+    for k in range(150):  # pairs of sets with a similarity at the threshold, or just above it
+        base = [f"w{rng.randint(0, 10**9)}" for _ in range(604)]
+        rows += [(2 * k + side, " ".join(base + [f"v{rng.randint(0, 10**9)}" for _ in range(200)])) for side in (0, 1)]
+    docs = documents(spark)
+    for per_cent, df in ((60, spark.createDataFrame(rows, "doc_id long, text string")), (80, docs)):
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in near_dedup.near_dedup(df, per_cent).collect()}
+        assert got == brute_components([(r["doc_id"], r["text"]) for r in df.collect()], per_cent)
+    assert sum(kept for _, _, kept in brute_components(rows, 60).values()) == 150
+
+
 def test_near_on_odd_rows(spark, odd, none):
     rows = {(r["doc_id"], r["n_shingles"]): r for r in near_dedup.near_dedup(odd).collect()}
     assert all(rows[k, 0]["component_id"] == k and rows[k, 0]["kept"] for k in (0, 1, 2))
