@@ -9,6 +9,8 @@ each length which ranks go to which sequences; pieces learn their ranks from cou
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -31,26 +33,48 @@ CHUNK_ROWS = 20_000
 LONG_TEXT, LONG_WORD = 20_000, 5_000
 
 
-def token_ids(vocabulary: str, pattern: str):
-    """A function from a text to its ids, by tiktoken; texts with very long words go through the linear encoder."""
+def added_tokens(path: str) -> dict[str, int]:
+    """The added tokens of a tokenizers file, which the library cuts out of a text before anything else, and their ids."""
+    with open(path, encoding="utf-8") as held:
+        added = json.load(held)["added_tokens"]
+    if odd := [t["content"] for t in added if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]]:
+        raise ValueError(f"added tokens that are not found as they stand: {odd}")
+    return {t["content"]: t["id"] for t in added}
+
+
+def token_ids(vocabulary: str, pattern: str, added: dict[str, int] | None = None):
+    """A function from a text to its ids, by tiktoken; texts with very long words go through the linear encoder.
+
+    Added tokens in a text have their own ids, and what is between them is encoded by itself.
+    """
     import tiktoken
 
     ranks = read_ranks(vocabulary)
     plain = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
-    def ids(text: str) -> np.ndarray:
+    def plain_ids(text: str) -> np.ndarray:
         if len(text) > LONG_TEXT and max(map(len, compile_pattern(pattern).findall(text)), default=0) > LONG_WORD:
             return np.frombuffer(encoder(vocabulary, pattern)[1].encode(text), "<u4")
         return np.array(plain.encode_ordinary(text), "<u4")
 
+    if not added:
+        return plain_ids
+    cut = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
+
+    def ids(text: str) -> np.ndarray:
+        parts = cut.split(text)
+        if len(parts) == 1:
+            return plain_ids(text)
+        return np.concatenate([np.array([added[part]], "<u4") if k % 2 else plain_ids(part) for k, part in enumerate(parts)])
+
     return ids
 
 
-def pieces(docs: DataFrame, vocabulary: str, pattern: str, capacity: int, end_id: int) -> DataFrame:
+def pieces(docs: DataFrame, vocabulary: str, pattern: str, capacity: int, end_id: int, added: dict[str, int] | None = None) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: the ids of each text and the end id, cut so that only the first piece is short."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = token_ids(vocabulary, pattern)
+        encode = token_ids(vocabulary, pattern, added)
         for batch in batches:
             rows: list[tuple] = []
             ids_of = batch.column(0)
@@ -205,14 +229,15 @@ def _ranked(rows: DataFrame) -> DataFrame:
     return ranked.join(sizes, ["length", "chunk"]).withColumn("rank", F.col("base") + F.col("place")).drop("chunk", "base", "place")
 
 
-def pack(docs: DataFrame, vocabulary: str, pattern: str, capacity: int = 1024, end_id: int = 2) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, pattern: str, capacity: int = 1024, end_id: int = 2, added: dict[str, int] | None = None) -> DataFrame:
     """One row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
+    Where a text holds one of the added tokens, it has that token's id; without any, all text is encoded as it stands.
     A null or empty text is one piece that holds the end id only.  Rows repeated under one id are packed each; a null id
     stays null.  Pieces of equal length are interchangeable, so ties need no rule.  An empty table gives no rows, and
     further columns are not read.
     """
-    rows = materialize(pieces(docs, vocabulary, pattern, capacity, end_id), "pieces")
+    rows = materialize(pieces(docs, vocabulary, pattern, capacity, end_id, added), "pieces")
     counts = np.zeros(capacity + 1, np.int64)
     for length, n in rows.groupBy("length").count().collect():  # one row for each length up to the capacity
         counts[length] = n

@@ -20,9 +20,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the rank file has the vocabulary of byte_bpe_50k.json, and gives the same ids
-    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return packing.pack(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, capacity=1024, end_id=2)
+    # the rank file has the vocabulary of byte_bpe_50k.json without its added tokens; with them it gives the same ids
+    ranks, added = public_tokenizers.path("byte_bpe_50k.tiktoken"), packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, capacity=1024, end_id=2, added=added)
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

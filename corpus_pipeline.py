@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from citeloom.llm.common import materialize
 from citeloom.llm.exact_dedup import keep_first_copies
 from citeloom.llm.near_dedup import keep_one_of_each
-from citeloom.llm.packing import pack
+from citeloom.llm.packing import added_tokens, pack
 from citeloom.llm.quality import keep_good
 from citeloom.llm.suffix_dedup import without_repeats
 
@@ -41,8 +41,8 @@ def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts are packed into sequences of 1024 tokens; one row for each piece."""
-    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return pack(docs, ranks, public_tokenizers.PATTERN, capacity=1024, end_id=2)
+    ranks, added = public_tokenizers.path("byte_bpe_50k.tiktoken"), added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    return pack(docs, ranks, public_tokenizers.PATTERN, capacity=1024, end_id=2, added=added)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

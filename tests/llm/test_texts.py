@@ -94,6 +94,20 @@ def test_packing_against_the_library(spark, small, odd, none):
     assert packing.pack(none, PLAIN, PATTERN).count() == 0
 
 
+def test_packing_has_the_added_tokens_of_the_library(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    from citeloom.llm import queries
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"hello {end} world", end, f"{end}{end}\n{end}", f"a{end}b <|endoftext| >", "no token, <|endoftext|", f"{'x' * 30_000}{end} y", f"{'word ' * 1500}{end}{' word' * 1500}", ""]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = {i: [[*t.encode(x, add_special_tokens=False).ids, 2]] for i, x in enumerate(texts)}
+    assert want[0] == [[31373, 220, 50256, 995, 2]]
+    check_packing(queries.queries()["op1_best_fit_packing"](spark, str(tmp_path)).collect(), want, 1024)
+
+
 def test_plans_use_each_piece_once_and_are_tight():
     rng = np.random.default_rng(1)
     for n, capacity in ((0, 32), (1, 32), (500, 64), (20_000, 128)):
