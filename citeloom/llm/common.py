@@ -47,6 +47,17 @@ def held_out(column: str = "doc_id"):
     return F.coalesce(crc32_of_id(column) % 4 == 2, F.lit(False))
 
 
+def own_text(docs: DataFrame):
+    """A 64-bit hash of a row's text as it stands; with the id it names the row."""
+    return F.xxhash64(docs["text"].cast("string"))
+
+
+def without(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """docs without the rows that rows(doc_id, own) names by id and own_text; rows without id stay."""
+    gone = rows.select(F.col("doc_id").alias("_gone"), F.col("own").alias("_own")).distinct()
+    return docs.join(gone.hint("shuffle_hash"), (docs["doc_id"] == gone["_gone"]) & (own_text(docs) == gone["_own"]), "left_anti")
+
+
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """mapInArrow by a function from one record batch to any number of them."""
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.llm.common import materialize
+from citeloom.llm.common import materialize, own_text, without
 from citeloom.llm.textvec import SPACES
 
 
@@ -103,7 +103,7 @@ GROUPS = "digest binary, keep_chars long, keep_id long, group_size long"
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, code points of the text and SHA-256 of the text without ASCII white space."""
+    """doc_id, code points of the text and SHA-256 of the text without ASCII white space; further columns go along."""
     for batch in batches:
         column = batch.column(1).cast(pa.large_binary())
         digests, sizes = [], []
@@ -111,7 +111,8 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raw = column[i].as_py() or b""
             sizes.append(len(raw) if raw.isascii() else len(raw.decode("utf-8", "replace")))
             digests.append(hashlib.sha256(raw.translate(None, SPACES)).digest())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())], ["doc_id", "n_chars", "digest"])
+        more = batch.columns[2:], batch.schema.names[2:]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), *more[0]], ["doc_id", "n_chars", "digest", *more[1]])
 
 
 def _better(chars: int, doc: int | None, record: list) -> bool:
@@ -161,18 +162,26 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     rows repeated under one id are all counted, and all of them are kept if that id is.  Empty tables give no rows;
     further columns of docs are not read.
     """
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    rows = materialize(rows.mapInArrow(_digests, DIGESTS), "exact-digests")
+    return _judged(docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")))
+
+
+def _judged(rows: DataFrame) -> DataFrame:
+    """exact_dedup of rows (doc_id, text), or (doc_id, text, own long) with own in the result."""
+    own = rows.columns[2:]
+    rows = materialize(rows.mapInArrow(_digests, DIGESTS + "".join(f", {c} long" for c in own)), "exact-digests")
     parts = rows.mapInArrow(_collapse_rows, GROUPS).repartition("digest")
     groups = parts.mapInArrow(_collapse_groups, GROUPS).drop("keep_chars")
     return rows.join(groups, "digest").select(
         "doc_id", "n_chars", "keep_id", "group_size",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
-        F.lower(F.hex("digest")).alias("text_sha256"),
+        F.lower(F.hex("digest")).alias("text_sha256"), *own,
     )
 
 
 def keep_first_copies(docs: DataFrame) -> DataFrame:
-    """The rows of docs that exact_dedup keeps, with all their columns; rows without id stay."""
-    gone = exact_dedup(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"] == gone["_gone"], "left_anti")
+    """The rows of docs that exact_dedup keeps, with all their columns; rows without id stay.
+
+    A row goes by its id and text, so another text under the same id stays.
+    """
+    judged = _judged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), own_text(docs).alias("own")))
+    return without(docs, judged.where(~F.col("kept")))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.llm import textvec as tv
-from citeloom.llm.common import materialize
+from citeloom.llm.common import materialize, own_text, without
 from citeloom.llm.graph import components
 
 #: Coordinates of a signature, and the most that a pair at the threshold may be missed as a candidate with.
@@ -56,28 +56,36 @@ def matches(per_cent: int) -> tuple[int, int]:
 _PROFILE = "doc_id long, n_shingles long, s1 long, s2 long, signature binary"
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, int]]:
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, int]]:
     for batch in batches:
         for i, j, raw, at in tv.slices(batch.column(1)):
             hashed, row, _, _ = tv.words(raw, at)
             hashed, row = tv.distinct(*tv.shingles(hashed, row, j - i, SHINGLE))
-            yield batch.column(0).slice(i, j - i), hashed, row, j - i
+            yield batch.slice(i, j - i), hashed, row, j - i
+
+
+def _sums(hashed: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(size, rows with a shingle, where their shingles start, two sums) of each row's set; the size and sums name its class."""
+    count = np.bincount(row, minlength=n)
+    has, sums = np.flatnonzero(count), np.zeros((2, n), np.uint64)
+    at = np.concatenate(([0], np.cumsum(count)))[has]
+    if len(has):
+        for k, seed in enumerate((101, 202)):
+            sums[k, has] = np.add.reduceat(tv.mix(hashed + np.uint64(seed)), at)
+    return count, has, at, sums.view(np.int64)
 
 
 def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     keys = tv.salt(COORDINATES, 5)
-    for ids, hashed, row, n in _sets(batches):
-        count = np.bincount(row, minlength=n)
-        has, sums = np.flatnonzero(count), np.zeros((2, n), np.uint64)
+    for rows, hashed, row, n in _sets(batches):
+        count, has, at, sums = _sums(hashed, row, n)
         minima = np.zeros((n, COORDINATES), np.uint32)
         if len(has):
-            at = np.concatenate(([0], np.cumsum(count)))[has]
-            for k, seed in enumerate((101, 202)):
-                sums[k, has] = np.add.reduceat(tv.mix(hashed + np.uint64(seed)), at)
             for k in range(COORDINATES):
                 minima[has, k] = (np.minimum.reduceat(hashed * keys[k], at) >> np.uint64(32)).astype(np.uint32)
         signature = pa.array([minima[i].tobytes() for i in range(n)], pa.binary())
-        yield pa.RecordBatch.from_arrays([ids, pa.array(count.astype(np.int64)), pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)), signature], ["doc_id", "n_shingles", "s1", "s2", "signature"])
+        found = [rows.column(0), pa.array(count.astype(np.int64)), pa.array(sums[0]), pa.array(sums[1]), signature]
+        yield pa.RecordBatch.from_arrays([*found, *rows.columns[2:]], ["doc_id", "n_shingles", "s1", "s2", "signature", *rows.schema.names[2:]])
 
 
 def _tokens(count: int):
@@ -93,9 +101,11 @@ def _tokens(count: int):
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for ids, hashed, row, n in _sets(batches):
+    for rows, hashed, row, n in _sets(batches):
         at = np.searchsorted(row, np.arange(n + 1))
-        yield pa.RecordBatch.from_arrays([ids, pa.array([hashed[at[i] : at[i + 1]].tobytes() for i in range(n)], pa.binary())], ["rep", "members"])
+        sums = _sums(hashed, row, n)[3]
+        members = pa.array([hashed[at[i] : at[i + 1]].tobytes() for i in range(n)], pa.binary())
+        yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(sums[0]), pa.array(sums[1]), members], ["doc", "s1", "s2", "members"])
 
 
 class Forest:
@@ -211,6 +221,12 @@ def _blocked(members: DataFrame) -> DataFrame:
     return spread.select("rep", "key", (lo * F.col("blocks") + hi).alias("pair"), side.cast("int").alias("side"))
 
 
+def _classes(profiles: DataFrame, *more) -> DataFrame:
+    """Classes of equal sets with their smallest id; rep names a class, as several may have one id."""
+    classes = profiles.where("n_shingles > 0").groupBy("n_shingles", "s1", "s2").agg(F.min("doc_id").alias("doc"), *more)
+    return classes.withColumn("rep", F.xxhash64("n_shingles", "s1", "s2"))
+
+
 def _by_group(rows: DataFrame) -> DataFrame:
     return rows.repartition("key", "pair").sortWithinPartitions("key", "pair", "rep")
 
@@ -219,9 +235,8 @@ def near_links(rows: DataFrame, per_cent: int = 85) -> tuple[DataFrame, DataFram
     """(profiles, links): a row for each document with its class, and confirmed links that join each component of classes."""
     least_matches, count = matches(per_cent)
     shared_least = least_matches - (COORDINATES - count)
-    profiles = materialize(rows.mapInArrow(_profiles, _PROFILE), "near-profiles")
-    classes = profiles.where("n_shingles > 0").groupBy("n_shingles", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")).where("rep is not null")
-    facts = materialize(classes.select("rep", "n_shingles", "signature"), "near-classes")
+    profiles = materialize(rows.mapInArrow(_profiles, _PROFILE + "".join(f", {c} long" for c in rows.columns[2:])), "near-profiles")
+    facts = materialize(_classes(profiles, F.first("signature").alias("signature")).where("doc is not null"), "near-classes")
 
     tokens = facts.select("rep", "signature").mapInArrow(_tokens(count), "token long, rep long")
     frequent = tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
@@ -229,18 +244,19 @@ def near_links(rows: DataFrame, per_cent: int = 85) -> tuple[DataFrame, DataFram
     posted = shared.where(F.size("held") >= shared_least).select("rep", F.explode(F.slice("held", F.lit(1), F.size("held") - (shared_least - 1))).alias("t"))
     posted = materialize(posted.select("rep", F.col("t.token").alias("key")), "near-posted")
     lists = posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks"))
-    listed = _by_group(_blocked(posted.join(lists, "key")).join(facts, "rep"))
+    listed = _by_group(_blocked(posted.join(lists, "key")).join(facts.select("rep", "n_shingles", "signature"), "rep"))
     joined = components(listed.mapInArrow(_join_candidates(per_cent), "a long, b long"))
 
     groups = materialize(facts.join(joined.select(F.col("node").alias("rep"), F.col("component").alias("key")), "rep"), "near-groups")
     blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("long")
     sizes = groups.groupBy("key").agg(blocks.alias("blocks"))
     # texts are dealt by id at every size; the ids are the side that is hashed, so texts need no sort
-    texts = rows.join(groups.select(F.col("rep").alias("doc_id")).hint("shuffle_hash"), "doc_id", "left_semi")
-    sets = texts.mapInArrow(_full_sets, "rep long, members binary")
-    # rows repeated under one id may have several sets; the class's own has its size
-    full = materialize(groups.join(sets, "rep").where(F.octet_length("members") == F.col("n_shingles") * 8).dropDuplicates(["rep"]), "near-sets")
-    spread = _blocked(groups.select("rep", "key").dropDuplicates(["rep"]).join(sizes, "key")).join(full.drop("key"), "rep")
+    texts = rows.select("doc_id", "text").join(groups.select(F.col("doc").alias("doc_id")).hint("shuffle_hash"), "doc_id", "left_semi")
+    sets = texts.mapInArrow(_full_sets, "doc long, s1 long, s2 long, members binary")
+    # rows repeated under one id may have several sets; each class takes its own
+    full = groups.join(sets, ["doc", "s1", "s2"]).where(F.octet_length("members") == F.col("n_shingles") * 8).dropDuplicates(["rep"])
+    full = materialize(full.select("rep", "n_shingles", "signature", "members"), "near-sets")
+    spread = _blocked(groups.select("rep", "key").join(sizes, "key")).join(full, "rep")
     return profiles, materialize(_by_group(spread).mapInArrow(_confirm(per_cent), "a long, b long"), "near-links")
 
 
@@ -250,22 +266,32 @@ def near_dedup(docs: DataFrame, per_cent: int = 85, id_column: str = "doc_id", t
     Two documents are linked when 100 * |intersection| >= per_cent * |union| of their sets of five-word shingles; a
     component is named by its smallest id, the one document that is kept.  A text of fewer words has its whole sequence
     as its only shingle; a null, empty or white-space text has none and is its own component.  A row without id takes
-    the component of its equals, if any, and is not kept then.  Rows repeated under one id have one component.
+    the component of its equals, if any, and is not kept then.  Rows repeated under one id are
+    judged each by its own text.
 
     A pair exactly at the threshold is missed with a probability of at most 1e-5; thresholds below 17, at which
     signatures can't promise that, raise an error.
     """
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+    return _judged(docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")), per_cent)
+
+
+def _judged(rows: DataFrame, per_cent: int) -> DataFrame:
+    """near_dedup of rows (doc_id, text), or (doc_id, text, own long) with own in the result."""
+    own = rows.columns[2:]
     profiles, links = near_links(rows, per_cent)
-    names = materialize(components(links), "near-components")
-    classes = profiles.where("n_shingles > 0").groupBy("n_shingles", "s1", "s2").agg(F.min("doc_id").alias("rep"))
-    classes = classes.join(names, classes["rep"] == names["node"], "left").select("n_shingles", "s1", "s2", F.coalesce("component", "rep").alias("component"))
-    out = profiles.select("doc_id", "n_shingles", "s1", "s2").join(classes, ["n_shingles", "s1", "s2"], "left")
+    nodes, classes = materialize(components(links), "near-components").withColumnRenamed("node", "rep"), _classes(profiles)
+    named = nodes.join(classes.select("rep", "doc"), "rep").groupBy("component").agg(F.min("doc").alias("name"))
+    names = materialize(nodes.join(named, "component").select("rep", "name"), "near-names")
+    classes = classes.join(names, "rep", "left").select("n_shingles", "s1", "s2", F.coalesce("name", "doc").alias("component"))
+    out = profiles.select("doc_id", "n_shingles", "s1", "s2", *own).join(classes, ["n_shingles", "s1", "s2"], "left")
     name = F.coalesce("component", "doc_id")
-    return out.select("doc_id", "n_shingles", name.alias("component_id"), F.col("doc_id").eqNullSafe(name).alias("kept"))
+    return out.select("doc_id", "n_shingles", name.alias("component_id"), F.col("doc_id").eqNullSafe(name).alias("kept"), *own)
 
 
 def keep_one_of_each(docs: DataFrame, per_cent: int = 85) -> DataFrame:
-    """The rows of docs that near_dedup keeps, with all their columns; rows without id stay."""
-    gone = near_dedup(docs, per_cent).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"] == gone["_gone"], "left_anti")
+    """The rows of docs that near_dedup keeps, with all their columns; rows without id stay.
+
+    A row goes by its id and text, so another text under the same id stays.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), own_text(docs).alias("own"))
+    return without(docs, _judged(rows, per_cent).where(~F.col("kept")))

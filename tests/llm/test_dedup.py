@@ -142,6 +142,19 @@ def test_near_against_brute_force_at_lower_thresholds(spark):
     assert sum(kept for _, _, kept in brute_components(rows, 60).values()) == 150
 
 
+def test_another_text_under_the_id_of_a_copy_stays(spark):
+    copied, alone = (" ".join(f"{letter}{k}" for k in range(40)) for letter in "bc")
+    rows = [(3, copied), (5, alone), (5, copied), (7, None), (7, copied)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {(3, copied), (5, alone), (7, None)}
+    assert set(map(tuple, exact_dedup.keep_first_copies(df).collect())) == want
+    assert set(map(tuple, near_dedup.keep_one_of_each(df).collect())) == want
+    # both texts of 5 are the first of their class, and one of them is a near copy of 3's
+    near = copied.rsplit(" ", 1)[0]
+    df = spark.createDataFrame([(3, near), (5, alone), (5, copied), (9, alone + " x")], "doc_id long, text string")
+    assert set(map(tuple, near_dedup.keep_one_of_each(df).collect())) == {(3, near), (5, alone)}
+
+
 def test_near_on_odd_rows(spark, odd, none):
     rows = {(r["doc_id"], r["n_shingles"]): r for r in near_dedup.near_dedup(odd).collect()}
     assert all(rows[k, 0]["component_id"] == k and rows[k, 0]["kept"] for k in (0, 1, 2))
