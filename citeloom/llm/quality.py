@@ -63,6 +63,8 @@ class QualityModel:
     bias: float
     slope: float
     shift: float
+    #: False where the labels had no two classes to tell apart, and all scores are one constant.
+    learnt: bool = True
 
     def margins(self, feature: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
         value = np.bincount(row, self.weight[feature] * self.ratio[feature], n)
@@ -128,7 +130,7 @@ def _calibrate(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
 def fit(rows: list[np.ndarray], label: np.ndarray) -> QualityModel:
     if not len(rows) or label.min() == label.max():  # nothing to tell apart: a constant score
         share = 0.5 if not len(rows) else float(label.max())
-        return QualityModel(np.zeros(1 << BITS, np.float32), np.zeros(1 << BITS, np.float32), 0.0, 0.0, 30.0 * (2 * share - 1))
+        return QualityModel(np.zeros(1 << BITS, np.float32), np.zeros(1 << BITS, np.float32), 0.0, 0.0, 30.0 * (2 * share - 1), learnt=False)
     margin = np.zeros(len(rows))
     fold = np.arange(len(rows)) % 3
     for k in range(3):
@@ -187,8 +189,13 @@ def score_quality(docs: DataFrame, model: QualityModel, cutoff: float = 0.7) ->
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, cutoff: float = 0.7) -> DataFrame:
-    """The rows of docs that the classifier accepts, with all their columns; no row moves."""
+    """The rows of docs that the classifier accepts, with all their columns; no row moves.
+
+    Where nothing could be learnt, as the labels outside the held-out fold lack one class or both, all rows stay.
+    """
     model, text = train(docs, labels), docs.columns.index("text")
+    if not model.learnt:
+        return docs
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -191,6 +191,13 @@ def test_quality_held_out(spark, odd, none):
     assert quality.keep_good(none, labels.limit(0)).count() == 0
 
 
+def test_quality_filter_keeps_all_where_nothing_is_learnt(spark, odd):
+    held_out = [i for i in range(200) if zlib.crc32(str(i).encode()) % 4 == 2]
+    for rows in ([], [(i, i % 2) for i in held_out], [(4, 0), (5, 0), (6, 0)]):
+        labels = spark.createDataFrame(rows, "doc_id long, quality int")
+        assert quality.keep_good(odd, labels).count() == odd.count()
+
+
 def test_dual_descent_separates():
     rng = np.random.default_rng(5)
     rows = [np.sort(rng.choice(50, 8, replace=False)) + (100 if i % 2 else 0) for i in range(60)]
