@@ -169,6 +169,13 @@ def test_components(spark):
     assert got == {1: 1, 2: 1, 3: 1, 4: 1, 20: 1, 10: 10, 11: 10, 12: 10} | {100 + i: 100 for i in range(41)}
 
 
+def test_components_are_never_left_unfinished(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(100)], "a long, b long")
+    with pytest.raises(RuntimeError):
+        graph.components(edges, rounds=1)
+    assert {r["component"] for r in graph.components(edges).collect()} == {0}
+
+
 def brute_repeats(rows, width=100):
     seen, out = set(), []
     for doc, text in sorted(rows, key=lambda r: (first(r[0]), r[1] or "")):
