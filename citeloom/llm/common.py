@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -14,27 +15,55 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share, from spark.checkpoint.dir.
 
-    Only where the session names none (as in local tests) a folder of this machine is made and set.
+    Only where the session names none and driver and executors are one process (a `local` master, as in tests) a folder of
+    this machine is made and set; on a cluster each executor would write to a disk of its own, so that is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="citeloom-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+#: Names of the scratch folders that are open, outermost first.
+_SCRATCH: list[str] = []
+
+
+def table_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, within the innermost open scratch folder."""
+    return "/".join([shared_dir(spark), "citeloom", *_SCRATCH, f"{name}-{uuid.uuid4().hex}"])
+
+
+def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back: a lineage cut that survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/citeloom/{name}-{uuid.uuid4().hex}"
+    path = path or table_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    held = spark._jvm.org.apache.hadoop.fs.Path(path)
+    held.getFileSystem(spark._jsc.hadoopConfiguration()).delete(held, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables that materialize writes inside are deleted at the end; what is still to be read needs a path from outside."""
+    _SCRATCH.append(f"scratch-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        path = "/".join([shared_dir(spark), "citeloom", *_SCRATCH])
+        _SCRATCH.pop()
+        delete(spark, path)
+
+
 def clear(spark: SparkSession) -> None:
     """Delete what materialize has written in the shared folder; results that are still to be read go with it."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/citeloom")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete(spark, f"{shared_dir(spark)}/citeloom")
 
 
 def crc32_of_id(column: str = "doc_id"):
@@ -53,9 +82,29 @@ def own_text(docs: DataFrame):
 
 
 def without(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """docs without the rows that rows(doc_id, own) names by id and own_text; rows without id stay."""
-    gone = rows.select(F.col("doc_id").alias("_gone"), F.col("own").alias("_own")).distinct()
-    return docs.join(gone.hint("shuffle_hash"), (docs["doc_id"] == gone["_gone"]) & (own_text(docs) == gone["_own"]), "left_anti")
+    """docs without the rows that rows(doc_id, own) names by id, null or not, and own_text."""
+    return _by_name(docs, rows, "left_anti")
+
+
+def _by_name(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    named = rows.select(F.col("doc_id").alias("_gone"), F.col("own").alias("_own")).distinct()
+    return docs.join(named.hint("shuffle_hash"), docs["doc_id"].cast("long").eqNullSafe(named["_gone"]) & (own_text(docs).eqNullSafe(named["_own"])), how)
+
+
+def keep_rows(docs: DataFrame, judged: DataFrame) -> DataFrame:
+    """The rows of docs that judged(doc_id, own, kept, single) keeps, with all their columns.
+
+    Rows that are kept and repeat id and text are one row where single says so, with the other columns of any of them.
+    """
+    judged = materialize(judged.select("doc_id", "own", "kept", "single"), "judged")
+    out = without(docs, judged.where(~F.col("kept")))
+    again = judged.where(F.col("kept") & F.col("single")).groupBy("doc_id", "own").agg(F.count("*").alias("n")).where("n > 1")
+    if again.isEmpty():
+        return out
+    # rows of one text are combined in the tasks, so even very many of them are one row for each task
+    held = _by_name(docs, again, "left_semi")
+    once = held.groupBy(held["doc_id"].cast("long").alias("_id"), own_text(held).alias("_own")).agg(F.first(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias("_row"))
+    return without(out, again).union(once.select(*(F.col("_row").getField(c).alias(c) for c in docs.columns)))
 
 
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:

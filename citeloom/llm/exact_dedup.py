@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.llm.common import materialize, own_text, without
+from citeloom.llm.common import keep_rows, materialize, own_text
 from citeloom.llm.textvec import SPACES
 
 
@@ -98,39 +98,51 @@ class CuckooIndex:
             yield from bucket.items()
 
 
-DIGESTS = "doc_id long, n_chars long, digest binary"
-GROUPS = "digest binary, keep_chars long, keep_id long, group_size long"
+DIGESTS = "doc_id long, own long, n_chars long, digest binary"
+GROUPS = "digest binary, keep_chars long, keep_id long, keep_own long, group_size long"
+#: Digests of one index, both of those that a scan task holds at a time and, about, of those dealt to one partition.
+INDEX_DIGESTS = 250_000
+#: A text with at least so many copies, and a thousandth of all rows, is hot; so there are a thousand hot ones at most.
+HOT_COPIES, HOT_SHARE = 5_000, 1_000
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, code points of the text and SHA-256 of the text without ASCII white space; further columns go along."""
+    """doc_id, own, code points of the text and SHA-256 of the text without ASCII white space."""
     for batch in batches:
-        column = batch.column(1).cast(pa.large_binary())
+        column = batch.column(2).cast(pa.large_binary())
         digests, sizes = [], []
         for i in range(len(column)):
             raw = column[i].as_py() or b""
             sizes.append(len(raw) if raw.isascii() else len(raw.decode("utf-8", "replace")))
             digests.append(hashlib.sha256(raw.translate(None, SPACES)).digest())
-        more = batch.columns[2:], batch.schema.names[2:]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), *more[0]], ["doc_id", "n_chars", "digest", *more[1]])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())], ["doc_id", "own", "n_chars", "digest"])
 
 
-def _better(chars: int, doc: int | None, record: list) -> bool:
-    """More code points, then the smaller id; a missing id comes last."""
-    return (chars, doc is not None, -(doc or 0)) > (record[0], record[1] is not None, -(record[1] or 0))
+def _better(row: tuple, record: list) -> bool:
+    """More code points, then the smaller id, a missing one last, then the smaller hash of the text as it stands."""
+    rank = lambda chars, doc, own: (chars, doc is not None, -(doc or 0), -own)
+    return rank(*row) > rank(*record[:3])
 
 
-def _collapse(rows: Iterator[tuple[bytes, int, int | None, int]]) -> Iterator[pa.RecordBatch]:
+def _collapse(rows: Iterator[tuple[bytes, int, int | None, int, int]], flush: bool) -> Iterator[pa.RecordBatch]:
+    """(digest, chars, doc, own, size) summed by digest; with flush the index is emptied whenever it is full."""
     index = CuckooIndex()
-    for digest, chars, doc, size in rows:
+    for digest, *row, size in rows:
         held = index.get(digest)
         if held is None:
-            index.insert(digest, [chars, doc, size])
-        elif _better(chars, doc, held):
+            if flush and index.size >= INDEX_DIGESTS:
+                yield from _out(index)
+                index = CuckooIndex()
+            index.insert(digest, [*row, size])
+        elif _better(row, held):
             index.delete(digest)
-            index.insert(digest, [chars, doc, held[2] + size])
+            index.insert(digest, [*row, held[3] + size])
         else:
-            held[2] += size
+            held[3] += size
+    yield from _out(index)
+
+
+def _out(index: CuckooIndex) -> Iterator[pa.RecordBatch]:
     chunk = []
     for digest, record in index.items():
         chunk.append((digest, *record))
@@ -141,17 +153,17 @@ def _collapse(rows: Iterator[tuple[bytes, int, int | None, int]]) -> Iterator[pa
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) if rows else [[], [], [], []]
-    kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["digest", "keep_chars", "keep_id", "group_size"])
+    columns = list(zip(*rows)) if rows else [[]] * 5
+    kinds = [pa.binary(), *([pa.int64()] * 4)]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["digest", "keep_chars", "keep_id", "keep_own", "group_size"])
 
 
 def _collapse_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    yield from _collapse((d, c, i, 1) for b in batches for i, c, d in zip(*(b.column(k).to_pylist() for k in range(3))))
+    yield from _collapse(((d, c, i, o, 1) for b in batches for i, o, c, d in zip(*(b.column(k).to_pylist() for k in range(4)))), flush=True)
 
 
 def _collapse_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    yield from _collapse(row for b in batches for row in zip(*(b.column(k).to_pylist() for k in range(4))))
+    yield from _collapse((row for b in batches for row in zip(*(b.column(k).to_pylist() for k in range(5)))), flush=False)
 
 
 def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -162,26 +174,33 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     rows repeated under one id are all counted, and all of them are kept if that id is.  Empty tables give no rows;
     further columns of docs are not read.
     """
-    return _judged(docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")))
+    rows = _judged(docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")))
+    return rows.select("doc_id", "n_chars", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-def _judged(rows: DataFrame) -> DataFrame:
-    """exact_dedup of rows (doc_id, text), or (doc_id, text, own long) with own in the result."""
-    own = rows.columns[2:]
-    rows = materialize(rows.mapInArrow(_digests, DIGESTS + "".join(f", {c} long" for c in own)), "exact-digests")
-    parts = rows.mapInArrow(_collapse_rows, GROUPS).repartition("digest")
-    groups = parts.mapInArrow(_collapse_groups, GROUPS).drop("keep_chars")
-    return rows.join(groups, "digest").select(
-        "doc_id", "n_chars", "keep_id", "group_size",
-        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
-        F.lower(F.hex("digest")).alias("text_sha256"), *own,
-    )
+def _judged(docs: DataFrame) -> DataFrame:
+    """doc_id, own, n_chars, digest of each row and the keep_id, keep_own and group_size of its group.
+
+    The rows of hot texts meet their groups, a thousand at most, where they are; no task gets all copies of a text.
+    """
+    spark = docs.sparkSession
+    rows = materialize(docs.select("doc_id", own_text(docs).alias("own"), "text").mapInArrow(_digests, DIGESTS), "exact-digests")
+    total = rows.count()
+    # as many partitions as the digests need, and as the cluster can use for few of them
+    parts = max(-(-total // INDEX_DIGESTS), min(spark.sparkContext.defaultParallelism, -(-total // 20_000)), 1)
+    groups = materialize(rows.mapInArrow(_collapse_rows, GROUPS).repartition(parts, "digest").mapInArrow(_collapse_groups, GROUPS).drop("keep_chars"), "exact-groups")
+    hot = F.broadcast(groups.where(F.col("group_size") >= max(HOT_COPIES, total // HOT_SHARE)))
+    few = rows.join(hot.select("digest"), "digest", "left_anti").join(groups, "digest")
+    return few.unionByName(rows.join(hot, "digest"))
 
 
 def keep_first_copies(docs: DataFrame) -> DataFrame:
-    """The rows of docs that exact_dedup keeps, with all their columns; rows without id stay.
+    """One row of docs for each text, with all its columns: the row that exact_dedup keeps.
 
-    A row goes by its id and text, so another text under the same id stays.
+    A row goes by its id and text, so another text under the same id stays, and rows without id are copies like others.
+    Of rows of one text with one id and as many code points, that with the smallest hash of its text stays; of rows that
+    repeat id and text one stays, with the other columns of any of them.
     """
-    judged = _judged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), own_text(docs).alias("own")))
-    return without(docs, judged.where(~F.col("kept")))
+    judged = _judged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
+    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & F.col("own").eqNullSafe(F.col("keep_own"))
+    return keep_rows(docs, judged.select("doc_id", "own", kept.alias("kept"), F.lit(True).alias("single")))
