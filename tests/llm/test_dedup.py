@@ -146,7 +146,7 @@ def test_another_text_under_the_id_of_a_copy_stays(spark):
     copied, alone = (" ".join(f"{letter}{k}" for k in range(40)) for letter in "bc")
     rows = [(3, copied), (5, alone), (5, copied), (7, None), (7, copied)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    want = {(3, copied), (5, alone), (7, None)}
+    want = {(3, copied), (5, alone), (7, None)}  # texts without words are no copies of each other in the near stage
     assert set(map(tuple, exact_dedup.keep_first_copies(df).collect())) == want
     assert set(map(tuple, near_dedup.keep_one_of_each(df).collect())) == want
     # both texts of 5 are the first of their class, and one of them is a near copy of 3's
@@ -155,6 +155,96 @@ def test_another_text_under_the_id_of_a_copy_stays(spark):
     assert set(map(tuple, near_dedup.keep_one_of_each(df).collect())) == {(3, near), (5, alone)}
 
 
+def untidy_rows(seed):
+    """Rows with repeated and missing ids, repeated rows, copies, near copies and texts without words."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("bcdfgaeiou") for _ in range(5))
+    bases = [[word() for _ in range(60)] for _ in range(6)]
+    rows = []
+    for _ in range(120):
+        own = list(rng.choice(bases))
+        for at in rng.sample(range(60), rng.choice([0, 0, 1, 1, 2])):
+            own[at] = word()
+        text = rng.choice([" ".join(own), " ".join(own) + " ", "  ".join(own[:30]) + " " + " ".join(own[30:]), "", " ", None, " ".join(own[:3])])
+        rows.append((rng.choice([None, *range(1, 40)]), text))
+    return rows + rows[:15] + [(None, "some text"), (None, "some text"), (7, "some text"), (7, "some text")]
+
+
+def named_rows(spark, rows):
+    """The rows as a table with clashing columns, and the hash of the text of each."""
+    from citeloom.llm import common
+
+    df = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, own long")
+    own = {(r["doc_id"], r["text"]): r["h"] for r in df.select("doc_id", "text", common.own_text(df).alias("h")).collect()}
+    return df.selectExpr("doc_id", "text", "own", "'x' as kept", "1 as rep", "2 as _gone", "3 as single", "4 as lead"), own
+
+
+def test_exact_stage_keeps_one_row_of_each_text(spark):
+    rows = untidy_rows(1)
+    df, own = named_rows(spark, rows)
+    groups = {}
+    for r in rows:
+        groups.setdefault(SPACES.sub("", r[1] or ""), []).append(r)
+    rank = lambda r: (-len(r[1] or ""), r[0] is None, r[0] or 0, own[r])
+    want = sorted((min(g, key=rank) for g in groups.values()), key=str)
+    out = exact_dedup.keep_first_copies(df)
+    assert out.columns == df.columns
+    assert sorted(map(tuple, out.select("doc_id", "text").collect()), key=str) == want
+
+
+def test_exact_groups_are_whole_where_indexes_flush_and_texts_are_hot(spark, monkeypatch):
+    rows = untidy_rows(2)
+    df, _ = named_rows(spark, rows)
+    want = as_rows(exact_dedup.exact_dedup(df))
+    monkeypatch.setattr(exact_dedup, "HOT_COPIES", 3)
+    monkeypatch.setattr(exact_dedup, "INDEX_DIGESTS", 5)
+    assert as_rows(exact_dedup.exact_dedup(df)) == want
+    sizes = {}
+    for _, t in rows:
+        sizes[SPACES.sub("", t or "")] = sizes.get(SPACES.sub("", t or ""), 0) + 1
+    assert max(sizes.values()) > 3 and sorted(r["group_size"] for r in exact_dedup.exact_dedup(df).collect()) == sorted(n for n in sizes.values() for _ in range(n))
+
+
+@pytest.mark.parametrize("per_cent", [80, 85])
+def test_near_stage_keeps_one_row_of_each_component(spark, per_cent):
+    rows = untidy_rows(3)
+    df, own = named_rows(spark, rows)
+    found = brute_components(list(enumerate(t for _, t in rows)), per_cent)
+    rank = lambda k: (rows[k][0] is None, rows[k][0] or 0, own[rows[k]])
+    components = {}
+    for k, (n, component, _) in found.items():
+        components.setdefault(component if n else (k,), []).append(k)
+    want = sorted((rows[min(c, key=rank)] for c in components.values()), key=str)
+    out = near_dedup.keep_one_of_each(df, per_cent)
+    assert out.columns == df.columns
+    assert sorted(map(tuple, out.select("doc_id", "text").collect()), key=str) == want
+
+
+def test_near_lists_are_joined_by_their_own_index(monkeypatch):
+    """Postings give the same pairs as comparing each with each, and compare far fewer that agree in one token alone."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    n, least = 300, 41
+    signature = rng.integers(0, 1 << 32, (n, 64), dtype=np.uint32)
+    signature[:, 5] = 7  # one token that all hold
+    for k in range(0, 60, 3):  # and some that agree in 38 to 50 coordinates
+        at = rng.choice(64, rng.integers(38, 51), replace=False)
+        signature[k + 1, at] = signature[k, at]
+        signature[k + 2, at] = signature[k, at]
+    for side in (np.zeros(n, np.int32), np.where(np.arange(n) % 2, 1, -1).astype(np.int32)):
+        table = pa.table({"n_shingles": np.full(n, 100), "side": side, "signature": pa.array([s.tobytes() for s in signature], pa.binary())})
+        found = []
+        for dense in (10**6, 0):
+            monkeypatch.setattr(near_dedup, "DENSE", dense)
+            found.append({tuple(sorted((i, int(j)))) for i, others in near_dedup._candidates(table, 85, least, near_dedup.Forest(n)) for j in others})
+        want = {(i, j) for i in range(n) for j in range(i + 1, n) if (signature[i] == signature[j]).sum() >= least and (not side.any() or side[i] != side[j])}
+        assert found[0] == found[1] == want and want
+    holders, at, tokens, own = near_dedup._postings(signature, least)
+    assert sum(len(holders[at[t] : at[t + 1]]) for t in tokens.tolist()) < n * 5
+
+
 def test_near_on_odd_rows(spark, odd, none):
     rows = {(r["doc_id"], r["n_shingles"]): r for r in near_dedup.near_dedup(odd).collect()}
     assert all(rows[k, 0]["component_id"] == k and rows[k, 0]["kept"] for k in (0, 1, 2))
@@ -351,7 +441,7 @@ def test_pipeline_against_brute_force(spark):
     for i, t in rows.items():
         groups.setdefault(SPACES.sub("", t or ""), []).append(i)
     rows = {i: rows[i] for g in groups.values() for i in [min(g, key=lambda i: (-len(rows[i] or ""), i))]}
-    rows = {i: rows[i] for i, (_, _, stay) in brute_components(list(rows.items())).items() if stay}
+    rows = {i: rows[i] for i, (_, _, stay) in brute_components(list(rows.items()), 80).items() if stay}
     seen, final = set(), {}
     for i in sorted(rows):
         raw = rows[i].encode()
