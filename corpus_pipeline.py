@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from citeloom.llm.common import materialize
+from citeloom.llm.common import materialize, scratch, table_path
 from citeloom.llm.exact_dedup import keep_first_copies
 from citeloom.llm.near_dedup import keep_one_of_each
 from citeloom.llm.packing import added_tokens, pack
@@ -30,8 +30,8 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near duplicates, at a similarity of 0.85, one document stays."""
-    return keep_one_of_each(docs, per_cent=85)
+    """Of each component of near duplicates, at a similarity of 0.8 of their sets of five-word shingles, one document stays."""
+    return keep_one_of_each(docs, per_cent=80)
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,8 +58,11 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The result of the last stage over the documents of a folder."""
+    """The result of the last stage over the documents of a folder; what a stage writes on its way is deleted after it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        name = "pipeline-" + name.replace(" ", "-")
+        path = table_path(spark, name)
+        with scratch(spark):
+            docs = materialize(stage(spark, docs, sf_dir), name, path)
     return docs
