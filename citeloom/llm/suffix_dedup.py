@@ -2,17 +2,19 @@
 
 Every WIDTH-byte window has an anchor, the k-gram with the least hash in it, the leftmost of equals.  Equal windows have
 equal anchors at equal places, so repeats can be looked for anchor by anchor.  Texts are dealt once to blocks, in a
-bucketed table, and stay there; only what concerns anchors moves:
-
-1. blocks send their distinct anchor hashes to buckets, which say whether another block has an anchor too;
-2. blocks send the distinct contexts of repeated anchors (the bytes that the anchor's windows cover) with the first place
-   of each; a bucket sorts the suffixes of its contexts by linear grouping (suffix_array), over symbols of eight bytes
-   cut from the anchor on, and tells for the first place of each context which windows start earlier elsewhere;
+bucketed table, and stay there; only what concerns anchors moves, in plain rows that are dealt by the anchors' hashes, so
+that what moves grows with the input, whatever the number of blocks:
+
+1. blocks send a row for each distinct anchor: its context (the bytes that the anchor's windows cover), if it has but one
+   in the block; a window over the rows of an anchor says whether other blocks have it and whether contexts differ;
+2. blocks send the distinct contexts of repeated anchors with the first place of each, and their bytes where contexts
+   differ; a bucket of anchors sorts the suffixes of differing contexts by linear grouping (suffix_array), over symbols
+   of eight bytes cut from the anchor on, and tells for the first place of each context which windows start earlier;
 3. blocks remove the bytes and hash the rest.
 
 Copies within a block are merged before anything moves, so an anchor sends one row for each block and context at most.
-An anchor that very many blocks share (HOT_BLOCKS) may have a context for each document; its windows are sent one by one,
-to buckets by their own hashes, so that only equal windows have to meet.
+An anchor with very many contexts (HOT_CONTEXTS), as beside a line that very many documents share, is split by the bytes
+beside it: each of its windows is a key of its own.
 """
 
 from __future__ import annotations
@@ -24,20 +26,22 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeloom.llm import textvec as tv
-from citeloom.llm.common import materialize, shared_dir
+from citeloom.llm.common import delete, materialize, scratch, table_path
 from citeloom.llm.suffix_array import prefix_classes, suffix_array
 
 WIDTH, GRAM = 100, 32
 REACH = WIDTH - GRAM + 1
-#: Bytes of text in a block, and positions that one pass over a long text covers.
-BLOCK_BYTES, PASS = 4 << 20, 1 << 21
-#: An anchor in more blocks than this is compared window by window.
-HOT_BLOCKS = 1024
+#: Bytes of text in a block, at most so many blocks of that size, the bytes to which blocks grow beyond it, and positions
+#: that one pass over a long text covers.
+BLOCK_BYTES, MANY_BLOCKS, MOST_BLOCK_BYTES, PASS = 4 << 20, 50_000, 32 << 20, 1 << 21
+#: An anchor with more contexts than this is compared window by window.
+HOT_CONTEXTS = 4096
+#: About the bytes of text whose anchors go to one bucket.
+BUCKET_BYTES = 4 << 20
 #: Bytes of a symbol of the suffix array.
 SYMBOL = 8
 _POSITION = 24
@@ -115,156 +119,98 @@ def _segments(rows: np.ndarray, starts: np.ndarray, raw: np.ndarray, at: np.ndar
     return rows[row], first + shift, last + shift, anchor + shift, own, context
 
 
-def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of equal length, byte plane by byte plane, compressed."""
-    planes = [np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes() for a in arrays]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
-
-
-def _unpack(blob: bytes, kinds: tuple) -> list[np.ndarray]:
-    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
-    n = len(data) // sum(np.dtype(k).itemsize for k in kinds)
-    out, at = [], 0
-    for kind in kinds:
-        size = np.dtype(kind).itemsize
-        out.append(np.ascontiguousarray(data[at : at + n * size].reshape(size, n).T).view(kind).reshape(n))
-        at += n * size
-    return out
-
-
-def _bucket(gram: np.ndarray, buckets: int) -> np.ndarray:
-    return ((gram >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
-
-
 class Block:
-    """The rows of a block in the order of their ids, and the segments of their texts."""
+    """The rows of a block in the order of the corpus, and the segments of their texts."""
 
-    def __init__(self, table: pa.Table, buckets: int):
-        table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-        self.table, self.buckets = table, buckets
+    def __init__(self, table: pa.Table):
+        # rows without id stand first; ties keep the order of their texts
+        self.table = table = table.sort_by([("has_id", "ascending"), ("place", "ascending"), ("text", "ascending")])
         self.raw, self.at = tv.text_bytes(table.column("text"))
-        ids = table.column("doc_id")
-        self.null = np.asarray(ids.is_null())
-        self.ids = ids.fill_null(-(1 << 63)).to_numpy()
-        # nulls stand first in the order of the corpus, and at the end of the sorted table; ties keep the table's order
-        self.order = np.lexsort((np.arange(len(self.ids)), ~self.null))
-        if len(self.order) and self.null.any():
-            self.table = table = table.take(pa.array(self.order))
-            self.raw, self.at = tv.text_bytes(table.column("text"))
-            self.ids = table.column("doc_id").fill_null(-(1 << 63)).to_numpy()
+        self.has_id, self.ids = table.column("has_id").to_numpy(), table.column("place").to_numpy()
         self.seg = segments(self.raw, self.at)
         self.grams, self.of_gram, self.times = np.unique(self.seg.gram, return_inverse=True, return_counts=True)
-        self.where = _bucket(self.grams, buckets)
-
-    def candidates(self, verdicts: dict[int, bytes]) -> Runs:
-        """The segments of repeated anchors, those of hot ones cut into single windows with hashes of their own."""
-        repeated, hot = self.times > 1, np.zeros(len(self.grams), bool)
-        for b in np.unique(self.where):
-            at = np.flatnonzero(self.where == b)
-            bits = np.unpackbits(np.frombuffer(verdicts[int(b)], np.uint8), count=2 * len(at)).astype(bool)
-            repeated[at] |= bits[: len(at)]
-            hot[at] = bits[len(at) :]
-        runs = Runs(*(x[repeated[self.of_gram]] for x in self.seg))
-        cut = hot[self.of_gram][repeated[self.of_gram]]
+        self.order = np.lexsort((self.seg.context, self.seg.gram))
+        gram, context = self.seg.gram[self.order], self.seg.context[self.order]
+        fresh = np.ones(len(gram), bool)
+        fresh[1:] = (gram[1:] != gram[:-1]) | (context[1:] != context[:-1])
+        self.contexts = np.bincount(self.of_gram[self.order][fresh], minlength=len(self.grams))
+
+    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(anchor, one of its contexts, how many contexts) of each distinct anchor."""
+        first = np.searchsorted(self.seg.gram[self.order], self.grams)
+        return self.grams, self.seg.context[self.order][first], self.contexts
+
+    def candidates(self, found: pa.Table) -> tuple[Runs, np.ndarray]:
+        """(segments of repeated anchors, those of hot ones cut into windows; whether contexts of their anchors differ)."""
+        kind, gram = found.column("kind").to_numpy(), found.column("gram").to_numpy().view(np.uint64)
+        flags = np.zeros(len(self.grams), np.int64)
+        flags[np.searchsorted(self.grams, gram[kind > 0])] = kind[kind > 0]
+        repeated = (self.times > 1) | (flags > 0)
+        mixed = (self.contexts > 1) | (flags & _MIXED > 0)
+        hot = (self.contexts > HOT_CONTEXTS) | (flags & _HOT > 0)
+        own = repeated[self.of_gram]
+        runs, of = Runs(*(x[own] for x in self.seg)), self.of_gram[own]
+        cut = hot[of]
         if not cut.any():
-            return runs
+            return runs, mixed[of]
         whole, split = Runs(*(x[~cut] for x in runs)), Runs(*(x[cut] for x in runs))
         times = split.last - split.first + 1
-        of = np.repeat(np.arange(len(times)), times)
-        first = split.first[of] + np.arange(len(of)) - np.repeat(np.cumsum(times) - times, times)
-        gram, keys = np.empty(len(of), np.uint64), tv.salt(WIDTH, 53)
-        for k in range(0, len(of), 20_000):
-            start = self.at[split.row[of[k : k + 20_000]]] + first[k : k + 20_000]
-            gram[k : k + 20_000] = tv.mix((tv._BYTE_KEYS[self.raw[start[:, None] + np.arange(WIDTH)]] * keys).sum(1, dtype=np.uint64))
-        single = Runs(split.row[of], first, first, split.anchor[of], gram, tv.mix(gram ^ split.gram[of]))
+        of_window = np.repeat(np.arange(len(times)), times)
+        first = split.first[of_window] + np.arange(len(of_window)) - np.repeat(np.cumsum(times) - times, times)
+        key, keys = np.empty(len(of_window), np.uint64), tv.salt(WIDTH, 53)
+        for k in range(0, len(of_window), 20_000):
+            start = self.at[split.row[of_window[k : k + 20_000]]] + first[k : k + 20_000]
+            key[k : k + 20_000] = tv.mix((tv._BYTE_KEYS[self.raw[start[:, None] + np.arange(WIDTH)]] * keys).sum(1, dtype=np.uint64))
+        single = Runs(split.row[of_window], first, first, split.anchor[of_window], key, tv.mix(key ^ split.gram[of_window]))
         both = Runs(*(np.concatenate(x) for x in zip(whole, single)))
         order = np.lexsort((both.first, both.row))  # the order of places
-        return Runs(*(x[order] for x in both))
-
-    def places(self, runs: Runs) -> tuple[np.ndarray, np.ndarray]:
-        """Of each segment the id and the place within the id: the row and the first window's anchor or start."""
-        return self.ids[runs.row], runs.row << np.int64(40) | runs.first
+        return Runs(*(x[order] for x in both)), np.concatenate((mixed[of][~cut], np.zeros(len(first), bool)))[order]
 
-    def contexts(self, runs: Runs) -> tuple[np.ndarray, np.ndarray]:
-        """(first segment of each distinct context, by bucket and hashes; its bucket)."""
-        where = _bucket(runs.gram, self.buckets)
-        order = np.lexsort((np.arange(len(where)), runs.context, runs.gram, where))
+    def leads(self, runs: Runs) -> np.ndarray:
+        """The first segment of each distinct context, in the order of anchors and contexts."""
+        order = np.lexsort((np.arange(len(runs.gram)), runs.context, runs.gram))
         fresh = np.ones(len(order), bool)
         fresh[1:] = (runs.gram[order[1:]] != runs.gram[order[:-1]]) | (runs.context[order[1:]] != runs.context[order[:-1]])
-        return order[fresh], where[order[fresh]]
-
-
-_ANCHORS = "bucket long, block long, blob binary"
-_FOUND = "block long, bucket long, kind int, blob binary"
-
-
-def _rows(rows: list[tuple], schema: list[tuple[str, pa.DataType]]) -> pa.Table:
-    columns = list(zip(*rows)) if rows else [[] for _ in schema]
-    return pa.table({name: pa.array(c, kind) for (name, kind), c in zip(schema, columns)})
+        return order[fresh]
 
 
-_ANCHOR_ROWS = [("bucket", pa.int64()), ("block", pa.int64()), ("blob", pa.binary())]
-_FOUND_ROWS = [("block", pa.int64()), ("bucket", pa.int64()), ("kind", pa.int32()), ("blob", pa.binary())]
+#: What the other blocks say of an anchor: they have it, its contexts differ, it is hot.
+_SHARED, _MIXED, _HOT = 1, 2, 4
+_ANCHORS = "block long, gram long, context long, contexts long"
+_CONTEXTS = "block long, gram long, context long, doc long, place long, shape int, text binary"
+#: Answers to blocks: kind is 0 for a context that is first in the block, with a mask of its windows that start earlier,
+#: and else what others say of an anchor.
+_FOUND = "block long, kind int, gram long, context long, mask binary"
 
 
-def _send_anchors(buckets: int):
-    def over(table: pa.Table) -> pa.Table:
-        block, number = Block(table, buckets), table.column("block")[0].as_py()
-        out = []
-        for b in np.unique(block.where):
-            own = block.grams[block.where == b]
-            out.append((int(b), number, _pack(np.diff(own, prepend=np.uint64(0)))))
-        return _rows(out, _ANCHOR_ROWS)
-
-    return over
-
-
-def _shared_anchors(table: pa.Table) -> pa.Table:
-    """For each block's anchors of a bucket a bit for those of other blocks too, then a bit for those of very many."""
-    own = [np.cumsum(_unpack(x, (np.uint64,))[0], dtype=np.uint64) for x in table.column("blob").to_pylist()]
-    every, times = np.unique(np.concatenate(own), return_counts=True)
-    often, hot = every[times > 1], every[times > HOT_BLOCKS]
-    out = []
-    for block, grams in zip(table.column("block").to_pylist(), own):
-        bits = np.concatenate([_among(grams, often), _among(grams, hot)])
-        out.append((block, table.column("bucket")[0].as_py(), 1, np.packbits(bits).tobytes()))
-    return _rows(out, _FOUND_ROWS)
+def _send_anchors(table: pa.Table) -> pa.Table:
+    gram, context, contexts = Block(table).anchors()
+    return pa.table({"block": pa.array(np.full(len(gram), table.column("block")[0].as_py())), "gram": pa.array(gram.view(np.int64)), "context": pa.array(context.view(np.int64)), "contexts": pa.array(contexts)})
 
 
-def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
-    if not len(known):
-        return np.zeros(len(values), bool)
-    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+def _shared_anchors(anchors: DataFrame) -> DataFrame:
+    """Answers about anchors that several blocks have."""
+    every = Window.partitionBy("gram")
+    rows = anchors.withColumns({
+        "n": F.count("*").over(every), "all": F.sum("contexts").over(every), "low": F.min("context").over(every), "high": F.max("context").over(every), "most": F.max("contexts").over(every)})
+    mixed = F.when((F.col("low") != F.col("high")) | (F.col("most") > 1), _MIXED).otherwise(0)
+    kind = F.lit(_SHARED) + mixed + F.when(F.col("all") > HOT_CONTEXTS, _HOT).otherwise(0)
+    return rows.where("n > 1").select("block", kind.cast("int").alias("kind"), "gram", F.lit(None).cast("long").alias("context"), F.lit(None).cast("binary").alias("mask"))
 
 
-def _verdicts(found: pa.Table, kind: int) -> dict[int, bytes]:
-    rows = zip(*(found.column(c).to_pylist() for c in ("bucket", "kind", "blob")))
-    return {b: blob for b, k, blob in rows if k == kind}
-
-
-_CONTEXT = (np.uint64, np.uint64, np.int64, np.int64, np.uint8, np.uint8)
-
-
-def _send_contexts(buckets: int):
-    def over(key: tuple, table: pa.Table, found: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return _rows([], _ANCHOR_ROWS)
-        block = Block(table, buckets)
-        seg = block.candidates(_verdicts(found, 1))
-        lead, where = block.contexts(seg)
-        doc, place = block.places(seg)
-        start = block.at[seg.row[lead]] + seg.first[lead]
-        size = seg.last[lead] - seg.first[lead] + WIDTH
-        out = []
-        for b in np.unique(where):
-            at = np.flatnonzero(where == b)
-            own = lead[at]
-            head = _pack(seg.gram[own], seg.context[own], doc[own], place[own], (seg.anchor[own] - seg.first[own]).astype(np.uint8), (seg.last[own] - seg.first[own]).astype(np.uint8))
-            text = zstandard.ZstdCompressor(level=3).compress(b"".join(block.raw[s : s + z].tobytes() for s, z in zip(start[at].tolist(), size[at].tolist())))
-            out.append((int(b), key[0].as_py(), len(head).to_bytes(4, "little") + head + text))
-        return _rows(out, _ANCHOR_ROWS)
-
-    return over
+def _send_contexts(key: tuple, table: pa.Table, found: pa.Table) -> pa.Table:
+    names = [c.split()[0] for c in _CONTEXTS.split(", ")]
+    if not table.num_rows:
+        return pa.table([pa.array([], t) for t in (*[pa.int64()] * 5, pa.int32(), pa.binary())], names)
+    block = Block(table)
+    seg, mixed = block.candidates(found)
+    lead = block.leads(seg)
+    row, first = seg.row[lead], seg.first[lead]
+    start, size = block.at[row] + first, seg.last[lead] - first + WIDTH
+    texts = [block.raw[s : s + z].tobytes() if m else None for s, z, m in zip(start.tolist(), size.tolist(), mixed[lead].tolist())]
+    shape = seg.anchor[lead] - first | seg.last[lead] - first << 8 | block.has_id[row].astype(np.int64) << 16
+    columns = [np.full(len(lead), key[0].as_py()), seg.gram[lead].view(np.int64), seg.context[lead].view(np.int64), block.ids[row], row << np.int64(40) | first, shape.astype(np.int32)]
+    return pa.table([*map(pa.array, columns), pa.array(texts, pa.binary())], names)
 
 
 def earlier_windows(raw: np.ndarray, start: np.ndarray, lead: np.ndarray, extra: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -321,72 +267,69 @@ def earlier_windows(raw: np.ndarray, start: np.ndarray, lead: np.ndarray, extra:
 
 
 def _compare_contexts(table: pa.Table) -> pa.Table:
-    """For each block's contexts of a bucket: 0, first elsewhere; 1, first here and new; 2, first here, followed by a mask."""
-    heads, texts, sizes = [], [], []
-    for blob in table.column("blob").to_pylist():
-        cut = 4 + int.from_bytes(blob[:4], "little")
-        heads.append(_unpack(blob[4:cut], _CONTEXT))
-        texts.append(zstandard.ZstdDecompressor().decompress(blob[cut:]))
-        sizes.append(len(heads[-1][0]))
-    gram, context, doc, place, lead, extra = (np.concatenate(x) for x in zip(*heads))
-    raw = np.frombuffer(b"".join(texts), np.uint8)
-    lead, extra = lead.astype(np.int64), extra.astype(np.int64)
-    start = np.concatenate(([0], np.cumsum(extra + WIDTH)))[:-1]
-    order = np.lexsort((place, doc, context, gram))
+    """Answers about contexts that are first in their blocks, with masks of windows that start earlier in other contexts."""
+    block, gram, context, doc, place, shape = (table.column(c).to_numpy() for c in ("block", "gram", "context", "doc", "place", "shape"))
+    lead, extra, has_id = (shape & 255).astype(np.int64), (shape >> 8 & 255).astype(np.int64), shape >> 16
+    raw, at = tv.text_bytes(table.column("text"))
+    order = np.lexsort((place, doc, has_id, context, gram))
     fresh = np.ones(len(order), bool)
     fresh[1:] = (gram[order[1:]] != gram[order[:-1]]) | (context[order[1:]] != context[order[:-1]])
     firsts = order[fresh]  # the first place of each distinct context
     _, of, many = np.unique(gram[firsts], return_inverse=True, return_counts=True)
     mixed = firsts[many[of] > 1]
-    verdict, masks = np.zeros(len(gram), np.uint8), np.zeros((len(gram), REACH), bool)
-    verdict[firsts] = 1
+    masks = np.zeros((len(gram), REACH), bool)
     rank = np.empty(len(mixed), np.int64)
-    rank[np.lexsort((place[mixed], doc[mixed]))] = np.arange(len(mixed))
-    masks[mixed] = earlier_windows(raw, start[mixed], lead[mixed], extra[mixed], rank)
-    verdict[masks.any(1)] = 2
-    out, at = [], 0
-    for block, size in zip(table.column("block").to_pylist(), sizes):
-        own = slice(at, at + size)
-        packed = np.packbits(masks[own][verdict[own] == 2], axis=1).tobytes()
-        out.append((block, table.column("bucket")[0].as_py(), 2, zstandard.ZstdCompressor(level=1).compress(verdict[own].tobytes() + packed)))
-        at += size
-    return _rows(out, _FOUND_ROWS)
-
-
-def _remove(buckets: int, with_kept: bool):
+    rank[np.lexsort((place[mixed], doc[mixed], has_id[mixed]))] = np.arange(len(mixed))
+    masks[mixed] = earlier_windows(raw, at[:-1][mixed], lead[mixed], extra[mixed], rank)
+    own = np.sort(firsts)
+    packed = [x.tobytes() if has else None for x, has in zip(np.packbits(masks[own], axis=1), masks[own].any(1).tolist())]
+    columns = [block[own], np.zeros(len(own), np.int32), gram[own], context[own]]
+    return pa.table([*map(pa.array, columns), pa.array(packed, pa.binary())], ["block", "kind", "gram", "context", "mask"])
+
+
+def _answers(runs: Runs, lead: np.ndarray, found: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(whether each lead is the first place of its context, its mask)."""
+    rows = found.filter(pa.array(found.column("kind").to_numpy() == 0))
+    gram, context = (np.concatenate((own, rows.column(c).to_numpy().view(np.uint64))) for c, own in (("gram", runs.gram[lead]), ("context", runs.context[lead])))
+    late = np.arange(len(gram)) >= len(lead)
+    order = np.lexsort((late, context, gram))
+    at = np.flatnonzero(late[order])  # an answer stands behind its lead
+    whose, answer = order[at - 1], order[at] - len(lead)
+    first, masks = np.zeros(len(lead), bool), np.zeros((len(lead), REACH), bool)
+    first[whose] = True
+    has = np.asarray(rows.column("mask").is_valid())[answer]
+    packed = np.frombuffer(b"".join(rows.column("mask").take(pa.array(answer[has])).to_pylist()), np.uint8).reshape(-1, -(-REACH // 8))
+    masks[whose[has]] = np.unpackbits(packed, axis=1, count=REACH).astype(bool)
+    return first, masks
+
+
+def _remove(with_kept: bool):
     def over(key: tuple, table: pa.Table, found: pa.Table) -> pa.Table:
-        block = Block(table, buckets)
-        seg = block.candidates(_verdicts(found, 1))
-        lead, where = block.contexts(seg)
-        verdict, masks = np.zeros(len(lead), np.uint8), np.zeros((len(lead), REACH), bool)
-        answers = _verdicts(found, 2)
-        wide = -(-REACH // 8)
-        for b in np.unique(where):
-            at = np.flatnonzero(where == b)
-            data = zstandard.ZstdDecompressor().decompress(answers[int(b)])
-            verdict[at] = np.frombuffer(data[: len(at)], np.uint8)
-            masks[at[verdict[at] == 2]] = np.unpackbits(np.frombuffer(data[len(at) :], np.uint8).reshape(-1, wide), axis=1, count=REACH).astype(bool)
+        block = Block(table)
+        seg, _ = block.candidates(found)
+        lead = block.leads(seg)
+        first, masks = _answers(seg, lead, found)
         base = block.at[seg.row]
-        first_here = np.zeros(len(seg.row), bool)
-        first_here[lead] = verdict > 0
         change = np.zeros(len(block.raw) + 1, np.int32)
-        gone = ~first_here
+        gone = np.ones(len(seg.row), bool)
+        gone[lead[first]] = False
         np.add.at(change, base[gone] + seg.first[gone], 1)
         np.add.at(change, base[gone] + seg.last[gone] + WIDTH, -1)
         which, window = np.nonzero(masks)
         begin = base[lead[which]] + seg.first[lead[which]] + window
         np.add.at(change, begin, 1)
         np.add.at(change, begin + WIDTH, -1)
-        removed = np.cumsum(change[:-1]) > 0
+        removed = np.cumsum(change[:-1], dtype=np.int32) > 0
+        del change
         opens = removed.copy()
         opens[1:] &= ~removed[:-1]
         starts = block.at[:-1][block.at[:-1] < len(removed)]
         opens[starts] = removed[starts]
-        sums, runs = (np.concatenate(([0], np.cumsum(x))) for x in (removed, opens))
+        counts = [np.diff(np.searchsorted(np.flatnonzero(x), block.at)) for x in (removed, opens)]
         kept = [block.raw[a:b][~removed[a:b]].tobytes() for a, b in zip(block.at[:-1].tolist(), block.at[1:].tolist())]
         columns = {
-            "doc_id": block.table.column("doc_id"), "n_bytes": pa.array(np.diff(block.at)), "n_removed": pa.array(np.diff(sums[block.at])),
-            "n_spans": pa.array(np.diff(runs[block.at])), "kept_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()),
+            "doc_id": block.table.column("doc_id"), "n_bytes": pa.array(np.diff(block.at)), "n_removed": pa.array(counts[0]), "n_spans": pa.array(counts[1]),
+            "kept_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()),
         }
         if with_kept:
             columns["kept"] = pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string())
@@ -400,41 +343,52 @@ def remove_repeats(docs: DataFrame, keep: bool = False) -> DataFrame:
     """One row for each row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256; with keep also kept and extra.
 
     Texts are taken as UTF-8 bytes, nulls as empty.  Texts shorter than WIDTH lose nothing.  A string starts earlier in a
-    document of smaller id, or earlier in the same one; rows without id stand first, and rows repeated under one id are
-    separate documents in the order of their texts, so all but the first lose what they share.  kept is the rest as
-    text, without characters that lost only some of their bytes; extra holds the other columns of docs, whatever their
-    names.  An empty table gives no rows.
+    document of smaller id, or earlier in the same one.  Rows without id stand first, in the order of hashes of their
+    texts; rows repeated under one id are separate documents in the order of their texts, so all but the first lose what
+    they share.  kept is the rest as text, without characters that lost only some of their bytes; extra holds the other
+    columns of docs, whatever their names.  An empty table gives no rows.
     """
     spark = docs.sparkSession
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                        *([F.struct(F.lit(1).alias("_one"), *(F.col(f"`{c}`") for c in others)).alias("extra")] if keep else []))
+    rows = rows.withColumns({"has_id": F.col("doc_id").isNotNull().cast("int"), "place": F.coalesce("doc_id", F.xxhash64("text"))})
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    blocks = buckets = max(1, -(-total // BLOCK_BYTES))
-    name = f"citeloom_blocks_{uuid.uuid4().hex}"
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("long"))
-    writer = rows.repartition(blocks, "block").write.format("parquet").option("compression", "zstd").option("path", f"{shared_dir(spark)}/citeloom/{name}")
-    writer.bucketBy(blocks, "block").saveAsTable(name)
+    blocks = max(1, -(-total // max(BLOCK_BYTES, min(MOST_BLOCK_BYTES, total // MANY_BLOCKS))))
+    buckets = max(1, -(-total // BUCKET_BYTES))
+    name, result, limit = f"citeloom_blocks_{uuid.uuid4().hex}", table_path(spark, "suffix-out"), "spark.sql.sources.bucketing.maxBuckets"
+    held = spark.conf.get(limit)
+    spark.conf.set(limit, str(max(int(held), blocks)))
+    path = table_path(spark, "suffix-blocks")
     try:
-        # the table stays bucketed by block, so texts do not move again
-        table = spark.table(name)
-        anchors = table.select("block", "doc_id", "text").groupBy("block").applyInArrow(_send_anchors(buckets), _ANCHORS)
-        shared = materialize(anchors.groupBy("bucket").applyInArrow(_shared_anchors, _FOUND), "suffix-anchors")
-        texts = table.select("block", "doc_id", "text")
-        contexts = texts.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_send_contexts(buckets), _ANCHORS)
-        compared = materialize(contexts.groupBy("bucket").applyInArrow(_compare_contexts, _FOUND), "suffix-contexts")
-        schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-        if keep:
-            schema += f", kept string, extra {table.schema['extra'].dataType.simpleString()}"
-        found = shared.union(compared)
-        out = (table if keep else texts).groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_remove(buckets, keep), schema)
-        return materialize(out, "suffix-out")
+        with scratch(spark):
+            rows = rows.withColumn("block", F.pmod(F.xxhash64("has_id", "place"), F.lit(blocks)).cast("long"))
+            rows.repartition(blocks, "block").write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(blocks, "block").saveAsTable(name)
+            # the table stays bucketed by block, so texts do not move again
+            table = spark.table(name)
+            texts = table.select("block", "doc_id", "text", "has_id", "place")
+            shared = materialize(_shared_anchors(texts.groupBy("block").applyInArrow(_send_anchors, _ANCHORS)), "suffix-anchors")
+            contexts = texts.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_send_contexts, _CONTEXTS)
+            contexts = contexts.withColumn("bucket", F.pmod(F.xxhash64("gram"), F.lit(buckets)))
+            compared = materialize(contexts.groupBy("bucket").applyInArrow(_compare_contexts, _FOUND), "suffix-contexts")
+            schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+            if keep:
+                schema += f", kept string, extra {table.schema['extra'].dataType.simpleString()}"
+            found = shared.union(compared)
+            out = (table if keep else texts).groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_remove(keep), schema)
+            return materialize(out, "suffix-out", result)
     finally:
+        spark.conf.set(limit, held)
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+        delete(spark, path)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """docs with repeated bytes removed from its texts; n_chars, if docs has it, is the new number of code points."""
+    """docs with repeated bytes removed from its texts; n_chars, if docs has it, is the new number of code points.
+
+    Rows without id, repeated rows and null texts are as in remove_repeats; a null text comes back empty, and a text of
+    which all bytes go stays as an empty one, so no row is lost.
+    """
     rows = remove_repeats(docs, keep=True)
     columns = {c: F.col("extra").getField(c) for c in docs.columns if c not in ("doc_id", "text")}
     columns |= {"doc_id": F.col("doc_id"), "text": F.col("kept")}

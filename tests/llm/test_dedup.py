@@ -321,7 +321,10 @@ def test_suffix_on_odd_rows_and_edges(spark, odd, none, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     want = brute_repeats(rows)
     assert as_rows(suffix_dedup.remove_repeats(df)) == want
-    monkeypatch.setattr(suffix_dedup, "HOT_BLOCKS", 2)
+    for hot in (1, 3):
+        monkeypatch.setattr(suffix_dedup, "HOT_CONTEXTS", hot)
+        assert as_rows(suffix_dedup.remove_repeats(df)) == want
+    monkeypatch.setattr(suffix_dedup, "MANY_BLOCKS", 2)  # larger blocks beyond a number of them
     assert as_rows(suffix_dedup.remove_repeats(df)) == want
     assert as_rows(suffix_dedup.remove_repeats(odd)) == brute_repeats([(r["doc_id"], r["text"]) for r in odd.collect()])
     assert suffix_dedup.remove_repeats(none).count() == 0
