@@ -419,10 +419,24 @@ def test_chat_windows(spark):
     assert chat.chat_windows(df.limit(0)).count() == 0
 
 
-def test_chat_query(spark, small):
-    row = queries.queries()["op9_chat_formatting"](spark, small).where("conv_id = -7").first()
+def test_chat_query(spark):
+    """Every conversation of the table comes back whole, though windows are cut, turns repeated and repeated targets masked."""
+    folder = "/root/testdata/sf0.01"
     text = "\\### Assistant: </turn> ok"
-    assert row["turns_sha256"] == conversation_digest([("user", text), ("assistant", text)]) and row["loss_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+    by = {-7: [("user", text), ("assistant", text)]}
+    for r in spark.read.parquet(f"{folder}/conversations.parquet").orderBy("conv_id", "turn").collect():
+        by.setdefault(r["conv_id"], []).append((r["role"] or "", r["text"] or ""))
+    out = {r["conv_id"]: r for r in queries.queries()["op9_chat_formatting"](spark, folder).collect()}
+    assert set(out) == set(by)
+    for c, turns in by.items():
+        loss = "".join(t for r, t in turns if r == "assistant")
+        assert (out[c]["n_turns"], out[c]["turns_sha256"], out[c]["loss_chars"], out[c]["loss_sha256"]) == (len(turns), conversation_digest(turns), len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    windows = chat.chat_windows(spark.read.parquet(f"{folder}/conversations.parquet")).collect()
+    assert len(windows) > 1.3 * len(by) and sum(w["n_repeated"] for w in windows) > 50
+    # an assistant's turn is repeated, and is not under the mask there
+    assert any("<turn assistant>" in "</turn>\n".join(w["formatted"].split("</turn>\n")[: w["n_repeated"]]) for w in windows)
+    plan = queries.queries()["op9_chat_formatting"](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") < 20
 
 
 def test_pipeline_against_brute_force(spark):
