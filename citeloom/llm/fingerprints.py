@@ -11,12 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from citeloom.llm.common import materialize, own_text
+
 RANGE = 1 << 32
 #: The fixed fraction of hashes that a sketch retains, and how many it has at least if the text has them.
 FRACTION, SMALLEST = 1 / 8, 16
 SHINGLE = 5
-#: Boundaries of the id ranges within which neighbours are found: at most SPLIT * SPLIT ranges.
-SPLIT, RANGE_ROWS = 48, 1500
+#: About the rows of an id range within which neighbours are found; a row there is an id and a hash.
+RANGE_ROWS = 200_000
 
 
 def _bind(value: Column, use) -> Column:
@@ -85,47 +87,58 @@ def as_text(hashes: Column) -> Column:
     return F.array_join(F.transform(hashes, lambda h: F.lower(F.lpad(F.hex(h), 8, "0"))), "")
 
 
-def _ranges(docs: DataFrame) -> Column:
-    """The number of the id range of a row: balanced ranges by approximate quantiles, at most SPLIT * SPLIT."""
-    total = docs.count()
-    split = max(1, min(SPLIT, round((total / RANGE_ROWS) ** 0.5)))
-    if split == 1:
-        return F.lit(0)
-    steps = [k / split**2 for k in range(1, split**2)]
-    bounds = docs.agg(F.percentile_approx("doc_id", steps, 10 * split**2)).first()[0] or []
-    if not bounds:
-        return F.lit(0)
-    rows = [[], *([] for _ in range(split - 1))]
-    for k, bound in enumerate(bounds, 1):
-        rows[k // split].append(bound)
-    coarse = F.lit([r[0] for r in rows[1:]]).cast("array<bigint>")
-    fine = F.array(*(F.lit(r if k == 0 else r[1:]).cast("array<bigint>") for k, r in enumerate(rows)))
-    below = lambda at: F.size(F.filter(at, lambda x: x <= F.col("doc_id")))
-    first = below(coarse)
-    return F.coalesce(_bind(first, lambda k: k * split + below(F.element_at(fine, k + 1))), F.lit(-1))
+def next_names(names: DataFrame) -> DataFrame:
+    """names(doc_id, own), without repeats, with next_id and next_own of the next row; the first follows the last.
+
+    The order is by id, nulls first, then by the hash of the text.  Names are dealt to ranges, as many as their number
+    needs, and sorted there; the last of a range looks at the first row of the next one.
+    """
+    names = materialize(names, "fingerprint-names")
+    ranges = max(1, -(-names.count() // RANGE_ROWS))
+    order = ["doc_id", "own"]
+    placed = materialize(names.repartitionByRange(ranges, *order).withColumn("part", F.spark_partition_id()), "fingerprint-ranges")
+    # a row for each range: ids in a few bytes, not texts
+    first = F.struct((F.col("doc_id").isNotNull()).alias("has_id"), F.col("doc_id"), F.col("own"))
+    heads = placed.groupBy("part").agg(F.min(first).alias("h"))
+    every = Window.orderBy("part")
+    around = every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    heads = heads.select("part", F.coalesce(F.lead("h").over(every), F.first("h").over(around)).alias("h"))
+    within = Window.partitionBy("part").orderBy(*order)
+    rows = placed.select("part", *order, F.lead(first).over(within).alias("n")).join(heads, "part")
+    rows = rows.withColumn("n", F.coalesce("n", "h"))
+    return rows.select(*order, F.col("n.doc_id").alias("next_id"), F.col("n.own").alias("next_own"))
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """doc_id, text, sketch and the text and sketch of the next document by id; the first follows the last.
+    """doc_id, text, sketch and, of the next document by id, the sketch and as many first code points as a quarter of text has.
 
-    Ids are cut into balanced ranges that are sorted on their own; the last row of a range looks at the first row of the
-    next one.  Nulls come first and rows with equal ids are ordered by their texts.
+    The first document follows the last.  Nulls come first, and rows with equal ids are in the order of hashes of their
+    texts; of rows that repeat id and text all but one are followed by the same text.  No whole text goes to a neighbour,
+    and texts move once: both joins find them dealt by id and hash.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("part", _ranges(rows.select("doc_id")))
-    # the first row of each range: at most one for each of a bounded number of ranges
-    heads = rows.groupBy("part").agg(F.min("doc_id").alias("doc_id"), F.max(F.col("doc_id").isNull()).alias("null_id"))
-    heads = heads.select("part", F.when(F.col("null_id"), F.lit(None)).otherwise(F.col("doc_id")).alias("head_id"))
-    head = rows.join(F.broadcast(heads), "part").where(F.col("doc_id").eqNullSafe(F.col("head_id")))
-    head = head.groupBy("part").agg(F.min("text").alias("text"))
-    every = Window.orderBy("part")
-    around = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    head = head.select("part", F.coalesce(F.lead("text").over(every), F.first("text").over(around)).alias("head_text"))
-    within = Window.partitionBy("part").orderBy("doc_id", "text")
-    rows = rows.withColumn("sketch", sketch(F.col("text")))
-    rows = rows.withColumns({"next_text": F.lead("text").over(within), "next_sketch": F.lead("sketch").over(within)})
-    rows = rows.join(head.withColumn("head_sketch", sketch(F.col("head_text"))), "part")
-    return rows.select("doc_id", "text", "sketch", F.coalesce("next_text", "head_text").alias("next_text"), F.coalesce("next_sketch", "head_sketch").alias("next_sketch"))
+    rows = rows.withColumn("own", own_text(rows))
+    quarter = F.floor(F.length("text") / 4).cast("int")
+    names = materialize(rows.groupBy("doc_id", "own").agg(F.count("*").alias("times"), F.max(quarter).alias("quarter")), "fingerprint-times")
+    known = names.join(next_names(names.select("doc_id", "own")).withColumnsRenamed({"doc_id": "_d", "own": "_o"}), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("own") == F.col("_o"))).drop("_d", "_o")
+    wanted = known.select("next_id", "next_own", F.col("doc_id").alias("for_id"), F.col("own").alias("for_own"), "quarter")
+    sketched = rows.withColumn("sketch", sketch(F.col("text")))
+    again = names.where("times > 1")
+    once = sketched
+    if not again.isEmpty():  # a text that is repeated is looked at once; copies are combined in the tasks
+        twin = again.select(F.col("doc_id").alias("_d"), F.col("own").alias("_o")).hint("shuffle_hash")
+        same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("own") == F.col("_o"))
+        some = rows.join(twin, same, "left_semi").groupBy("doc_id", "own").agg(F.first("text").alias("text"))
+        once = rows.join(twin, same, "left_anti").select("doc_id", "own", "text").unionByName(some).withColumn("sketch", sketch(F.col("text"))).select(sketched.columns)
+    shown = once.join(wanted.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("next_id")) & (F.col("own") == F.col("next_own")))
+    shown = shown.select("for_id", "for_own", F.substring("text", F.lit(1), F.col("quarter")).alias("next_start"), F.col("sketch").alias("next_sketch"))
+    both = once.join(shown, F.col("doc_id").eqNullSafe(F.col("for_id")) & (F.col("own") == F.col("for_own")))
+    both = both.select("doc_id", "own", "text", "sketch", "next_start", "next_sketch")
+    if again.isEmpty():
+        return both.drop("own")
+    repeated = both.join(again.select(F.col("doc_id").alias("_d"), F.col("own").alias("_o"), "times"), same).select(
+        "doc_id", "text", "sketch", F.substring("text", F.lit(1), quarter).alias("next_start"), F.col("sketch").alias("next_sketch"), F.explode(F.sequence(F.lit(2), F.col("times").cast("int"))).alias("_n"))
+    return both.drop("own").unionByName(repeated.drop("_n"))
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
@@ -136,7 +149,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     (0).  A single document is its own next.  Further columns are not read.
     """
     quarter = F.floor(F.length("text") / 4).cast("int")
-    edited = F.concat(F.col("text").substr(F.lit(1), F.length("text") - quarter), F.col("next_text").substr(F.lit(1), quarter))
+    edited = F.concat(F.col("text").substr(F.lit(1), F.length("text") - quarter), F.col("next_start"))
     rows = with_next(docs).withColumn("edited", edited)
     rows = rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "sketch", "next_sketch", sketch(F.col("edited")).alias("edited_sketch"))
     both = F.struct(F.col("sketch").alias("own"), F.col("edited_sketch").alias("edited"), F.col("next_sketch").alias("next"))

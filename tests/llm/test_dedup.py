@@ -368,11 +368,53 @@ def test_fingerprints(spark, odd, none):
 
 def test_neighbours_over_many_ranges(spark, monkeypatch):
     monkeypatch.setattr(fingerprints, "RANGE_ROWS", 20)
-    ids = [i * 7 % 1009 * (3 if i % 5 else 1) for i in range(400)]
-    df = spark.createDataFrame([(i, f"text {i}") for i in sorted(set(ids))], "doc_id long, text string")
-    order = sorted(set(ids))
-    got = {r["doc_id"]: r["next_text"] for r in fingerprints.with_next(df).collect()}
-    assert got == {a: f"text {b}" for a, b in zip(order, order[1:] + order[:1])}
+    ids = sorted({i * 7 % 1009 * (3 if i % 5 else 1) for i in range(400)})
+    text = lambda i: f"{i} is a text of {i % 13} words " + "and more " * (i % 13)
+    df = spark.createDataFrame([(i, text(i)) for i in ids], "doc_id long, text string")
+    got = {r["doc_id"]: r["next_start"] for r in fingerprints.with_next(df).collect()}
+    assert got == {a: text(b)[: len(text(a)) // 4] for a, b in zip(ids, ids[1:] + ids[:1])}
+
+
+def test_likeness_of_neighbours_and_edits(spark):
+    """near_edited and near_next are near the Jaccard similarity of the whole shingle sets, and exact for short texts."""
+    rows = [(r["doc_id"], r["text"] or "") for r in documents(spark, "/root/testdata/sf0.001").collect()]
+    rows = sorted(rows)[:120]
+    rows += [(rows[-1][0] + 1, rows[-1][1]), (rows[-1][0] + 1, rows[-1][1]), (None, "one two three four five six")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = fingerprints.fingerprint_documents(df).collect()
+    assert len(out) == len(rows)
+    order = sorted(((r[0] is not None, r[0] or 0), r[1]) for r in rows)
+    jaccard = lambda a, b: len(shingle_set(a) & shingle_set(b)) / len(shingle_set(a) | shingle_set(b)) if shingle_set(a) | shingle_set(b) else 1.0
+    by, digests = {}, {}
+    for k, (key, text) in enumerate(order):
+        after = order[(k + 1) % len(order)][1]
+        q = len(text) // 4
+        edited = text[: len(text) - q] + after[:q]
+        digests.setdefault(key[1] if key[0] else None, []).append(hashlib.sha256(edited.encode()).hexdigest())
+        by[hashlib.sha256(edited.encode()).hexdigest()] = (jaccard(text, edited), jaccard(text, after), len(shingle_set(text)))
+    off = []
+    for r in out:
+        assert r["edited_sha256"] in digests[r["doc_id"]]
+        near_edited, near_next, size = by[r["edited_sha256"]]
+        off.append(abs(r["near_edited"] - near_edited))
+        if size <= 16 and near_edited == 1:
+            assert r["near_edited"] == 1
+        assert near_next or r["near_next"] == 0
+    assert sum(off) / len(off) < 0.1
+    same = [r for r in out if r["doc_id"] == rows[-2][0]]
+    assert len(same) == 2 and {r["near_next"] for r in same} >= {1.0}
+    assert fingerprints.fingerprint_documents(df.limit(1)).first()["near_next"] == 1.0
+
+
+def test_texts_move_once_to_meet_their_neighbours(spark, small):
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as on large tables
+    try:
+        df = queries.queries()["op3_document_fingerprints"](spark, small)
+        df.collect()
+        assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
 
 
 def test_sketches_merge_and_contain(spark):
