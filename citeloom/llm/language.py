@@ -21,6 +21,9 @@ from citeloom.llm.common import held_out
 BITS = 16
 #: The model is fitted on at most so many labelled rows, those with the smallest hashes of their ids.
 SAMPLE_ROWS = 20_000
+#: The languages that are learnt: those of most rows of the sample, then by name.  With the fixed size of a table it bounds
+#: the model, and what the driver gets, at 64 MB.
+MOST_LANGUAGES = 256
 PENALTY = 12.0
 SLICE = 4 << 20
 #: Scripts by the first byte of a UTF-8 character (ranges of lead bytes); 1 is Latin, 0 none.
@@ -88,8 +91,8 @@ def viterbi(score: np.ndarray, row: np.ndarray, penalty: float = PENALTY) -> np.
     order = np.argsort(-size, kind="stable")
     first, size = first[order], size[order]
     alive = np.searchsorted(-size, -np.arange(size[0] + 1), "left")  # rows with more than t words
-    back = np.zeros(score.shape, np.int8)
-    own = np.arange(score.shape[1], dtype=np.int8)
+    back = np.zeros(score.shape, np.int16)
+    own = np.arange(score.shape[1], dtype=np.int16)
     current = np.zeros(len(first), np.int64)
     value = score[first].astype(np.float64)
     for t in range(1, size[0] + 1):
@@ -112,8 +115,12 @@ def viterbi(score: np.ndarray, row: np.ndarray, penalty: float = PENALTY) -> np.
     return label
 
 
-def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
-    """Count byte trigrams and scripts by language over labelled rows outside the held-out fold."""
+def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, languages: int = MOST_LANGUAGES) -> LanguageModel:
+    """Count byte trigrams and scripts by language over labelled rows outside the held-out fold.
+
+    Values of lang beyond the number of languages are not learnt, so a column of very many values can't fill the driver.
+    """
+    size = (1 << BITS) + 16
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
@@ -123,22 +130,26 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
                 gram, script = _grams(raw, at), _SCRIPT[raw]
                 for k in range(i, j):
                     a, b = at[k - i], at[k - i + 1]
-                    held = counts.setdefault(names[k], np.zeros((1 << BITS) + 16, np.int64))
-                    held[: 1 << BITS] += np.bincount(gram[a:b], minlength=1 << BITS)
-                    held[1 << BITS :] += np.bincount(script[a:b], minlength=16)
-        for name, held in counts.items():
-            at = np.flatnonzero(held)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(at)), pa.array(at.astype(np.int32)), pa.array(held[at])], ["lang", "gram", "n"])
+                    held = counts.setdefault(names[k], np.zeros(size, np.uint32))
+                    held[: 1 << BITS] += np.bincount(gram[a:b], minlength=1 << BITS).astype(np.uint32)
+                    held[1 << BITS :] += np.bincount(script[a:b], minlength=16).astype(np.uint32)
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array([x.tobytes() for x in counts.values()], pa.binary())], ["lang", "counts"])
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for name, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                sums.setdefault(name, np.zeros(size, np.uint64))[:] += np.frombuffer(counts, np.uint32)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([x.astype(np.float32).tobytes() for x in sums.values()], pa.binary())], ["lang", "counts"])
 
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     sample = known.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     # the sample has a fixed bound, so it may be sent to every executor
     rows = known.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").join(F.broadcast(sample), "doc_id", "left_semi").select("lang", "text")
-    sums = rows.mapInArrow(over, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    by: dict[str, np.ndarray] = {}
-    for r in sums.collect():  # languages times the fixed size of a table, at most
-        by.setdefault(r["lang"], np.zeros((1 << BITS) + 16))[r["gram"]] = r["n"]
-    return fit(by)
+    most = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()  # a bounded number of names
+    rows = rows.where(F.col("lang").isin([r["lang"] for r in most]))
+    sums = rows.mapInArrow(over, "lang string, counts binary").repartition("lang").mapInArrow(total, "lang string, counts binary")
+    return fit({r["lang"]: np.frombuffer(r["counts"], np.float32).astype(np.float64) for r in sums.collect()})  # a table for each of a bounded number
 
 
 def fit(counts: dict[str, np.ndarray]) -> LanguageModel:
