@@ -1,8 +1,9 @@
 """Token counts by a unigram model, with the forward scores of shared prefixes computed once.
 
-The vocabulary's pieces have Zipf probabilities by rank, so nothing is trained.  The distinct pre-tokens of a slice of
-texts are put in a trie; walking it in order, the best score and token count of each prefix are one more column of a
-stack that all words below share.  The counts at the ends of words are stored; a document's count is their sum.
+The vocabulary files state an order of pieces and no probabilities, and none may be trained, so the piece of rank r has the
+Zipf probability of its rank, in proportion to 1 / (r + 1): frequent pieces come first in such files.  The distinct
+pre-tokens of a task's texts are inserted in a trie, whose nodes are scored once; the counts at the ends of pre-tokens
+are stored, and a document's count is their sum.
 """
 
 from __future__ import annotations
@@ -20,43 +21,63 @@ from citeloom.llm.byte_bpe import texts_of
 
 
 class UnigramTrie:
-    """Terminal counts of pre-tokens under the most probable split into pieces; of equally probable splits, the shortest."""
+    """A trie of pre-tokens, with the best split of each prefix into pieces; of equally probable splits, the shortest.
+
+    A node is a prefix.  It is scored once, when the first pre-token through it is inserted, from the nodes above it on
+    the path; a pre-token whose path is there already only reads the count stored at its end.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         total = math.log(sum(1 / (r + 1) for r in ranks.values()))
         self.score = {piece: -math.log(rank + 1) - total for piece, rank in ranks.items()}
-        self.sizes = sorted({len(piece) for piece in ranks})
-        #: for each last two bytes of a piece, the lengths that pieces ending so have
+        #: for each last two bytes of a piece, or its only one, the lengths that pieces ending so have
         ends: dict[bytes, set[int]] = {}
         for piece in ranks:
             ends.setdefault(piece[-2:], set()).add(len(piece))
         self.ends = {tail: sorted(sizes) for tail, sizes in ends.items()}
+        self.clear()
+
+    def clear(self) -> None:
+        """Leave the root alone."""
+        #: by node: its children by byte, the score of its best split and that split's number of pieces
+        self.children: list[dict[int, int]] = [{}]
+        self.best, self.size = [0.0], [0]
+
+    def count(self, word: bytes) -> int:
+        """Insert a pre-token; the number of pieces of its best split."""
+        children, node, path = self.children, 0, [0]
+        for at, byte in enumerate(word):
+            below = children[node].get(byte)
+            if below is None:
+                return self._grow(word, path, at)
+            path.append(node := below)
+        return self.size[node]
+
+    def _grow(self, word: bytes, path: list[int], at: int) -> int:
+        """Add the nodes of word beyond its first `at` bytes."""
+        children, best, size, score, ends = self.children, self.best, self.size, self.score, self.ends
+        for end in range(at + 1, len(word) + 1):
+            top, pieces = -math.inf, 0
+            for n in (*ends.get(word[end - 1 : end], ()), *(ends.get(word[end - 2 : end], ()) if end > 1 else ())):
+                if n > end:
+                    break
+                value = score.get(word[end - n : end])
+                if value is not None:
+                    above = path[end - n]
+                    value += best[above]
+                    if value > top or value == top and size[above] + 1 < pieces:
+                        top, pieces = value, size[above] + 1
+            node = len(children)
+            children[path[-1]][word[end - 1]] = node
+            children.append({})
+            best.append(top)
+            size.append(pieces)
+            path.append(node)
+        return size[path[-1]]
 
     def counts(self, words: list[bytes]) -> dict[bytes, int]:
         """The number of pieces of each distinct word."""
-        out: dict[bytes, int] = {}
-        score, ends = self.score, self.ends
-        best, size, last = [0.0], [0], b""
-        for word in sorted(words):
-            # the trie path that this word shares with the one before it is already scored
-            shared, most = 0, min(len(last), len(word))
-            while shared < most and last[shared] == word[shared]:
-                shared += 1
-            del best[shared + 1 :], size[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                top, pieces = -math.inf, 0
-                for n in (*ends.get(word[end - 1 : end], ()), *(ends.get(word[end - 2 : end], ()) if end > 1 else ())):
-                    if n > end:
-                        break
-                    value = score.get(word[end - n : end])
-                    if value is not None:
-                        value += best[end - n]
-                        if value > top or value == top and size[end - n] + 1 < pieces:
-                            top, pieces = value, size[end - n] + 1
-                best.append(top)
-                size.append(pieces)
-            out[word], last = size[len(word)], word
-        return out
+        return {word: self.count(word) for word in words}
 
 
 @lru_cache(maxsize=4)
@@ -64,8 +85,10 @@ def trie(vocabulary: str) -> UnigramTrie:
     return UnigramTrie(read_ranks(vocabulary))
 
 
-#: Texts of a slice share one trie; at most so many characters, or one longer text.
+#: Texts that are counted at once: at most so many characters, or one longer text.
 SLICE_CHARS = 4_000_000
+#: The trie is kept from slice to slice until it has so many nodes.
+MOST_NODES = 600_000
 
 
 def token_counts(docs: DataFrame, vocabulary: str, pattern: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -89,6 +112,8 @@ def token_counts(docs: DataFrame, vocabulary: str, pattern: str, id_column: str
                 parts.append(own)
                 seen.update(own)
             split = {part: [part] if part.strip(" ").isalpha() else cut.findall(part) for part in seen}
+            if len(model.children) > MOST_NODES:
+                model.clear()
             known = model.counts(list({piece.encode() for pieces in split.values() for piece in pieces}))
             sums = {part: (len(pieces), sum(known[piece.encode()] for piece in pieces)) for part, pieces in split.items()}
             return [tuple(map(sum, zip(*map(sums.__getitem__, own)))) if own else (0, 0) for own in parts]

@@ -135,7 +135,13 @@ def test_token_counts(spark, small, odd, none):
     model, cut = token_counts.trie(MULTI), bpe.compile_pattern(PATTERN)
     rng = random.Random(3)
     words = {"".join(rng.choice("abcdeé ") for _ in range(rng.randint(1, 30))).encode() for _ in range(500)}
+    model.clear()
     assert model.counts(list(words)) == {w: brute_pieces(model, w) for w in words}
+    # a node for each distinct prefix, scored once: words that are there already add none
+    assert len(model.children) == len({w[:k] for w in words for k in range(len(w) + 1)})
+    model.counts([w[:k] for w in words for k in (1, len(w))])
+    assert len(model.children) == len({w[:k] for w in words for k in range(len(w) + 1)})
+    assert model.count(b"") == 0
     for df in (odd, spark.read.parquet(f"{small}/documents.parquet").limit(40)):
         want = sorted((str(r["doc_id"]), len(p := cut.findall(r["text"] or "")), sum(brute_pieces(model, x.encode()) for x in p if len(x) < 300)) for r in df.collect() if len(r["text"] or "") < 4000)
         got = {(str(r["doc_id"]), r["n_pretokens"], r["n_tokens"]) for r in token_counts.token_counts(df, MULTI, PATTERN).collect()}
@@ -158,6 +164,38 @@ def test_viterbi_against_brute_force():
         at += n
 
 
+def test_very_many_languages(spark):
+    """Labels of more than 127 languages are kept apart, and beyond the bound the most frequent are learnt."""
+    rng = random.Random(8)
+    alphabet = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for k in range(300):
+        letters = "".join(rng.sample(alphabet, 5))
+        for copy in range(6 if k < 200 else 2):
+            rows.append((len(rows), " ".join("".join(rng.choice(letters) for _ in range(6)) for _ in range(60)), f"l{k:03d}"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(df)
+    assert len(model.names) == 256 and {f"l{k:03d}" for k in range(200)} <= set(model.names)
+    wide = language.train(df, languages=200)
+    assert wide.names == [f"l{k:03d}" for k in range(200)]
+    out = {r["doc_id"]: r["lang_pred"] for r in language.label_spans(df, wide).collect()}
+    known = [(d, lang) for d, _, lang in rows if lang in wide.names]
+    assert sum(out[d] == lang for d, lang in known) / len(known) > 0.9 and all(x in wide.names for x in out.values())
+    assert language.train(df.withColumn("lang", df.lang.substr(1, 2))).names == ["l0", "l1", "l2"]
+
+
+def test_labelled_rows_that_repeat_an_id(spark):
+    """Of labels under one id the worse counts, and texts repeated under it are learnt each."""
+    rows = [(i, f"{'good text of words' if i % 2 else '###  $$ click here'} {i} " * 5) for i in range(60)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'en' as lang", "1 as quality")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(1, 0), (None, 1), (2, None)], "doc_id long, quality int")
+    model = quality.train(docs, labels)
+    assert model.learnt
+    out = quality.score_quality(docs, model).collect()
+    assert len(out) == 120 and all((r["score"] > 0.5) == bool(r["doc_id"] % 2) for r in out if r["doc_id"] != 1)
+    assert language.train(docs).names == ["en"]
+
+
 def test_language_held_out(spark, small, odd, none):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     model = language.train(docs)
