@@ -30,54 +30,59 @@ class UnigramTrie:
     def __init__(self, ranks: dict[bytes, int]):
         total = math.log(sum(1 / (r + 1) for r in ranks.values()))
         self.score = {piece: -math.log(rank + 1) - total for piece, rank in ranks.items()}
-        #: for each last two bytes of a piece, or its only one, the lengths that pieces ending so have
+        #: by the last three bytes of a prefix, or all of a shorter one, the lengths of pieces that may end there
         ends: dict[bytes, set[int]] = {}
         for piece in ranks:
-            ends.setdefault(piece[-2:], set()).add(len(piece))
-        self.ends = {tail: sorted(sizes) for tail, sizes in ends.items()}
+            ends.setdefault(piece[-3:], set()).add(len(piece))
+        short = {tail: {n for k in range(1, len(tail) + 1) for n in ends.get(tail[-k:], ()) if n <= k} for tail in {p[-k:] for p in ranks for k in (1, 2, 3)}}
+        self.ends = {tail: tuple(sorted(short[tail] | ends.get(tail, set()))) for tail in short}
         self.clear()
 
     def clear(self) -> None:
         """Leave the root alone."""
-        #: by node: its children by byte, the score of its best split and that split's number of pieces
-        self.children: list[dict[int, int]] = [{}]
+        #: children by 256 * node + byte, and by node the score of its best split and that split's number of pieces
+        self.children: dict[int, int] = {}
         self.best, self.size = [0.0], [0]
 
-    def count(self, word: bytes) -> int:
-        """Insert a pre-token; the number of pieces of its best split."""
-        children, node, path = self.children, 0, [0]
-        for at, byte in enumerate(word):
-            below = children[node].get(byte)
-            if below is None:
-                return self._grow(word, path, at)
-            path.append(node := below)
-        return self.size[node]
-
-    def _grow(self, word: bytes, path: list[int], at: int) -> int:
-        """Add the nodes of word beyond its first `at` bytes."""
-        children, best, size, score, ends = self.children, self.best, self.size, self.score, self.ends
-        for end in range(at + 1, len(word) + 1):
-            top, pieces = -math.inf, 0
-            for n in (*ends.get(word[end - 1 : end], ()), *(ends.get(word[end - 2 : end], ()) if end > 1 else ())):
-                if n > end:
-                    break
-                value = score.get(word[end - n : end])
-                if value is not None:
-                    above = path[end - n]
-                    value += best[above]
-                    if value > top or value == top and size[above] + 1 < pieces:
-                        top, pieces = value, size[above] + 1
-            node = len(children)
-            children[path[-1]][word[end - 1]] = node
-            children.append({})
-            best.append(top)
-            size.append(pieces)
-            path.append(node)
-        return size[path[-1]]
+    def lengths(self, tail: bytes) -> tuple[int, ...]:
+        """Lengths of pieces that may end with these three bytes, or that these fewer bytes may be split at."""
+        while tail not in self.ends:
+            tail = tail[1:]
+        return self.ends[tail]
 
     def counts(self, words: list[bytes]) -> dict[bytes, int]:
-        """The number of pieces of each distinct word."""
-        return {word: self.count(word) for word in words}
+        """Insert pre-tokens; the number of pieces of the best split of each."""
+        out: dict[bytes, int] = {}
+        children, best, size, score, ends = self.children, self.best, self.size, self.score, self.ends
+        for word in words:
+            node, path, end = 0, [0], 0
+            for byte in word:
+                below = children.get(node << 8 | byte)
+                if below is None:
+                    break
+                path.append(below)
+                node = below
+                end += 1
+            for end in range(end + 1, len(word) + 1):
+                top, pieces = -math.inf, 0
+                tail = word[end - 3 : end] if end > 2 else word[:end]
+                for n in ends.get(tail) or self.lengths(tail):
+                    if n > end:
+                        break
+                    value = score.get(word[end - n : end])
+                    if value is not None:
+                        above = path[end - n]
+                        value += best[above]
+                        if value > top or value == top and size[above] + 1 < pieces:
+                            top, pieces = value, size[above] + 1
+                below = len(best)
+                children[node << 8 | word[end - 1]] = below
+                node = below
+                path.append(node)
+                best.append(top)
+                size.append(pieces)
+            out[word] = size[node]
+        return out
 
 
 @lru_cache(maxsize=4)
@@ -89,6 +94,8 @@ def trie(vocabulary: str) -> UnigramTrie:
 SLICE_CHARS = 4_000_000
 #: The trie is kept from slice to slice until it has so many nodes.
 MOST_NODES = 600_000
+#: The counts of parts of texts are kept from slice to slice until there are so many.
+MOST_PARTS = 300_000
 
 
 def token_counts(docs: DataFrame, vocabulary: str, pattern: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -100,6 +107,7 @@ def token_counts(docs: DataFrame, vocabulary: str, pattern: str, id_column: str
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, cut = trie(vocabulary), compile_pattern(pattern)
+        stored: dict[str, int] = {}  # 2**32 times the pre-tokens of a part of a text and their pieces
 
         def count(texts: list[str]) -> list[tuple[int, int]]:
             parts, seen = [], set()
@@ -111,12 +119,15 @@ def token_counts(docs: DataFrame, vocabulary: str, pattern: str, id_column: str
                     own = cut.findall(text)
                 parts.append(own)
                 seen.update(own)
-            split = {part: [part] if part.strip(" ").isalpha() else cut.findall(part) for part in seen}
-            if len(model.children) > MOST_NODES:
+            if len(model.best) > MOST_NODES:
                 model.clear()
-            known = model.counts(list({piece.encode() for pieces in split.values() for piece in pieces}))
-            sums = {part: (len(pieces), sum(known[piece.encode()] for piece in pieces)) for part, pieces in split.items()}
-            return [tuple(map(sum, zip(*map(sums.__getitem__, own)))) if own else (0, 0) for own in parts]
+            if len(stored) > MOST_PARTS:
+                stored.clear()
+            fresh = {part: [part] if part.strip(" ").isalpha() else cut.findall(part) for part in seen.difference(stored)}
+            known = model.counts(list({piece.encode() for pieces in fresh.values() for piece in pieces}))
+            stored.update((part, len(pieces) << 32 | sum([known[piece.encode()] for piece in pieces])) for part, pieces in fresh.items())
+            sums = [sum(map(stored.__getitem__, own)) for own in parts]
+            return [(x >> 32, x & 0xFFFFFFFF) for x in sums]
 
         for batch in batches:
             texts, held, found = [], 0, []

@@ -138,10 +138,10 @@ def test_token_counts(spark, small, odd, none):
     model.clear()
     assert model.counts(list(words)) == {w: brute_pieces(model, w) for w in words}
     # a node for each distinct prefix, scored once: words that are there already add none
-    assert len(model.children) == len({w[:k] for w in words for k in range(len(w) + 1)})
+    assert len(model.best) == len({w[:k] for w in words for k in range(len(w) + 1)})
     model.counts([w[:k] for w in words for k in (1, len(w))])
-    assert len(model.children) == len({w[:k] for w in words for k in range(len(w) + 1)})
-    assert model.count(b"") == 0
+    assert len(model.best) == len({w[:k] for w in words for k in range(len(w) + 1)})
+    assert model.counts([b""]) == {b"": 0}
     for df in (odd, spark.read.parquet(f"{small}/documents.parquet").limit(40)):
         want = sorted((str(r["doc_id"]), len(p := cut.findall(r["text"] or "")), sum(brute_pieces(model, x.encode()) for x in p if len(x) < 300)) for r in df.collect() if len(r["text"] or "") < 4000)
         got = {(str(r["doc_id"]), r["n_pretokens"], r["n_tokens"]) for r in token_counts.token_counts(df, MULTI, PATTERN).collect()}
