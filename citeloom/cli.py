@@ -1,8 +1,10 @@
-"""Command line: python -m citeloom.cli run|variant|doctor|preset."""
+"""Command line: python -m citeloom.cli run|variant|doctor|preset|bootstrap."""
 
 from __future__ import annotations
 
 import argparse
+import json
+from pathlib import Path
 
 import yaml
 
@@ -27,9 +29,24 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--dry-run", action="store_true")
     p = commands.add_parser("preset")
     p.add_argument("name", nargs="?")
+    p.add_argument("--write", metavar="FILE")
+    p = commands.add_parser("bootstrap")
+    p.add_argument("folder")
+    p.add_argument("--preset", default="offline")
     args = parser.parse_args(argv)
     if args.command == "preset":
-        print("\n".join(cfg.PRESETS) if not args.name else yaml.safe_dump(cfg.PRESETS[args.name]))
+        if args.name and args.name not in cfg.PRESETS:
+            parser.error(f"unknown preset {args.name!r}; known: {', '.join(cfg.PRESETS)}")
+        if args.write:
+            _write_config(args.write, args.name or "offline")
+        else:
+            print("\n".join(cfg.PRESETS) if not args.name else yaml.safe_dump(cfg.PRESETS[args.name]))
+        return 0
+    if args.command == "bootstrap":
+        for part in ("runs", "sources", "cache"):
+            Path(args.folder, part).mkdir(parents=True, exist_ok=True)
+        if not (target := Path(args.folder, "config.yaml")).exists():  # a configuration that is there is somebody's work
+            _write_config(str(target), args.preset)
         return 0
     if args.command == "variant":
         variant = stages.plan_variant(args.source, dict(map(cfg.parse_override, args.overrides)), args.start)
@@ -45,6 +62,11 @@ def main(argv: list[str] | None = None) -> int:
     return int(bool(found))
 
 
+def _write_config(path: str, preset: str) -> None:
+    """All settings of a preset, for a person to change."""
+    Path(path).write_text(yaml.safe_dump(json.loads(json.dumps(cfg.as_dict(cfg.load(preset)))), sort_keys=False), encoding="utf-8")
+
+
 def _session():
     from pyspark.sql import SparkSession
 

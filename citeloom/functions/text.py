@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from html import unescape
+import functools
+import json
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column
@@ -29,23 +30,71 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
+@functools.cache
+def _folded() -> str:
+    """Characters whose case folding is not their small letter, with it, as JSON."""
+    return json.dumps({c: c.casefold() for c in map(chr, [*range(0xD800), *range(0xE000, 0x20000)]) if c.casefold() != c.lower()})
+
+
+def casefold(c: Column) -> Column:
+    """For comparison whatever the case: small letters, and what Unicode folds further, such as sharp s."""
+    table = F.from_json(F.lit(_folded()), "map<string,string>")
+    folded = F.array_join(F.transform(F.split(c, ""), lambda x: F.coalesce(F.try_element_at(table, x), F.lower(x))), "")
+    return F.when(c.rlike(r"[^\x00-\x7F]"), folded).otherwise(F.lower(c))
+
+
 def key(c: Column) -> Column:
     """A key as text: null is empty, no white space around."""
     return F.coalesce(strip(c.cast("string")), F.lit(""))
 
 
-@F.pandas_udf(T.StringType())
-def _unescape(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for texts in batches:
-        yield texts.map(lambda t: t if t is None or "&" not in t else unescape(t))
+#: Numbers of characters that references give for numbers that name none, from 128 on in order.
+_C1 = [0x20AC, 0x81, 0x201A, 0x192, 0x201E, 0x2026, 0x2020, 0x2021, 0x2C6, 0x2030, 0x160, 0x2039, 0x152, 0x8D, 0x17D, 0x8F, 0x90, 0x2018, 0x2019, 0x201C, 0x201D, 0x2022, 0x2013, 0x2014, 0x2DC, 0x2122, 0x161, 0x203A, 0x153, 0x9D, 0x17E, 0x178]
+_REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 
 
-def clean_html(c: Column) -> Column:
-    """Entities first, then tags on one line are deleted, so an escaped tag goes as well.
+def _numbered(c: Column) -> Column:
+    """The character of a numeric reference, by the rules of HTML 5: none for numbers that stand for nothing."""
+    digits = F.regexp_replace(F.regexp_extract(c, r"^&#[xX]?([0-9a-fA-F]+)", 1), "^0+", "")
+    value = F.when(F.lower(F.substring(c, 3, 1)) == "x", F.conv(digits, 16, 10)).otherwise(F.conv(digits, 10, 10))
+    # numbers of more than eight digits are beyond all characters
+    number = F.when(F.length(digits) > 8, F.lit(1 << 32)).otherwise(F.coalesce(value, F.lit("0")).cast("long"))
 
-    Only texts with an ampersand leave the JVM for the entity table.
-    """
-    plain = F.when(F.contains(c, F.lit("&")), _unescape(F.when(F.contains(c, F.lit("&")), c))).otherwise(c)
+    def of(n: Column) -> Column:
+        mapped = F.when(n.between(128, 159), F.get(F.array(*map(F.lit, _C1)), (n - 128).cast("int")).cast("long")).otherwise(n)
+        bad = (n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF)
+        nothing = n.between(1, 8) | (n == 11) | n.between(14, 31) | (n == 127) | n.between(0xFDD0, 0xFDEF) | (n % 65536 >= 65534)
+        sign = F.decode(F.unhex(F.lpad(F.hex(F.when(bad, F.lit(32).cast("long")).otherwise(mapped)), 8, "0")), "UTF-32")
+        return F.when(bad, F.lit("\ufffd")).when(nothing, F.lit("")).otherwise(sign)
+
+    return bind(number, of)
+
+
+@functools.cache
+def _entities() -> tuple[str, str]:
+    """(names with their characters as JSON, an expression of the names that need no semicolon, longer ones first)."""
+    bare = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+    return json.dumps({f"&{n}": sign for n, sign in html5.items()}), "^&(?:" + "|".join(bare) + ")"
+
+
+def unescape(c: Column) -> Column:
+    """Character references as the characters that they stand for, in the JVM: numbers, names, and names that begin others."""
+    table, bare = _entities()
+    names = F.from_json(F.lit(table), "map<string,string>")
+
+    def one(ref: Column) -> Column:
+        begins = F.regexp_extract(ref, bare, 0)
+        named = F.coalesce(F.try_element_at(names, ref), F.concat(F.try_element_at(names, begins), F.substr(ref, F.length(begins) + 1)), ref)
+        return F.when(F.startswith(ref, F.lit("&#")), _numbered(ref)).otherwise(named)
+
+    between = F.split(c, _REFERENCE, -1)
+    found = F.concat(F.transform(F.regexp_extract_all(c, F.lit(_REFERENCE), F.lit(0)), one), F.array(F.lit("")))
+    return F.array_join(F.zip_with(between, found, lambda a, b: F.concat(a, b)), "")
+
+
+def clean_html(c: Column) -> Column:
+    """Character references first, then tags on one line are deleted, so an escaped tag goes as well."""
+    plain = F.when(F.contains(c, F.lit("&")), unescape(c)).otherwise(c)
     return F.regexp_replace(plain, r"<[^\n\r]*?>", "")
 
 
@@ -82,12 +131,18 @@ def without_hyphens(authors: Column) -> Column:
 
 
 def parse_authors(c: Column) -> Column:
-    """The names of an author string: cut at semicolons, `and` and `&`; `et al` and `12 colleagues` go."""
-    parts = F.flatten(F.transform(F.split(c, ";"), lambda p: F.split(p, r"(?i)\s+and\s+|\s+&\s+")))
-    parts = F.transform(parts, lambda p: F.regexp_replace(p, r"(?i)^\s*(and\s+|&\s*)+", ""))
-    parts = F.transform(parts, lambda p: F.regexp_replace(p, r"(?i)\bet\s+al\b\.?", ""))
-    parts = F.transform(parts, lambda p: F.regexp_replace(p, r"^[\s,;]+|[\s,;]+$", ""))
-    return F.filter(parts, lambda p: (p != "") & ~p.rlike(r"(?i)^\d+\s+(colleagues|co-?authors)$"))
+    """The names of an author string; null has none.
+
+    Cut at semicolons and at `and` or `&` between blanks; a leading `and` or `&` and a closing `et al` go, then blanks,
+    commas and semicolons at the ends; `12 colleagues` is nobody.
+    """
+    chunks = F.filter(F.transform(F.split(c, ";"), strip), lambda p: p != "")
+    parts = F.flatten(F.transform(chunks, lambda p: F.split(p, r"(?U)\s+(?:and|&)\s+")))
+    parts = F.transform(parts, lambda p: F.regexp_replace(p, r"(?iU)^(?:and|&)\s+", ""))
+    parts = F.transform(parts, lambda p: F.regexp_replace(p, r"(?iU),?\s*et\s*al\.?$", ""))
+    parts = F.transform(parts, lambda p: F.regexp_replace(p, r"^[ ,;]+|[ ,;]+$", ""))
+    named = F.filter(parts, lambda p: (p != "") & ~p.rlike(r"(?iU)^(?:and\s+)?\d+\s+colleagues\.?$"))
+    return F.coalesce(named, F.array().cast("array<string>"))
 
 
 def authors_text(authors: Column) -> Column:
@@ -183,10 +238,14 @@ def merge_chunks(chunks: list[str], words: int = 24) -> str:
     return " ".join(out)
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def chunks(texts: pd.Series) -> pd.Series:
+def chunks(c: Column, most: int = 12_000, overlap: int = 1_500) -> Column:
     """chunk_text of each text; null gives no chunks."""
-    return texts.map(lambda t: chunk_text(t or ""))
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def cut(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: chunk_text(t or "", most, overlap))
+
+    return cut(c)
 
 
 @F.pandas_udf(T.StringType())

@@ -15,6 +15,12 @@ def cluster_summary(df: DataFrame, cluster: str = "topic_id", label: str = "Name
     return groups.crossJoin(F.broadcast(total)).select("cluster", "label", "Count", percentage(F.col("Count"), F.col("_total")).alias("Percentage"))  # the total is one row
 
 
+def by_count(summary: DataFrame) -> DataFrame:
+    """A summary with `place`, 1 for the cluster of most rows; ties go by cluster."""
+    order = Window.orderBy(F.desc("Count"), "cluster")  # a row for each cluster
+    return summary.withColumn("place", F.row_number().over(order)).orderBy("place")
+
+
 def layer_rows(df: DataFrame, layers: list[int]) -> DataFrame:
     """(ord, layer, cluster, label): the wide layer columns as rows, in one pass."""
     each = F.array(*(F.struct(F.lit(k).alias("layer"), F.col(f"topic_layer_{k}_id").alias("cluster"), F.col(f"topic_layer_{k}_label").alias("label")) for k in layers))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.functions.columns import any_of, overlaps
-from citeloom.functions.text import authors_text, strip
+from citeloom.functions.text import authors_text, casefold, strip
 
 
 def require_columns(df: DataFrame, columns: list[str], caller: str) -> None:
@@ -127,8 +127,7 @@ def filter_by_field(df: DataFrame, column: str, values: list, keep: bool = True)
     """Rows whose field is (or is not) one of some values; texts match whatever their case, nulls never match."""
     require_columns(df, [column], "filter_by_field")
     texts = all(isinstance(v, str) for v in values)
-    fold = lambda c: F.replace(F.lower(c), F.lit("ß"), F.lit("ss"))
-    match = fold(F.col(column)).isin([v.casefold() for v in values]) if texts else F.col(column).isin(values)
+    match = casefold(F.col(column)).isin([v.casefold() for v in values]) if texts else F.col(column).isin(values)
     match = F.coalesce(match, F.lit(False))
     return df.where(match if keep else ~match)
 
@@ -138,15 +137,16 @@ def translation_targets(df: DataFrame, column: str, target: str = "en") -> DataF
     return df.where(F.coalesce(F.col(f"{column}_lang") != target, F.lit(True)) & F.col(column).isNotNull() & (F.col(column) != ""))
 
 
-#: Author ids that stand for nobody.
-PLACEHOLDERS = ["", "unknown", "none", "null", "nan", "n/a", "anonymous"]
+#: Author ids that stand for nobody, and parts between double colons of which one is enough for that.
+PLACEHOLDERS = ["", "nan", "none", "unknown", "no author", "no_author", "no-author", "n.author"]
+PLACEHOLDER_PARTS = ["", "unknown", "no author", "no_author", "no-author", "n.author"]
 
 
 def placeholder_uid(c: Column) -> Column:
     """Whether an author id, or a part of it between double colons, stands for nobody; true for null."""
     low = F.lower(strip(F.coalesce(c, F.lit(""))))
     parts = F.transform(F.split(low, "::"), strip)
-    return low.isin(PLACEHOLDERS) | F.arrays_overlap(parts, F.array(*(F.lit(p) for p in PLACEHOLDERS)))
+    return low.isin(PLACEHOLDERS) | F.arrays_overlap(parts, F.array(*map(F.lit, PLACEHOLDER_PARTS)))
 
 
 def meaningful(df: DataFrame, column: str) -> Column:

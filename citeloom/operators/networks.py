@@ -3,7 +3,8 @@
 Evidence tables hold a row for each supporting observation, in the orientation in which it was seen; graphs aggregate
 them over canonical pairs.  Thresholds count distinct papers (mentions, for direct citation), weights count evidence rows.
 Pairs are counted first, after works too rarely cited to reach the threshold are gone, and only qualifying pairs are
-joined to their evidence.  Input tables carry `ord`, a stable row order.
+joined to their evidence.  A paper or work with very many mentions is paired in blocks, over many tasks.  Input tables
+carry `ord`, a stable row order.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from citeloom.functions.columns import references
 from citeloom.functions.text import strip, surname
 from citeloom.operators import filters
+from citeloom.plans.written import materialize, numbered
 
 
 def citation_inputs(pubs: DataFrame) -> DataFrame:
@@ -35,9 +37,43 @@ def align(pubs: DataFrame, inputs: DataFrame) -> DataFrame:
 
 def mentions(pubs: DataFrame) -> DataFrame:
     """(ord, paper, year, pos, ref): a row for each reference of each publication; of repeated keys the last row counts."""
-    last = Window.partitionBy("Bibcode").orderBy(F.desc("ord"))
-    rows = pubs.withColumn("_n", F.row_number().over(last)).where("_n = 1")
-    return rows.select("ord", F.col("Bibcode").alias("paper"), F.col("Year").alias("year"), F.posexplode(references(F.col("References"))).alias("pos", "ref"))
+    rows = pubs.select("Bibcode", "ord", F.col("Year").alias("year"), references(F.col("References")).alias("refs"))
+    last = rows.groupBy("Bibcode").agg(F.max_by(F.struct("ord", "year", "refs"), "ord").alias("r"))
+    return last.select("r.ord", F.col("Bibcode").alias("paper"), "r.year", F.posexplode("r.refs").alias("pos", "ref"))
+
+
+#: Rows of a paper or work that are paired in one task; a group with more is cut into blocks of about so many.
+BLOCK = 1000
+#: Most tasks over which pairs of blocks are dealt.
+MOST_TASKS = 20_000
+
+
+def large_groups(rows: DataFrame, group: str) -> DataFrame | None:
+    """(group, _blocks) of the groups of more than BLOCK rows, if there are any; rows should be cheap to read."""
+    sizes = rows.groupBy(group).agg(F.count("*").alias("_n")).where(F.col("_n") > BLOCK)
+    large = materialize(sizes.select(group, F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks")), "large-groups")
+    return None if large.isEmpty() else large
+
+
+def pairs(left: DataFrame, right: DataFrame, group: str, condition: str, large: DataFrame | None) -> DataFrame:
+    """left and right joined on a group, where a condition holds.
+
+    A pair of rows of a large group is made by the task of their two blocks, so a group of any size is spread over as
+    many tasks as it needs; other groups are joined as they are.
+    """
+    if large is None:
+        return left.join(right, group).where(condition)
+    own = lambda df: F.pmod(F.xxhash64(*(c for c in df.columns if c != "_blocks")), F.col("_blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
+    a, b = left.join(large, group), right.join(large, group)
+    # a number of its own, as few rows make many pairs and partitions would be joined again by their bytes
+    tasks = min(MOST_TASKS, large.agg(F.sum(F.col("_blocks") * F.col("_blocks"))).first()[0])
+    keys = [group, "_i", "_j"]
+    a = a.select(*left.columns, own(a).alias("_i"), other.alias("_j")).repartition(tasks, *keys)
+    b = b.select(*right.columns, own(b).alias("_j"), other.alias("_i")).repartition(tasks, *keys)
+    blocked = a.join(b, keys).where(condition).drop("_i", "_j")
+    rest = left.join(large, group, "left_anti").join(right.join(large, group, "left_anti"), group).where(condition)
+    return rest.unionByName(blocked.select(rest.columns))
 
 
 def _prune(edges: DataFrame, group: str, item: str, least: int) -> DataFrame:
@@ -48,12 +84,12 @@ def _prune(edges: DataFrame, group: str, item: str, least: int) -> DataFrame:
     return edges.join(often, item, "left_semi")
 
 
-def pair_counts(edges: DataFrame, group: str, item: str, least: int = 1) -> DataFrame:
+def pair_counts(edges: DataFrame, group: str, item: str, least: int, large: DataFrame | None) -> DataFrame:
     """(source, target, n): canonical pairs of items that at least so many distinct groups share."""
     once = _prune(edges.select(group, item).distinct(), group, item, least)
     left, right = once.select(group, F.col(item).alias("source")), once.select(group, F.col(item).alias("target"))
-    pairs = left.join(right, group).where("source < target").groupBy("source", "target").agg(F.count("*").alias("n"))
-    return pairs.where(F.col("n") >= least)
+    counts = pairs(left, right, group, "source < target", large).groupBy("source", "target").agg(F.count("*").alias("n"))
+    return counts.where(F.col("n") >= least)
 
 
 def _qualifying(detail: DataFrame, counts: DataFrame) -> DataFrame:
@@ -75,25 +111,27 @@ def direct_citations(pubs: DataFrame, min_count: int = 1, authors: list[str] | N
 
 def co_citations(pubs: DataFrame, min_count: int = 1) -> DataFrame:
     """(year, source, target, cocit_source): two works in one list, the earlier first; at least min_count papers cite both."""
-    edges = mentions(pubs)
+    edges = materialize(mentions(pubs), "mentions")
+    large = large_groups(edges, "paper")
     used = _prune(edges, "paper", "ref", min_count)
     left = used.select("paper", "year", F.col("pos").alias("_a"), F.col("ref").alias("source"))
     right = used.select("paper", F.col("pos").alias("_b"), F.col("ref").alias("target"))
-    detail = left.join(right, "paper").where("_a < _b and source != target").select("year", "source", "target", F.col("paper").alias("cocit_source"))
-    return detail if min_count <= 1 else _qualifying(detail, pair_counts(edges, "paper", "ref", min_count))
+    detail = pairs(left, right, "paper", "_a < _b and source != target", large).select("year", "source", "target", F.col("paper").alias("cocit_source"))
+    return detail if min_count <= 1 else _qualifying(detail, pair_counts(edges, "paper", "ref", min_count, large))
 
 
 def coupling(pubs: DataFrame, min_shared: int = 1) -> DataFrame:
     """(year, source, target, shared_ref): two papers that cite a work, the earlier row first; the year is its year."""
-    once = mentions(pubs).groupBy("paper", "ref").agg(F.min("ord").alias("ord"), F.first("year").alias("year"))
+    once = materialize(mentions(pubs).groupBy("paper", "ref").agg(F.min("ord").alias("ord"), F.first("year").alias("year")), "mentions")
+    large = large_groups(once, "ref")
     used = once
     if min_shared > 1:  # a paper with fewer references couples with nobody
         many = once.groupBy("paper").agg(F.count("*").alias("_n")).where(F.col("_n") >= min_shared).select("paper")
         used = once.join(many, "paper", "left_semi")
     left = used.select("ref", F.col("ord").alias("_a"), F.col("paper").alias("source"), "year")
     right = used.select("ref", F.col("ord").alias("_b"), F.col("paper").alias("target"))
-    detail = left.join(right, "ref").where("_a < _b").select("year", "source", "target", F.col("ref").alias("shared_ref"))
-    return detail if min_shared <= 1 else _qualifying(detail, pair_counts(used, "ref", "paper", min_shared))
+    detail = pairs(left, right, "ref", "_a < _b", large).select("year", "source", "target", F.col("ref").alias("shared_ref"))
+    return detail if min_shared <= 1 else _qualifying(detail, pair_counts(used, "ref", "paper", min_shared, large))
 
 
 def first_author_id(columns: list[str]) -> Column:
@@ -126,11 +164,13 @@ def author_labels(refs: DataFrame, entities: DataFrame | None = None) -> DataFra
 def author_co_citations(pubs: DataFrame, refs: DataFrame, min_count: int = 1, entities: DataFrame | None = None) -> DataFrame:
     """(year, source, target, source_citation, source_label, target_label): two first authors whom one paper cites."""
     cited = mentions(pubs).where("year is not null").join(reference_authors(refs).select("ref", "author"), "ref").select("paper", "year", "author").distinct()
+    cited = materialize(cited, "cited-authors")
+    large = large_groups(cited, "paper")
     used = _prune(cited, "paper", "author", min_count)
     left, right = used.select("paper", "year", F.col("author").alias("source")), used.select("paper", F.col("author").alias("target"))
-    detail = left.join(right, "paper").where("source < target").select("year", "source", "target", F.col("paper").alias("source_citation"))
+    detail = pairs(left, right, "paper", "source < target", large).select("year", "source", "target", F.col("paper").alias("source_citation"))
     if min_count > 1:
-        detail = _qualifying(detail, pair_counts(cited, "paper", "author", min_count))
+        detail = _qualifying(detail, pair_counts(cited, "paper", "author", min_count, large))
     labels = author_labels(refs, entities)
     detail = detail.join(labels.select(F.col("author").alias("source"), F.col("label").alias("source_label")), "source")
     detail = detail.join(labels.select(F.col("author").alias("target"), F.col("label").alias("target_label")), "target")
@@ -183,11 +223,8 @@ def author_nodes(edges: DataFrame, entities: DataFrame | None = None) -> DataFra
 
 
 def with_edge_ids(detail: DataFrame, order: list[str]) -> DataFrame:
-    """detail with `id`, 0, 1, ... in an order: ranks within sorted ranges and the sizes of the ranges before, in two passes."""
-    ranged = detail.repartitionByRange(*order).sortWithinPartitions(*order)
-    schema = ranged.schema
-    numbered = ranged.rdd.zipWithIndex().map(lambda p: (*p[0], p[1]))  # built-in two-pass numbering of sorted partitions
-    return detail.sparkSession.createDataFrame(numbered, schema.add("id", "long")).select("id", *detail.columns)
+    """detail with `id`, 0, 1, ... in an order."""
+    return numbered(detail, order)
 
 
 def has_distinct_evidence(detail: DataFrame, edges: DataFrame) -> bool:

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from citeloom.functions.text import surname
+from citeloom.functions.text import fill_prompt, surname, topic_label, without_thinking
 from citeloom.operators.filters import translation_targets
 
 Translate = Callable[[list[str], list[str]], list[str]]
@@ -50,22 +50,38 @@ def train_language_profiles(labelled: DataFrame, text: str, lang: str, size: int
 
 
 def identify_language(df: DataFrame, column: str, profiles: dict[str, dict[str, float]]) -> DataFrame:
-    """df with `<column>_lang`; a null text counts as empty and, as one without letters, has no language."""
+    """df with `<column>_lang`; a null text counts as empty and, as one without letters, has no language.
+
+    Texts of a batch are scored together: each trigram is looked up once in a table of the profiles' shares.
+    """
+    names = sorted(profiles)
+    known = sorted({g for p in profiles.values() for g in p if len(g) == 3})
+    places = np.array([_trigram_codes(g)[0] for g in known], np.int64)
+    order = np.argsort(places)
+    places = places[order]
+    # a trigram that a profile lacks has a share of exp(-12); the last row is for trigrams that all lack
+    table = np.array([[profiles[k].get(known[i], -12.0) for k in names] for i in order] + [[-12.0] * len(names)]).reshape(len(known) + 1, len(names))
 
     @F.pandas_udf("string")
     def guess(texts: pd.Series) -> pd.Series:
-        floor = -12.0
+        own = [f" {t.lower()} " if t and any(map(str.isalpha, t)) else "" for t in texts]
+        out: list[str | None] = [None] * len(own)
+        if names:
+            for i, low in enumerate(own):
+                if low:
+                    code, times = np.unique(_trigram_codes(low), return_counts=True)
+                    at = np.minimum(np.searchsorted(places, code), max(len(places) - 1, 0))
+                    row = np.where(places[at] == code, at, len(places)) if len(places) else np.zeros(len(code), int)
+                    out[i] = names[int((times @ table[row]).argmax())]
+        return pd.Series(out)
 
-        def one(t: str | None) -> str | None:
-            if not t or not any(map(str.isalpha, t)):
-                return None
-            low = f" {t.lower()} "
-            grams = [low[i : i + 3] for i in range(len(low) - 2)]
-            return max(sorted(profiles), key=lambda k: sum(profiles[k].get(g, floor) for g in grams)) if profiles else None
+    return df.withColumn(f"{column}_lang", guess(F.col(column)))
 
-        return texts.map(one)
 
-    return df.withColumn(f"{column}_lang", guess(F.col(column)))
+def _trigram_codes(text: str) -> np.ndarray:
+    """A number for each run of three characters."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    return c[:-2] << 42 | c[1:-1] << 21 | c[2:]
 
 
 def translate(df: DataFrame, key: str, column: str, provider: Translate, target: str = "en") -> DataFrame:
@@ -133,12 +149,17 @@ def embed_documents(df: DataFrame, key: str, column: str, provider: Embed, cache
     return rows.select(key, "text_sha256").join(known, "text_sha256").select(key, "text_sha256", "embedding")
 
 
+def _in_order(df: DataFrame, key: str) -> DataFrame:
+    """df dealt and sorted by key, so that what is fitted does not depend on where rows come from."""
+    return df.repartition(key).sortWithinPartitions(key)
+
+
 def reduce_dimensions(df: DataFrame, key: str, vector: str = "embedding", sizes: tuple[int, ...] = (5, 2)) -> DataFrame:
     """(key, reduced_<k>d...) by principal components; signs are set by each component's largest loading."""
     from pyspark.ml.feature import PCA
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
-    rows = df.select(key, array_to_vector(F.transform(vector, lambda x: x.cast("double"))).alias("_v"))
+    rows = _in_order(df, key).select(key, array_to_vector(F.transform(vector, lambda x: x.cast("double"))).alias("_v"))
     model = PCA(k=max(sizes), inputCol="_v", outputCol="_p").fit(rows)
     loadings = model.pc.toArray()
     signs = [float(np.sign(loadings[np.abs(loadings[:, k]).argmax(), k]) or 1.0) for k in range(max(sizes))]
@@ -164,7 +185,7 @@ def cluster_kmeans(df: DataFrame, key: str, vector: str, k: int, seed: int = 0,
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    rows = df.select(key, vector, array_to_vector(F.transform(vector, lambda x: x.cast("double"))).alias("features"))
+    rows = _in_order(df, key).select(key, vector, array_to_vector(F.transform(vector, lambda x: x.cast("double"))).alias("features"))
     model = KMeans(k=k, seed=seed).fit(rows)
     out = model.transform(rows).withColumnRenamed("prediction", "topic_id")
     if noise_quantile is None:
@@ -257,6 +278,24 @@ def density_cluster(points: np.ndarray, min_cluster_size: int = 15, min_samples:
     return label
 
 
+#: Most documents that the exact density clusterer takes: it needs a square matrix of them in one task.
+DENSITY_ROWS = 20_000
+
+
+def cluster_density(df: DataFrame, key: str, vector: str, min_cluster_size: int = 15) -> DataFrame:
+    """(key, topic_id) by density_cluster over all rows as one group of a checked size; larger tables are refused."""
+    total = df.count()
+    if total > DENSITY_ROWS:
+        raise ValueError(f"the density clusterer takes up to {DENSITY_ROWS} documents, not {total}; use kmeans")
+
+    def over(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("k")
+        return pd.DataFrame({key: rows["k"], "topic_id": density_cluster(np.array(rows["v"].tolist(), float).reshape(len(rows), -1), min_cluster_size)})
+
+    kind = df.schema[key].dataType.simpleString()
+    return df.select(F.lit(0).alias("_all"), F.col(key).alias("k"), F.col(vector).alias("v")).groupBy("_all").applyInPandas(over, f"{key} {kind}, topic_id int")
+
+
 def _leaves(children: dict, top: int, n: int) -> list[int]:
     out, stack = [], [top]
     while stack:
@@ -280,6 +319,66 @@ def diverse_terms(terms: list[str], vectors: np.ndarray, centre: np.ndarray, top
     return [terms[i] for i in chosen]
 
 
+#: What a provider of labels is asked for a topic.
+LABEL_PROMPT = "Name the topic of these documents in a few words.\nKeywords: [KEYWORDS]\nDocuments:\n[DOCUMENTS]\nAnswer with the name only."
+
+
+def label_topics(terms: DataFrame, docs: DataFrame, provider: Callable[[list[str]], list[str]], most: int = 10, examples: int = 4, prompt: str = LABEL_PROMPT) -> DataFrame:
+    """(topic, name, error): a provider's name for each topic, or its heaviest terms where it fails or has nothing to say.
+
+    terms is (topic, term, weight), docs (ord, topic_id, text); a prompt holds the heaviest terms and the first documents.
+    """
+    heavy = terms.withColumn("_n", F.row_number().over(Window.partitionBy("topic").orderBy(F.desc("weight"), "term"))).where(F.col("_n") <= most)
+    words = heavy.groupBy("topic").agg(F.transform(F.array_sort(F.collect_list(F.struct("_n", "term"))), lambda x: x["term"]).alias("words"))
+    first = docs.withColumn("_n", F.row_number().over(Window.partitionBy("topic_id").orderBy("ord"))).where(F.col("_n") <= examples)
+    texts = first.groupBy(F.col("topic_id").alias("topic")).agg(F.transform(F.array_sort(F.collect_list(F.struct("_n", "text"))), lambda x: F.coalesce(x["text"], F.lit(""))).alias("texts"))
+    asked = words.join(texts, "topic", "left").select("topic", "words", fill_prompt(prompt, F.col("words"), F.coalesce("texts", F.array().cast("array<string>"))).alias("prompt"))
+
+    def over(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            answers, errors = [], []
+            for p in rows["prompt"]:
+                try:
+                    answers += provider([p])
+                    errors.append(None)
+                except Exception as e:  # one topic without an answer has its terms for a name
+                    answers.append(None)
+                    errors.append(str(e)[:300])
+            yield pd.DataFrame({"topic": rows["topic"], "words": rows["words"], "answer": answers, "error": errors})
+
+    kind = terms.schema["topic"].dataType.simpleString()
+    named = asked.mapInPandas(over, f"topic {kind}, words array<string>, answer string, error string")
+    label = topic_label(without_thinking(F.col("answer")))
+    return named.select("topic", F.when(F.coalesce(label, F.lit("")) != "", label).otherwise(F.array_join(F.slice("words", 1, 4), ", ")).alias("name"), "error")
+
+
+def coarser_layers(means: DataFrame, layers: int, seed: int = 0, branch: int = 3) -> DataFrame:
+    """(layer, cluster_id, top) of clusters in coarser and coarser layers, from (cluster, centroid) of layer 0.
+
+    Each layer joins the centroids of the one before, about `branch` at a time, by k-means.  Clusters are as many as were
+    asked for, so their centroids fit the driver; `top` lists the clusters of layer 0 in each.
+    """
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    spark = means.sparkSession
+    held = sorted((r["cluster"], list(r["centroid"])) for r in means.collect())
+    groups = [([c], v) for c, v in held]
+    rows = [(0, i, own) for i, (own, _) in enumerate(groups)]
+    for layer in range(1, layers):
+        k = max(1, -(-len(groups) // branch))
+        if k < len(groups):
+            points = spark.createDataFrame([(i, v) for i, (_, v) in enumerate(groups)], "i int, v array<double>").withColumn("features", array_to_vector("v"))
+            found = {r["i"]: r["prediction"] for r in KMeans(k=k, seed=seed).fit(points).transform(points).collect()} if k > 1 else dict.fromkeys(range(len(groups)), 0)
+            by: dict[int, list] = {}
+            for i, group in enumerate(groups):
+                by.setdefault(found[i], []).append(group)
+            groups = [(sorted(c for own, _ in part for c in own), np.mean([v for _, v in part], axis=0).tolist()) for part in by.values()]
+            groups.sort(key=lambda g: g[0])
+        rows += [(layer, i, own) for i, (own, _) in enumerate(groups)]
+    return spark.createDataFrame(rows, "layer int, cluster_id int, top array<int>")
+
+
 def block_authors(mentions: DataFrame) -> DataFrame:
     """Mentions (name) with author_uid and author_display_name: one identity for each surname and first initial.
 

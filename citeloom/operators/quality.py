@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,29 +67,58 @@ def clean_identities(df: DataFrame, uids: str = "author_uids", names: str = "aut
     return rows.withColumns({uids: F.transform("_pairs", lambda p: p["uid"]), names: F.transform("_pairs", lambda p: p["name"])}).drop("_pairs")
 
 
+def _changed_identities(df: DataFrame) -> Column:
+    """How many ids of a row stand for nobody, and how many of the others are repeats."""
+    every = F.coalesce("author_uids", F.array().cast("array<string>"))
+    valid = F.filter(every, lambda u: ~placeholder_uid(u))
+    return F.struct((F.size(every) - F.size(valid)).alias("placeholders"), (F.size(valid) - F.size(F.array_distinct(F.transform(valid, strip)))).alias("repeats"))
+
+
 def cleaning_report(pubs: DataFrame, refs: DataFrame) -> DataFrame:
     """One row of counters about keys, references and identities before cleaning."""
 
     def keys(df: DataFrame, name: str) -> DataFrame:
         rows = df.select(key(F.col("Bibcode")).alias("k"), (key(F.col("Bibcode")) != F.coalesce("Bibcode", F.lit(""))).alias("padded"))
-        return rows.agg(
-            F.count("*").alias(f"{name}_rows"), F.count_if(F.col("k") == "").alias(f"{name}_empty_keys"),
-            (F.count_if(F.col("k") != "") - F.countDistinct(F.when(F.col("k") != "", F.col("k")))).alias(f"{name}_duplicate_rows"),
-            F.count_if("padded").alias(f"{name}_padded_keys"))
+        by = rows.groupBy("k").agg(F.count("*").alias("n"), F.count_if("padded").alias("padded"))
+        full = F.col("k") != ""
+        return by.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias(f"{name}_rows"), F.coalesce(F.sum(F.when(~full, F.col("n"))), F.lit(0)).alias(f"{name}_empty_keys"),
+            F.coalesce(F.sum(F.when(full, F.col("n") - 1)), F.lit(0)).alias(f"{name}_duplicate_rows"), F.count_if(full & (F.col("n") > 1)).alias(f"{name}_duplicate_keys"),
+            F.count_if(full).alias(f"{name}_output_rows"), F.coalesce(F.sum("padded"), F.lit(0)).alias(f"{name}_padded_keys"))
 
     best = best_rows(pubs)
     items = reference_mentions(best, refs).agg(
         F.count_if("is_empty").alias("empty_mentions"), F.count_if("is_repeat").alias("duplicate_mentions"),
-        F.count_if(~F.col("is_empty") & ~F.col("is_known")).alias("missing_mentions"),
+        F.count_if(~F.col("is_empty") & ~F.col("is_repeat") & ~F.col("is_known")).alias("missing_mentions"),
         F.countDistinct(F.when(~F.col("is_empty") & ~F.col("is_known"), F.col("ref"))).alias("missing_keys"))
     out = keys(pubs, "publications").crossJoin(keys(refs, "references")).crossJoin(items)  # one row each
-    if "author_uids" in pubs.columns:
-        valid = F.filter("author_uids", lambda u: ~placeholder_uid(u))
-        ids = best.agg(F.sum(F.size("author_uids") - F.size(valid)).alias("placeholder_uids"), F.sum(F.size(valid) - F.size(F.array_distinct(F.transform(valid, strip)))).alias("duplicate_uids"))
-        out = out.crossJoin(ids)
+    for name, df in (("publications", best), ("references", best_rows(refs))):
+        if "author_uids" in df.columns:
+            rows = df.select(_changed_identities(df).alias("c")).select("c.*")
+            out = out.crossJoin(rows.agg(  # one row
+                F.coalesce(F.sum("placeholders"), F.lit(0)).alias(f"{name}_placeholder_uids"), F.coalesce(F.sum("repeats"), F.lit(0)).alias(f"{name}_duplicate_uids"),
+                F.count_if(F.col("placeholders") + F.col("repeats") > 0).alias(f"{name}_uid_changed_rows")))
     return out
 
 
+def cleaning_examples(pubs: DataFrame, refs: DataFrame, most: int = EXAMPLES) -> DataFrame:
+    """(kind, value, n) of a few values behind the counters: repeated keys, missing references and placeholder ids.
+
+    Keys and ids are those first seen, missing references those of most mentions.
+    """
+    parts = []
+    for name, df in (("publications", pubs), ("references", refs)):
+        keys = df.select("ord", key(F.col("Bibcode")).alias("value")).where("value != ''").groupBy("value").agg(F.count("*").alias("n"), F.min("ord").alias("first")).where("n > 1")
+        parts.append(keys.orderBy("first", "value").limit(most).select(F.lit(f"{name}_duplicate_key").alias("kind"), "value", "n"))
+        if "author_uids" in df.columns:
+            uids = best_rows(df).select("ord", F.posexplode("author_uids").alias("pos", "uid")).select("ord", "pos", key(F.col("uid")).alias("value")).where((F.col("value") != "") & placeholder_uid(F.col("value")))
+            first = uids.groupBy("value").agg(F.count("*").alias("n"), F.min(F.struct("ord", "pos")).alias("first"))
+            parts.append(first.orderBy("first", "value").limit(most).select(F.lit(f"{name}_placeholder_uid").alias("kind"), "value", "n"))
+    missing = missing_references(reference_mentions(best_rows(pubs), refs), most)
+    parts.append(missing.select(F.lit("missing_reference").alias("kind"), F.col("ref").alias("value"), F.col("mentions").alias("n")))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def prepare_bundle(pubs: DataFrame, refs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(publications, references, report): best rows of both, lists against the cleaned references, then identities."""
     clean_refs = best_rows(refs)
@@ -101,14 +132,36 @@ def sync_topic_counts(topic_info: DataFrame, pubs: DataFrame) -> DataFrame:
     return topic_info.join(counts, "Topic", "left").withColumn("Count", F.coalesce("_n", F.lit(0))).select(topic_info.columns)
 
 
-#: The columns that lead a dataset, in order.
-FRONT = ["Bibcode", "Title", "Title_en", "Author", "author_uids", "author_display_names", "Year", "Journal", "Abstract", "Abstract_en", "References", "topic_id", "Name"]
+#: The columns that lead a dataset, in order, those that end it, and those that lead a topic table.
+FRONT = [
+    "Bibcode", "Year", "Author", "author_display_names", "author_uids", "Title", "Title_lang", "Title_en", "Abstract", "Abstract_lang", "Abstract_en",
+    "Journal", "Journal Abbreviation", "Citation Count", "DOI", "Affiliation", "Keywords", "Category", "Volume", "Issue", "First Page", "Last Page",
+    "References", "full_text", "tokens", "topic_id", "Name", "Main", "MMR", "POS", "KeyBERT", "topic_primary_layer_index", "topic_layer_count",
+]
+TAIL = ["full_embeddings"]
+TOPIC_FRONT = ["Topic", "Count", "Name", "Main", "MMR", "POS", "KeyBERT", "Representation", "Representative_Docs"]
 
 
 def order_columns(df: DataFrame) -> DataFrame:
-    """Leading columns, topic layers by number with ids before labels, the rest, and embedding coordinates by number."""
+    """Leading columns, topic layers by number with ids before labels, the rest, embedding coordinates by number, the tail."""
+
+    def layer(c: str) -> tuple:
+        parts = c.split("_")
+        return (0, int(parts[2]), not c.endswith("_id"), c) if len(parts) > 3 and parts[2].isdigit() else (1, 0, False, c)
+
+    def coordinate(c: str) -> tuple:
+        axis = c.rsplit("_", 1)[1]
+        return (c.startswith("embedding_2d_"), int(axis) if axis.isdigit() else 10**6, c)
+
     front = [c for c in FRONT if c in df.columns]
-    layers = sorted((c for c in df.columns if c.startswith("topic_layer_") and c.rsplit("_", 1)[-1] in ("id", "label")), key=lambda c: (int(c.split("_")[2]) if c.split("_")[2].isdigit() else 0, c.rsplit("_", 1)[-1]))
-    tail = sorted((c for c in df.columns if c.startswith("embedding_")), key=lambda c: (c.split("_")[1], c))
-    rest = [c for c in df.columns if c not in front and c not in layers and c not in tail]
-    return df.select(front + layers + rest + tail)
+    layers = sorted((c for c in df.columns if c.startswith("topic_layer_") and c not in front), key=layer)
+    points = sorted((c for c in df.columns if c.startswith("embedding_5d_") or c in ("embedding_2d_x", "embedding_2d_y")), key=coordinate)
+    tail = [c for c in TAIL if c in df.columns]
+    rest = [c for c in df.columns if c not in {*front, *layers, *points, *tail}]
+    return df.select([f"`{c}`" for c in front + layers + rest + points + tail])
+
+
+def order_topic_columns(info: DataFrame) -> DataFrame:
+    """Leading columns of a topic table, then the others as they are."""
+    front = [c for c in TOPIC_FRONT if c in info.columns]
+    return info.select([f"`{c}`" for c in front + [c for c in info.columns if c not in front]])

@@ -55,6 +55,14 @@ def source_coverage(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.agg(*(F.round(F.avg(has(c)), 4).alias(f"{c}_coverage") for c in columns))
 
 
+def link_retention(pubs: DataFrame, refs: DataFrame) -> DataFrame:
+    """Links of publications to cited works as given, those to known works, and the share of these, 0 without links."""
+    links = pubs.select(F.explode("References").alias("ref"))
+    known = refs.select(F.col("Bibcode").alias("ref"), F.lit(1).alias("_k")).distinct()
+    return links.join(known, "ref", "left").agg(F.count("*").alias("raw_links"), F.count("_k").alias("retained_links"), F.countDistinct("ref").alias("unique_references")).withColumn(
+        "retention", F.round(F.col("retained_links") / F.greatest("raw_links", F.lit(1)), 4))
+
+
 def language_tally(df: DataFrame, columns: list[str], target: str = "en") -> DataFrame:
     """Texts of each column that exist and are not in the target language."""
     other = lambda c: F.coalesce(F.col(f"{c}_lang") != target, F.lit(True)) & F.col(c).isNotNull() & (F.col(c) != "")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeloom.functions.columns import dot
+from citeloom.plans.written import materialize
 
 #: A short list of English words without content.
 STOP_WORDS = ["a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "has", "have", "in", "is", "it", "its", "not", "of", "on", "or", "that", "the", "their", "this", "to", "was", "we", "were", "which", "with"]
@@ -20,13 +21,17 @@ def tokens(c: Column, least: int = 3, stop_words: list[str] = STOP_WORDS, lemma=
 
 
 def ngrams(words: Column, most: int = 3) -> Column:
-    """Runs of one to `most` words, joined by blanks, runs of one first."""
+    """Runs of one to `most` words, joined by blanks, runs of one first; a run is the shorter run and the next word."""
 
-    def runs(n: int) -> Column:
-        at = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))).otherwise(F.array().cast("array<int>"))
-        return F.transform(at, lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))
+    def longer(runs: Column, n: int) -> Column:
+        count = F.greatest(F.size(words) - (n - 1), F.lit(0))
+        return F.zip_with(F.slice(runs, F.lit(1), count), F.slice(words, F.lit(n), count), lambda run, word: F.concat(run, F.lit(" "), word))
 
-    return F.concat(*(runs(n) for n in range(1, most + 1)))
+    out, last = words, words
+    for n in range(2, most + 1):
+        last = longer(last, n)
+        out = F.concat(out, last)
+    return out
 
 
 def term_counts(docs: DataFrame, topic: str = "topic_id", words: str = "tokens", most: int = 3) -> DataFrame:
@@ -35,7 +40,11 @@ def term_counts(docs: DataFrame, topic: str = "topic_id", words: str = "tokens",
 
 
 def class_tfidf(counts: DataFrame, top: int | None = 20) -> DataFrame:
-    """(topic, term, tf, weight): tf * ln(1 + A / f), A the mean number of terms of a class and f a term's total."""
+    """(topic, term, tf, weight): tf * ln(1 + A / f), A the mean number of terms of a class and f a term's total.
+
+    Counts are written once, as totals of terms and of classes and the weights themselves all follow from them.
+    """
+    counts = materialize(counts, "term-counts")
     total = counts.groupBy("term").agg(F.sum("tf").alias("_f"))
     mean = counts.groupBy("topic").agg(F.sum("tf").alias("_n")).agg(F.avg("_n").alias("_a"))
     rows = counts.join(total, "term").crossJoin(F.broadcast(mean))  # the mean is one row

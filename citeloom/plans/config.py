@@ -25,6 +25,19 @@ class SearchSection:
     url: str = ""
     rows: int = 2000
     token: str | None = None
+    link: str = "{bibcode}/{resource}"
+    transport: str = ""
+    cache: str | None = None
+
+
+@dataclass(frozen=True)
+class ExportSection:
+    url: str = ""
+    format: str = ""
+    chunk: int = 2000
+    workers: int = 5
+    transport: str = ""
+    cache: str | None = None
 
 
 @dataclass(frozen=True)
@@ -50,18 +63,24 @@ class TokenizeSection:
 class AuthorSection:
     enabled: bool = True
     provider: str = "blocking"
+    cache: str | None = None
 
 
 @dataclass(frozen=True)
 class TopicSection:
     embedder: str = "hash"
     dimensions: int = 64
+    embedding_cache: str | None = None
     reduction: str = "pca"
+    reduction_params: dict = field(default_factory=dict)
     clusterer: str = "kmeans"
     clusters: int = 10
     sample_size: int | None = None
     outlier_threshold: float = 0.5
     top_terms: int = 20
+    labeler: str = "keywords"
+    layers: int = 1
+    working_layer: int | str = "auto"
 
 
 @dataclass(frozen=True)
@@ -91,11 +110,12 @@ class CitationSection:
 class Config:
     run: RunSection = RunSection()
     search: SearchSection = SearchSection()
+    export: ExportSection = ExportSection()
     source: SourceSection = SourceSection()
     translate: TranslateSection = TranslateSection()
     tokenize: TokenizeSection = TokenizeSection()
     authors: AuthorSection = AuthorSection()
-    topic: TopicSection = TopicSection()
+    topic: TopicSection = field(default_factory=TopicSection)
     visualize: VisualizeSection = VisualizeSection()
     curation: CurationSection = CurationSection()
     citations: CitationSection = field(default_factory=CitationSection)
@@ -105,6 +125,12 @@ class Config:
             raise ValueError(f"unknown output format {self.citations.output_format!r}")
         if not 0 <= self.topic.outlier_threshold <= 1:
             raise ValueError("topic.outlier_threshold lies between 0 and 1")
+        for name, value in (("search.rows", self.search.rows), ("export.chunk", self.export.chunk), ("export.workers", self.export.workers), ("topic.clusters", self.topic.clusters),
+                            ("topic.dimensions", self.topic.dimensions), ("topic.layers", self.topic.layers), ("tokenize.min_length", self.tokenize.min_length)):
+            if isinstance(value, bool) or not isinstance(value, int) or value < 1:
+                raise ValueError(f"{name} must be a positive whole number, not {value!r}")
+        if unknown := set(self.citations.metrics) - {"direct", "co_citation", "bibliographic_coupling", "author_co_citation"}:
+            raise ValueError(f"unknown metrics: {', '.join(sorted(unknown))}")
 
 
 PRESETS: dict[str, dict] = {
@@ -112,6 +138,7 @@ PRESETS: dict[str, dict] = {
     "flat": {"topic": {"clusterer": "kmeans", "clusters": 20}},
     "citations_only": {"translate": {"enabled": False}, "visualize": {"enabled": False}, "authors": {"enabled": False}},
     "density": {"topic": {"clusterer": "density"}},
+    "hierarchy": {"topic": {"clusters": 27, "layers": 3}},
 }
 
 

@@ -27,7 +27,7 @@ class Session:
         return stages.invalidate(self.ctx, from_dict(held))
 
     def run_stage(self, stage: str) -> None:
-        lacking = [t for t in stages.NEEDS[stage] if t not in self.ctx.tables]
+        lacking = [t for t in stages.needs(self.ctx.config, stage) if t not in self.ctx.tables]
         if lacking:
             raise ValueError(f"{stage} needs {', '.join(lacking)}; run {', '.join(sorted({stages.maker(t) for t in lacking}, key=stages.STAGES.index))} first")
         stages.RUN[stage](self.ctx)

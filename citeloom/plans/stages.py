@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import json
+import logging
 import re
 import shutil
 from collections.abc import Callable
@@ -15,16 +17,21 @@ import yaml
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citeloom.functions import columns as fc
 from citeloom.functions import text as ft
 from citeloom.operators import curation, filters, networks, providers, quality, reports, topics, viz
 from citeloom.plans.config import Config, as_dict, changed_settings, fill_title, from_dict, redact, with_overrides
-from citeloom.sources import corpus, sinks
+from citeloom.plans.written import materialize
+from citeloom.sources import corpus, rest, sinks
 
+logger = logging.getLogger(__name__)
+
+#: The names of the stages, in order.
 STAGES = ("search", "export", "translate", "tokenize", "author_disambiguation", "embeddings", "reduction", "topic_fit", "topic_dataframe", "visualize", "curate", "citations")
 #: The stage that a changed setting makes stale, by section or by section and key; the earliest match counts.
 STALE: dict[str, str] = {
-    "search": "search", "source": "export", "translate": "translate", "tokenize": "tokenize", "authors": "author_disambiguation",
-    "topic.embedder": "embeddings", "topic.dimensions": "embeddings", "topic.sample_size": "embeddings", "topic.reduction": "reduction",
+    "search": "search", "export": "export", "source": "export", "translate": "translate", "tokenize": "tokenize", "authors": "author_disambiguation",
+    "topic.embedder": "embeddings", "topic.dimensions": "embeddings", "topic.sample_size": "embeddings", "topic.reduction": "reduction", "topic.reduction_params": "reduction",
     "topic": "topic_fit", "run.seed": "embeddings", "visualize": "visualize", "curation": "curate", "citations": "citations",
 }
 #: The tables that each stage makes.
@@ -48,6 +55,8 @@ class Context:
     tables: dict[str, DataFrame] = field(default_factory=dict)
     notes: dict[str, Any] = field(default_factory=dict)
     providers: providers.Registry = field(default_factory=providers.Registry)
+    #: Called with a stage and `begins` or `ends`.
+    progress: Callable[[str, str], None] = lambda stage, event: None
 
     def save(self, name: str, df: DataFrame) -> None:
         """A table of the run: written, and read again, so that later stages do not repeat the work."""
@@ -89,23 +98,65 @@ def invalidate(ctx: Context, config: Config) -> str | None:
 
 
 def search(ctx: Context) -> None:
+    """The pages of a search as rows, kept under its time where search.cache names a folder, which later runs read instead."""
     s = ctx.config.search
     if "found" in ctx.tables:
         return
-    if not s.url:
-        raise ValueError("the search stage needs search.url, or source tables and a later start")
-    pages = ctx.spark.read.format("literature").option("url", s.url).option("params", json.dumps({"q": s.query, "rows": s.rows, "sort": "date desc, id asc"}))
-    rows = corpus.search_rows((pages.option("transport", ctx.notes["transport"]) if "transport" in ctx.notes else pages).load().where("error is null"))
-    ctx.save("found", rows.withColumn("ord", F.monotonically_increasing_id()))  # one chained partition, so ids follow its order
+    if s.cache and (held := _latest(ctx.spark, s.cache)) is not None:
+        ctx.save("found", held)
+    else:
+        if not s.url:
+            raise ValueError("the search stage needs search.url, or source tables and a later start")
+        pages = ctx.spark.read.format("literature").option("url", s.url).option("params", json.dumps({"q": s.query, "rows": s.rows, "sort": "date desc, id asc"}))
+        for name, value in (("transport", ctx.notes.get("transport", s.transport)), ("token", s.token)):
+            pages = pages.option(name, value) if value else pages
+        rows = corpus.search_rows(pages.load().where("error is null"), link=s.link)
+        ctx.save("found", rows.withColumn("ord", F.monotonically_increasing_id()))  # one chained partition, so ids follow its order
+        if s.cache:
+            sinks.write_search(ctx.tables["found"], s.cache, dt.datetime.now(dt.timezone.utc))
+    ctx.notes["search"] = {k: int(v) for k, v in reports.search_stats(ctx.tables["found"]).first().asDict().items()}
+
+
+def _latest(spark: SparkSession, folder: str) -> DataFrame | None:
+    try:
+        return corpus.load_latest_search(spark, folder)
+    except Exception as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
 
 
 def export(ctx: Context) -> None:
-    s = ctx.config.source
-    if not (s.publications and s.references):
-        raise ValueError("the export stage reads source.publications and source.references")
-    pubs, refs = corpus.normalize_source(*corpus.load_pair(ctx.spark, s.publications, s.references))
-    ctx.save("pubs", pubs)
-    ctx.save("refs", refs)
+    """Publications and cited works: own tables, or what a service exports for the keys that were found and those cited."""
+    s, c = ctx.config.source, ctx.config.export
+    if s.publications and s.references:
+        pubs, refs = corpus.normalize_source(*corpus.load_pair(ctx.spark, s.publications, s.references))
+        ctx.save("pubs", pubs)
+        ctx.save("refs", refs)
+        ctx.notes["export"] = {k: float(v) for k, v in reports.source_coverage(ctx.tables["pubs"], ["Abstract", "References", "Journal", "DOI"]).first().asDict().items() if v is not None}
+        return
+    if not c.url or "found" not in ctx.tables:
+        raise ValueError("the export stage reads source.publications and source.references, or asks export.url for what a search has found")
+    found = ctx.tables["found"]
+    keys = {"pubs": found.where("Bibcode is not null").groupBy("Bibcode").agg(F.min("ord").alias("ord")), "refs": corpus.all_references(found)}
+    for name, wanted in keys.items():
+        if c.cache and (held := corpus.load_snapshot(ctx.spark, f"{c.cache}/{name}", _export_metadata(ctx, wanted))) is not None:
+            ctx.save(f"exported_{name}", held)
+            continue
+        asked = rest.export_keys(wanted, c.url, c.format, ctx.notes.get("transport", c.transport), ctx.config.search.token, c.chunk, c.workers)
+        ctx.save(f"exported_{name}", asked)
+        if c.cache and not ctx.tables[f"exported_{name}"].where("error is not null").limit(1).count():
+            corpus.save_snapshot(ctx.tables[f"exported_{name}"], f"{c.cache}/{name}", _export_metadata(ctx, wanted))
+    pubs, refs = corpus.resolve_dataset(found, *(corpus.export_records(ctx.tables[f"exported_{name}"]) for name in ("pubs", "refs")))
+    for name, df in (("pubs", pubs), ("refs", refs)):
+        ctx.save(name, df)
+        failed = ctx.tables[f"exported_{name}"].withColumn("ord", F.col("chunk"))
+        covered = reports.export_coverage(keys[name], ctx.tables[name]).first().asDict()
+        ctx.notes.setdefault("export", {})[name] = covered | {"failed": [f"chunk {r['chunk']}: {r['error']}" for r in reports.failures(failed).collect()]}  # the first three
+
+
+def _export_metadata(ctx: Context, keys: DataFrame) -> dict:
+    return {"url": ctx.config.export.url, "format": ctx.config.export.format, "keys": fc.frame_fingerprint(keys, ["Bibcode"])}
 
 
 def translate(ctx: Context) -> None:
@@ -130,28 +181,53 @@ def tokenize(ctx: Context) -> None:
 
 
 def disambiguate(ctx: Context) -> None:
-    pubs, refs = ctx.tables["pubs_tokens"], ctx.tables["refs_translated"]
-    if not ctx.config.authors.enabled:
+    """Author identities by blocking, as written (`passthrough`), or by a provider over all mentions; kept in authors.cache."""
+    c, pubs, refs = ctx.config.authors, ctx.tables["pubs_tokens"], ctx.tables["refs_translated"]
+    if not c.enabled:
         ctx.save("pubs_authors", pubs)
         ctx.save("refs_authors", refs)
         return
-    mentions = lambda df, n: df.select(F.lit(n).alias("table"), "Bibcode", F.posexplode("Author").alias("pos", "name"))
-    named = providers.block_authors(mentions(pubs, 0).union(mentions(refs, 1)))
+    metadata = {"stage": "author_disambiguation", "provider": c.provider, "rows": [fc.frame_fingerprint(df, ["Bibcode", "Author"]) for df in (pubs, refs)]}
+    named = corpus.load_snapshot(ctx.spark, c.cache, metadata) if c.cache else None
+    if named is None and c.provider != "passthrough":
+        mentions = lambda df, n: df.select(F.lit(n).alias("table"), "Bibcode", F.posexplode("Author").alias("pos", "name"))
+        run = providers.block_authors if c.provider == "blocking" else ctx.providers.get("authors", c.provider)
+        named = run(mentions(pubs, 0).union(mentions(refs, 1))).select("table", "Bibcode", "pos", "author_uid", "author_display_name")
+        if c.cache:
+            corpus.save_snapshot(named, c.cache, metadata)
+            named = corpus.load_snapshot(ctx.spark, c.cache, metadata)
     for k, (name, df) in enumerate((("pubs_authors", pubs), ("refs_authors", refs))):
+        if c.provider == "passthrough":
+            ctx.save(name, providers.passthrough_identities(df))
+            continue
         ctx.save(name, providers.attach_identities(df, named.where(F.col("table") == k)))
+        providers.check_identities(ctx.tables[name])
 
 
 def embed(ctx: Context) -> None:
+    """Vectors of documents; those whose text the cache has, from the same provider in the same size, are not made again."""
     c = ctx.config.topic
     docs = ctx.tables["pubs_authors"]
     if c.sample_size is not None:
         docs = topics.sample_documents(docs, c.sample_size, ctx.config.run.seed)
     provider = providers.hash_embedder(c.dimensions) if c.embedder == "hash" else ctx.providers.get("embed", c.embedder)
-    ctx.save("vectors", providers.embed_documents(docs, "Bibcode", "full_text", provider))
+    metadata, held = {"provider": c.embedder, "dimensions": c.dimensions}, None
+    if c.embedding_cache:
+        held = corpus.load_snapshot(ctx.spark, c.embedding_cache, metadata)
+    ctx.save("vectors", providers.embed_documents(docs, "Bibcode", "full_text", provider, held))
+    if c.embedding_cache:
+        known = ctx.tables["vectors"].select("text_sha256", "embedding").dropDuplicates(["text_sha256"])
+        if held is not None:
+            known = materialize(known.unionByName(held.join(known.select("text_sha256"), "text_sha256", "left_anti")), "vectors")
+        corpus.save_snapshot(known, c.embedding_cache, metadata)
 
 
 def reduce(ctx: Context) -> None:
-    rows = providers.reduce_dimensions(ctx.tables["vectors"], "Bibcode")
+    c = ctx.config.topic
+    if c.reduction == "pca":
+        rows = providers.reduce_dimensions(ctx.tables["vectors"], "Bibcode")
+    else:
+        rows = ctx.providers.get("reduce", c.reduction)(ctx.tables["vectors"], providers.validate_reduction(c.reduction, dict(c.reduction_params)))
     ctx.save("reduced", ctx.tables["vectors"].join(rows, "Bibcode"))
 
 
@@ -159,6 +235,8 @@ def fit_topics(ctx: Context) -> None:
     c, rows = ctx.config.topic, ctx.tables["reduced"]
     if c.clusterer == "kmeans":
         found = providers.cluster_kmeans(rows, "Bibcode", "reduced_5d", c.clusters, ctx.config.run.seed, noise_quantile=0.95)
+    elif c.clusterer == "density":
+        found = providers.cluster_density(rows, "Bibcode", "reduced_5d", fc.cluster_defaults(rows.count())["min_cluster_size"])
     else:
         found = ctx.providers.get("cluster", c.clusterer)(rows)
     rows = rows.join(found, "Bibcode")
@@ -169,20 +247,59 @@ def fit_topics(ctx: Context) -> None:
 
 
 def topic_dataframe(ctx: Context) -> None:
+    c = ctx.config.topic
     docs = ctx.tables["pubs_authors"].join(ctx.tables["assigned"], "Bibcode").join(ctx.tables["reduced"].select("Bibcode", "reduced_5d", "reduced_2d"), "Bibcode")
-    info = topics.topic_info(docs, topics.topic_names(ctx.tables["terms"]))
+    names = topics.topic_names(ctx.tables["terms"])
+    if c.labeler != "keywords":
+        asked = providers.label_topics(ctx.tables["terms"], docs.select("ord", "topic_id", F.col("full_text").alias("text")), ctx.providers.get("label", c.labeler))
+        names = materialize(asked, "labels")
+        ctx.notes["label_failures"] = names.where("error is not null").count()
+    if c.layers > 1:
+        docs = docs.join(topic_layers(ctx), "Bibcode", "left")
+    info = topics.topic_info(docs, names)
     topics.check_names(info)
     framed = topics.topic_frame(docs, info)
     pubs, refs, report = quality.prepare_bundle(framed, ctx.tables["refs_authors"])
-    ctx.save("dataset", pubs)
-    ctx.save("dataset_refs", refs)
-    ctx.save("topic_info", quality.sync_topic_counts(info, ctx.tables["dataset"]))
+    ctx.save("dataset", quality.order_columns(pubs))
+    ctx.save("dataset_refs", quality.order_columns(refs))
+    ctx.save("topic_info", quality.order_topic_columns(quality.sync_topic_counts(info, ctx.tables["dataset"])))
     ctx.notes["cleaning"] = json.loads(report.toJSON().first())
+    examples = quality.cleaning_examples(framed, ctx.tables["refs_authors"]).collect()  # at most 20 of each kind
+    ctx.notes["cleaning_examples"] = [r.asDict() for r in examples]
+    kept = reports.link_retention(framed, ctx.tables["refs_authors"]).first().asDict()
+    ctx.notes["links"] = {k: float(v) if isinstance(v, float) else int(v) for k, v in kept.items()}
+
+
+def topic_layers(ctx: Context) -> DataFrame:
+    """A row for each document with its cluster and that cluster's label in each of topic.layers layers, finest first.
+
+    Coarser layers join clusters; needless noise is taken into them, by the tree or by the nearest centroid.
+    """
+    c, rows = ctx.config.topic, ctx.tables["reduced"].select("Bibcode", F.col("reduced_5d").alias("embedding")).join(ctx.tables["assigned"], "Bibcode")
+    above = providers.coarser_layers(topics.centroids(rows, "topic_id", "embedding"), c.layers, ctx.config.run.seed)
+    member = above.select("layer", "cluster_id", F.explode("top").alias("topic_id"))
+    every = rows.select("Bibcode", "topic_id").crossJoin(F.broadcast(above.select("layer").distinct()))  # as many rows as layers
+    assigned = every.join(member, ["layer", "topic_id"], "left").select("Bibcode", "layer", F.coalesce("cluster_id", F.lit(-1)).alias("cluster_id"))
+    fine, coarse = above.select(F.col("layer").alias("child_layer"), F.col("cluster_id").alias("child_id"), "top"), above.select(F.col("layer").alias("parent_layer"), F.col("cluster_id").alias("parent_id"), F.explode("top").alias("_t"))
+    tree = fine.join(coarse, (F.col("parent_layer") == F.col("child_layer") + 1) & (F.col("_t") == F.col("top")[0])).select("child_layer", "child_id", "parent_layer", "parent_id")
+    assigned = materialize(topics.reassign_layers(assigned, rows.select("Bibcode", "embedding"), tree, c.layers, c.outlier_threshold), "layers")
+    words = ctx.tables["pubs_authors"].select("Bibcode", "tokens")
+    labelled = []
+    for layer in range(c.layers):
+        own = assigned.where(F.col("layer") == layer)
+        named = topics.topic_names(topics.class_tfidf(topics.term_counts(words.join(own.where("cluster_id <> -1"), "Bibcode"), "cluster_id"), c.top_terms))
+        label = F.when(F.col("cluster_id") == -1, F.lit(topics.OUTLIER)).otherwise(F.coalesce("name", F.concat(F.lit("Topic "), F.col("cluster_id").cast("string"))))
+        labelled.append(own.join(named.withColumnRenamed("topic", "cluster_id"), "cluster_id", "left").select("Bibcode", "layer", "cluster_id", label.alias("label")))
+    layers = list(range(c.layers))
+    ctx.notes["clusters_per_layer"] = {int(r["layer"]): int(r["clusters"]) for r in curation.clusters_per_layer(assigned).collect()}
+    return curation.wide_layers(functools.reduce(DataFrame.union, labelled), layers, curation.working_layer(c.layers, c.working_layer))
 
 
 def visualize(ctx: Context) -> None:
     if ctx.config.visualize.enabled:
         ctx.save("map", viz.point_payload(ctx.tables["dataset"]))
+        layers = [k for k, _, _ in viz.label_layers(ctx.tables["dataset"].columns)]
+        ctx.save("panel", viz.hierarchical_panel(ctx.tables["dataset"], layers) if layers else viz.panel_rows(ctx.tables["dataset"]))
         counts = reports.run_counts(ctx.tables["dataset"]).first()
         ctx.notes["title"] = fill_title(ctx.config.visualize.title, {"n_documents": counts["rows"], "n_topics": counts["topics_nunique"] - (counts["outliers"] > 0)})
 
@@ -223,13 +340,22 @@ RUN: dict[str, Callable[[Context], None]] = {
 }
 
 
+def needs(config: Config, stage: str) -> tuple[str, ...]:
+    """The tables that a stage reads: an export without own tables reads what a search has found."""
+    return ("found",) if stage == "export" and not config.source.publications else NEEDS[stage]
+
+
 def run_stage(ctx: Context, stage: str) -> list[str]:
     """Run a stage, and before it whatever makes the tables that it lacks; returns the stages that ran, in order."""
     ran: list[str] = []
-    for table in NEEDS[stage]:
+    for table in needs(ctx.config, stage):
         if table not in ctx.tables:
             ran += run_stage(ctx, maker(table))
+    ctx.progress(stage, "begins")
+    logger.info("%s begins", stage)
     RUN[stage](ctx)
+    ctx.progress(stage, "ends")
+    logger.info("%s ends", stage)
     return [*ran, stage]
 
 
@@ -241,9 +367,11 @@ def run_folder(root: str, name: str, now: dt.datetime | None = None) -> str:
     return str(path)
 
 
-def run(spark: SparkSession, config: Config, root: str, tables: dict[str, DataFrame] | None = None, registry: providers.Registry | None = None) -> Context:
+def run(spark: SparkSession, config: Config, root: str, tables: dict[str, DataFrame] | None = None, registry: providers.Registry | None = None,
+        progress: Callable[[str, str], None] | None = None) -> Context:
     """The slice of stages of a configuration; configuration and summary are written whether it ends well or not."""
     ctx = Context(spark, config, run_folder(root, config.run.name), dict(tables or {}), providers=registry or providers.Registry())
+    ctx.progress = progress or ctx.progress
     start = config.run.start_stage
     if start == "search" and config.source.publications:  # own tables take the place of a search
         start = "export"
@@ -270,7 +398,7 @@ def summary(ctx: Context, error: str | None = None) -> dict:
     table = next((ctx.tables[t] for t in ("curated", "dataset") if t in ctx.tables), None)
     if table is not None and not error:
         out["counts"] = {k: float(v) if isinstance(v, float) else int(v) for k, v in reports.run_counts(table).first().asDict().items()}
-    for k in ("cleaning", "title", "networks"):
+    for k in ("search", "export", "links", "cleaning", "cleaning_examples", "clusters_per_layer", "label_failures", "title", "networks"):
         if k in ctx.notes:
             out[k] = ctx.notes[k]
     return out
@@ -312,14 +440,36 @@ def run_variant(spark: SparkSession, variant: Variant, root: str, registry: prov
     return run(spark, variant.config, root, tables, registry)
 
 
-def doctor(config: Config) -> list[str]:
-    """What would stop a run before it starts."""
+#: Names that need no provider, by task: the setting and the stage that reads it.
+BUILT_IN: dict[str, tuple[str, str, str, set[str]]] = {
+    "translate": ("translate", "translate", "provider", {"identity"}), "authors": ("author_disambiguation", "authors", "provider", {"blocking", "passthrough"}),
+    "embed": ("embeddings", "topic", "embedder", {"hash"}), "reduce": ("reduction", "topic", "reduction", {"pca"}), "cluster": ("topic_fit", "topic", "clusterer", {"kmeans", "density"}),
+    "label": ("topic_dataframe", "topic", "labeler", {"keywords"}),
+}
+
+
+def doctor(config: Config, registry: providers.Registry | None = None) -> list[str]:
+    """What would stop a run before it starts, for the stages that it has."""
     out = []
     stages = stage_slice(config.run.start_stage, config.run.stop_stage)
-    if "search" in stages and not (config.search.url or config.source.publications):
+    own = config.source.publications and config.source.references
+    if "search" in stages and not (config.search.url or config.search.cache or config.source.publications):
         out.append("search: neither search.url nor source tables are set")
+    if "search" in stages and config.search.url and not config.source.publications and not config.search.query:
+        out.append("search: search.query is empty")
     if "export" in stages and bool(config.source.publications) != bool(config.source.references):
         out.append("source: publications and references belong together")
+    if "export" in stages and (config.search.url or config.search.cache) and not own and not (config.export.url and config.export.format):
+        out.append("export: a search needs export.url and export.format")
+    known = (registry or providers.Registry()).known
+    for task, (stage, section, key, built_in) in BUILT_IN.items():
+        name = getattr(getattr(config, section), key)
+        if stage in stages and getattr(getattr(config, section), "enabled", True) and name not in built_in and name not in known.get(task, {}):
+            out.append(f"{section}.{key}: no provider {name!r}; known: {', '.join(sorted({*built_in, *known.get(task, {})}))}")
+    for name in ("publications", "references"):
+        path = getattr(config.source, name)
+        if "export" in stages and path and "://" not in path and not Path(path).exists():
+            out.append(f"source.{name}: {path} does not exist")
     if shutil.disk_usage(".").free < 1 << 30:
         out.append("less than 1 GB of disk is free")
     return out

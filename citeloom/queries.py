@@ -271,22 +271,42 @@ def missing_references_top(spark, d):
     return quality.missing_references(quality.reference_mentions(quality.best_rows(untidy(spark, d)), cited_works(spark, d)))
 
 
-@query(f"""with {UNTIDY}, r as (select k, ref, row_number() over (partition by k, ref order by pos) as n, ref in (select p_partkey::varchar from part) as known from items)
-select (select count(*) from dirty) as publications_rows, (select count(*) from dirty where trim(key) = '') as publications_empty_keys,
- (select count(*) - count(distinct trim(key)) from dirty where trim(key) <> '') as publications_duplicate_rows, (select count(*) from dirty where trim(key) <> key) as publications_padded_keys,
- (select count(*) from part) as references_rows, 0::bigint as references_empty_keys, 0::bigint as references_duplicate_rows, 0::bigint as references_padded_keys,
+def keys_sql(name: str, table: str, key: str) -> str:
+    return f"""(select count(*) from {table}) as {name}_rows, (select count(*) from {table} where trim({key}) = '') as {name}_empty_keys,
+ (select count(*) - count(distinct trim({key})) from {table} where trim({key}) <> '') as {name}_duplicate_rows,
+ (select count(*) from (select trim({key}) from {table} where trim({key}) <> '' group by 1 having count(*) > 1)) as {name}_duplicate_keys,
+ (select count(distinct trim({key})) from {table} where trim({key}) <> '') as {name}_output_rows, (select count(*) from {table} where trim({key}) <> {key}) as {name}_padded_keys"""
+
+
+@query(f"""with {UNTIDY}, r as (select k, ref, row_number() over (partition by k, ref order by pos) as n, ref in (select p_partkey::varchar from part) as known from items),
+works as (select p_partkey::varchar as key, ['uid:' || p_size, 'Unknown', 'uid:' || (p_partkey % 50), 'a::no author', 'uid:' || p_size] as u from part),
+ids as (select list_filter(u, lambda x: lower(x) not in ('unknown', 'a::no author')) as valid, u from works)
+select {keys_sql('publications', 'dirty', 'key')}, {keys_sql('references', 'works', 'key')},
  count(*) filter (where ref = '') as empty_mentions, count(*) filter (where ref <> '' and n > 1) as duplicate_mentions,
- count(*) filter (where ref <> '' and not known) as missing_mentions, count(distinct ref) filter (where ref <> '' and not known) as missing_keys from r""")
+ count(*) filter (where ref <> '' and n = 1 and not known) as missing_mentions, count(distinct ref) filter (where ref <> '' and not known) as missing_keys,
+ (select sum(len(u) - len(valid))::bigint from ids) as references_placeholder_uids, (select sum(len(valid) - len(list_distinct(valid)))::bigint from ids) as references_duplicate_uids,
+ (select count(*) from ids where len(u) <> len(list_distinct(valid))) as references_uid_changed_rows from r""")
 def cleaning_report(spark, d):
-    return quality.cleaning_report(untidy(spark, d), cited_works(spark, d))
+    uid = lambda c: F.concat(F.lit("uid:"), c.cast("string"))
+    size = uid(F.col("Year") - 1950)
+    refs = cited_works(spark, d).withColumn("author_uids", F.array(size, F.lit("Unknown"), uid(F.col("ord") % 50), F.lit("a::no author"), size))
+    return quality.cleaning_report(untidy(spark, d), refs.withColumn("Year", F.lit(None).cast("int")))
+
 
+@query(f"""with {UNTIDY}, u as (select k, ord, ref from items where ref <> ''), dup as (select trim(key) as value, count(*) as n, min(ord) as first from dirty where trim(key) <> '' group by 1 having count(*) > 1)
+select * from (select 'publications_duplicate_key' as kind, value, n from dup order by first, value limit 20)
+union all select * from (select 'missing_reference', ref, count(distinct k) from u where ref not in (select p_partkey::varchar from part) group by ref order by 3 desc, 2 limit 20)""")
+def cleaning_examples(spark, d):
+    return quality.cleaning_examples(untidy(spark, d), cited_works(spark, d))
 
-@query("""with s as (select s_suppkey, ['uid:' || s_nationkey, 'unknown', ' uid:' || s_nationkey || ' ', 'uid:' || s_suppkey, 'a::none'] as u, [s_name, 'x', 'y'] as n from supplier)
-select s_suppkey, case when s_nationkey <> s_suppkey then 'uid:' || s_nationkey || ',' || 'uid:' || s_suppkey else 'uid:' || s_nationkey end as uids,
- case when s_nationkey <> s_suppkey then s_name || ',' else s_name end as names from supplier""")
+
+@query("""with s as (select s_suppkey, s_name, ['uid:' || s_nationkey, case s_suppkey % 8 when 0 then 'unknown' when 1 then 'NaN' when 2 then 'no author' when 3 then 'N.Author' when 4 then 'x::' when 5 then 'x::unknown::y' when 6 then 'x::none' else 'null' end, ' uid:' || s_nationkey || ' ', 'uid:' || s_suppkey] as u from supplier),
+t as (select s_suppkey, s_name, u[1] as a, case when s_suppkey % 8 >= 6 then u[2] end as b, u[4] as c from s)
+select s_suppkey, concat_ws(',', a, b, case when c <> a then c end) as uids, s_name || case when b is null then '' else ',x' end || case when c <> a then ',' else '' end as names from t""")
 def clean_author_uids(spark, d):
-    nation = F.concat(F.lit("uid:"), F.col("s_nationkey").cast("string"))
-    rows = table(spark, d, "supplier").select("s_suppkey", F.array(nation, F.lit("unknown"), F.concat(F.lit(" "), nation, F.lit(" ")), F.concat(F.lit("uid:"), F.col("s_suppkey").cast("string")), F.lit("a::none")).alias("author_uids"), F.array(F.col("s_name"), F.lit("x"), F.lit("y")).alias("author_display_names"))
+    nation, own = (F.concat(F.lit("uid:"), F.col(c).cast("string")) for c in ("s_nationkey", "s_suppkey"))
+    odd = F.get(F.array(*map(F.lit, ["unknown", "NaN", "no author", "N.Author", "x::", "x::unknown::y", "x::none", "null"])), (F.col("s_suppkey") % 8).cast("int"))
+    rows = table(spark, d, "supplier").select("s_suppkey", F.array(nation, odd, F.concat(F.lit(" "), nation, F.lit(" ")), own).alias("author_uids"), F.array(F.col("s_name"), F.lit("x"), F.lit("y")).alias("author_display_names"))
     return quality.clean_identities(rows).select("s_suppkey", F.array_join("author_uids", ",").alias("uids"), F.array_join("author_display_names", ",").alias("names"))
 
 
@@ -301,18 +321,28 @@ def clean_html_pages(spark, d):
     return table(spark, d, "pages").select("page_id", F.md5(ft.clean_html(F.col("html")).cast("binary")).alias("clean_md5"))
 
 
-@query("""select p_partkey, trim(split_part(p_partkey || ' - ' || (p_partkey + 9), '-', 1)) as first_part, (p_size + 1)::varchar as first_page, (p_size + 9)::varchar as last_page, 9::int as pages from part""")
+@query("""select p_partkey, trim(split_part(p_partkey || ' - ' || (p_partkey + 9), '-', 1)) as first_part, (p_size + p_partkey % 3)::varchar as first_page,
+ case p_partkey % 4 when 3 then '' else (p_size + p_partkey % 90)::varchar end as last_page, case when p_partkey % 4 <> 3 and p_size + p_partkey % 3 <> 0 and p_size + p_partkey % 90 <> 0 then p_partkey % 90 - p_partkey % 3 + 1 end::int as pages from part""")
 def clean_ranges(spark, d):
-    both = F.concat((F.col("p_size") + 1).cast("string"), F.lit(" – "), (F.col("p_size") + 9).cast("string"))
+    sign = F.get(F.array(*map(F.lit, [" – ", "-", "—", ""])), (F.col("p_partkey") % 4).cast("int"))
+    last = F.when(F.col("p_partkey") % 4 == 3, F.lit("")).otherwise((F.col("p_size") + F.col("p_partkey") % 90).cast("string"))
+    both = F.concat((F.col("p_size") + F.col("p_partkey") % 3).cast("string"), sign, last)
     rows = table(spark, d, "part").select("p_partkey", ft.clean_range(F.concat_ws(" - ", F.col("p_partkey").cast("string"), (F.col("p_partkey") + 9).cast("string"))).alias("first_part"), ft.page_range(both).alias("r"))
     return rows.select("p_partkey", "first_part", F.col("r.first").alias("first_page"), F.col("r.last").alias("last_page"), fc.page_count(F.col("r.first"), F.col("r.last")).alias("pages"))
 
 
-@query("""select c_custkey, c_name || '|' || 'Doe, J|Roe|Li, X' as names, 4::int as n, 'Doe' as second_surname from customer""")
+@query("""with c as (select c_custkey, c_name || case c_custkey % 7 when 0 then '; ' when 1 then ' and ' when 2 then ' & ' when 3 then ' AND ' when 4 then ', et al.; ' when 5 then '; 12 Colleagues.;' else ';; & ' end || c_mktsegment
+ || case c_custkey % 5 when 0 then ' et al' when 1 then '; and 3 colleagues' when 2 then ' ,;' when 3 then '; et al.' else '' end as written from customer),
+x as (select c_custkey, unnest(regexp_split_to_array(written, ';')) as chunk, unnest(range(len(regexp_split_to_array(written, ';')))) as i from c),
+y as (select c_custkey, i, unnest(regexp_split_to_array(trim(chunk), '\\s+(?:and|&)\\s+')) as part, unnest(range(len(regexp_split_to_array(trim(chunk), '\\s+(?:and|&)\\s+')))) as j from x where trim(chunk) <> ''),
+z as (select c_custkey, i, j, trim(regexp_replace(regexp_replace(part, '^(?:and|&)\\s+', '', 'i'), ',?\\s*et\\s*al\\.?$', '', 'i'), ' ,;') as name from y),
+k as (select * from z where name <> '' and not regexp_full_match(name, '(?:and\\s+)?\\d+\\s+colleagues\\.?', 'i'))
+select c_custkey, string_agg(name, '|' order by i, j) as names, count(*)::int as n, max_by(regexp_extract(name, '[^ ]+$'), -(i * 100 + j)) as first_surname from k group by 1""")
 def parse_authors(spark, d):
-    written = F.concat("c_name", F.lit("; Doe, J and Roe et al.; & Li, X; 12 colleagues"))
+    pick = lambda n, *signs: F.get(F.array(*map(F.lit, signs)), (F.col("c_custkey") % n).cast("int"))
+    written = F.concat("c_name", pick(7, "; ", " and ", " & ", " AND ", ", et al.; ", "; 12 Colleagues.;", ";; & "), "c_mktsegment", pick(5, " et al", "; and 3 colleagues", " ,;", "; et al.", ""))
     names = table(spark, d, "customer").select("c_custkey", ft.parse_authors(written).alias("a"))
-    return names.select("c_custkey", F.array_join("a", "|").alias("names"), F.size("a").alias("n"), ft.surname(F.col("a")[1]).alias("second_surname"))
+    return names.select("c_custkey", F.array_join("a", "|").alias("names"), F.size("a").alias("n"), ft.surname(F.col("a")[0]).alias("first_surname"))
 
 
 @query("""select o_orderkey::varchar as "Bibcode", 'T ' || o_orderpriority as "Title", year(o_orderdate)::varchar as "Year", 2::int as authors from orders where o_orderkey % 5 <> 0""")
@@ -344,9 +374,16 @@ def export_coverage(spark, d):
     return reports.export_coverage(pubs, pubs.where("Bibcode % 9 <> 0"))
 
 
-@query(f"""with {MENTIONS} select round(avg((paper in (select paper from m))::int), 4)::double as "References_coverage", 1.0::double as "Title_coverage" from pubs""")
+@query(f"""with {MENTIONS} select round(avg((paper in (select paper from m))::int), 4)::double as "References_coverage", round(avg((ord % 3 <> 0 and ord % 7 <> 1)::int), 4)::double as "Title_coverage", round(avg((ord % 11 <> 0)::int), 4)::double as "Year_coverage" from pubs""")
 def source_coverage(spark, d):
-    return reports.source_coverage(publications(spark, d), ["References", "Title"])
+    title = F.when(F.col("ord") % 3 == 0, F.lit(None)).when(F.col("ord") % 7 == 1, F.lit(" ")).otherwise(F.col("Title"))
+    pubs = publications(spark, d).withColumns({"Title": title, "Year": F.when(F.col("ord") % 11 != 0, F.col("Year"))})
+    return reports.source_coverage(pubs, ["References", "Title", "Year"])
+
+
+@query("select count(*) as raw_links, count(*) filter (where l_partkey % 5 <> 0) as retained_links, count(distinct l_partkey) as unique_references, round(count(*) filter (where l_partkey % 5 <> 0) / count(*), 4)::double as retention from lineitem")
+def link_retention(spark, d):
+    return reports.link_retention(publications(spark, d), cited_works(spark, d).where("ord % 5 <> 0"))
 
 
 @query("""select o_orderkey::varchar as "Bibcode", year(o_orderdate)::int as "Year" from orders qualify row_number() over (partition by year(o_orderdate) order by o_orderkey) <= 25""")
@@ -460,13 +497,24 @@ def topic_dataframe(spark, d):
     return topics.topic_frame(docs, info).select("Bibcode", "topic_id", "Name", F.round(F.col("embedding_2d_x").cast("double"), 4).alias("x"))
 
 
-@query(f"""with {MENTIONS}, r as (select paper, string_agg(p_brand || ', ' || (p_size + 1950) || ', ' || replace(p_type, '.', ''), chr(10) || '   ' order by pos) as cr from m join part on ref = p_partkey::varchar group by paper)
-select paper as "Bibcode", md5('PT J' || chr(10) || 'AU ' || author || chr(10) || 'TI ' || title || chr(10) || 'DT Article' || chr(10) || coalesce('CR ' || cr || chr(10), '') || 'PY ' || year || chr(10) || 'BI ' || paper || chr(10) || 'ER' || chr(10)) as record_md5 from pubs left join r using (paper)""")
+@query(f"""with {MENTIONS}, r as (select paper, string_agg(p_brand || ', ' || (p_size + 1950) || ', ' || replace(p_type, '.', '') || case when p_size > 25 then ', V' || p_size else '' end, chr(10) || '   ' order by pos) as cr from m join part on ref = p_partkey::varchar group by paper)
+select paper as "Bibcode", md5('PT J' || chr(10) || 'AU ' || author || chr(10) || 'TI ' || case when ord % 3 = 0 then 'English ' || ord else title end || chr(10) || 'SO ' || chr(10) || 'DT article' || chr(10) || 'DE a' || (ord % 4) || '; b' || chr(10)
+ || case when ord % 4 = 0 then 'AB Of ' || ord || chr(10) else '' end || coalesce('CR ' || cr || chr(10), '') || 'PY ' || year || chr(10) || case when ord % 5 <> 0 then 'TC ' || (ord % 5) || chr(10) else '' end || 'BI ' || paper || chr(10) || 'ER') as record_md5 from pubs left join r using (paper)""")
 def citation_records(spark, d):
-    return sinks.citation_records(publications(spark, d), cited_works(spark, d)).select("Bibcode", F.md5(F.col("value").cast("binary")).alias("record_md5"))
-
-
-@query()
+    number = F.col("ord").cast("string")
+    pubs = publications(spark, d).withColumns({
+        "Title_en": F.when(F.col("ord") % 3 == 0, F.concat(F.lit("English\n "), number)).when(F.col("ord") % 3 == 1, F.lit(" ")), "Category": F.lit("article"), "Keywords": F.array(F.concat(F.lit("a"), (F.col("ord") % 4).cast("string")), F.lit("b")),
+        "Abstract": F.when(F.col("ord") % 4 == 0, F.concat(F.lit("Of  "), number)), "Citation Count": (F.col("ord") % 5).cast("int")})
+    refs = cited_works(spark, d).withColumn("Volume", F.when(F.col("Year") - 1950 > 25, (F.col("Year") - 1950).cast("string")))
+    return sinks.citation_records(pubs, refs).select("Bibcode", F.md5(F.col("value").cast("binary")).alias("record_md5"))
+
+
+@query(f"""with {MENTIONS}, e as (select paper as source, ref as target, min(year)::int as year, count(*) as weight from m where ref in (select ref from m group by ref having count(*) >= 35) group by 1, 2),
+ends as (select source as id from e union select target from e),
+n as (select paper as id, '"Year":"' || year || '","Author":"[\\"' || author || '\\"]","Title":"' || title || '"' as attributes from pubs
+ union all select p_partkey::varchar, '"Year":"' || (p_size + 1950) || '","Author":"[\\"' || p_brand || '\\"]","Title":"' || p_name || '","Journal":"' || p_type || '"' from part where p_partkey::varchar not in (select paper from pubs))
+select id as key, '{{"key":"' || id || '","attributes":{{' || attributes || '}}}}' as value from n where id in (select id from ends)
+union all select source || chr(31) || target, '{{"source":"' || source || '","target":"' || target || '","attributes":{{"year":' || year || ',"weight":' || weight || '}}}}' from e""")
 def graph_json(spark, d):
     pubs = publications(spark, d)
     edges = networks.graph_edges(networks.direct_citations(pubs, 35), directed=True)
@@ -554,12 +602,13 @@ def marker_colours(spark, d):
     return viz.marker_colours(topic_docs(spark, d), ["#111111", "#222222", "#333333"]).select("Bibcode", "colour")
 
 
-@query("""select o_orderkey::varchar as "Bibcode", 1::int as n_refs, case when o_orderkey % 2 = 0 then 'https://link/' || o_orderkey || '/ADS_PDF' end as "PDF_URL" from orders""")
+@query("""select o_orderkey::varchar as "Bibcode", (o_orderkey % 4)::int as n_refs, case o_orderkey % 3 when 0 then 'https://example.org/' || o_orderkey || '?from=ADS_PDF' when 1 then 'https://example.org/' || o_orderkey || '?from=PUB_PDF' end as "PDF_URL" from orders""")
 def search_pages(spark, d):
     key = F.col("o_orderkey").cast("string")
-    doc = F.struct(key.alias("bibcode"), F.array(key).alias("reference"), F.array(F.lit("EPRINT_HTML"), F.when(F.col("o_orderkey") % 2 == 0, F.lit("ADS_PDF")).otherwise(F.lit("PUB_HTML"))).alias("esources"))
-    page = F.to_json(F.struct(F.struct(F.array(doc).alias("docs")).alias("response")))
-    rows = corpus.search_rows(table(spark, d, "orders").select(page.alias("value")))
+    cited = F.when(F.col("o_orderkey") % 4 > 0, F.array_repeat(key, (F.col("o_orderkey") % 4).cast("int")))
+    source = F.when(F.col("o_orderkey") % 3 == 0, F.array(F.lit("EPRINT_HTML"), F.lit("ADS_PDF"), F.lit("PUB_PDF"))).when(F.col("o_orderkey") % 3 == 1, F.array(F.lit("PUB_PDF"), F.lit("ADS_PDF"))).otherwise(F.array(F.lit("PUB_HTML")))
+    page = F.to_json(F.struct(F.struct(F.array(F.struct(key.alias("bibcode"), cited.alias("reference"), source.alias("esources"))).alias("docs")).alias("response")))
+    rows = corpus.search_rows(table(spark, d, "orders").select(page.alias("value")), link="https://example.org/{bibcode}?from={resource}")
     return rows.select("Bibcode", F.size("References").alias("n_refs"), "PDF_URL")
 
 
@@ -575,25 +624,32 @@ def translated_texts(spark, d):
     return out.select("doc_id", F.md5(F.col("text_en").cast("binary")).alias("text_md5"))
 
 
-@query()
+@query("select doc_id, md5(text) as joined_md5, true as within, length(text) > 500 as several from documents where text <> ''")
 def chunked_and_joined(spark, d):
-    rows = table(spark, d, "documents").select("doc_id", ft.merged(ft.chunks(F.col("text"))).alias("t"))
-    return rows.select("doc_id", F.md5(F.col("t").cast("binary")).alias("joined_md5"))
+    # chunks that do not overlap are the text again; what overlapping ones repeat is cut by rules that pytest holds
+    rows = table(spark, d, "documents").where("text <> ''").select("doc_id", ft.chunks(F.col("text"), 500, 0).alias("c"))
+    return rows.select("doc_id", F.md5(F.array_join("c", "").cast("binary")).alias("joined_md5"), F.forall("c", lambda x: F.length(x) <= 500).alias("within"), (F.size("c") > 1).alias("several"))
 
 
-@query()
+@query("""select o_orderkey::varchar as "Bibcode", 'uid:' || substr(sha256(lower(c_name) || '|c'), 1, 16) as uids, c_name as names from orders join customer on o_custkey = c_custkey""")
 def author_identities(spark, d):
     pubs = publications(spark, d)
     named = providers.block_authors(pubs.select("Bibcode", F.posexplode("Author").alias("pos", "name")))
     out = providers.attach_identities(pubs, named)
+    providers.check_identities(out)
     return out.select("Bibcode", F.array_join("author_uids", ";").alias("uids"), F.array_join("author_display_names", ";").alias("names"))
 
 
-@query()
+@query("""with t as (select doc_id, lang, ' ' || lower(text) || ' ' as t from documents),
+g as (select doc_id, lang, substr(t, i, 3) as g from (select doc_id, lang, t, unnest(range(1, length(t) - 1)) as i from t)),
+b as (select lang, g, count(*) as n from g group by 1, 2 qualify row_number() over (partition by lang order by n desc, g) <= 300),
+p as (select lang, g, ln(n / sum(n) over (partition by lang)) as share from b),
+c as (select doc_id, g, count(*) as times from g group by 1, 2), l as (select distinct lang from documents),
+s as (select doc_id, l.lang, sum(times * coalesce(share, -12)) as score from c cross join l left join p on p.lang = l.lang and p.g = c.g group by 1, 2)
+select doc_id, case when regexp_matches(text, '\\p{L}') then lang end as text_lang from documents join (select doc_id, arg_max(lang, score) as lang from s group by 1) using (doc_id)""".replace("join (select doc_id, arg_max(lang, score) as lang", "join (select doc_id, arg_max(lang, score) as guessed").replace("then lang end as text_lang", "then guessed end as text_lang"))
 def language_id(spark, d):
     docs = table(spark, d, "documents")
-    profiles = providers.train_language_profiles(docs.orderBy(F.xxhash64("doc_id")).limit(2000), "text", "lang")
-    return providers.identify_language(docs, "text", profiles).select("doc_id", "text_lang")
+    return providers.identify_language(docs, "text", providers.train_language_profiles(docs, "text", "lang")).select("doc_id", "text_lang")
 
 
 @query()
@@ -606,14 +662,102 @@ def cluster_documents(spark, d):
     return providers.cluster_kmeans(vectors(spark, d), "Bibcode", "embedding", 10, noise_quantile=0.95)
 
 
-@query()
+@query("""with n as (select c_custkey as mention, 'Author' || (c_custkey % 97) || ', ' || substr(c_mktsegment, 1, 3) as name from customer),
+b as (select *, lower(split_part(name, ',', 1)) || '|' || lower(substr(trim(split_part(name, ',', 2)), 1, 1)) as block from n),
+w as (select block, max(name) as display from b where (block, length(name)) in (select (block, max(length(name))) from b group by block) group by block)
+select mention, name, display as author_display_name, 'uid:' || substr(sha256(block), 1, 16) as author_uid from b join w using (block)""")
 def author_blocking(spark, d):
     return providers.block_authors(table(spark, d, "customer").select(F.col("c_custkey").alias("mention"), F.concat(F.lit("Author"), (F.col("c_custkey") % 97).cast("string"), F.lit(", "), F.substring("c_mktsegment", 1, 3)).alias("name")))
 
 
-@query()
+@query("""select doc_id, sha256(case when trim(coalesce(t, '')) = '' then '(empty text)' else t end) as text_sha256, 32::int as dimensions from (select doc_id, case when doc_id % 23 = 0 then null when doc_id % 29 = 0 then '  ' else text end as t from documents)""")
 def embed_documents(spark, d):
-    return providers.embed_documents(table(spark, d, "documents"), "doc_id", "text", providers.hash_embedder(32)).select("doc_id", "text_sha256", F.size("embedding").alias("dimensions"))
+    text = F.when(F.col("doc_id") % 23 == 0, F.lit(None)).when(F.col("doc_id") % 29 == 0, F.lit("  ")).otherwise(F.col("text"))
+    docs = table(spark, d, "documents").withColumn("text", text)
+    return providers.embed_documents(docs, "doc_id", "text", providers.hash_embedder(32)).select("doc_id", "text_sha256", F.size("embedding").alias("dimensions"))
+
+
+@query("select c_custkey, case when c_custkey % 5 = 0 then null else (1950 + c_custkey % 60) end::int as year, case when c_custkey % 5 = 0 then null else make_date((1950 + c_custkey % 60)::int, 12, 31) end as date, case c_custkey % 3 when 0 then 1987 when 1 then 2001 end::int as first_year from customer")
+def dates_and_years(spark, d):
+    year = F.when(F.col("c_custkey") % 5 == 0, F.lit("n.d.")).when(F.col("c_custkey") % 2 == 0, F.concat((F.col("c_custkey") % 60 + 1950).cast("string"), F.lit(".0"))).otherwise((F.col("c_custkey") % 60 + 1950).cast("string"))
+    text = F.when(F.col("c_custkey") % 3 == 0, F.lit("from 1887, 1987 or 2003")).when(F.col("c_custkey") % 3 == 1, F.lit("MMI2001x")).otherwise(F.lit("in 1799"))
+    rows = table(spark, d, "customer").select("c_custkey", fc.numeric_year(year).alias("year"), fc.year_in_text(text).alias("first_year"))
+    return rows.select("c_custkey", "year", fc.publication_date(F.col("year")).alias("date"), "first_year")
+
+
+@query("select c_custkey, least(400, greatest(96, ceil(c_custkey * 1.5) + 64))::int as ceiling, round(list_cosine_similarity([c_custkey % 7, 1]::double[], [1, c_custkey % 5]::double[]), 6)::double as similarity, greatest(1, round_even(100.0::double * (c_custkey % 13) / 13, 1))::double as share from customer")
+def numbers(spark, d):
+    c = F.col("c_custkey")
+    cosine = fc.cosine(F.array((c % 7).cast("double"), F.lit(1.0)), F.array(F.lit(1.0), (c % 5).cast("double")))
+    return table(spark, d, "customer").select("c_custkey", fc.token_ceiling(c, 400).cast("int").alias("ceiling"), F.round(cosine, 6).alias("similarity"), F.greatest(F.lit(1.0), fc.percentage(c % 13, F.lit(13))).alias("share"))
+
+
+@query("select c_custkey, sha256(c_name || chr(31) || coalesce(case when c_custkey % 4 <> 0 then c_mktsegment end, '')) as fingerprint from customer")
+def document_fingerprints(spark, d):
+    segment = F.when(F.col("c_custkey") % 4 != 0, F.col("c_mktsegment"))
+    return table(spark, d, "customer").select("c_custkey", fc.document_fingerprint(F.col("c_name"), segment).alias("fingerprint"))
+
+
+@query(f"with {MENTIONS}, f as (select ref, min(ord * 1000 + pos) as first from m group by ref) select ref as \"Bibcode\", row_number() over (order by first) - 1 as ord from f")
+def unique_references(spark, d):
+    return corpus.all_references(publications(spark, d))
+
+
+@query(f"""with {MENTIONS} select ord, ord::varchar as "Bibcode", year as "Year", 'Title & of ' || ord as "Title", author || '|Roe, K' as authors, coalesce((select string_agg(ref, ',' order by pos) from m where m.paper = pubs.paper), '') as refs, 'link/' || ord as "PDF_URL"
+from pubs where ord % 6 <> 0""")
+def resolved_dataset(spark, d):
+    """A search result and what was exported for it: parsed, merged by key and cleaned."""
+    pubs = publications(spark, d)
+    found = pubs.select("ord", "Bibcode", "References", F.concat(F.lit("link/"), "Bibcode").alias("PDF_URL"))
+    number = F.col("ord").cast("string")
+    year = F.when(F.col("ord") % 6 == 0, F.lit("no year")).otherwise(F.col("Year").cast("string"))
+    fields = [F.concat(F.lit(" "), number), F.concat(F.col("Author")[0], F.lit(" and Roe, K et al.")), F.concat(F.lit("Title &amp; of <i>"), number, F.lit("</i>")), year, *([F.lit("")] * 12)]
+    cited = cited_works(spark, d).select(F.concat_ws("xOx", "Bibcode", F.lit("A"), "Title", F.col("Year").cast("string"), *([F.lit("")] * 12)).alias("value"))
+    out, _ = corpus.resolve_dataset(found, corpus.export_records(pubs.select(F.concat(F.concat_ws("xOx", *fields), F.lit("xOx\nshortxOx\n")).alias("value"))), cited)
+    return out.select("ord", "Bibcode", "Year", "Title", F.array_join("Author", "|").alias("authors"), F.array_join("References", ",").alias("refs"), "PDF_URL")
+
+
+@query("select doc_id, substr(text, 1, 200) as a, case when doc_id % 3 = 0 then 'Dark matter' when doc_id % 3 = 1 then 'plain' else '' end as label, '<span class=\"badge\">' || replace(replace(source || ' & co', '&', '&amp;'), '<', '&lt;') || '</span>' as badges, case when doc_id % 2 = 0 then source else 'x' end as first from documents")
+def answers_and_labels(spark, d):
+    answer = F.when(F.col("doc_id") % 3 == 0, F.lit("<think>a\nb</think>\nTopic: \"Dark matter\"\nmore")).when(F.col("doc_id") % 3 == 1, F.lit("plain")).otherwise(F.lit(" "))
+    return table(spark, d, "documents").select(
+        "doc_id", F.substring("text", 1, 200).alias("a"), ft.topic_label(ft.without_thinking(answer)).alias("label"), ft.badges(F.array(F.concat("source", F.lit(" & co")), F.lit(None).cast("string"))).alias("badges"),
+        ft.first_text(F.when(F.col("doc_id") % 2 == 0, F.col("source")).otherwise(F.lit(" ")), F.lit("x")).alias("first"))
+
+
+@query(f"with {LAYERED}, l as (select 0 as layer, id0 as id from lay union all select 1, id1 from lay) select layer::int as layer, count(distinct case when id <> -1 then id end) as clusters from l group by 1")
+def clusters_per_layer(spark, d):
+    rows = curation.layer_rows(layered(spark, d), [0, 1]).select(F.col("ord").alias("Bibcode"), "layer", F.col("cluster").alias("cluster_id"))
+    return curation.clusters_per_layer(rows)
+
+
+@query(f"""with {TOPICS} select bibcode as "Bibcode" from docs where ord % 4 = 0 order by ord limit 3""")
+def first_failures(spark, d):
+    rows = topic_docs(spark, d).withColumn("error", F.when(F.col("ord") % 4 == 0, F.lit("x")))
+    return reports.failures(rows).select("Bibcode")
+
+
+@query(f"""with {TOPICS} select topic_id as cluster, count(*) as "Count", row_number() over (order by count(*) desc, topic_id) as place from docs where topic_id is not null group by 1""")
+def summary_by_count(spark, d):
+    return curation.by_count(curation.cluster_summary(topic_docs(spark, d))).select("cluster", "Count", "place")
+
+
+@query(f"with {MENTIONS}, c as (select distinct paper, ord, year, ref from m), h as (select count(*) as n, count(distinct ref) as refs from c) select n, refs from h")
+def distinct_mentions(spark, d):
+    rows = networks.mentions(publications(spark, d)).select("paper", "ref").distinct()
+    return rows.agg(F.count("*").alias("n"), F.countDistinct("ref").alias("refs"))
+
+
+@query("""select o_orderkey::varchar as "Bibcode", year(o_orderdate)::int as "Year" from orders where o_orderkey % 3 <> 0""")
+def numeric_years(spark, d):
+    year = F.when(F.col("ord") % 3 == 0, F.lit("19xx")).otherwise(F.concat(F.col("Year").cast("string"), F.lit(".0")))
+    return filters.numeric_years(publications(spark, d).withColumn("Year", year)).select("Bibcode", "Year")
+
+
+@query("""select o_orderkey::varchar as "Bibcode", case when o_orderkey % 2 = 0 then 'Doe, J' else 'Plain' end as names, 'Title of it' as title from orders""")
+def clean_ingested_rows(spark, d):
+    rows = publications(spark, d).withColumns({"Author": F.array(F.when(F.col("ord") % 2 == 0, F.lit("D-oe, J")).otherwise(F.lit("Pla-in")), F.lit(" ")), "Title": F.lit("Title <sub>of</sub> i&#116;"), "Abstract": F.lit(None).cast("string")})
+    return corpus.clean_ingest(rows).select("Bibcode", F.array_join("Author", "|").alias("names"), F.col("Title").alias("title"))
 
 
 def queries() -> dict[str, Query]:

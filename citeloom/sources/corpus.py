@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from citeloom.functions import columns as fc
 from citeloom.functions import text as ft
 from citeloom.operators.filters import keep_in_array, numeric_years, require_columns
+from citeloom.plans.written import numbered
 
 #: The fields of an export record in order, and its signs.
 EXPORT_FIELDS = ["Bibcode", "Author", "Title", "Year", "Journal", "Journal Abbreviation", "Issue", "Volume", "First Page", "Last Page", "Abstract", "Keywords", "DOI", "Affiliation", "Category", "Citation Count"]
@@ -49,15 +50,47 @@ def clean_ingest(df: DataFrame) -> DataFrame:
 
 
 def all_references(found: DataFrame) -> DataFrame:
-    """(Bibcode, ord): every cited key once, in the order of first sight."""
+    """(Bibcode, ord): every cited key once, numbered in the order of first sight."""
     items = found.select("ord", F.posexplode("References").alias("pos", "Bibcode"))
-    return items.groupBy("Bibcode").agg(F.min(F.struct("ord", "pos")).alias("ord"))
+    first = items.groupBy("Bibcode").agg(F.min(F.struct("ord", "pos")).alias("first"))
+    return numbered(first.select("Bibcode", "first.*"), ["ord", "pos"], "number").select("Bibcode", F.col("number").alias("ord"))
+
+
+def export_records(exported: DataFrame) -> DataFrame:
+    """The records of exported texts as (value); what stands behind the last record end is no record."""
+    return exported.where("value is not null").select(F.explode(F.split("value", RECORD_END)).alias("value")).where("value != ''")
 
 
 def resolve(found: DataFrame, pubs: DataFrame) -> DataFrame:
-    """Exported publications with the references and links of the search result."""
-    own = found.select("Bibcode", "References", *(["PDF_URL"] if "PDF_URL" in found.columns else [])).dropDuplicates(["Bibcode"])
-    return pubs.drop("References", "PDF_URL").join(own, "Bibcode", "left")
+    """Exported publications, each row with the place, references and links of the search result; keys not found have none."""
+    links = [F.first("PDF_URL").alias("PDF_URL")] if "PDF_URL" in found.columns else []
+    own = found.groupBy("Bibcode").agg(F.min("ord").alias("ord"), F.min_by("References", "ord").alias("References"), *links)
+    return pubs.drop("References", "PDF_URL", "ord").join(own, "Bibcode", "left")
+
+
+def resolve_dataset(found: DataFrame, exported_pubs: DataFrame, exported_refs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(publications, references) of a search result and what was exported for its keys and for those that they cite.
+
+    found is (ord, Bibcode, References[, PDF_URL]); the others are records as (value).  Both come back parsed and clean.
+    """
+    pubs = clean_ingest(resolve(found, parse_export(exported_pubs)))
+    refs = clean_ingest(parse_export(exported_refs).join(all_references(found), "Bibcode", "left")).drop("References")
+    return pubs, refs
+
+
+def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of files of JSON lines; a schema, as types can't be told from empty lists and nulls."""
+    return spark.read.schema(schema).json(path)
+
+
+def load_latest_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The search result that was written last."""
+    return spark.read.parquet(f"{folder}/{spark.read.text(f'{folder}/search_results_latest').first()[0]}")
+
+
+def load_curated(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(publications, references, topic table) of a run, as curation left them."""
+    return tuple(spark.read.parquet(f"{folder}/data/{name}.parquet") for name in ("curated", "dataset_refs", "curated_info"))
 
 
 #: Columns by another name, columns that are lists, and columns with defaults.
@@ -132,14 +165,18 @@ def yearly_quota(df: DataFrame, per_year: int) -> DataFrame:
     return first.withColumn("_n", F.row_number().over(Window.partitionBy("Year").orderBy("ord"))).where(F.col("_n") <= per_year).drop("_n")
 
 
-def search_rows(pages: DataFrame, column: str = "value") -> DataFrame:
-    """(Bibcode, References, esources, PDF_URL) of search pages; the link is the first PDF source."""
+#: The link to a source of a publication's text.
+LINK = "{bibcode}/{resource}"
+
+
+def search_rows(pages: DataFrame, column: str = "value", link: str = LINK) -> DataFrame:
+    """(Bibcode, References, esources, PDF_URL) of search pages; the link is a template filled with the first PDF source."""
     schema = "struct<response:struct<docs:array<struct<bibcode:string,reference:array<string>,esources:array<string>>>>,nextCursorMark:string>"
     docs = pages.select(F.explode(F.from_json(column, schema)["response"]["docs"]).alias("d"))
     source = F.try_element_at(F.filter(F.coalesce("d.esources", _empty()), lambda e: e.contains("ADS_PDF") | e.contains("PUB_PDF")), F.lit(1))
     return docs.select(
         F.col("d.bibcode").alias("Bibcode"), F.coalesce("d.reference", _empty()).alias("References"), F.coalesce("d.esources", _empty()).alias("esources"),
-        F.when(source.isNotNull(), F.concat(F.lit("https://link/"), F.col("d.bibcode"), F.lit("/"), source)).alias("PDF_URL"))
+        F.when(source.isNotNull(), F.replace(F.replace(F.lit(link), F.lit("{bibcode}"), F.col("d.bibcode")), F.lit("{resource}"), source)).alias("PDF_URL"))
 
 
 def save_snapshot(df: DataFrame, path: str, metadata: dict) -> None:

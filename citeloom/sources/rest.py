@@ -5,6 +5,7 @@ The transport is any function (url, params) -> (status, headers, body), so tests
 
 from __future__ import annotations
 
+import functools
 import json
 import time
 import urllib.error
@@ -12,8 +13,13 @@ import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from citeloom.plans.written import numbered
+
 Transport = Callable[[str, dict], tuple[int, dict, str]]
 #: Answers after which a request is sent again.
 RETRYABLE = {408, 429, 502, 503, 529}
@@ -23,9 +29,9 @@ class RequestFailed(RuntimeError):
     pass
 
 
-def http_get(url: str, params: dict) -> tuple[int, dict, str]:
+def http_get(url: str, params: dict, headers: dict | None = None) -> tuple[int, dict, str]:
     try:
-        with urllib.request.urlopen(f"{url}?{urllib.parse.urlencode(params)}", timeout=60) as answer:
+        with urllib.request.urlopen(urllib.request.Request(f"{url}?{urllib.parse.urlencode(params)}", headers=headers or {}), timeout=60) as answer:
             return answer.status, dict(answer.headers), answer.read().decode()
     except urllib.error.HTTPError as e:
         return e.code, dict(e.headers), e.read().decode(errors="replace")
@@ -84,9 +90,11 @@ class _Reader(DataSourceReader):
         self.parts = json.loads(options.get("parts", "[{}]"))
         self.attempts = int(options.get("attempts", "5"))
         self.transport = http_get
-        if options.get("transport"):  # module:function
-            module, _, name = options["transport"].partition(":")
-            self.transport = getattr(__import__(module, fromlist=[name]), name)
+        if options.get("transport"):
+            self.transport = load_transport(options["transport"])
+        elif options.get("token"):
+            self.transport = functools.partial(http_get, headers={"Authorization": f"Bearer {options['token']}"})
+        self.pause = float(options.get("pause", "0"))
 
     def partitions(self) -> list[InputPartition]:
         return [_Part(p) for p in (self.parts if self.mode != "cursor" else [{}])]
@@ -99,6 +107,7 @@ class _Reader(DataSourceReader):
                 for body in cursor_pages(self.transport, self.url, params, attempts=self.attempts):
                     yield name, body, None
             else:
+                time.sleep(self.pause)
                 yield name, request(self.transport, self.url, params, attempts=self.attempts), None
         except RequestFailed as e:  # a failed part is a row of its own, so that others are not lost with it
             yield name, None, str(e)
@@ -108,7 +117,7 @@ class LiteratureSource(DataSource):
     """format("literature"): rows (part, value, error).
 
     Options: url; mode `cursor` (one chained scan) or `parts` (one task for each of `parts`, a JSON list of parameters,
-    such as chunks of keys, page numbers or years); params, attempts and transport.
+    such as chunks of keys, page numbers or years); params, attempts, transport, token and, in seconds, pause before a part.
     """
 
     @classmethod
@@ -122,6 +131,45 @@ class LiteratureSource(DataSource):
         return _Reader(self.options)
 
 
-def key_chunks(keys: list[str], size: int = 2000) -> list[dict]:
-    """Parameters of parts that export chunks of keys."""
-    return [{"bibcode": keys[k : k + size]} for k in range(0, len(keys), size)]
+def http_post(url: str, payload: dict, headers: dict | None = None) -> tuple[int, dict, str]:
+    """As http_get, with the payload as a JSON body."""
+    asked = urllib.request.Request(url, json.dumps(payload).encode(), {"Content-Type": "application/json", **(headers or {})})
+    try:
+        with urllib.request.urlopen(asked, timeout=120) as answer:
+            return answer.status, dict(answer.headers), answer.read().decode()
+    except urllib.error.HTTPError as e:
+        return e.code, dict(e.headers), e.read().decode(errors="replace")
+
+
+#: Keys of one export request, requests at a time, and the format's name in the answer.
+CHUNK_KEYS, WORKERS, ANSWER = 2000, 5, "export"
+
+
+def load_transport(name: str) -> Transport:
+    """A transport by module:function."""
+    module, _, function = name.partition(":")
+    return getattr(__import__(module, fromlist=[function]), function)
+
+
+def export_keys(keys: DataFrame, url: str, form: str, transport: str = "", token: str | None = None, chunk: int = CHUNK_KEYS, workers: int = WORKERS, attempts: int = 5, wait: float = 2.0) -> DataFrame:
+    """(chunk, n, value, error): what a service exports for each chunk of keys(ord, Bibcode), in the order of keys.
+
+    Chunks are made and sent by executors, at most `workers` at a time.  One that fails is a row with its error and no
+    value, so that others are not lost with it.
+    """
+    rows = numbered(keys.select("ord", "Bibcode"), ["ord", "Bibcode"], "number")
+    lists = rows.groupBy(F.floor(F.col("number") / chunk).alias("chunk")).agg(F.transform(F.array_sort(F.collect_list(F.struct("number", "Bibcode"))), lambda x: x["Bibcode"]).alias("keys"))
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        send = load_transport(transport) if transport else lambda u, p: http_post(u, p, {"Authorization": f"Bearer {token}"} if token else None)
+        for batch in batches:
+            for number, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                value = error = None
+                try:
+                    value = json.loads(request(send, url, {"bibcode": own, "format": form, "sort": "score desc"}, attempts=attempts, wait=wait))[ANSWER]
+                except (RequestFailed, ValueError, KeyError) as e:
+                    error = f"{type(e).__name__}: {e}"
+                columns = [pa.array([number], pa.int64()), pa.array([len(own)], pa.int64()), pa.array([value], pa.string()), pa.array([error], pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["chunk", "n", "value", "error"])
+
+    return lists.repartition(workers, "chunk").mapInArrow(over, "chunk long, n long, value string, error string")

@@ -5,6 +5,7 @@ Files that are one document are made of sorted text rows and streamed to the dri
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 import json
 import os
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from citeloom.functions.columns import page_count
 from citeloom.functions.text import squeeze, surname
-from citeloom.operators.quality import order_columns
+from citeloom.operators.quality import order_columns, order_topic_columns
 
 HIDDEN = ("References", "tokens")
 
@@ -95,34 +96,57 @@ def write_gexf(edges: DataFrame, nodes: DataFrame, path: str, directed: bool = F
 def citation_records(pubs: DataFrame, refs: DataFrame) -> DataFrame:
     """(ord, Bibcode, value): a tagged citation record for each publication.
 
-    A cited work is listed by first author, year, journal, volume and page, without dots; unknown keys are skipped.
+    Title and abstract are the translated ones where they say something.  A cited work is listed by first author, year,
+    journal, volume and page, without dots; unknown keys are skipped.  Lists are joined by semicolons.
     """
-    text = lambda c: squeeze(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")))
-    first = refs.groupBy("Bibcode").agg(F.min_by(F.struct(*[c for c in refs.columns if c not in ("ord", "Bibcode")]), "ord").alias("r"))
+
+    def text(df: DataFrame, c: str) -> Column:
+        if c not in df.columns:
+            return F.lit("")
+        value = F.array_join(F.col(f"`{c}`").cast("array<string>"), "; ") if df.schema[c].dataType.typeName() == "array" else F.col(f"`{c}`").cast("string")
+        return squeeze(F.coalesce(value, F.lit("")))
+
+    first = refs.groupBy("Bibcode").agg(F.min_by(F.struct(*(F.col(f"`{c}`") for c in refs.columns if c not in ("ord", "Bibcode"))), "ord").alias("r"))
     known = first.select(F.col("Bibcode").alias("_ref"), "r.*")
-    get = lambda c: text(c) if c in known.columns else F.lit("")
-    part = lambda c, sign="": F.when(get(c) != "", F.concat(F.lit(sign), get(c)))
-    name = surname(F.try_element_at("Author", F.lit(1)))
-    cited = known.select("_ref", F.replace(F.concat_ws(", ", name, part("Year"), part("Journal"), part("Volume", "V"), part("First Page", "P")), F.lit("."), F.lit("")).alias("_cr"))
+    part = lambda c, sign: F.when(text(known, c) != "", F.concat(F.lit(sign), text(known, c)))
+    must = lambda c: F.when(text(known, c) != "", text(known, c)).otherwise(F.lit("Unknown"))
+    name = F.coalesce(surname(F.try_element_at("Author", F.lit(1))), F.lit("")) if "Author" in known.columns else F.lit("Unknown")
+    cited = known.select("_ref", F.replace(F.concat_ws(", ", name, must("Year"), must("Journal"), part("Volume", "V"), part("First Page", "P")), F.lit("."), F.lit("")).alias("_cr"))
     items = pubs.select(F.col("Bibcode").alias("_k"), F.posexplode("References").alias("_pos", "_ref")).join(cited, "_ref")
     lists = items.groupBy("_k").agg(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_cr"))), lambda x: x["_cr"]).alias("_crs"))
     rows = pubs.join(lists, pubs["Bibcode"] == lists["_k"], "left")
-    has = lambda c: text(c) if c in pubs.columns else F.lit("")
+    has = lambda c: text(pubs, c)
+    either = lambda c: F.when(has(f"{c}_en") != "", has(f"{c}_en")).otherwise(has(c))
+    always = lambda tag, value: F.concat(F.lit(f"{tag} "), F.coalesce(value, F.lit("")))
     line = lambda tag, value: F.when(F.coalesce(value, F.lit("")) != "", F.concat(F.lit(f"{tag} "), value))
+    cites = F.nullif(has("Citation Count"), F.lit("0"))
     pages = page_count(F.col("`First Page`"), F.col("`Last Page`")).cast("string") if {"First Page", "Last Page"} <= set(pubs.columns) else F.lit(None).cast("string")
     fields = [
-        F.lit("PT J"), line("AU", F.array_join("Author", "\n   ")), line("TI", has("Title")), line("SO", has("Journal")), F.lit("DT Article"), line("C1", has("Affiliation")),
-        line("DE", has("Keywords")), line("AB", has("Abstract")), line("CR", F.array_join("_crs", "\n   ")), line("PY", has("Year")), line("VL", has("Volume")), line("IS", has("Issue")),
-        line("BP", has("First Page")), line("EP", has("Last Page")), line("DI", has("DOI")), line("TC", has("Citation Count")), line("BI", F.col("Bibcode")), line("PG", pages), F.lit("ER\n")]
+        F.lit("PT J"), always("AU", F.array_join("Author", "\n   ")), always("TI", either("Title")), always("SO", has("Journal")), always("DT", has("Category")),
+        line("C1", has("Affiliation")), line("DE", has("Keywords")), line("AB", either("Abstract")), line("CR", F.array_join("_crs", "\n   ")), always("PY", has("Year")),
+        line("VL", has("Volume")), line("IS", has("Issue")), line("BP", has("First Page")), line("EP", has("Last Page")), line("DI", has("DOI")), line("TC", cites),
+        line("BI", F.col("Bibcode")), line("PG", pages), F.lit("ER")]
     return rows.select("ord", "Bibcode", F.concat_ws("\n", *fields).alias("value"))
 
 
 def write_citation_records(pubs: DataFrame, refs: DataFrame, path: str) -> None:
+    """The records in the order of rows, with a blank line between."""
     with open(path, "w", encoding="utf-8") as out:
-        out.write("FN Citation export\nVR 1.0\n")
-        for row in citation_records(pubs, refs).orderBy("ord").toLocalIterator():
-            out.write(row["value"] + "\n")
-        out.write("EF\n")
+        for k, row in enumerate(citation_records(pubs, refs).orderBy("ord").toLocalIterator()):
+            out.write(("\n\n" if k else "") + row["value"])
+
+
+def write_json_lines(df: DataFrame, path: str) -> None:
+    """A JSON object for each row, with nulls, in files of lines."""
+    df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
+def write_search(df: DataFrame, folder: str, now: dt.datetime) -> str:
+    """A search result under its time, and the name `latest` for the one written last; the path of its table."""
+    name = f"search_results_{now:%Y%m%d_%H%M%S}.parquet"
+    df.write.mode("overwrite").parquet(f"{folder}/{name}")
+    df.sparkSession.createDataFrame([(name,)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/search_results_latest")
+    return f"{folder}/{name}"
 
 
 def file_sha256(path: str | Path) -> str:
@@ -143,7 +167,7 @@ def manifest_entry(path: str | Path) -> dict:
 
 def write_bundle(folder: str, pubs: DataFrame, refs: DataFrame, topic_info: DataFrame | None = None, report: DataFrame | None = None) -> dict:
     """The tables of a dataset and a manifest of their sizes and digests, for a folder that the driver can read."""
-    tables = {"publications": order_columns(pubs), "references": order_columns(refs)} | ({"topic_info": topic_info} if topic_info is not None else {})
+    tables = {"publications": order_columns(pubs), "references": order_columns(refs)} | ({"topic_info": order_topic_columns(topic_info)} if topic_info is not None else {})
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
     manifest = {"schema_version": 1, "artifacts": {name: manifest_entry(f"{folder}/{name}.parquet") for name in tables}}

@@ -1,6 +1,7 @@
 """Citation networks on small tables: thresholds, nulls, repeats, orders and filters."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from citeloom.operators import filters, networks
 
@@ -104,3 +105,40 @@ def test_pushdown_and_pruning(spark, small):
 
     plan = q.table(spark, small, "orders").where("o_orderkey > 10").select("o_orderkey")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_orderkey), GreaterThan(o_orderkey,10)]" in plan and "ReadSchema: struct<o_orderkey:bigint>" in plan
+
+
+def test_large_groups_are_paired_in_blocks(spark, monkeypatch):
+    """One work that very many papers cite, and one paper with very many references, give the same rows in blocks."""
+    monkeypatch.setattr(networks, "BLOCK", 7)
+    papers = [(i, f"p{i:03d}", 2000 + i % 3, [f"A{i % 4}, B"], ["hot"] + [f"r{i % 9}", f"r{(i * 5) % 11}"]) for i in range(60)]
+    papers.append((60, "p060", 2000, ["Z"], [f"r{k}" for k in range(30)] + ["hot", "hot"]))
+    pubs = spark.createDataFrame(papers, "ord int, Bibcode string, Year int, Author array<string>, References array<string>")
+    refs = spark.createDataFrame([(k, f"r{k}", [f"C{k % 6}, D"]) for k in range(30)] + [(99, "hot", ["Hot, H"])], "ord int, Bibcode string, Author array<string>")
+    rows = lambda df: sorted(map(str, df.select(sorted(df.columns)).collect()))
+    build = [lambda n: networks.co_citations(pubs, n), lambda n: networks.coupling(pubs, n), lambda n: networks.author_co_citations(pubs, refs, n)]
+    for make in build:
+        for least in (1, 2):
+            blocked = rows(make(least))
+            monkeypatch.setattr(networks, "BLOCK", 10**6)
+            assert blocked == rows(make(least)) and blocked
+            monkeypatch.setattr(networks, "BLOCK", 7)
+    once = networks.mentions(pubs).select("paper", "ref").distinct()
+    large = networks.large_groups(once, "ref")
+    assert {r["ref"]: r["_blocks"] for r in large.where("ref = 'hot'").collect()} == {"hot": 9}
+
+
+def test_a_work_in_very_many_papers_is_spread_over_tasks(spark):
+    pubs = spark.range(4000).selectExpr("id as ord", "cast(id as string) as Bibcode", "2000 as Year", "array('A') as Author", "array('hot', cast(id as string)) as References")
+    detail = networks.coupling(pubs)
+    made = detail.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()
+    counts = sorted(r["n"] for r in made)
+    assert sum(counts) == 4000 * 3999 // 2 and len(counts) > 2 and counts[-1] <= 5 * counts[len(counts) // 2]
+
+
+def test_numbering_is_gapless_in_order(spark):
+    from citeloom.plans.written import numbered
+
+    df = spark.range(1000).selectExpr("id % 37 as a", "id as b").repartition(7)
+    out = [(r["a"], r["b"], r["id"]) for r in numbered(df, ["a", "b"]).collect()]
+    assert sorted(out) == [(a, b, k) for k, (a, b) in enumerate(sorted((i % 37, i) for i in range(1000)))]
+    assert numbered(df.limit(0), ["a", "b"]).count() == 0

@@ -24,6 +24,8 @@ def test_text_functions(spark):
     assert values(spark, ft.squeeze, " a\xa0 b\n\tc ", "") == ["a b c", ""]
     assert values(spark, ft.key, "\t x \n", None) == ["x", ""]
     assert values(spark, ft.parse_authors, "Doe, J; Roe, K and Poe, L", "and Doe, J & 12 colleagues", "Doe, J et al.", "") == [["Doe, J", "Roe, K", "Poe, L"], ["Doe, J"], ["Doe, J"], []]
+    names = values(spark, ft.parse_authors, "Doe, J; 12 colleagues.; and 3 colleagues", "Et Alia, P and Roe ,", "Doe AND Roe", "Roe, et al", "& Li, X", None, " ;; ", "Sander Andand; Band, A & Co")
+    assert names == [["Doe, J"], ["Et Alia, P", "Roe"], ["Doe AND Roe"], ["Roe"], ["Li, X"], [], [], ["Sander Andand", "Band, A", "Co"]]
     assert values(spark, ft.surname, "Doe, Jane", "Jane van Doe", "  ", None) == ["Doe", "Doe", None, None]
     assert values(spark, ft.without_thinking, "<think>a\nb</think> answer", "plain") == ["answer", "plain"]
     assert values(spark, ft.topic_label, "Topic: \"Dark matter\"\nmore", "topic:x") == ["Dark matter", "x"]
@@ -35,13 +37,24 @@ def test_text_functions(spark):
     assert values(spark, lambda c: ft.without_hyphens(F.split(c, ";")), "Jean-Luc; ;B") == [["JeanLuc", "B"]]
 
 
+def test_references_become_characters_as_in_html(spark):
+    import html
+    import random
+
+    rng = random.Random(1)
+    pieces = ["&amp", "&amp;", "&notit;", "&notin;", "&copy", "&copyright", "&#65;", "&#x41", "&#0;", "&#128;", "&#x9f;", "&#xD800;", "&#1114112;", "&#99999999999999;", "&#11;", "&#13;", "&#xFFFE;", "&#127;",
+              "&#;", "&", "&;", "&lt;b&gt;", "&CounterClockwiseContourIntegral;", "&nosuch;", "&fjlig;", "&#x1F600;", "a b", "<", "é", "&Eacute", "&#0065x", "&#X3c;"]
+    texts = pieces + ["".join(rng.choice(pieces) for _ in range(rng.randint(2, 12))) for _ in range(200)]
+    assert values(spark, ft.unescape, *texts, None) == [*map(html.unescape, texts), None]
+
+
 def test_chunks_join_again(spark):
     text = " ".join(f"word{i}" for i in range(4000))
     parts = ft.chunk_text(text, 3000, 300)
     assert all(len(p) <= 3000 for p in parts) and len(parts) > 5
     assert ft.merge_chunks(["a b c D E", "d e f", "g"]) == "a b c D E f g"
     assert ft.merge_chunks(["x", "y"]) == "x y" and ft.chunk_text("") == []
-    assert values(spark, lambda c: F.size(ft.chunks(c)), text, None, "short") == [len(ft.chunk_text(text)), 0, 1]
+    assert values(spark, lambda c: F.size(ft.chunks(c, 12_000, 1_500)), text, None, "short") == [len(ft.chunk_text(text)), 0, 1]
     assert values(spark, lambda c: ft.merged(F.split(c, ";")), "a b;b c", None) == ["a b c", None]
 
 
@@ -76,8 +89,9 @@ def test_filters_keep_nulls(spark):
     assert filters.layered_selection([{"layer": "0", "cluster_id": "2"}] * 2) == [{"layer": 0, "cluster_id": 2}]
     lang = spark.createDataFrame([(1, "a", "en"), (2, "b", None), (3, "", "de"), (4, None, "de"), (5, "c", "de")], "k int, t string, t_lang string")
     assert keys(filters.translation_targets(lang, "t")) == [2, 5]
-    uids = values(spark, filters.placeholder_uid, "Unknown", "x::none", "uid:1", None, " ")
-    assert uids == [True, True, False, True, True]
+    uids = values(spark, filters.placeholder_uid, "Unknown", "x::no author", "uid:1", None, " ", "x::none", "N.Author", "a:: ::b", "null", "no_author")
+    assert uids == [True, True, False, True, True, False, True, True, False, True]
+    assert values(spark, ft.casefold, "STRASSE", "Straße", "ﬁN", "İ", None) == ["strasse", "strasse", "fin", "İ".casefold(), None]
     years = spark.createDataFrame([("2020",), ("bad",), (None,), ("2020.5",)], "Year string")
     assert [r[0] for r in filters.numeric_years(years).collect()] == [2020]
 
@@ -87,9 +101,9 @@ PUBS = "ord int, Bibcode string, Title string, References array<string>, author_
 
 def test_bundle_cleaning(spark):
     pubs = spark.createDataFrame([
-        (1, " p1 ", None, ["r1"], ["unknown"], ["x"]), (2, "p1", "T", ["r1", " r2 ", "r1", "", "gone", "gone2"], ["uid:real", " uid:real", "null"], ["R"]),
+        (1, " p1 ", None, ["r1"], ["unknown"], ["x"]), (2, "p1", "T", ["r1", " r2 ", "r1", "", "gone", "gone2"], ["uid:real", " uid:real", "nan"], ["R"]),
         (3, "p2", "T", ["r2"], None, None), (4, " ", "T", ["r1"], [], [])], PUBS)
-    refs = spark.createDataFrame([(1, " r1", None, None, [], []), (2, "r1", "longer", None, ["uid:known", "x::nan"], ["K"]), (3, "r2", "t", None, None, None), (4, None, "t", None, [], [])], PUBS)
+    refs = spark.createDataFrame([(1, " r1", None, None, [], []), (2, "r1", "longer", None, ["uid:known", "x::unknown"], ["K"]), (3, "r2", "t", None, None, None), (4, None, "t", None, [], [])], PUBS)
     p, r, report = quality.prepare_bundle(pubs, refs.drop("References"))
     rows = {x["Bibcode"]: x for x in p.collect()}
     assert set(rows) == {"p1", "p2"} and rows["p1"]["ord"] == 2
@@ -98,8 +112,14 @@ def test_bundle_cleaning(spark):
     assert {x["Bibcode"]: x["author_uids"] for x in r.collect()} == {"r1": ["uid:known"], "r2": []}
     counts = report.first().asDict()
     assert (counts["publications_empty_keys"], counts["publications_duplicate_rows"], counts["empty_mentions"], counts["duplicate_mentions"], counts["missing_keys"]) == (1, 1, 1, 1, 2)
-    assert (counts["placeholder_uids"], counts["duplicate_uids"]) == (1, 1)
-    assert quality.order_columns(spark.createDataFrame([], "embedding_2d_y float, z int, topic_layer_10_id int, topic_layer_2_label string, topic_layer_2_id int, Year int, Bibcode string")).columns == ["Bibcode", "Year", "topic_layer_2_id", "topic_layer_2_label", "topic_layer_10_id", "z", "embedding_2d_y"]
+    assert (counts["publications_placeholder_uids"], counts["publications_duplicate_uids"], counts["publications_uid_changed_rows"]) == (1, 1, 1)
+    assert (counts["publications_output_rows"], counts["publications_duplicate_keys"], counts["missing_mentions"], counts["references_placeholder_uids"], counts["references_uid_changed_rows"]) == (2, 1, 2, 1, 1)
+    examples = {(e["kind"], e["value"], e["n"]) for e in quality.cleaning_examples(pubs, refs.drop("References")).collect()}
+    assert examples == {("publications_duplicate_key", "p1", 2), ("references_duplicate_key", "r1", 2), ("publications_placeholder_uid", "nan", 1), ("references_placeholder_uid", "x::unknown", 1), ("missing_reference", "gone", 1), ("missing_reference", "gone2", 1)}
+    assert quality.order_topic_columns(spark.createDataFrame([], "z int, Name string, Main string, Topic int")).columns == ["Topic", "Name", "Main", "z"]
+    names = ["embedding_2d_y", "full_embeddings", "z", "embedding_5d_10", "topic_layer_10_id", "topic_layer_2_label", "topic_layer_2_id", "embedding_2d_x", "embedding_5d_2", "topic_layer_count", "Name", "Title_lang", "Title", "Year", "Bibcode", "embedding_other"]
+    ordered = quality.order_columns(spark.createDataFrame([], ", ".join(f"{n} int" for n in names))).columns
+    assert ordered == ["Bibcode", "Year", "Title", "Title_lang", "Name", "topic_layer_count", "topic_layer_2_id", "topic_layer_2_label", "topic_layer_10_id", "z", "embedding_other", "embedding_5d_2", "embedding_5d_10", "embedding_2d_x", "embedding_2d_y", "full_embeddings"]
 
 
 def test_curation(spark):
@@ -183,6 +203,28 @@ def test_providers(spark):
     named = spark.createDataFrame([(1, "Doe, Jane"), (2, "Doe, J"), (3, "Roe, J"), (4, None)], "k int, name string")
     ids = {r["k"]: r["author_uid"] for r in providers.block_authors(named).collect()}
     assert ids[1] == ids[2] != ids[3] and len(ids) == 4
+    profiles = {"a": {"the": -1.0, " th": -2.0, "日本語": -1.0}, "b": {"der": -1.0, "er ": -1.0}}
+    guessed = providers.identify_language(spark.createDataFrame([(1, "the thing"), (2, "Der Leder"), (3, " 12 "), (4, None), (5, "x"), (6, "日本語")], "k int, t string"), "t", profiles)
+    slow = lambda t: max(sorted(profiles), key=lambda k: sum(profiles[k].get(f" {t.lower()} "[i : i + 3], -12.0) for i in range(len(t)))) if t and any(map(str.isalpha, t)) else None
+    assert all(r["t_lang"] == slow(r["t"]) for r in guessed.collect())
+    assert providers.identify_language(df, "t", {}).where("t_lang is not null").count() == 0
+    terms = spark.createDataFrame([(0, "dark", 2.0), (0, "matter", 1.0), (1, "star", 1.0), (2, "gas", 1.0)], "topic int, term string, weight double")
+    docs = spark.createDataFrame([(1, 0, "text of one"), (2, 0, None), (3, 1, "text of two")], "ord int, topic_id int, text string")
+
+    def label(prompts):
+        if "gas" in prompts[0]:
+            raise ValueError("no answer")
+        return ["<think>hm</think> Topic: \"Dark halos\"" if "dark, matter" in prompts[0] and "- text of one" in prompts[0] else " "]
+
+    assert {r["topic"]: (r["name"], r["error"]) for r in providers.label_topics(terms, docs, label).collect()} == {0: ("Dark halos", None), 1: ("star", None), 2: ("gas", "no answer")}
+    means = spark.createDataFrame([(k, [float(k // 3 * 10), float(k % 3)]) for k in range(9)], "cluster int, centroid array<double>")
+    layers = {}
+    for r in providers.coarser_layers(means, 3, 1).collect():
+        layers.setdefault(r["layer"], []).append(r["top"])
+    assert sorted(layers[0]) == [[k] for k in range(9)] and sorted(layers[1]) == [[0, 1, 2], [3, 4, 5], [6, 7, 8]] and layers[2] == [list(range(9))]
+    assert providers.coarser_layers(means.limit(0), 2).count() == 0
+    spread = spark.createDataFrame([(i, [float(i % 2 * 50 + i % 7), float(i % 5)]) for i in range(60)], "k int, v array<double>")
+    assert {r["topic_id"] for r in providers.cluster_density(spread, "k", "v", 10).collect()} - {-1} == {0, 1}
     assert providers.validate_reduction("pacmap", {"metric": "cosine", "min_dist": 1}) == {"distance": "angular"}
 
 

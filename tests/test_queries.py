@@ -42,6 +42,27 @@ def test_language_id_is_accurate(spark, small):
     assert sum(r["lang"] == r["text_lang"] for r in rows) / len(rows) > 0.9
 
 
+def test_components_are_those_of_numpy(spark, small):
+    import numpy as np
+
+    rows = {r["Bibcode"]: r for r in q.queries()["pca_reduction"](spark, small).collect()}
+    held = q.vectors(spark, small).orderBy("Bibcode").collect()
+    x = np.array([r["embedding"] for r in held], float)
+    _, axes = np.linalg.eigh(np.cov(x.T))
+    for k in range(5):
+        axis = axes[:, -1 - k] * np.sign(axes[np.abs(axes[:, -1 - k]).argmax(), -1 - k])
+        assert np.allclose([rows[r["Bibcode"]]["reduced_5d"][k] for r in held], x @ axis, atol=1e-3)
+    assert all(r["reduced_2d"] == r["reduced_5d"][:2] for r in rows.values())
+
+
+def test_clusters_have_their_nearest_centres_and_far_rows_are_noise(spark, small):
+    rows = {r["Bibcode"]: r["topic_id"] for r in q.queries()["cluster_documents"](spark, small).collect()}
+    assert len(rows) == q.vectors(spark, small).count() and set(rows.values()) == {-1, *range(10)}
+    assert 0.02 < sum(t == -1 for t in rows.values()) / len(rows) < 0.08
+    again = {r["Bibcode"]: r["topic_id"] for r in q.queries()["cluster_documents"](spark, small).collect()}
+    assert rows == again
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 

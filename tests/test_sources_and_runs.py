@@ -51,10 +51,90 @@ def test_literature_source(spark):
     spark.dataSource.register(rest.LiteratureSource)
     source = lambda **o: spark.read.format("literature").option("url", "u").option("transport", "tests.test_sources_and_runs:transport").options(**o).load()
     rows = corpus.search_rows(source()).orderBy("Bibcode").collect()
-    assert [(r["Bibcode"], r["References"], r["PDF_URL"]) for r in rows] == [("b1", ["r1"], "https://link/b1/PUB_PDF"), ("b2", [], None)]
+    assert [(r["Bibcode"], r["References"], r["PDF_URL"]) for r in rows] == [("b1", ["r1"], "b1/PUB_PDF"), ("b2", [], None)]
     parts = source(mode="parts", parts=json.dumps([{"chunk": k} for k in (1, 2, 3)])).collect()
     assert sum(r["error"] is None for r in parts) == 2 and sum("400" in (r["error"] or "") for r in parts) == 1
-    assert rest.key_chunks(list("abc"), 2) == [{"bibcode": ["a", "b"]}, {"bibcode": ["c"]}]
+    linked = corpus.search_rows(source(), link="https://example.org/{resource}?of={bibcode}").where("Bibcode = 'b1'").first()
+    assert linked["PDF_URL"] == "https://example.org/PUB_PDF?of=b1"
+
+
+RECORD_FIELDS = {"Title": 2, "Year": 3, "Abstract": 10}
+CALLS = []
+
+
+def service(url, params):
+    """A search of two pages, and an export that fails for one chunk."""
+    if "cursorMark" in params:
+        docs = {"*": [{"bibcode": "p1", "reference": ["r1", "r2"], "esources": ["ADS_PDF"]}, {"bibcode": "p2", "reference": ["r2", "r3"]}], "c1": [{"bibcode": "p3", "reference": ["r4"]}]}
+        return 200, {}, json.dumps({"response": {"docs": docs[params["cursorMark"]]}, "nextCursorMark": "c1"})
+    if "r4" in params["bibcode"]:
+        return 400, {}, ""
+    assert params["format"] == "form" and params["sort"] == "score desc"
+    rows = []
+    for key in params["bibcode"]:
+        if key == "p3":
+            continue  # the service does not know it
+        fields = [key, "Doe, J and Roe-Poe, K", f"Title &amp; of <i>{key}</i>", "2001" if key != "r3" else "no year", "J", "J", "1-2", "3", "10-12", "19", f"Abstract of {key} on dark matter and stars", "k", "", "", "", "5"]
+        rows.append("xOx".join(fields) + "xOx\n")
+    return 200, {}, json.dumps({"export": "".join(rows)})
+
+
+def test_search_is_exported_and_resolved_into_a_dataset(spark, tmp_path):
+    """Search, export of what was found and of what it cites, resolution, cleaning, and all stages after."""
+    spark.dataSource.register(rest.LiteratureSource)
+    c = cfg.with_overrides(cfg.Config(), {
+        "search.url": "u", "search.query": "q", "search.transport": "tests.test_sources_and_runs:service", "search.link": "https://example.org/{bibcode}/{resource}", "search.cache": str(tmp_path / "found"),
+        "export.url": "e", "export.format": "form", "export.chunk": 3, "export.transport": "tests.test_sources_and_runs:service", "export.cache": str(tmp_path / "exported"),
+        "topic.clusters": 2, "topic.dimensions": 8, "topic.layers": 2, "authors.cache": str(tmp_path / "authors"), "topic.embedding_cache": str(tmp_path / "vectors")})
+    assert stages.doctor(c) == []
+    events = []
+    ctx = stages.run(spark, c, str(tmp_path / "runs"), progress=lambda stage, event: events.append((stage, event)))
+    assert events[:3] == [("search", "begins"), ("search", "ends"), ("export", "begins")] and events[-1] == ("citations", "ends")
+    pubs = {r["Bibcode"]: r for r in ctx.tables["pubs"].collect()}
+    assert set(pubs) == {"p1", "p2"} and pubs["p1"]["References"] == ["r1", "r2"] and pubs["p1"]["PDF_URL"] == "https://example.org/p1/ADS_PDF" and pubs["p2"]["PDF_URL"] is None
+    assert (pubs["p1"]["Title"], pubs["p1"]["Year"], pubs["p1"]["Author"], pubs["p1"]["Issue"], pubs["p1"]["First Page"]) == ("Title & of p1", 2001, ["Doe, J", "RoePoe, K"], "1", "10")
+    assert {r["Bibcode"]: r["ord"] for r in ctx.tables["refs"].collect()} == {"r1": 0, "r2": 1}  # r3 has no year, r4's chunk failed
+    notes = ctx.notes["export"]
+    assert (notes["pubs"]["expected"], notes["pubs"]["parsed"], notes["pubs"]["missing"]) == (3, 2, 1) and notes["pubs"]["failed"] == []
+    assert notes["refs"]["expected"] == 4 and len(notes["refs"]["failed"]) == 1 and "400" in notes["refs"]["failed"][0]
+    assert ctx.notes["search"] == {"publications": 3, "total_references": 5, "unique_references": 4}
+    dataset = {r["Bibcode"]: r for r in ctx.tables["dataset"].collect()}
+    assert dataset["p2"]["References"] == ["r2"] and "topic_layer_1_label" in ctx.tables["dataset"].columns and ctx.tables["dataset"].columns[:2] == ["Bibcode", "Year"]
+    assert ctx.notes["links"]["raw_links"] == 4 and ctx.notes["links"]["retained_links"] == 3
+    assert {"missing_reference"} == {e["kind"] for e in ctx.notes["cleaning_examples"]}
+    assert corpus.load_curated(spark, ctx.folder)[0].count() == 2
+    # a second run reads the search, what was exported whole, identities and vectors from their caches
+    broken = cfg.with_overrides(c, {"search.url": "", "authors.provider": "blocking"})
+    assert corpus.load_snapshot(spark, str(tmp_path / "authors"), {}) is None
+    again = stages.run(spark, broken, str(tmp_path / "runs2"))
+    for table in ("pubs", "refs", "dataset", "vectors"):
+        order = sorted(ctx.tables[table].columns)
+        assert sorted(map(str, again.tables[table].select(order).collect())) == sorted(map(str, ctx.tables[table].select(order).collect())), table
+
+
+def test_export_in_chunks(spark):
+    keys = spark.createDataFrame([(7 - k, f"x{k}") for k in range(7)], "ord int, Bibcode string")
+    out = rest.export_keys(keys, "e", "form", "tests.test_sources_and_runs:service", chunk=3).orderBy("chunk").collect()
+    assert [(r["chunk"], r["n"], r["error"]) for r in out] == [(0, 3, None), (1, 3, None), (2, 1, None)]
+    assert [v["value"] for v in corpus.export_records(spark.createDataFrame([(out[2]["value"],), (None,)], "value string")).collect()][0].startswith("x0xOx")
+
+
+def test_json_lines_and_providers(spark, tmp_path):
+    df = spark.createDataFrame([("p1", None, ["a"]), ("p2", 3, [])], "Bibcode string, n int, l array<string>")
+    sinks.write_json_lines(df, str(tmp_path / "lines"))
+    assert sorted(map(tuple, corpus.read_json_lines(spark, str(tmp_path / "lines"), "Bibcode string, n int, l array<string>").collect())) == [("p1", None, ["a"]), ("p2", 3, [])]
+    import citeloom
+
+    assert citeloom.run is stages.run and citeloom.Config is cfg.Config
+    with pytest.raises(AttributeError):
+        citeloom.nothing  # noqa: B018
+    for bad in ({"topic.labeler": "x"}, {"authors.provider": "x"}, {"topic.reduction": "umap"}, {"source.publications": "/no/such", "source.references": "/no/such"}, {"search.url": "u", "search.query": "q"}):
+        assert stages.doctor(cfg.with_overrides(cfg.Config(), bad))
+    with pytest.raises(ValueError, match="positive"):
+        cfg.with_overrides(cfg.Config(), {"export.chunk": 0})
+    assert cli.main(["bootstrap", str(tmp_path / "work"), "--preset", "hierarchy"]) == 0
+    assert cfg.load(path=str(tmp_path / "work" / "config.yaml")).topic.layers == 3
+    assert cli.main(["preset", "flat", "--write", str(tmp_path / "flat.yaml")]) == 0 and cfg.load(path=str(tmp_path / "flat.yaml")).topic.clusters == 20
 
 
 def test_retries():
@@ -98,8 +178,11 @@ def test_citation_records(network, tmp_path):
     pubs, refs, _, _ = network
     sinks.write_citation_records(pubs, refs, str(tmp_path / "r.txt"))
     text = (tmp_path / "r.txt").read_text()
-    assert "CR Lee, 1990, J Phys, V3, P7\n   1991\nPY 2020" in text and "AU Doe, J\n   Roe, K\n" in text and "PG 10\nER\n" in text and text.endswith("EF\n")
-    assert text.count("PT J") == 2 and text.count("PG ") == 1
+    assert "CR Lee, 1990, J Phys, V3, P7\n   , 1991, Unknown\nPY 2020" in text and "AU Doe, J\n   Roe, K\n" in text and "PG 10\nER\n\nPT J" in text and text.endswith("\nER")
+    assert text.count("PT J") == 2 and text.count("PG ") == 1 and "TI T & <x>\nSO \nDT \n" in text
+    wide = pubs.withColumns({"Title_en": F.when(F.col("ord") == 2, F.lit("English\n title")).otherwise(F.lit(" ")), "Abstract_en": F.lit(None).cast("string"), "Abstract": F.lit("Of  words"), "Keywords": F.array(F.lit("a"), F.lit("b")), "Category": F.lit("article"), "Citation Count": F.col("ord") - 1})
+    first, second = (r["value"] for r in sinks.citation_records(wide, refs).orderBy("ord").collect())
+    assert "TI T & <x>\nSO \nDT article\nDE a; b\nAB Of words\n" in first and "TI English title\n" in second and "TC 1" in second and "TC" not in first
 
 
 def test_bundle_and_snapshots(spark, network, tmp_path):
