@@ -2,68 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from citeloom.plans.written import clear, delete, materialize, scratch, shared_dir, table_path
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share, from spark.checkpoint.dir.
-
-    Only where the session names none and driver and executors are one process (a `local` master, as in tests) a folder of
-    this machine is made and set; on a cluster each executor would write to a disk of its own, so that is an error.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        if not spark.sparkContext.master.split("[")[0] == "local":
-            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        path = "file://" + tempfile.mkdtemp(prefix="citeloom-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
-#: Names of the scratch folders that are open, outermost first.
-_SCRATCH: list[str] = []
-
-
-def table_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, within the innermost open scratch folder."""
-    return "/".join([shared_dir(spark), "citeloom", *_SCRATCH, f"{name}-{uuid.uuid4().hex}"])
-
-
-def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Write df as a Parquet table in the shared folder and read it back: a lineage cut that survives lost executors."""
-    spark = df.sparkSession
-    path = path or table_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    held = spark._jvm.org.apache.hadoop.fs.Path(path)
-    held.getFileSystem(spark._jsc.hadoopConfiguration()).delete(held, True)
-
-
-@contextmanager
-def scratch(spark: SparkSession):
-    """Tables that materialize writes inside are deleted at the end; what is still to be read needs a path from outside."""
-    _SCRATCH.append(f"scratch-{uuid.uuid4().hex}")
-    try:
-        yield
-    finally:
-        path = "/".join([shared_dir(spark), "citeloom", *_SCRATCH])
-        _SCRATCH.pop()
-        delete(spark, path)
-
-
-def clear(spark: SparkSession) -> None:
-    """Delete what materialize has written in the shared folder; results that are still to be read go with it."""
-    delete(spark, f"{shared_dir(spark)}/citeloom")
+__all__ = ["clear", "delete", "materialize", "scratch", "shared_dir", "table_path"]
 
 
 def crc32_of_id(column: str = "doc_id"):
