@@ -13,15 +13,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeloom.llm import textvec as tv
-from citeloom.llm.common import held_out
+from citeloom.llm.common import held_out, materialize
 
 BITS = 18
 #: The model is fitted on at most so many labelled rows, those with the smallest hashes of their ids.
 SAMPLE_ROWS = 8000
+#: And of these on as many, in that order, as have distinct n-grams of so many bytes (four each): what the driver gets.
+SAMPLE_BYTES = 64 << 20
 _SHAPE = np.arange(256, dtype=np.uint8)
 _SHAPE[97:123] = 97
 _SHAPE[65:91] = 65
@@ -149,8 +151,11 @@ def fit(rows: list[np.ndarray], label: np.ndarray) -> QualityModel:
     return QualityModel(ratio.astype(np.float32), weight.astype(np.float32), float(bias), max(slope, 0.0), shift)
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> QualityModel:
-    """Fit on labelled rows outside the held-out fold; only their distinct features reach the driver."""
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> QualityModel:
+    """Fit on labelled rows outside the held-out fold; only their distinct features, of a bounded size, reach the driver.
+
+    Of several labels of an id the lowest counts; rows that repeat an id are learnt each.
+    """
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,7 +171,11 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # the sample has a fixed bound, so it may be sent to every executor
     rows = text.join(F.broadcast(sample), "doc_id").select("doc_id", "quality", "text").mapInArrow(over, "doc_id long, quality int, features binary")
-    held = sorted((r["doc_id"], r["quality"], bytes(r["features"])) for r in rows.collect())
+    rows = materialize(rows.withColumn("name", F.xxhash64("features")), "quality-features")
+    before = Window.orderBy(F.xxhash64("doc_id"), "doc_id", "name").rowsBetween(Window.unboundedPreceding, 0)
+    sizes = rows.groupBy("doc_id", "name").agg(F.sum(F.octet_length("features")).alias("bytes"))  # a few bytes for each row of the sample
+    within = sizes.withColumn("bytes", F.sum("bytes").over(before)).where(F.col("bytes") <= sample_bytes).select("doc_id", "name")
+    held = sorted((r["doc_id"], r["quality"], bytes(r["features"])) for r in rows.join(F.broadcast(within), ["doc_id", "name"], "left_semi").collect())
     return fit([np.frombuffer(x, "<u4").astype(np.int64) for _, _, x in held], np.array([y for _, y, _ in held]))
 
 
@@ -191,6 +200,8 @@ def score_quality(docs: DataFrame, model: QualityModel, cutoff: float = 0.7) ->
 def keep_good(docs: DataFrame, labels: DataFrame, cutoff: float = 0.7) -> DataFrame:
     """The rows of docs that the classifier accepts, with all their columns; no row moves.
 
+    Each row is judged by its own text, so rows that repeat an id or a text, and rows without id, stay or go each; a null
+    text is judged as an empty one, by the bias alone.  An empty table gives no rows.
     Where nothing could be learnt, as the labels outside the held-out fold lack one class or both, all rows stay.
     """
     model, text = train(docs, labels), docs.columns.index("text")

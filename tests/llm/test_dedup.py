@@ -332,6 +332,28 @@ def test_suffix_on_odd_rows_and_edges(spark, odd, none, monkeypatch):
     assert out.columns == odd.columns and out.count() == odd.count() and suffix_dedup.without_repeats(none).count() == 0
 
 
+def test_suffix_stage_keeps_every_row_with_what_is_left_of_its_text(spark):
+    rng = random.Random(12)
+    text = lambda n: "".join(rng.choice("abcdefé ") for _ in range(n))
+    shared = text(250)
+    rows = [(i, text(20) + shared[rng.randint(0, 50) :] + text(30)) for i in range(20)] + [(30, shared), (30, shared), (31, None), (32, ""), (None, shared + text(5)), (5, text(300))]
+    df = spark.createDataFrame([(*r, f"s{k}", len(r[1] or "")) for k, r in enumerate(rows)], "doc_id long, text string, source string, n_chars long").selectExpr("*", "1 as block", "2 as has_id", "3 as place", "'x' as kept")
+    out = suffix_dedup.without_repeats(df)
+    assert out.columns == df.columns and out.schema["n_chars"].dataType == df.schema["n_chars"].dataType
+    seen, want = set(), []
+    for doc, t in sorted(rows, key=lambda r: (first(r[0]), r[1] or "")):
+        raw = (t or "").encode()
+        gone = bytearray(len(raw))
+        for p in range(len(raw) - 99):
+            if raw[p : p + 100] in seen:
+                gone[p : p + 100] = b"\1" * 100
+            seen.add(raw[p : p + 100])
+        left = bytes(c for c, g in zip(raw, gone) if not g).decode("utf-8", "ignore")
+        want.append((str(doc), left, len(left)))
+    assert sorted((str(r["doc_id"]), r["text"], r["n_chars"]) for r in out.collect()) == sorted(want)
+    assert sorted(r["source"] for r in out.collect()) == sorted(f"s{k}" for k in range(len(rows)))
+
+
 def test_fingerprints(spark, odd, none):
     import xxhash
 

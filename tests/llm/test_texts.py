@@ -236,6 +236,33 @@ def test_quality_filter_keeps_all_where_nothing_is_learnt(spark, odd):
         assert quality.keep_good(odd, labels).count() == odd.count()
 
 
+def test_quality_filter_keeps_the_rows_that_score_well(spark, odd):
+    """Against the model applied to one text at a time, with repeated rows, null ids and null texts."""
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    every = docs.unionByName(docs.limit(40)).unionByName(odd.select(docs.columns))
+    model = quality.train(every, labels)
+
+    def score(text):
+        raw = np.frombuffer((text or "").encode(), np.uint8)
+        return model.scores(model.margins(*quality.features(raw, np.array([0, len(raw)])), 1))[0]
+
+    rows = [(str(r["doc_id"]), str(r["text"]), score(r["text"])) for r in every.collect()]
+    assert all(abs(s - 0.7) > 1e-9 for _, _, s in rows)
+    want = sorted((d, t) for d, t, s in rows if s >= 0.7)
+    got = quality.keep_good(every, labels)
+    assert got.columns == every.columns and sorted((str(r["doc_id"]), str(r["text"])) for r in got.collect()) == want
+    assert 0 < len(want) < len(rows) and len(set(want)) < len(want)
+
+
+def test_features_for_the_driver_are_bounded(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    whole, some = quality.train(docs, labels), quality.train(docs, labels, sample_bytes=200_000)
+    assert some.learnt and not np.array_equal(whole.weight, some.weight)
+    assert not quality.train(docs, labels, sample_bytes=0).learnt
+
+
 def test_dual_descent_separates():
     rng = np.random.default_rng(5)
     rows = [np.sort(rng.choice(50, 8, replace=False)) + (100 if i % 2 else 0) for i in range(60)]
