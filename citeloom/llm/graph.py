@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from itertools import count
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.llm.common import materialize
 
+#: A node of more edges than this, and a thousandth of all, meets its least neighbour where its edges are; so such nodes
+#: are two thousand at most.
+HOT_EDGES, HOT_SHARE = 1000, 1000
+
 
 def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """(node, component) for every end of edges(a, b); the component is its smallest node.
@@ -18,18 +22,26 @@ def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     it raises an error.
     """
     edges = materialize(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc")
-    mark = None
+    total, mark = edges.count(), None
     for done in count():
         if done == rounds:
             raise RuntimeError(f"components are unfinished after {rounds} rounds")
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u != v").distinct()
+        large = _least(both, total, F.col("v") > F.col("u"), F.least("u", "m")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        small = _least(large, total).select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u != v").distinct()
         edges = materialize(small, "cc")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == mark:
             break
         mark = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def _least(edges: DataFrame, total: int, which: Column | bool = True, least: Column | None = None) -> DataFrame:
+    """(u, v, m) of some edges (u, v), m from the least v of u; no task gets all edges of a hot u."""
+    limit = max(HOT_EDGES, total // HOT_SHARE)
+    minima = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", (F.col("m") if least is None else least).alias("m"), "n")
+    hot = F.broadcast(minima.where(F.col("n") > limit).drop("n"))  # their edges are two in each of total at most
+    some = edges.where(which) if isinstance(which, Column) else edges
+    few = some.join(hot.select("u"), "u", "left_anti").join(minima.where(F.col("n") <= limit).drop("n"), "u")
+    return few.unionByName(some.join(hot, "u"))

@@ -13,8 +13,10 @@ Members that are already joined, or whose sizes are too far apart, are not count
 
 No list emits its pairs.  A list sends only links that join its candidates; the components of these links hold every
 candidate pair, and each class goes with its whole set to the one component that it is in.  There all candidate pairs are
-confirmed exactly, and again only links that join are sent.  Lists and components too large for one task are cut into
-blocks, and each pair of blocks is compared by a task of its own.
+confirmed exactly, and again only links that join are sent.  Lists too large for one task are cut into blocks, and each
+pair of blocks is compared by a task of its own.  In a component too large for one task all classes are first compared
+with its first class, block by block; pairs of classes that this has joined need no comparison, so only the rest meets,
+in pairs of blocks, itself and the others.
 """
 
 from __future__ import annotations
@@ -38,6 +40,8 @@ TOKENS, TOKEN_MATCHES = 40, 8
 SHINGLE = 5
 #: About the most members, and shingles, of a block.
 BLOCK, BLOCK_SHINGLES = 1024, 1 << 21
+#: About the most members of a block of a component, whose whole sets are compared.
+SET_BLOCK = 256
 #: The members that are compared each with each at once; more are joined by an inverted index.
 DENSE = 48
 
@@ -298,8 +302,6 @@ def near_links(rows: DataFrame, per_cent: int = 85) -> tuple[DataFrame, DataFram
     joined = components(listed.mapInArrow(_join_candidates(per_cent), "a long, b long"))
 
     groups = materialize(facts.join(joined.select(F.col("node").alias("rep"), F.col("component").alias("key")), "rep"), "near-groups")
-    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("long")
-    sizes = groups.groupBy("key").agg(blocks.alias("blocks"))
     # texts are dealt by id and own hash at every size; the names are the side that is hashed, so texts need no sort
     named = groups.select(F.col("lead.doc_id").alias("_doc"), F.col("lead.own").alias("_own")).hint("shuffle_hash")
     texts = rows.join(named, rows["doc_id"].eqNullSafe(named["_doc"]) & (rows["own"] == named["_own"]), "left_semi")
@@ -308,8 +310,40 @@ def near_links(rows: DataFrame, per_cent: int = 85) -> tuple[DataFrame, DataFram
     # a row that repeats id and text gives its set again
     full = groups.drop("lead").join(sets, "rep").where(F.octet_length("members") == F.col("n_shingles") * 8).dropDuplicates(["rep"])
     full = materialize(full.select("rep", "n_shingles", "signature", "members"), "near-sets")
-    spread = _blocked(groups.select("rep", "key").join(sizes, "key")).join(full, "rep")
-    return profiles, materialize(_by_group(spread).mapInArrow(_confirm(per_cent), "a long, b long"), "near-links")
+
+    def confirmed(placed: DataFrame, name: str) -> DataFrame:
+        return materialize(_by_group(placed.join(full, "rep")).mapInArrow(_confirm(per_cent), "a long, b long"), name)
+
+    blocks = F.greatest(F.ceil(F.count("*") / SET_BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("long")
+    members = groups.select("rep", "key", "n_shingles")
+    sizes = materialize(members.groupBy("key").agg(blocks.alias("blocks"), F.min("rep").alias("first")), "near-sizes")
+    members = members.join(sizes, "key").drop("n_shingles")
+    whole = members.where("blocks = 1").select("rep", "key", F.lit(0).cast("long").alias("pair"), F.lit(0).alias("side"))
+    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("long")
+    rest = members.where("blocks > 1 and rep <> first").select("rep", "key", block.alias("pair"), F.lit(1).alias("side"))
+    firsts = sizes.where("blocks > 1").select(F.col("first").alias("rep"), "key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("pair"), F.lit(-1).alias("side"))
+    links = confirmed(whole.unionByName(rest).unionByName(firsts), "near-links")
+    large = members.where("blocks > 1 and rep <> first")
+    if not large.isEmpty():
+        done = links.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+        links = links.unionByName(confirmed(_left_over(large, done), "near-more-links"))
+    return profiles, links
+
+
+def _left_over(large: DataFrame, done: DataFrame) -> DataFrame:
+    """(rep, key, pair, side) by which members (rep, key, blocks) of large components that are not done meet each other and
+    those that are done."""
+    apart = materialize(large.join(done, "rep", "left_anti").select("rep", "key"), "near-apart")
+    some = apart.groupBy("key").agg(F.ceil(F.count("*") / SET_BLOCK).cast("long").alias("own"))
+    among = _blocked(apart.join(some.withColumnRenamed("own", "blocks"), "key"))
+    near = large.join(done, "rep", "left_semi").join(some, "key")
+    block = lambda of: F.pmod(F.xxhash64("rep"), F.col(of)).cast("long")
+    every = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
+    pair = -(F.col("_own") * F.col("blocks") + F.col("_other") + 1)
+    left = apart.join(some, "key").join(large.select("key", "blocks").distinct(), "key").select("rep", "key", "blocks", block("own").alias("_own"), every("blocks").alias("_other"))
+    right = near.select("rep", "key", "blocks", block("blocks").alias("_other"), every("own").alias("_own"))
+    across = left.select("rep", "key", pair.alias("pair"), F.lit(-1).alias("side")).unionByName(right.select("rep", "key", pair.alias("pair"), F.lit(1).alias("side")))
+    return among.unionByName(across)
 
 
 def near_dedup(docs: DataFrame, per_cent: int = 85, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

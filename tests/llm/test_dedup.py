@@ -113,8 +113,11 @@ def test_near_finds_planted_chains_and_long_lists(spark, monkeypatch):
     rows += [(100 + i, " ".join(word() for _ in range(80))) for i in range(20)]
     monkeypatch.setattr(near_dedup, "BLOCK", 16)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in near_dedup.near_dedup(df).collect()}
-    assert got == brute_components(rows)
+    for size in (256, 16, 3):  # a component in one task, and cut into blocks
+        monkeypatch.setattr(near_dedup, "SET_BLOCK", size)
+        for per_cent in (85, 92):
+            got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in near_dedup.near_dedup(df, per_cent).collect()}
+            assert got == brute_components(rows, per_cent)
 
 
 def test_near_thresholds_set_the_matches():
@@ -259,6 +262,14 @@ def test_components(spark):
     assert got == {1: 1, 2: 1, 3: 1, 4: 1, 20: 1, 10: 10, 11: 10, 12: 10} | {100 + i: 100 for i in range(41)}
 
 
+def test_components_with_hot_nodes(spark, monkeypatch):
+    monkeypatch.setattr(graph, "HOT_EDGES", 5)
+    monkeypatch.setattr(graph, "HOT_SHARE", 10**9)
+    edges = [(1, 100 + i) for i in range(60)] + [(500, 200 + i) for i in range(60)] + [(130, 230), (700 + 1, 700), (701, 702)]
+    got = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {1: 1, 500: 1} | {100 + i: 1 for i in range(60)} | {200 + i: 1 for i in range(60)} | {700: 700, 701: 700, 702: 700}
+
+
 def test_components_are_never_left_unfinished(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(100)], "a long, b long")
     with pytest.raises(RuntimeError):
