@@ -262,9 +262,7 @@ def test_components(spark):
     assert got == {1: 1, 2: 1, 3: 1, 4: 1, 20: 1, 10: 10, 11: 10, 12: 10} | {100 + i: 100 for i in range(41)}
 
 
-def test_components_with_hot_nodes(spark, monkeypatch):
-    monkeypatch.setattr(graph, "HOT_EDGES", 5)
-    monkeypatch.setattr(graph, "HOT_SHARE", 10**9)
+def test_components_with_nodes_of_many_edges(spark):
     edges = [(1, 100 + i) for i in range(60)] + [(500, 200 + i) for i in range(60)] + [(130, 230), (700 + 1, 700), (701, 702)]
     got = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {1: 1, 500: 1} | {100 + i: 1 for i in range(60)} | {200 + i: 1 for i in range(60)} | {700: 700, 701: 700, 702: 700}
