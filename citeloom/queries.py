@@ -760,6 +760,73 @@ def clean_ingested_rows(spark, d):
     return corpus.clean_ingest(rows).select("Bibcode", F.array_join("Author", "|").alias("names"), F.col("Title").alias("title"))
 
 
+@query("""select c_custkey, 'Name: ' || c_mktsegment || ', k of' || chr(10) || '- ' || substr(c_name, 1, 10) || chr(10) || '- x' as prompt, 'system' as first_role,
+ 'Translate from ' || case when c_custkey % 2 = 0 then 'de' else 'the detected language' end || ' to en. Return only the translation.' as first_content, c_name as second_content from customer""")
+def prompts(spark, d):
+    prompt = ft.fill_prompt("Name: [KEYWORDS] of\n[DOCUMENTS]", F.array(F.col("c_mktsegment"), F.lit("k")), F.array(F.col("c_name"), F.lit("x")), 10)
+    messages = ft.translation_messages(F.col("c_name"), F.when(F.col("c_custkey") % 2 == 0, F.lit("de")), "en")
+    rows = table(spark, d, "customer").select("c_custkey", prompt.alias("prompt"), messages.alias("m"))
+    return rows.select("c_custkey", "prompt", F.col("m")[0]["role"].alias("first_role"), F.col("m")[0]["content"].alias("first_content"), F.col("m")[1]["content"].alias("second_content"))
+
+
+@query("""select page_id, md5(regexp_replace(replace(replace(replace(replace(replace(replace(html, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&nbsp;', chr(160)), '&amp;', '&'), '<[^\n\r]*?>', '', 'g')) as plain_md5 from pages""")
+def strip_tags_pages(spark, d):
+    return table(spark, d, "pages").select("page_id", F.md5(ft.strip_tags(F.col("html")).cast("binary")).alias("plain_md5"))
+
+
+@query("""select c_custkey, case when c_custkey % 9 = 0 then '' else c_name || '|' || c_mktsegment end as names, case when c_custkey % 9 = 0 then 0 else 2 end::int as n, case when c_custkey % 9 = 0 then '' else c_name || '; ' || c_mktsegment end as joined, '' as uids from customer""")
+def split_author_names(spark, d):
+    written = F.when(F.col("c_custkey") % 9 != 0, F.concat(F.lit(" ; "), "c_name", F.lit(" ;;\t"), "c_mktsegment", F.lit(" ")))
+    rows = table(spark, d, "customer").select("c_custkey", ft.split_authors(written).alias("Author"))
+    out = providers.passthrough_identities(rows)
+    return out.select("c_custkey", F.array_join("author_display_names", "|").alias("names"), F.size("Author").alias("n"), ft.authors_text(F.col("Author")).alias("joined"), F.array_join("author_uids", "|").alias("uids"))
+
+
+@query("select 0::int as child_layer, n_nationkey as child_id, 1::int as parent_layer, n_regionkey as parent_id from nation")
+def tree_parents(spark, d):
+    child = F.struct(F.lit(0).alias("layer"), F.col("n_nationkey").alias("id"))
+    tree = table(spark, d, "nation").groupBy(F.col("n_regionkey").alias("parent_id")).agg(F.collect_list(child).alias("children")).select(F.lit(1).alias("parent_layer"), "parent_id", "children")
+    return curation.parents(tree)
+
+
+@query(f"""with {MENTIONS}, l as (select paper, list(ref order by pos) as refs from m group by paper)
+select paper as "Bibcode", '["' || author || '"]' as author, case when refs is not null then '["' || array_to_string(refs, '","') || '"]' end as refs, refs is not null as has_refs, case when ord % 5 <> 0 then title end as title, ord % 5 <> 0 as has_title from pubs left join l using (paper)""")
+def attributes(spark, d):
+    pubs = publications(spark, d).withColumn("Title", F.when(F.col("ord") % 5 != 0, F.col("Title")))
+    return pubs.select("Bibcode", sinks.attribute(pubs, "Author").alias("author"), sinks.attribute(pubs, "References").alias("refs"), filters.exportable(pubs, "References").alias("has_refs"), sinks.attribute(pubs, "Title").alias("title"), filters.exportable(pubs, "Title").alias("has_title"))
+
+
+@query(f"""with {MENTIONS} select paper as "Bibcode", author as authors, title as "Title", year as "Year" from pubs""")
+def topic_columns(spark, d):
+    framed = topics.topic_columns(publications(spark, d).withColumns({"scratch": F.lit(1), "embedding": F.array(F.lit(1.0))}))
+    return framed.select(*(F.array_join(c, ";").alias("authors") if c == "Author" else F.col(c) for c in framed.columns if c != "References"))
+
+
+@query(f"""with {TOPICS} select case when topic_id = -1 then 1 else 0 end::int as unmatched, count(*) as n from docs where topic_id = -1 group by 1 union all select 2, count(*) from docs where topic_id is not null and topic_id not in (0, 3)""")
+def unmatched_clusters(spark, d):
+    """How many rows the matched part of a selection takes, and what stays without the noise that it does not name."""
+    rows = topic_docs(spark, d)
+    gone = filters.unmatched_clusters(rows, [-1, 77])
+    noise = rows.where("topic_id = -1").agg(F.count("*").alias("n")).select(F.lit(len(gone)).alias("unmatched"), "n")
+    return noise.union(filters.remove_clusters(rows.where("topic_id is not null"), [0, 3]).agg(F.count("*").alias("n")).select(F.lit(2), "n"))
+
+
+@query("select (select count(*) from orders) as rows, (select count(*) from orders where o_orderkey % 2 = 0) as mentions_of_even, 0::bigint as changed")
+def snapshot_round_trip(spark, d):
+    """A table that goes to a snapshot, to JSON lines and to a bundle comes back as it was, and other metadata find nothing."""
+    from citeloom.plans.written import table_path
+
+    pubs = publications(spark, d).select("ord", "Bibcode", "Year", "References")
+    path = table_path(spark, "snapshot")
+    corpus.save_snapshot(pubs, path, {"of": fc.params_fingerprint({"a": 1})})
+    held = corpus.load_snapshot(spark, path, {"of": fc.params_fingerprint({"a": 1})})
+    assert corpus.load_snapshot(spark, path, {"of": "other"}) is None
+    sinks.write_json_lines(held, f"{path}/lines")
+    again = corpus.read_json_lines(spark, f"{path}/lines", "ord long, Bibcode string, Year int, References array<string>")
+    changed = int(fc.frame_fingerprint(again, again.columns) != fc.frame_fingerprint(pubs, again.columns))
+    return again.agg(F.count("*").alias("rows"), F.count_if(F.col("ord") % 2 == 0).alias("mentions_of_even"), F.lit(changed).cast("long").alias("changed"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
