@@ -9,10 +9,10 @@ each pair and remembered.  A position from which no continuation exists is marke
 from __future__ import annotations
 
 import base64
+import struct
 from functools import lru_cache
 
 import ahocorasick
-import numpy as np
 import regex
 
 #: Fixed value: the Unicode White_Space characters, which \s means in the vocabulary's pattern.
@@ -123,9 +123,7 @@ class BytePairEncoder:
         longest: list[int | None] = [None] * (n + 1)
         length, shorter, pairs = self.length, self.shorter, self.pairs
         for end, rank in self.automaton.iter(piece.decode("latin-1")):
-            start = end + 1 - length[rank]
-            if longest[start] is None or length[longest[start]] < length[rank]:
-                longest[start] = rank
+            longest[end + 1 - length[rank]] = rank  # ends come in order, so a later one from the same start is longer
         alive = bytearray(b"\1") * (n + 1)
         out: list[int] = []
         at, token = 0, longest[0]
@@ -166,6 +164,11 @@ class Memo(dict):
         return value
 
 
+def _packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class TextEncoder:
     """Ids of whole texts, as little-endian unsigned 32-bit integers.
 
@@ -182,7 +185,7 @@ class TextEncoder:
         self.line_feed = self._part("\n")
 
     def _ids(self, piece: str) -> bytes:
-        return np.array(self.encode_piece(piece.encode()), "<u4").tobytes()
+        return _packed(self.encode_piece(piece.encode()))
 
     def _part(self, part: str) -> bytes:
         if part.strip(" ").isalpha():
