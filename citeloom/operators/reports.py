@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,9 +71,19 @@ def language_tally(df: DataFrame, columns: list[str], target: str = "en") -> Dat
     return df.agg(*(F.count_if(other(c)).alias(f"{c}_other") for c in columns))
 
 
-def histogram_years(df: DataFrame, column: str = "Year") -> DataFrame:
-    """The first day of the least year and the first day after the greatest."""
-    return df.agg(F.make_date(F.min(column), F.lit(1), F.lit(1)).alias("first_day"), F.make_date(F.max(column) + 1, F.lit(1), F.lit(1)).alias("end_day"))
+def histogram_years(df: DataFrame, column: str = "Year", span: tuple[str, str] | None = None) -> DataFrame:
+    """The first day of the least year and the first day after the greatest, or a span of days that is given.
+
+    Without any year it is the year 1900.  A span must end after it starts.
+    """
+    if span is not None:
+        first, end = (dt.date.fromisoformat(x) for x in span)
+        if end <= first:
+            raise ValueError(f"the span {span} must end after it starts")
+        return df.sparkSession.createDataFrame([(first, end)], "first_day date, end_day date")
+    years = df.agg(F.min(column).alias("a"), F.max(column).alias("b"))
+    day = lambda year: F.make_date(year, F.lit(1), F.lit(1))
+    return years.select(day(F.coalesce("a", F.lit(1900))).alias("first_day"), day(F.coalesce("b", F.lit(1900)) + 1).alias("end_day"))
 
 
 def failures(df: DataFrame, column: str = "error", most: int = 3) -> DataFrame:

@@ -171,6 +171,18 @@ def test_reports(spark):
     assert reports.run_counts(spark.createDataFrame([], "topic_id int")).first()["rows"] == 0
 
 
+def test_spans_of_years(spark):
+    df = spark.createDataFrame([(2003,), (1999,), (None,)], "Year int")
+    day = lambda y: dt.date(y, 1, 1)
+    assert tuple(reports.histogram_years(df).first()) == (day(1999), day(2004))
+    assert tuple(reports.histogram_years(df.limit(0)).first()) == (day(1900), day(1901))
+    assert tuple(reports.histogram_years(df, span=("1980-01-01", "1985-01-01")).first()) == (day(1980), day(1985))
+    with pytest.raises(ValueError, match="end after"):
+        reports.histogram_years(df, span=("1980-01-01", "1980-01-01"))
+    links = reports.link_retention(spark.createDataFrame([(["a", "b"],), (["b", "c"],), ([],)], "References array<string>"), spark.createDataFrame([("b",), ("c",), ("c",)], "Bibcode string")).first()
+    assert tuple(links) == (4, 3, 3, 0.75)
+
+
 def test_map_data(spark):
     df = spark.createDataFrame([(1, "b1", 0.0, 0.0, 1, "A", "x"), (2, "b2", 0.0, 0.0, -1, "Outlier Topic", None), (3, "b3", 0.0, 0.0, -1, "Unlabelled", "3")], "ord int, Bibcode string, embedding_2d_x double, embedding_2d_y double, topic_id int, Name string, `Citation Count` string").withColumn("Year", F.lit(2000))
     assert [r["citation_count"] for r in viz.point_payload(df).orderBy("bibcode").collect()] == [0, 0, 3]
