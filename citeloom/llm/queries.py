@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from citeloom.llm import byte_bpe, chat, fingerprints, language, packing, quality
+from citeloom.llm import alignment, byte_bpe, chat, fingerprints, hard_negatives, language, packing, quality, warc
 from citeloom.llm import exact_dedup as exact
 from citeloom.llm import near_dedup as near
 from citeloom.llm import suffix_dedup as suffix
 from citeloom.llm import token_counts as counts
-from citeloom.llm.common import held_out
+from citeloom.llm.common import held_out, table_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +70,50 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(_table(spark, sf_dir, "documents")).drop("n_chars")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.usable(_table(spark, sf_dir, "embeddings"), "vec_id", "label", "embedding", scale=256)
+    moved = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("id") % 50 == 0, positives=5, negatives=3, least_per_cent=50, most_per_cent=95)
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the rank file has the vocabulary of byte_bpe_50k.json without its added token, whose string is plain text here
+    ranks, model = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.link_statistics(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, model)
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = table_path(spark, "warc")
+    warc.write_archives(_table(spark, sf_dir, "pages"), path, least_bytes=0)
+    return warc.read_archives(spark, path, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP11_SQL = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select a.vec_id as anchor_id, c.vec_id as other, a.label = c.label as same, list_dot_product(a.v, c.v)::bigint as score
+  from v a join v c on a.vec_id <> c.vec_id where a.vec_id % 50 = 0),
+p as (select anchor_id, other as positive_id, score as positive_score from s where same qualify row_number() over (partition by anchor_id order by score desc, other) <= 5)
+select anchor_id, positive_id, (row_number() over (partition by anchor_id, positive_id order by score desc, other))::int as rank, other as negative_id, positive_score, score as negative_score
+from p join s using (anchor_id) where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+qualify row_number() over (partition by anchor_id, positive_id order by score desc, other) <= 3
+"""
+
+
+OP13_SQL = """
+with h as (select page_id, coalesce(html, '') as t from pages),
+b as (
+  select page_id, t, array_to_string(list_transform(string_split(sha1(t), ''), lambda c: ['0000', '0001', '0010', '0011', '0100', '0101', '0110', '0111', '1000', '1001', '1010', '1011', '1100', '1101', '1110', '1111'][strpos('0123456789abcdef', c)]), '') as bits,
+         max(page_id) over (partition by t) as last
+  from h)
+select page_id, strlen(t)::bigint as payload_bytes, case when page_id = last then 'response' else 'revisit' end as record_type, case when page_id <> last then last end as refers_to,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum(list_transform(range(5), lambda k: substr(bits, 5 * i + k + 1, 1)::int * (16 >> k)))::int, 1)), '') as payload_digest
+from b
+"""
+
+
 OP10_SQL = r"""
 with d as (
   select doc_id, length(coalesce(text, '')) as n_chars,
@@ -112,8 +157,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_chat_formatting": op9_chat_formatting,
         "op6_minhash_near_dedup": op6_minhash_near_dedup,
         "op10_exact_dedup": op10_exact_dedup,
+        "op11_hard_negatives": op11_hard_negatives,
+        "op12_tokenizer_alignment": op12_tokenizer_alignment,
+        "op13_warc": op13_warc,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_minhash_near_dedup": OP6_SQL, "op10_exact_dedup": OP10_SQL}
+    return {"op6_minhash_near_dedup": OP6_SQL, "op10_exact_dedup": OP10_SQL, "op11_hard_negatives": OP11_SQL, "op13_warc": OP13_SQL}
