@@ -2,8 +2,8 @@
 
 Evidence tables hold a row for each supporting observation, in the orientation in which it was seen; graphs aggregate
 them over canonical pairs.  Thresholds count distinct papers (mentions, for direct citation), weights count evidence rows.
-Pairs are counted first, after works too rarely cited to reach the threshold are gone, and only qualifying pairs are
-joined to their evidence.  A paper or work with very many mentions is paired in blocks, over many tasks.  Input tables
+With a threshold, pairs are counted first, after works too rarely cited to reach it are gone, and only the counted pairs are
+joined to their evidence, from the rarer end.  A paper or work with very many mentions is paired in blocks, over many tasks.  Input tables
 carry `ord`, a stable row order.
 """
 
@@ -92,11 +92,20 @@ def pair_counts(edges: DataFrame, group: str, item: str, least: int, large: Data
     return counts.where(F.col("n") >= least)
 
 
-def _qualifying(detail: DataFrame, counts: DataFrame) -> DataFrame:
-    """Evidence rows whose canonical pair is among the counted ones."""
-    pair = counts.select(F.col("source").alias("_lo"), F.col("target").alias("_hi"))
-    keyed = detail.withColumns({"_lo": F.least("source", "target"), "_hi": F.greatest("source", "target")})
-    return keyed.join(pair, ["_lo", "_hi"], "left_semi").drop("_lo", "_hi")
+def _evidence(counts: DataFrame, edges: DataFrame, group: str, item: str, place: str) -> DataFrame:
+    """(group, first, second): for each counted pair the edges of its items that share a group, as structs in the order of place.
+
+    A pair starts from its rarer item, so the work follows the mentions of that item and not all pairs of a group.
+    """
+    sizes = edges.groupBy(F.col(item).alias("_i")).agg(F.count("*").alias("_n"))
+    side = lambda name: sizes.select(F.col("_i").alias(name), F.col("_n").alias(f"_{name}"))
+    rare = F.col("_source") <= F.col("_target")
+    ends = counts.join(side("source"), "source").join(side("target"), "target").select(F.when(rare, F.col("source")).otherwise(F.col("target")).alias("_rare"), F.when(rare, F.col("target")).otherwise(F.col("source")).alias("_other"))
+    whole = F.struct(*(F.col(c) for c in edges.columns))
+    rows = ends.join(edges.select(F.col(item).alias("_rare"), F.col(group).alias("_g"), whole.alias("_x")), "_rare")
+    rows = rows.join(edges.select(F.col(item).alias("_other"), F.col(group).alias("_g"), whole.alias("_y")), ["_g", "_other"])
+    ahead = F.col(f"_x.{place}") < F.col(f"_y.{place}")
+    return rows.select(F.col("_g").alias(group), F.when(ahead, F.col("_x")).otherwise(F.col("_y")).alias("first"), F.when(ahead, F.col("_y")).otherwise(F.col("_x")).alias("second"))
 
 
 def direct_citations(pubs: DataFrame, min_count: int = 1, authors: list[str] | None = None) -> DataFrame:
@@ -113,25 +122,24 @@ def co_citations(pubs: DataFrame, min_count: int = 1) -> DataFrame:
     """(year, source, target, cocit_source): two works in one list, the earlier first; at least min_count papers cite both."""
     edges = materialize(mentions(pubs), "mentions")
     large = large_groups(edges, "paper")
-    used = _prune(edges, "paper", "ref", min_count)
-    left = used.select("paper", "year", F.col("pos").alias("_a"), F.col("ref").alias("source"))
-    right = used.select("paper", F.col("pos").alias("_b"), F.col("ref").alias("target"))
-    detail = pairs(left, right, "paper", "_a < _b and source != target", large).select("year", "source", "target", F.col("paper").alias("cocit_source"))
-    return detail if min_count <= 1 else _qualifying(detail, pair_counts(edges, "paper", "ref", min_count, large))
+    if min_count > 1:
+        found = _evidence(pair_counts(edges, "paper", "ref", min_count, large), edges, "paper", "ref", "pos")
+        return found.select("first.year", F.col("first.ref").alias("source"), F.col("second.ref").alias("target"), F.col("paper").alias("cocit_source"))
+    left = edges.select("paper", "year", F.col("pos").alias("_a"), F.col("ref").alias("source"))
+    right = edges.select("paper", F.col("pos").alias("_b"), F.col("ref").alias("target"))
+    return pairs(left, right, "paper", "_a < _b and source != target", large).select("year", "source", "target", F.col("paper").alias("cocit_source"))
 
 
 def coupling(pubs: DataFrame, min_shared: int = 1) -> DataFrame:
     """(year, source, target, shared_ref): two papers that cite a work, the earlier row first; the year is its year."""
     once = materialize(mentions(pubs).groupBy("paper", "ref").agg(F.min("ord").alias("ord"), F.first("year").alias("year")), "mentions")
     large = large_groups(once, "ref")
-    used = once
-    if min_shared > 1:  # a paper with fewer references couples with nobody
-        many = once.groupBy("paper").agg(F.count("*").alias("_n")).where(F.col("_n") >= min_shared).select("paper")
-        used = once.join(many, "paper", "left_semi")
-    left = used.select("ref", F.col("ord").alias("_a"), F.col("paper").alias("source"), "year")
-    right = used.select("ref", F.col("ord").alias("_b"), F.col("paper").alias("target"))
-    detail = pairs(left, right, "ref", "_a < _b", large).select("year", "source", "target", F.col("ref").alias("shared_ref"))
-    return detail if min_shared <= 1 else _qualifying(detail, pair_counts(used, "ref", "paper", min_shared, large))
+    if min_shared > 1:
+        found = _evidence(pair_counts(once, "ref", "paper", min_shared, large), once, "ref", "paper", "ord")
+        return found.select("first.year", F.col("first.paper").alias("source"), F.col("second.paper").alias("target"), F.col("ref").alias("shared_ref"))
+    left = once.select("ref", F.col("ord").alias("_a"), F.col("paper").alias("source"), "year")
+    right = once.select("ref", F.col("ord").alias("_b"), F.col("paper").alias("target"))
+    return pairs(left, right, "ref", "_a < _b", large).select("year", "source", "target", F.col("ref").alias("shared_ref"))
 
 
 def first_author_id(columns: list[str]) -> Column:
@@ -166,11 +174,12 @@ def author_co_citations(pubs: DataFrame, refs: DataFrame, min_count: int = 1, en
     cited = mentions(pubs).where("year is not null").join(reference_authors(refs).select("ref", "author"), "ref").select("paper", "year", "author").distinct()
     cited = materialize(cited, "cited-authors")
     large = large_groups(cited, "paper")
-    used = _prune(cited, "paper", "author", min_count)
-    left, right = used.select("paper", "year", F.col("author").alias("source")), used.select("paper", F.col("author").alias("target"))
-    detail = pairs(left, right, "paper", "source < target", large).select("year", "source", "target", F.col("paper").alias("source_citation"))
     if min_count > 1:
-        detail = _qualifying(detail, pair_counts(cited, "paper", "author", min_count, large))
+        found = _evidence(pair_counts(cited, "paper", "author", min_count, large), cited, "paper", "author", "author")
+        detail = found.select("first.year", F.col("first.author").alias("source"), F.col("second.author").alias("target"), F.col("paper").alias("source_citation"))
+    else:
+        left, right = cited.select("paper", "year", F.col("author").alias("source")), cited.select("paper", F.col("author").alias("target"))
+        detail = pairs(left, right, "paper", "source < target", large).select("year", "source", "target", F.col("paper").alias("source_citation"))
     labels = author_labels(refs, entities)
     detail = detail.join(labels.select(F.col("author").alias("source"), F.col("label").alias("source_label")), "source")
     detail = detail.join(labels.select(F.col("author").alias("target"), F.col("label").alias("target_label")), "target")

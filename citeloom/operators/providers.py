@@ -197,116 +197,6 @@ def cluster_kmeans(df: DataFrame, key: str, vector: str, k: int, seed: int = 0,
     return far.select(key, F.when(F.col("_d") > F.lit(edge), -1).otherwise(F.col("topic_id")).alias("topic_id"))
 
 
-def density_cluster(points: np.ndarray, min_cluster_size: int = 15, min_samples: int | None = None) -> np.ndarray:
-    """HDBSCAN labels of a small set of points: mutual reachability, minimum spanning tree, condensed tree, stability.
-
-    Exact and quadratic in memory; meant for one group of bounded size, larger corpora use cluster_kmeans.
-    """
-    n = len(points)
-    if n < 2 * min_cluster_size:
-        return np.full(n, -1)
-    k = min(min_samples or min_cluster_size, n - 1)
-    square = (points**2).sum(1)
-    distance = np.sqrt(np.maximum(square[:, None] + square[None] - 2 * points @ points.T, 0))
-    core = np.partition(distance, k, axis=1)[:, k]
-    reach = np.maximum(distance, np.maximum(core[:, None], core[None]))
-    inside, best, source = np.zeros(n, bool), np.full(n, np.inf), np.zeros(n, int)
-    edges, at = [], 0
-    for _ in range(n - 1):
-        inside[at] = True
-        closer = (reach[at] < best) & ~inside
-        best[closer], source[closer] = reach[at][closer], at
-        best[inside] = np.inf
-        at = int(best.argmin())
-        edges.append((best[at], int(source[at]), at))
-    edges.sort()
-    node, members = list(range(n)), {i: 1 for i in range(n)}
-
-    def root(i: int) -> int:
-        while node[i] != i:
-            node[i] = node[node[i]]
-            i = node[i]
-        return i
-
-    children: dict[int, tuple[int, int, float]] = {}
-    for d, a, b in edges:
-        ra, rb = root(a), root(b)
-        node.append(len(node))
-        node[ra] = node[rb] = len(node) - 1
-        children[len(node) - 1] = (ra, rb, d)
-        members[len(node) - 1] = members[ra] + members[rb]
-    stability, kids, births, points_of = {}, {}, {}, {}
-
-    def grow(top: int, birth: float) -> None:
-        stack = [(top, birth)]
-        while stack:
-            start, born = stack.pop()
-            births[start], kids[start], points_of[start], total, i = born, [], _leaves(children, start, n), 0.0, start
-            while i >= n:
-                a, b, d = children[i]
-                lam = 1 / max(d, 1e-12)
-                big = [c for c in (a, b) if members[c] >= min_cluster_size]
-                if len(big) == 2:
-                    total += members[i] * (lam - born)
-                    kids[start] = [a, b]
-                    stack += [(a, lam), (b, lam)]
-                    break
-                if not big:
-                    total += members[i] * (lam - born)
-                    break
-                total += (members[i] - members[big[0]]) * (lam - born)
-                i = big[0]
-            stability[start] = total
-
-    grow(len(node) - 1, 0.0)
-    chosen: dict[int, bool] = {}
-    for c in sorted(stability, key=lambda c: members[c]):
-        below = sum(stability[x] for x in kids[c])
-        if kids[c] and (below > stability[c] or c == len(node) - 1):
-            stability[c], chosen[c] = below, False
-        else:
-            chosen[c] = c != len(node) - 1 or not kids[c]
-    label = np.full(n, -1)
-    number, stack = 0, [len(node) - 1]
-    while stack:
-        c = stack.pop()
-        if chosen[c]:
-            label[points_of[c]] = number
-            number += 1
-        else:
-            stack += kids[c][::-1]
-    return label
-
-
-#: Most documents that the exact density clusterer takes: it needs a square matrix of them in one task.
-DENSITY_ROWS = 20_000
-
-
-def cluster_density(df: DataFrame, key: str, vector: str, min_cluster_size: int = 15) -> DataFrame:
-    """(key, topic_id) by density_cluster over all rows as one group of a checked size; larger tables are refused."""
-    total = df.count()
-    if total > DENSITY_ROWS:
-        raise ValueError(f"the density clusterer takes up to {DENSITY_ROWS} documents, not {total}; use kmeans")
-
-    def over(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("k")
-        return pd.DataFrame({key: rows["k"], "topic_id": density_cluster(np.array(rows["v"].tolist(), float).reshape(len(rows), -1), min_cluster_size)})
-
-    kind = df.schema[key].dataType.simpleString()
-    return df.select(F.lit(0).alias("_all"), F.col(key).alias("k"), F.col(vector).alias("v")).groupBy("_all").applyInPandas(over, f"{key} {kind}, topic_id int")
-
-
-def _leaves(children: dict, top: int, n: int) -> list[int]:
-    out, stack = [], [top]
-    while stack:
-        i = stack.pop()
-        if i < n:
-            out.append(i)
-        else:
-            stack += children[i][:2]
-    return out
-
-
 def diverse_terms(terms: list[str], vectors: np.ndarray, centre: np.ndarray, top: int = 10, balance: float = 0.3) -> list[str]:
     """Terms near a centre that are not near each other (maximal marginal relevance)."""
     unit = lambda x: x / np.maximum(np.linalg.norm(x, axis=-1, keepdims=True), 1e-12)
@@ -352,33 +242,6 @@ def label_topics(terms: DataFrame, docs: DataFrame, provider: Callable[[list[str
     return named.select("topic", F.when(F.coalesce(label, F.lit("")) != "", label).otherwise(F.array_join(F.slice("words", 1, 4), ", ")).alias("name"), "error")
 
 
-def coarser_layers(means: DataFrame, layers: int, seed: int = 0, branch: int = 3) -> DataFrame:
-    """(layer, cluster_id, top) of clusters in coarser and coarser layers, from (cluster, centroid) of layer 0.
-
-    Each layer joins the centroids of the one before, about `branch` at a time, by k-means.  Clusters are as many as were
-    asked for, so their centroids fit the driver; `top` lists the clusters of layer 0 in each.
-    """
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-
-    spark = means.sparkSession
-    held = sorted((r["cluster"], list(r["centroid"])) for r in means.collect())
-    groups = [([c], v) for c, v in held]
-    rows = [(0, i, own) for i, (own, _) in enumerate(groups)]
-    for layer in range(1, layers):
-        k = max(1, -(-len(groups) // branch))
-        if k < len(groups):
-            points = spark.createDataFrame([(i, v) for i, (_, v) in enumerate(groups)], "i int, v array<double>").withColumn("features", array_to_vector("v"))
-            found = {r["i"]: r["prediction"] for r in KMeans(k=k, seed=seed).fit(points).transform(points).collect()} if k > 1 else dict.fromkeys(range(len(groups)), 0)
-            by: dict[int, list] = {}
-            for i, group in enumerate(groups):
-                by.setdefault(found[i], []).append(group)
-            groups = [(sorted(c for own, _ in part for c in own), np.mean([v for _, v in part], axis=0).tolist()) for part in by.values()]
-            groups.sort(key=lambda g: g[0])
-        rows += [(layer, i, own) for i, (own, _) in enumerate(groups)]
-    return spark.createDataFrame(rows, "layer int, cluster_id int, top array<int>")
-
-
 def block_authors(mentions: DataFrame) -> DataFrame:
     """Mentions (name) with author_uid and author_display_name: one identity for each surname and first initial.
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from citeloom.functions import columns as fc
 from citeloom.functions import text as ft
-from citeloom.operators import curation, filters, networks, providers, quality, reports, topics, viz
+from citeloom.operators import curation, density, filters, networks, providers, quality, reports, topics, viz
 from citeloom.plans.config import Config, as_dict, changed_settings, fill_title, from_dict, redact, with_overrides
 from citeloom.plans.written import materialize
 from citeloom.sources import corpus, rest, sinks
@@ -47,6 +47,10 @@ NEEDS: dict[str, tuple[str, ...]] = {
 }
 
 
+#: Fixed value: density clusters that part at less than this distance stay one.
+EPSILON = 0.02
+
+
 @dataclass
 class Context:
     spark: SparkSession
@@ -110,7 +114,10 @@ def search(ctx: Context) -> None:
         pages = ctx.spark.read.format("literature").option("url", s.url).option("params", json.dumps({"q": s.query, "rows": s.rows, "sort": "date desc, id asc"}))
         for name, value in (("transport", ctx.notes.get("transport", s.transport)), ("token", s.token)):
             pages = pages.option(name, value) if value else pages
-        rows = corpus.search_rows(pages.load().where("error is null"), link=s.link)
+        ctx.save("search_pages", pages.load())  # asked once; a page that failed leaves the rest of the scan unknown
+        if failed := ctx.tables["search_pages"].where("error is not null").limit(1).collect():
+            raise rest.RequestFailed(f"the search is not whole: {failed[0]['error']}")
+        rows = corpus.search_rows(ctx.tables["search_pages"], link=s.link)
         ctx.save("found", rows.withColumn("ord", F.monotonically_increasing_id()))  # one chained partition, so ids follow its order
         if s.cache:
             sinks.write_search(ctx.tables["found"], s.cache, dt.datetime.now(dt.timezone.utc))
@@ -236,7 +243,7 @@ def fit_topics(ctx: Context) -> None:
     if c.clusterer == "kmeans":
         found = providers.cluster_kmeans(rows, "Bibcode", "reduced_5d", c.clusters, ctx.config.run.seed, noise_quantile=0.95)
     elif c.clusterer == "density":
-        found = providers.cluster_density(rows, "Bibcode", "reduced_5d", fc.cluster_defaults(rows.count())["min_cluster_size"])
+        found = density.cluster_density(rows, "Bibcode", "reduced_5d", fc.cluster_defaults(rows.count())["min_cluster_size"], epsilon=EPSILON, seed=ctx.config.run.seed)
     else:
         found = ctx.providers.get("cluster", c.clusterer)(rows)
     rows = rows.join(found, "Bibcode")
@@ -276,7 +283,7 @@ def topic_layers(ctx: Context) -> DataFrame:
     Coarser layers join clusters; needless noise is taken into them, by the tree or by the nearest centroid.
     """
     c, rows = ctx.config.topic, ctx.tables["reduced"].select("Bibcode", F.col("reduced_5d").alias("embedding")).join(ctx.tables["assigned"], "Bibcode")
-    above = providers.coarser_layers(topics.centroids(rows, "topic_id", "embedding"), c.layers, ctx.config.run.seed)
+    above = materialize(density.coarser_layers(topics.centroids(rows, "topic_id", "embedding"), c.layers, seed=ctx.config.run.seed), "layer-tree")
     member = above.select("layer", "cluster_id", F.explode("top").alias("topic_id"))
     every = rows.select("Bibcode", "topic_id").crossJoin(F.broadcast(above.select("layer").distinct()))  # as many rows as layers
     assigned = every.join(member, ["layer", "topic_id"], "left").select("Bibcode", "layer", F.coalesce("cluster_id", F.lit(-1)).alias("cluster_id"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,13 +26,13 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-#: Names of the scratch folders that are open, outermost first.
-_SCRATCH: list[str] = []
+#: Names of the scratch folders that are open, outermost first; each thread has its own.
+_SCRATCH: ContextVar[tuple[str, ...]] = ContextVar("scratch", default=())
 
 
 def table_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, within the innermost open scratch folder."""
-    return "/".join([shared_dir(spark), "citeloom", *_SCRATCH, f"{name}-{uuid.uuid4().hex}"])
+    return "/".join([shared_dir(spark), "citeloom", *_SCRATCH.get(), f"{name}-{uuid.uuid4().hex}"])
 
 
 def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
@@ -50,12 +51,12 @@ def delete(spark: SparkSession, path: str) -> None:
 @contextmanager
 def scratch(spark: SparkSession):
     """Tables that materialize writes inside are deleted at the end; what is still to be read needs a path from outside."""
-    _SCRATCH.append(f"scratch-{uuid.uuid4().hex}")
+    held = _SCRATCH.set((*_SCRATCH.get(), f"scratch-{uuid.uuid4().hex}"))
+    path = "/".join([shared_dir(spark), "citeloom", *_SCRATCH.get()])
     try:
         yield
     finally:
-        path = "/".join([shared_dir(spark), "citeloom", *_SCRATCH])
-        _SCRATCH.pop()
+        _SCRATCH.reset(held)
         delete(spark, path)
 
 

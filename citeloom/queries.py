@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from citeloom.functions import columns as fc
 from citeloom.functions import text as ft
-from citeloom.operators import curation, filters, networks, providers, quality, reports, topics, viz
+from citeloom.operators import curation, density, filters, networks, providers, quality, reports, topics, viz
 from citeloom.sources import corpus, sinks
 from citeloom.streaming import arrivals
 
@@ -652,6 +652,15 @@ def language_id(spark, d):
     return providers.identify_language(docs, "text", providers.train_language_profiles(docs, "text", "lang")).select("doc_id", "text_lang")
 
 
+def reduced_embeddings(spark: SparkSession, d: str) -> DataFrame:
+    return providers.reduce_dimensions(vectors(spark, d), "Bibcode")
+
+
+def fine_clusters(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors in 70 small clusters, as many as a corpus has topics."""
+    return table(spark, d, "embeddings").select((F.col("label") * 7 + F.col("vec_id") % 7).cast("int").alias("topic_id"), "embedding")
+
+
 @query()
 def pca_reduction(spark, d):
     return providers.reduce_dimensions(vectors(spark, d), "Bibcode")
@@ -662,6 +671,24 @@ def cluster_documents(spark, d):
     return providers.cluster_kmeans(vectors(spark, d), "Bibcode", "embedding", 10, noise_quantile=0.95)
 
 
+@query()
+def density_clusters(spark, d):
+    points = reduced_embeddings(spark, d)
+    return density.cluster_density(points, "Bibcode", "reduced_5d", min_cluster_size=15)
+
+
+@query()
+def nearest_neighbours(spark, d):
+    points = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.transform("embedding", lambda x: x.cast("double")).alias("vector"))
+    return density.neighbours(points, 10)
+
+
+@query()
+def layer_tree(spark, d):
+    means = topics.centroids(fine_clusters(spark, d))
+    return density.coarser_layers(means, 4, branch=3)
+
+
 @query("""with n as (select c_custkey as mention, 'Author' || (c_custkey % 97) || ', ' || substr(c_mktsegment, 1, 3) as name from customer),
 b as (select *, lower(split_part(name, ',', 1)) || '|' || lower(substr(trim(split_part(name, ',', 2)), 1, 1)) as block from n),
 w as (select block, max(name) as display from b where (block, length(name)) in (select (block, max(length(name))) from b group by block) group by block)

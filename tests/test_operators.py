@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 
 from citeloom.functions import columns as fc
 from citeloom.functions import text as ft
-from citeloom.operators import curation, filters, providers, quality, reports, topics, viz
+from citeloom.operators import curation, density, filters, providers, quality, reports, topics, viz
 
 
 def values(spark, expression, *texts):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, c string")
     return [r[0] for r in df.orderBy("i").select(expression(F.col("c"))).collect()]
+from tests.exact_density import density_cluster
 
 
 def test_text_functions(spark):
@@ -229,22 +230,22 @@ def test_providers(spark):
         return ["<think>hm</think> Topic: \"Dark halos\"" if "dark, matter" in prompts[0] and "- text of one" in prompts[0] else " "]
 
     assert {r["topic"]: (r["name"], r["error"]) for r in providers.label_topics(terms, docs, label).collect()} == {0: ("Dark halos", None), 1: ("star", None), 2: ("gas", "no answer")}
-    means = spark.createDataFrame([(k, [float(k // 3 * 10), float(k % 3)]) for k in range(9)], "cluster int, centroid array<double>")
+    means = spark.createDataFrame([(k, [float(k // 3 * 10), float(k % 3)]) for k in range(9)], "cluster int, centroid array<double>").withColumn("n", F.lit(1))
     layers = {}
-    for r in providers.coarser_layers(means, 3, 1).collect():
+    for r in density.coarser_layers(means, 3).collect():
         layers.setdefault(r["layer"], []).append(r["top"])
     assert sorted(layers[0]) == [[k] for k in range(9)] and sorted(layers[1]) == [[0, 1, 2], [3, 4, 5], [6, 7, 8]] and layers[2] == [list(range(9))]
-    assert providers.coarser_layers(means.limit(0), 2).count() == 0
+    assert density.coarser_layers(means.limit(0), 2).count() == 0
     spread = spark.createDataFrame([(i, [float(i % 2 * 50 + i % 7), float(i % 5)]) for i in range(60)], "k int, v array<double>")
-    assert {r["topic_id"] for r in providers.cluster_density(spread, "k", "v", 10).collect()} - {-1} == {0, 1}
+    assert {r["topic_id"] for r in density.cluster_density(spread, "k", "v", 10).collect()} - {-1} == {0, 1}
     assert providers.validate_reduction("pacmap", {"metric": "cosine", "min_dist": 1}) == {"distance": "angular"}
 
 
 def test_density_clusters():
     rng = np.random.default_rng(0)
     points = np.concatenate([rng.normal(c, 0.1, (60, 2)) for c in ((0, 0), (3, 0), (0, 3))] + [rng.uniform(-4, 7, (12, 2))])
-    label = providers.density_cluster(points, 15)
+    label = density_cluster(points, 15)
     assert len({*label[:60]} - {-1}) == len({*label[60:120]} - {-1}) == len({*label[120:180]} - {-1}) == 1
     assert len(set(label) - {-1}) == 3 and (label[:180] >= 0).mean() > 0.9
-    assert (providers.density_cluster(points[:10], 15) == -1).all()
+    assert (density_cluster(points[:10], 15) == -1).all()
     assert providers.diverse_terms(["a", "b", "c"], np.array([[1, 0.0], [1, 0.01], [0.6, 0.8]]), np.array([1.0, 0.2]), top=2, balance=0.7)[1] == "c"

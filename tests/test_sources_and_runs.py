@@ -1,6 +1,7 @@
 """Sources, sinks, configuration, staged runs, variants and streams."""
 
 import json
+import threading
 import xml.etree.ElementTree as ET
 from pathlib import Path
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from citeloom import cli
 from citeloom.operators import networks
 from citeloom.plans import config as cfg
-from citeloom.plans import stages
+from citeloom.plans import stages, written
 from citeloom.sources import corpus, rest, sinks
 from citeloom.streaming import arrivals
 
@@ -112,6 +113,43 @@ def test_search_is_exported_and_resolved_into_a_dataset(spark, tmp_path):
         assert sorted(map(str, again.tables[table].select(order).collect())) == sorted(map(str, ctx.tables[table].select(order).collect())), table
 
 
+def breaking(url, params):
+    """A search whose second page fails."""
+    return (400, {}, "") if params["cursorMark"] != "*" else service(url, params)
+
+
+def test_a_search_with_a_failed_page_fails_and_is_not_kept(spark, tmp_path):
+    spark.dataSource.register(rest.LiteratureSource)
+    c = cfg.with_overrides(cfg.Config(), {"search.url": "u", "search.query": "q", "search.transport": "tests.test_sources_and_runs:breaking", "search.cache": str(tmp_path / "found"), "run.stop_stage": "search"})
+    with pytest.raises(rest.RequestFailed, match="status 400"):
+        stages.run(spark, c, str(tmp_path / "runs"))
+    assert not (tmp_path / "found").exists()
+    whole = stages.run(spark, cfg.with_overrides(c, {"search.transport": "tests.test_sources_and_runs:service"}), str(tmp_path / "runs"))
+    assert whole.tables["found"].count() == 3
+
+
+def test_scratch_folders_belong_to_a_thread(spark):
+    opened, wrote = threading.Event(), threading.Event()
+    held = {}
+
+    def other():
+        opened.wait(60)
+        held["table"] = written.materialize(spark.range(5), "other")
+        wrote.set()
+
+    thread = threading.Thread(target=other)
+    thread.start()
+    with written.scratch(spark):
+        own = written.materialize(spark.range(3), "own")
+        with written.scratch(spark):
+            written.materialize(spark.range(3), "inner")
+        opened.set()
+        wrote.wait(60)
+        assert own.count() == 3
+    thread.join()
+    assert held["table"].count() == 5 and "scratch" not in held["table"].inputFiles()[0]
+
+
 def test_export_in_chunks(spark):
     keys = spark.createDataFrame([(7 - k, f"x{k}") for k in range(7)], "ord int, Bibcode string")
     out = rest.export_keys(keys, "e", "form", "tests.test_sources_and_runs:service", chunk=3).orderBy("chunk").collect()
