@@ -28,6 +28,7 @@ class SearchSection:
     link: str = "{bibcode}/{resource}"
     transport: str = ""
     cache: str | None = None
+    pause: float = 0.0
 
 
 @dataclass(frozen=True)
@@ -52,6 +53,7 @@ class TranslateSection:
     provider: str = "identity"
     target: str = "en"
     columns: tuple[str, ...] = ("Title", "Abstract")
+    profiles: str | None = None
 
 
 @dataclass(frozen=True)

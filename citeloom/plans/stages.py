@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import functools
+import hashlib
 import json
 import logging
 import re
@@ -21,7 +22,7 @@ from citeloom.functions import columns as fc
 from citeloom.functions import text as ft
 from citeloom.operators import curation, density, filters, networks, providers, quality, reports, topics, viz
 from citeloom.plans.config import Config, as_dict, changed_settings, fill_title, from_dict, redact, with_overrides
-from citeloom.plans.written import materialize
+from citeloom.plans.written import delete, materialize
 from citeloom.sources import corpus, rest, sinks
 
 logger = logging.getLogger(__name__)
@@ -111,14 +112,14 @@ def search(ctx: Context) -> None:
     else:
         if not s.url:
             raise ValueError("the search stage needs search.url, or source tables and a later start")
-        pages = ctx.spark.read.format("literature").option("url", s.url).option("params", json.dumps({"q": s.query, "rows": s.rows, "sort": "date desc, id asc"}))
-        for name, value in (("transport", ctx.notes.get("transport", s.transport)), ("token", s.token)):
-            pages = pages.option(name, value) if value else pages
-        ctx.save("search_pages", pages.load())  # asked once; a page that failed leaves the rest of the scan unknown
-        if failed := ctx.tables["search_pages"].where("error is not null").limit(1).collect():
-            raise rest.RequestFailed(f"the search is not whole: {failed[0]['error']}")
-        rows = corpus.search_rows(ctx.tables["search_pages"], link=s.link)
-        ctx.save("found", rows.withColumn("ord", F.monotonically_increasing_id()))  # one chained partition, so ids follow its order
+        params = {"q": s.query, "rows": s.rows, "sort": "date desc, id asc"}
+        asked = {"transport": ctx.notes.get("transport", s.transport), "token": s.token, "pause": s.pause}
+        # kept as pages come where there is a cache, so that a scan that breaks off goes on at its cursor
+        name = hashlib.sha256(json.dumps([s.url, params]).encode()).hexdigest()[:16]
+        kept = f"{s.cache or ctx.folder + '/data'}/unfinished-{name}"
+        rows = corpus.search_rows(rest.scan(ctx.spark, s.url, params, kept, **asked), link=s.link, page="part")
+        ctx.save("found", rows)
+        delete(ctx.spark, kept)
         if s.cache:
             sinks.write_search(ctx.tables["found"], s.cache, dt.datetime.now(dt.timezone.utc))
     ctx.notes["search"] = {k: int(v) for k, v in reports.search_stats(ctx.tables["found"]).first().asDict().items()}
@@ -168,13 +169,18 @@ def _export_metadata(ctx: Context, keys: DataFrame) -> dict:
 
 def translate(ctx: Context) -> None:
     c = ctx.config.translate
+    profiles = ctx.notes.get("profiles")  # of this session
+    if c.enabled and c.provider != "identity" and not profiles:
+        if not c.profiles:
+            raise ValueError("translation needs translate.profiles, a table of text and lang to learn languages from")
+        ctx.notes["profiles"] = profiles = providers.train_language_profiles(ctx.spark.read.parquet(c.profiles), "text", "lang")
     for name in ("pubs", "refs"):
         df = ctx.tables[name]
         for column in c.columns:
             if column not in df.columns:
                 continue
             if c.enabled and c.provider != "identity":
-                df = providers.identify_language(df, column, ctx.notes.get("profiles", {}))
+                df = providers.identify_language(df, column, profiles)
                 df = providers.translate(df, "Bibcode", column, ctx.providers.get("translate", c.provider), c.target)
             else:
                 df = df.withColumns({f"{column}_lang": F.lit(None).cast("string"), f"{column}_en": F.col(column)})
@@ -473,6 +479,8 @@ def doctor(config: Config, registry: providers.Registry | None = None) -> list[s
         name = getattr(getattr(config, section), key)
         if stage in stages and getattr(getattr(config, section), "enabled", True) and name not in built_in and name not in known.get(task, {}):
             out.append(f"{section}.{key}: no provider {name!r}; known: {', '.join(sorted({*built_in, *known.get(task, {})}))}")
+    if "translate" in stages and config.translate.enabled and config.translate.provider != "identity" and not config.translate.profiles:
+        out.append("translate.profiles: a provider needs a table of text and lang, or texts of any language would be sent to it")
     for name in ("publications", "references"):
         path = getattr(config.source, name)
         if "export" in stages and path and "://" not in path and not Path(path).exists():

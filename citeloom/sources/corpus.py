@@ -169,13 +169,22 @@ def yearly_quota(df: DataFrame, per_year: int) -> DataFrame:
 LINK = "{bibcode}/{resource}"
 
 
-def search_rows(pages: DataFrame, column: str = "value", link: str = LINK) -> DataFrame:
-    """(Bibcode, References, esources, PDF_URL) of search pages; the link is a template filled with the first PDF source."""
+#: Rows of a page at most, for the order of rows in a scan.
+PAGE_ROWS = 1_000_000
+
+
+def search_rows(pages: DataFrame, column: str = "value", link: str = LINK, page: str | None = None) -> DataFrame:
+    """(Bibcode, References, esources, PDF_URL) of search pages; the link is a template filled with the first PDF source.
+
+    With the column of a page's number, `ord` is the place of a row in the whole scan.
+    """
     schema = "struct<response:struct<docs:array<struct<bibcode:string,reference:array<string>,esources:array<string>>>>,nextCursorMark:string>"
-    docs = pages.select(F.explode(F.from_json(column, schema)["response"]["docs"]).alias("d"))
+    number = F.lit(0) if page is None else F.col(page)
+    docs = pages.select(number.cast("long").alias("page"), F.posexplode(F.from_json(column, schema)["response"]["docs"]).alias("pos", "d"))
     source = F.try_element_at(F.filter(F.coalesce("d.esources", _empty()), lambda e: e.contains("ADS_PDF") | e.contains("PUB_PDF")), F.lit(1))
+    place = [] if page is None else [(F.col("page") * PAGE_ROWS + F.col("pos")).alias("ord")]
     return docs.select(
-        F.col("d.bibcode").alias("Bibcode"), F.coalesce("d.reference", _empty()).alias("References"), F.coalesce("d.esources", _empty()).alias("esources"),
+        *place, F.col("d.bibcode").alias("Bibcode"), F.coalesce("d.reference", _empty()).alias("References"), F.coalesce("d.esources", _empty()).alias("esources"),
         F.when(source.isNotNull(), F.replace(F.replace(F.lit(link), F.lit("{bibcode}"), F.col("d.bibcode")), F.lit("{resource}"), source)).alias("PDF_URL"))
 
 

@@ -14,9 +14,10 @@ import urllib.request
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.errors import StreamingQueryException
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 
 from citeloom.plans.written import numbered
 
@@ -82,6 +83,14 @@ class _Part(InputPartition):
         self.params = params
 
 
+def _transport(options: dict) -> Transport:
+    if options.get("transport"):
+        return load_transport(options["transport"])
+    if options.get("token"):
+        return functools.partial(http_get, headers={"Authorization": f"Bearer {options['token']}"})
+    return http_get
+
+
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
         self.url = options["url"]
@@ -89,11 +98,7 @@ class _Reader(DataSourceReader):
         self.params = json.loads(options.get("params", "{}"))
         self.parts = json.loads(options.get("parts", "[{}]"))
         self.attempts = int(options.get("attempts", "5"))
-        self.transport = http_get
-        if options.get("transport"):
-            self.transport = load_transport(options["transport"])
-        elif options.get("token"):
-            self.transport = functools.partial(http_get, headers={"Authorization": f"Bearer {options['token']}"})
+        self.transport = _transport(options)
         self.pause = float(options.get("pause", "0"))
 
     def partitions(self) -> list[InputPartition]:
@@ -113,23 +118,95 @@ class _Reader(DataSourceReader):
             yield name, None, str(e)
 
 
+class _Scan(SimpleDataSourceStreamReader):
+    """A scan by cursor whose offset is the cursor of the next page; a page that fails ends the batch, and the offset stays.
+
+    Pages follow from each other, so they are asked one by one, and the pause between two requests holds for the whole scan.
+    """
+
+    def __init__(self, options: dict):
+        self.url, self.params, self.attempts = options["url"], json.loads(options.get("params", "{}")), int(options.get("attempts", "5"))
+        self.transport, self.pause, self.pages = _transport(options), float(options.get("pause", "0")), int(options.get("pages", "20"))
+        #: Where the cursor goes and comes back, by the service: the parameter, its first value and the key of the answer.
+        self.sent, self.first, self.got = options.get("cursorparam", "cursorMark"), options.get("cursorfirst", "*"), options.get("cursorkey", "nextCursorMark")
+        self.records = options.get("recordspath", "response.docs").split(".")
+
+    def initialOffset(self) -> dict:
+        return {"cursor": self.first, "page": 0, "done": False}
+
+    def _page(self, at: dict) -> tuple[list[tuple], dict]:
+        time.sleep(self.pause if at["page"] else 0)
+        own = {self.sent: at["cursor"]} if at["cursor"].strip() else {}  # a service may take no token for its first page
+        body = request(self.transport, self.url, self.params | own, attempts=self.attempts)
+        page = json.loads(body)
+        records, following = page, page.get(self.got)
+        for key in self.records:
+            records = (records or {}).get(key)
+        if not records:
+            return [], at | {"done": True}
+        return [(f"{at['page']:012d}", body, None)], {"cursor": following, "page": at["page"] + 1, "done": not following or following == at["cursor"]}
+
+    def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
+        rows, at = [], dict(start)
+        for _ in range(self.pages):
+            if at["done"]:
+                break
+            own, at = self._page(at)
+            rows += own
+        return iter(rows), at
+
+    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
+        at = dict(start)
+        while at["page"] < end["page"]:
+            rows, at = self._page(at)
+            if not rows:
+                raise RequestFailed(f"{self.url}: page {at['page']} is there no more")
+            yield from rows
+
+
+def scan(spark: SparkSession, url: str, params: dict, folder: str, **options) -> DataFrame:
+    """(part, value, error) of all pages of a scan by cursor, in the order of part; kept in a folder as they come.
+
+    A scan that was killed, or whose page failed, goes on at its cursor when it is called again; a finished one asks no page.
+    Further options: transport, token, attempts, pause in seconds between two requests, pages of a batch, and for services
+    with page tokens cursorparam, cursorfirst, cursorkey and recordspath.
+    """
+    source = spark.readStream.format("literature").option("url", url).option("params", json.dumps(params, sort_keys=True))
+    for name, value in options.items():
+        source = source.option(name, value) if value else source
+    query = source.load().writeStream.format("parquet").option("path", f"{folder}/pages").option("checkpointLocation", f"{folder}/scan").start()
+    try:
+        query.processAllAvailable()
+    except StreamingQueryException as e:
+        raise RequestFailed(f"the search is not whole: {e}") from e
+    finally:
+        query.stop()
+    return spark.read.schema(LiteratureSource.COLUMNS).parquet(f"{folder}/pages")
+
+
 class LiteratureSource(DataSource):
     """format("literature"): rows (part, value, error).
 
     Options: url; mode `cursor` (one chained scan) or `parts` (one task for each of `parts`, a JSON list of parameters,
     such as chunks of keys, page numbers or years); params, attempts, transport, token and, in seconds, pause before a part.
+    As a stream it is a scan by cursor that goes on where it ended; see scan.
     """
 
+    COLUMNS = "part string, value string, error string"
+
     @classmethod
     def name(cls) -> str:
         return "literature"
 
     def schema(self) -> str:
-        return "part string, value string, error string"
+        return self.COLUMNS
 
     def reader(self, schema) -> DataSourceReader:
         return _Reader(self.options)
 
+    def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:
+        return _Scan(self.options)
+
 
 def http_post(url: str, payload: dict, headers: dict | None = None) -> tuple[int, dict, str]:
     """As http_get, with the payload as a JSON body."""

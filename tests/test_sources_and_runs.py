@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from citeloom import cli
-from citeloom.operators import networks
+from citeloom.operators import networks, providers
 from citeloom.plans import config as cfg
 from citeloom.plans import stages, written
 from citeloom.sources import corpus, rest, sinks
@@ -113,19 +113,81 @@ def test_search_is_exported_and_resolved_into_a_dataset(spark, tmp_path):
         assert sorted(map(str, again.tables[table].select(order).collect())) == sorted(map(str, ctx.tables[table].select(order).collect())), table
 
 
+MANY = {f"c{k}": {"response": {"docs": [{"bibcode": f"b{k}-{i}"} for i in range(3)]}, "nextCursorMark": f"c{k + 1}"} for k in range(1, 7)}
+MANY["*"] = {"response": {"docs": [{"bibcode": "b0-0"}]}, "nextCursorMark": "c1"}
+
+
 def breaking(url, params):
-    """A search whose second page fails."""
-    return (400, {}, "") if params["cursorMark"] != "*" else service(url, params)
+    """A search of seven pages that says what it was asked, and whose fifth page fails while a file is there."""
+    folder = Path(params["q"])
+    with open(folder / "asked", "a") as asked:
+        asked.write(params["cursorMark"] + " ")
+    if params["cursorMark"] == "c4" and (folder / "broken").exists():
+        return 400, {}, ""
+    page = MANY.get(params["cursorMark"], {"response": {"docs": []}})
+    return 200, {}, json.dumps(page)
 
 
-def test_a_search_with_a_failed_page_fails_and_is_not_kept(spark, tmp_path):
+def test_a_search_that_breaks_off_fails_and_goes_on_at_its_cursor(spark, tmp_path):
     spark.dataSource.register(rest.LiteratureSource)
-    c = cfg.with_overrides(cfg.Config(), {"search.url": "u", "search.query": "q", "search.transport": "tests.test_sources_and_runs:breaking", "search.cache": str(tmp_path / "found"), "run.stop_stage": "search"})
-    with pytest.raises(rest.RequestFailed, match="status 400"):
+    (tmp_path / "broken").touch()
+    c = cfg.with_overrides(cfg.Config(), {"search.url": "u", "search.query": str(tmp_path), "search.transport": "tests.test_sources_and_runs:breaking", "search.cache": str(tmp_path / "found"), "run.stop_stage": "search"})
+    with pytest.raises(rest.RequestFailed, match="not whole"):
         stages.run(spark, c, str(tmp_path / "runs"))
-    assert not (tmp_path / "found").exists()
-    whole = stages.run(spark, cfg.with_overrides(c, {"search.transport": "tests.test_sources_and_runs:service"}), str(tmp_path / "runs"))
-    assert whole.tables["found"].count() == 3
+    assert not (tmp_path / "found" / "search_results_latest").exists()  # nothing that a later run would take for the search
+    (tmp_path / "broken").unlink()
+    ctx = stages.run(spark, c, str(tmp_path / "runs"))
+    rows = ctx.tables["found"].orderBy("ord").collect()
+    assert [r["Bibcode"] for r in rows] == ["b0-0", *(f"b{k}-{i}" for k in range(1, 7) for i in range(3))]
+    assert [p.name for p in (tmp_path / "found").iterdir() if "unfinished" in p.name] == []
+
+
+def test_a_scan_asks_no_page_twice(spark, tmp_path):
+    spark.dataSource.register(rest.LiteratureSource)
+    (tmp_path / "broken").touch()
+    again = lambda: rest.scan(spark, "u", {"q": str(tmp_path), "sort": "x"}, str(tmp_path / "kept"), transport="tests.test_sources_and_runs:breaking", pages="2")
+    with pytest.raises(rest.RequestFailed):
+        again()
+    (tmp_path / "broken").unlink()
+    before = (tmp_path / "asked").read_text().split()
+    assert before[:4] == ["*", "c1", "c2", "c3"] and set(before[4:]) == {"c4"}
+    pages = again().orderBy("part").collect()
+    asked = (tmp_path / "asked").read_text().split()[len(before):]
+    assert asked == ["c4", "c5", "c6", "c7"] and [json.loads(r["value"])["nextCursorMark"] for r in pages] == [f"c{k}" for k in range(1, 8)]
+    assert again().count() == 7 and len((tmp_path / "asked").read_text().split()) == len(before) + 4
+
+
+def tokens(url, params):
+    """A service with page tokens and records of its own."""
+    page = {None: (["a", "b"], "t1"), "t1": (["c"], None)}[params.get("token")]
+    return 200, {}, json.dumps({"data": page[0], "token": page[1]})
+
+
+def test_page_tokens(spark, tmp_path):
+    spark.dataSource.register(rest.LiteratureSource)
+    rows = rest.scan(spark, "u", {}, str(tmp_path), transport="tests.test_sources_and_runs:tokens", cursorparam="token", cursorfirst=" ", cursorkey="token", recordspath="data")
+    assert [json.loads(r["value"])["data"] for r in rows.orderBy("part").collect()] == [["a", "b"], ["c"]]
+
+
+def test_only_texts_in_other_languages_are_sent(spark, tmp_path):
+    """A run learns its languages from a table; without one it says so before it starts."""
+    english, german = "the stars and the dark matter of the galaxies are in the halo", "die Sterne und die dunkle Materie der Galaxien sind in dem Halo"
+    spark.createDataFrame([(english, "en"), (german, "de")] * 3, "text string, lang string").write.parquet(str(tmp_path / "labelled"))
+    pubs = spark.createDataFrame([(1, "p1", 2000, ["A"], english[:29], "", []), (2, "p2", 2000, ["A"], german[:29], "", [])], "ord int, Bibcode string, Year int, Author array<string>, Title string, Abstract string, References array<string>")
+    refs = spark.createDataFrame([(1, "r1", 1999, ["X"], "the halo of the stars")], "ord int, Bibcode string, Year int, Author array<string>, Title string")
+    for name, df in (("pubs", pubs), ("refs", refs)):
+        df.write.parquet(str(tmp_path / name))
+    c = cfg.with_overrides(cfg.Config(), {"source.publications": str(tmp_path / "pubs"), "source.references": str(tmp_path / "refs"), "translate.provider": "shout", "run.stop_stage": "translate"})
+    registry = providers.Registry()
+    registry.add("translate", "shout", lambda texts, languages: [t.upper() for t in texts])
+    assert any("translate.profiles" in line for line in stages.doctor(c, registry))
+    with pytest.raises(ValueError, match="translate.profiles"):
+        stages.run(spark, c, str(tmp_path / "runs"), registry=registry)
+    c = cfg.with_overrides(c, {"translate.profiles": str(tmp_path / "labelled")})
+    assert stages.doctor(c, registry) == []
+    ctx = stages.run(spark, c, str(tmp_path / "runs"), registry=registry)
+    got = {r["Bibcode"]: (r["Title_lang"], r["Title_en"]) for r in ctx.tables["pubs_translated"].collect()}
+    assert got == {"p1": ("en", english[:29]), "p2": ("de", german[:29].upper())}
 
 
 def test_scratch_folders_belong_to_a_thread(spark):
