@@ -2,8 +2,8 @@
 
 A dangling-suffix transducer reads both token sequences of a text: its state is the side that leads and the bytes by which
 it leads.  The other side's next token either shortens these bytes or takes the lead; an empty state closes a group.
-Transitions are remembered by state and token.  Texts are cut into segments before a blank that both tokenizers start a
-token with; the groups of a segment are remembered too, as most segments are words that come again.
+Transitions are remembered by state and token.  Very long texts are read in parts, cut before a blank that both tokenizers
+start a token with.
 
 Links of a corpus are counted in blocks of documents: a block sends each pair of ids once, with the number of its documents
 that hold it, and gets back the pair's count in the corpus.
@@ -12,7 +12,6 @@ that hold it, and gets back the pair's count in the corpus.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,12 +25,14 @@ from citeloom.llm.bpe import read_ranks
 from citeloom.llm.common import materialize
 from citeloom.llm.packing import token_ids
 
-#: A segment starts with a blank that follows no blank and is followed by no white space.
-SEGMENTS = re.compile(r"(?<! )(?= \S)")
-#: Segments and transitions that a task remembers, and the longest segment that it remembers.
-SEGMENTS_KEPT, STEPS_KEPT, LONGEST = 100_000, 500_000, 200
-#: Characters of longer segments after which a task forgets them all.
-LOOSE = 2 << 20
+#: Tokens of both vocabularies begin at a blank that follows no blank and is followed by no white space.
+BORDER = re.compile(r"(?<! )(?= \S)")
+#: Characters after which a text is cut at the next border.
+PART = 100_000
+#: Transitions that a task remembers.
+STEPS_KEPT = 500_000
+#: Links of a group above which they are counted by distinct ids.
+MANY_LINKS = 4096
 #: Documents and bytes of text of a block.
 BLOCK_DOCUMENTS, BLOCK_BYTES = 2_000, 8 << 20
 ALIGNED = "block long, doc_id long, dictionary boolean, n_a long, n_b long, n_groups long, n_links long, groups string, links binary, times binary"
@@ -40,56 +41,110 @@ WIDTH = 1 << 32
 
 
 class Transducer:
-    """Groups of two token sequences with equal bytes; tokens are given by id, their bytes by a table for each side."""
+    """Groups of two token sequences with equal bytes; tokens are given by id, their bytes by a table for each side.
+
+    States are numbers: 0 where no side leads, positive ones where A leads and negative ones where B does.
+    """
 
     def __init__(self, bytes_a: list[bytes], bytes_b: list[bytes]):
-        self.bytes = (bytes_a, bytes_b)
+        self.bytes_a, self.bytes_b = bytes_a, bytes_b
+        self.width = max(len(bytes_a), len(bytes_b))
+        place = {own: i for i, own in enumerate(bytes_b) if own}
+        #: For each token of A the token of B with its bytes, or -1.
+        self.twin = [place.get(own, -1) for own in bytes_a]
         self._forget()
 
     def _forget(self) -> None:
-        self.states: list[tuple[int, bytes]] = [(0, b"")]
-        self.numbers: dict[tuple[int, bytes], int] = {(0, b""): 0}
-        self.steps: tuple[dict, dict] = ({}, {})
+        self.residuals: list[bytes] = [b""]
+        self.numbers: dict[tuple[bool, bytes], int] = {}
+        self.after_a: dict[int, int] = {}
+        self.after_b: dict[int, int] = {}
 
-    def _step(self, state: int, side: int, token: int) -> int:
-        lead, residual = self.states[state]
-        own = self.bytes[side][token]
+    def _state(self, a_leads: bool, residual: bytes) -> int:
         if not residual:
-            after = (side, own)
-        elif len(own) <= len(residual):
-            after = (lead, residual[len(own) :])
-        else:
-            after = (side, own[len(residual) :])
-        if not after[1]:
-            after = (0, b"")
-        number = self.numbers.get(after)
+            return 0
+        number = self.numbers.get((a_leads, residual))
         if number is None:
-            number = self.numbers[after] = len(self.states)
-            self.states.append(after)
-        self.steps[side][state, token] = number
+            number = len(self.residuals) if a_leads else -len(self.residuals)
+            self.residuals.append(residual)
+            self.numbers[a_leads, residual] = number
         return number
 
-    def groups(self, ids_a: list[int], ids_b: list[int]) -> list[tuple[list[int], list[int]]]:
-        """The ids of each group, in order; both sequences must stand for the same bytes."""
-        if len(self.steps[0]) + len(self.steps[1]) > STEPS_KEPT:
+    def _after_a(self, state: int, token: int) -> int:
+        own, residual = self.bytes_a[token], self.residuals[-state]
+        after = self._state(False, residual[len(own) :]) if len(own) < len(residual) else self._state(True, own[len(residual) :])
+        self.after_a[state * self.width - token] = after
+        return after
+
+    def _after_b(self, state: int, token: int) -> int:
+        own, residual = self.bytes_b[token], self.residuals[state]
+        after = self._state(True, residual[len(own) :]) if len(own) < len(residual) else self._state(False, own[len(residual) :])
+        self.after_b[state * self.width + token] = after
+        return after
+
+    def ends(self, ids_a: list[int], ids_b: list[int]) -> np.ndarray:
+        """Where each group ends in both sequences, a row for each; the sequences must stand for the same bytes."""
+        if len(self.after_a) + len(self.after_b) > STEPS_KEPT:
             self._forget()
-        sides, at, out = (ids_a, ids_b), [0, 0], []
-        state, own = 0, ([], [])
-        while at[0] < len(ids_a) or state:
-            side = 1 - self.states[state][0] if state else 0
-            token = sides[side][at[side]]
-            at[side] += 1
-            own[side].append(token)
-            known = self.steps[side].get((state, token))
-            state = self._step(state, side, token) if known is None else known
-            if not state:
-                out.append(own)
-                own = ([], [])
-        return out
+        after_a, after_b, twin, width = self.after_a, self.after_b, self.twin, self.width
+        ends, i, j, n = [], 0, 0, len(ids_a)
+        add = ends.append
+        while i < n:
+            token = ids_a[i]
+            i += 1
+            if twin[token] == ids_b[j]:  # to the empty state in two steps
+                j += 1
+                add(i << 32 | j)
+                continue
+            try:
+                state = after_a[-token]
+            except KeyError:
+                state = self._after_a(0, token)
+            while state:
+                if state > 0:
+                    token = ids_b[j]
+                    j += 1
+                    try:
+                        state = after_b[state * width + token]
+                    except KeyError:
+                        state = self._after_b(state, token)
+                else:
+                    token = ids_a[i]
+                    i += 1
+                    try:
+                        state = after_a[state * width - token]
+                    except KeyError:
+                        state = self._after_a(state, token)
+            add(i << 32 | j)
+        both = np.array(ends, np.int64)
+        return np.stack([both >> 32, both & 0xFFFFFFFF], 1)
+
+
+def _links(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs of ids that share a group, and how often they do."""
+    n, m = np.diff(ends_a, prepend=0), np.diff(ends_b, prepend=0)
+    few = np.flatnonzero(n * m <= MANY_LINKS)
+    first_a, first_b, wide, each = (ends_a - n)[few], (ends_b - m)[few], m[few], (n * m)[few]
+    place = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+    wide = np.repeat(wide, each)
+    parts = [np.unique(a[np.repeat(first_a, each) + place // wide] * WIDTH + b[np.repeat(first_b, each) + place % wide], return_counts=True)]
+    for k in np.flatnonzero(n * m > MANY_LINKS):
+        (own_a, often_a), (own_b, often_b) = np.unique(a[ends_a[k] - n[k] : ends_a[k]], return_counts=True), np.unique(b[ends_b[k] - m[k] : ends_b[k]], return_counts=True)
+        parts.append(((own_a[:, None] * WIDTH + own_b).ravel(), (often_a[:, None] * often_b).ravel()))
+    return _added(parts)
+
+
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    if len(parts) == 1:
+        return parts[0]
+    pairs, place = np.unique(np.concatenate([p for p, _ in parts]), return_inverse=True)
+    total = np.zeros(len(pairs), np.int64)
+    np.add.at(total, place, np.concatenate([t for _, t in parts]))
+    return pairs, total
 
 
 class Aligner:
-    """Groups and links of segments of a text, for a byte-level vocabulary A and a piece model B that adds a blank."""
+    """Groups and links of texts, for a byte-level vocabulary A and a piece model B that adds a blank."""
 
     def __init__(self, ranks: str, pattern: str, model: str):
         import sentencepiece
@@ -98,76 +153,50 @@ class Aligner:
         bytes_a = [b""] * (max(held.values()) + 1)
         for token, rank in held.items():
             bytes_a[rank] = token
+        if any(bytes([x]) not in held for x in range(256)):
+            raise ValueError("the rank file lacks a byte")
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=model)
         names = [self.pieces.id_to_piece(i) for i in range(self.pieces.get_piece_size())]
         if any("▁" in name.lstrip("▁") for name in names):
-            raise ValueError("the model has pieces across blanks, so its tokens can't be taken by segments")
+            raise ValueError("the model has pieces across blanks, so a long text can't be cut before one")
         bytes_b = [bytes([int(name[3:5], 16)]) if self.pieces.is_byte(i) else name.replace("▁", " ").encode() for i, name in enumerate(names)]
-        self.encode_a, self.bytes, self.transducer = token_ids(ranks, pattern), (bytes_a, bytes_b), Transducer(bytes_a, bytes_b)
-        self._empty()
-
-    def _empty(self) -> None:
-        self.known: dict[str, int] = {}
-        self.loose = 0
-        self.counts: list[tuple[int, int, int, int]] = []  # tokens of A, of B, groups and links; groups 0 where bytes differ
-        self.names: list[str] = []
-        self.pairs: list[np.ndarray] = []
-        self.times: list[np.ndarray] = []
-
-    def _add(self, segment: str) -> int:
-        a, b = self.encode_a(segment).tolist(), self.pieces.encode(segment[1:])
-        raw, (bytes_a, bytes_b) = segment.encode(), self.bytes
-        links: Counter = Counter()
-        groups = []
-        if b"".join([bytes_a[i] for i in a]) == raw and b"".join([bytes_b[i] for i in b]) == raw:
-            groups = self.transducer.groups(a, b)
-        for own_a, own_b in groups:
-            if len(own_a) == len(own_b) == 1:
-                links[own_a[0] * WIDTH + own_b[0]] += 1
-            else:
-                many = Counter(own_b)
-                for i, n in Counter(own_a).items():
-                    for j, m in many.items():
-                        links[i * WIDTH + j] += n * m
-        self.counts.append((len(a), len(b), len(groups), sum(links.values())))
-        self.names.append(";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups))
-        self.pairs.append(np.fromiter(links.keys(), np.int64, len(links)))
-        self.times.append(np.fromiter(links.values(), np.int64, len(links)))
-        return len(self.counts) - 1
-
-    def text(self, text: str) -> tuple[tuple[int, ...], str, np.ndarray, np.ndarray]:
+        self.encode_a, self.bytes_a, self.bytes_b, self.transducer = token_ids(ranks, pattern), bytes_a, bytes_b, Transducer(bytes_a, bytes_b)
+        #: Each id as text with what may follow it.
+        self.shown = [f"{i}{mark}" for i in range(max(len(bytes_a), len(bytes_b))) for mark in ",|;"]
+
+    def _parts(self, text: str) -> Iterator[str]:
+        start = 0
+        while len(text) - start > 2 * PART and (cut := BORDER.search(text, start + PART)):
+            yield text[start : cut.start()]
+            start = cut.start()
+        yield text[start:]
+
+    def _show(self, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> str:
+        """The ids of each group, A's before B's, with a mark after each."""
+        codes = np.empty(len(a) + len(b), np.int64)
+        n, m = np.diff(ends_a, prepend=0), np.diff(ends_b, prepend=0)
+        codes[np.arange(len(a)) + np.repeat(ends_b - m, n)] = 3 * a
+        codes[np.arange(len(b)) + np.repeat(ends_a, m)] = 3 * b
+        codes[ends_a + ends_b - m - 1] += 1
+        codes[ends_a + ends_b - 1] += 2
+        return "".join(map(self.shown.__getitem__, codes.tolist()))
+
+    def text(self, text: str) -> tuple[tuple[int, int, int, int], str, np.ndarray, np.ndarray]:
         """Counts, groups as text, and the sorted pairs with how often they are linked; all empty where bytes differ."""
         nothing = (0, 0, 0, 0), "", np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if not text:
+        if not text or "▁" in text:  # B's sign for a blank stands for other bytes than its own
             return nothing
-        if len(self.known) > SEGMENTS_KEPT:
-            self._empty()
-        known, at = self.known, []
-        for segment in SEGMENTS.split(" " + text):
-            if not segment:
-                continue
-            k = known.get(segment)
-            if k is None:
-                k = self._add(segment)
-                if len(segment) <= LONGEST:
-                    known[segment] = k
-                else:
-                    self.loose += len(segment)
-            at.append(k)
-        own, often = np.unique(np.array(at), return_counts=True)
-        numbers = np.array([self.counts[k] for k in own])
-        if not numbers[:, 2].all():
-            out = nothing
-        else:
-            pairs = np.concatenate([self.pairs[k] for k in own])
-            times = np.concatenate([self.times[k] for k in own]) * np.repeat(often, [len(self.pairs[k]) for k in own])
-            distinct, place = np.unique(pairs, return_inverse=True)
-            total = np.zeros(len(distinct), np.int64)
-            np.add.at(total, place, times)
-            out = tuple((numbers * often[:, None]).sum(0).tolist()), ";".join([self.names[k] for k in at]), distinct, total
-        if self.loose > LOOSE:
-            self._empty()
-        return out
+        counts, shown, links = np.zeros(4, np.int64), [], []
+        for part in self._parts(" " + text):
+            a, ids_b = self.encode_a(part).astype(np.int64), self.pieces.encode(part[1:])
+            if b"".join(map(self.bytes_b.__getitem__, ids_b)) != part.encode():  # A has a token for each byte, so its tokens always match
+                return nothing
+            b = np.array(ids_b)
+            ends_a, ends_b = self.transducer.ends(a.tolist(), ids_b).T
+            links.append(_links(a, b, ends_a, ends_b))
+            shown.append(self._show(a, b, ends_a, ends_b))
+            counts += len(a), len(b), len(ends_a), links[-1][1].sum()
+        return tuple(counts.tolist()), "".join(shown)[:-1], *_added(links)
 
 
 @lru_cache(maxsize=2)

@@ -83,20 +83,21 @@ def test_statistics_against_brute_force(spark, small, monkeypatch):
     assert want[-5][:4] == want[-4][:4] == (0, 0, 0, 0)
 
 
-def test_forgetting_changes_nothing(spark, small, monkeypatch):
+def test_forgetting_and_parts_change_nothing(spark, small, monkeypatch):
     docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").limit(60)
     before = sorted(_rows(alignment.align_tokens(docs, RANKS, P.PATTERN, MODEL)))
     own = alignment.Aligner(RANKS, P.PATTERN, MODEL)
-    for name, least in (("SEGMENTS_KEPT", 50), ("STEPS_KEPT", 40), ("LOOSE", 20), ("LONGEST", 6)):
+    for name, least in (("STEPS_KEPT", 40), ("PART", 30), ("MANY_LINKS", 1)):
         monkeypatch.setattr(alignment, name, least)
+    assert own.text("a longer text " * 9)[0][:2] == alignment.Aligner(RANKS, P.PATTERN, MODEL).text("a longer text " * 9)[0][:2]
     assert [(r["doc_id"], *own.text(r["text"])[0], own.text(r["text"])[1]) for r in docs.orderBy("doc_id").collect()] == before
 
 
-def test_groups_of_a_transducer():
+def test_ends_of_groups_of_a_transducer():
     own = alignment.Transducer([b"ab", b"c", b"de", b"f"], [b"a", b"bcd", b"ef", b"abc", b"def"])
-    assert own.groups([0, 1, 2, 3], [0, 1, 2]) == [([0, 1, 2, 3], [0, 1, 2])]
-    assert own.groups([0, 1, 2, 3], [3, 4]) == [([0, 1], [3]), ([2, 3], [4])]
-    assert own.groups([], []) == []
+    assert own.ends([0, 1, 2, 3], [0, 1, 2]).tolist() == [[4, 3]]
+    assert own.ends([0, 1, 2, 3], [3, 4]).tolist() == [[2, 1], [4, 2]]
+    assert own.ends([], []).tolist() == []
 
 
 def test_odd_rows(spark, odd, none):
