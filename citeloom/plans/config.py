@@ -73,6 +73,7 @@ class TopicSection:
     embedder: str = "hash"
     dimensions: int = 64
     embedding_cache: str | None = None
+    reduction_cache: str | None = None
     reduction: str = "pca"
     reduction_params: dict = field(default_factory=dict)
     clusterer: str = "kmeans"

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from citeloom.functions import columns as fc
 from citeloom.functions import text as ft
-from citeloom.operators import curation, density, filters, networks, providers, quality, reports, topics, viz
+from citeloom.operators import curation, density, filters, layout, networks, providers, quality, reports, topics, viz
 from citeloom.plans.config import Config, as_dict, changed_settings, fill_title, from_dict, redact, with_overrides
 from citeloom.plans.written import delete, materialize
 from citeloom.sources import corpus, rest, sinks
@@ -236,12 +236,23 @@ def embed(ctx: Context) -> None:
 
 
 def reduce(ctx: Context) -> None:
-    c = ctx.config.topic
-    if c.reduction == "pca":
-        rows = providers.reduce_dimensions(ctx.tables["vectors"], "Bibcode")
-    else:
-        rows = ctx.providers.get("reduce", c.reduction)(ctx.tables["vectors"], providers.validate_reduction(c.reduction, dict(c.reduction_params)))
-    ctx.save("reduced", ctx.tables["vectors"].join(rows, "Bibcode"))
+    """Coordinates of the vectors; those of the same vectors, method, parameters and seed are taken from topic.reduction_cache."""
+    c, seed, vectors = ctx.config.topic, ctx.config.run.seed, ctx.tables["vectors"]
+    params = dict(c.reduction_params)
+    metadata = {"method": c.reduction, "params": params, "seed": seed, "vectors": fc.frame_fingerprint(vectors, ["Bibcode", "text_sha256"]), "embedder": c.embedder, "dimensions": c.dimensions}
+    rows = corpus.load_snapshot(ctx.spark, c.reduction_cache, metadata) if c.reduction_cache else None
+    ctx.notes["reduction_cached"] = rows is not None
+    if rows is None:
+        if c.reduction == "pca":
+            rows = providers.reduce_dimensions(vectors, "Bibcode")
+        elif c.reduction == "spectral":
+            rows = layout.spectral_layout(vectors, "Bibcode", seed=seed, **params)
+        else:
+            rows = ctx.providers.get("reduce", c.reduction)(vectors, providers.validate_reduction(c.reduction, params))
+        if c.reduction_cache:
+            corpus.save_snapshot(rows, c.reduction_cache, metadata)
+            rows = corpus.load_snapshot(ctx.spark, c.reduction_cache, metadata)
+    ctx.save("reduced", vectors.join(rows, "Bibcode"))
 
 
 def fit_topics(ctx: Context) -> None:
@@ -456,7 +467,7 @@ def run_variant(spark: SparkSession, variant: Variant, root: str, registry: prov
 #: Names that need no provider, by task: the setting and the stage that reads it.
 BUILT_IN: dict[str, tuple[str, str, str, set[str]]] = {
     "translate": ("translate", "translate", "provider", {"identity"}), "authors": ("author_disambiguation", "authors", "provider", {"blocking", "passthrough"}),
-    "embed": ("embeddings", "topic", "embedder", {"hash"}), "reduce": ("reduction", "topic", "reduction", {"pca"}), "cluster": ("topic_fit", "topic", "clusterer", {"kmeans", "density"}),
+    "embed": ("embeddings", "topic", "embedder", {"hash"}), "reduce": ("reduction", "topic", "reduction", {"pca", "spectral"}), "cluster": ("topic_fit", "topic", "clusterer", {"kmeans", "density"}),
     "label": ("topic_dataframe", "topic", "labeler", {"keywords"}),
 }
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from citeloom.functions import columns as fc
 from citeloom.functions import text as ft
-from citeloom.operators import curation, density, filters, networks, providers, quality, reports, topics, viz
+from citeloom.operators import curation, density, filters, layout, networks, providers, quality, reports, topics, viz
 from citeloom.sources import corpus, sinks
 from citeloom.streaming import arrivals
 
@@ -666,6 +666,11 @@ def pca_reduction(spark, d):
     return providers.reduce_dimensions(vectors(spark, d), "Bibcode")
 
 
+@query()
+def spectral_layout(spark, d):
+    return layout.spectral_layout(vectors(spark, d), "Bibcode")
+
+
 @query()
 def cluster_documents(spark, d):
     return providers.cluster_kmeans(vectors(spark, d), "Bibcode", "embedding", 10, noise_quantile=0.95)
