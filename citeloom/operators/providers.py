@@ -269,6 +269,17 @@ def passthrough_identities(df: DataFrame) -> DataFrame:
     return df.withColumns({"author_uids": F.array().cast("array<string>"), "author_display_names": F.col("Author")})
 
 
+def check_mentions(asked: DataFrame, named: DataFrame, keys: tuple[str, ...] = ("table", "Bibcode", "pos")) -> None:
+    """Raise unless a provider named each asked mention once, and no others; the counts of what it did not are in the message."""
+    side = lambda df, name: df.groupBy(*keys).agg(F.count("*").alias(name))
+    # a mention without a key is held against one without a key
+    both = side(asked, "_asked").withColumn("_n", F.lit(0)).withColumnRenamed("_asked", "_times").unionByName(side(named, "_times").withColumn("_n", F.lit(1)))
+    met = both.groupBy(*keys).agg(F.sum(F.when(F.col("_n") == 0, F.col("_times")).otherwise(0)).alias("asked"), F.sum(F.when(F.col("_n") == 1, F.col("_times")).otherwise(0)).alias("named"))
+    bad = met.agg(*(F.count(F.when(F.expr(c), 1)).alias(n) for n, c in (("missing", "named < asked"), ("unknown", "asked = 0"), ("repeated", "named > asked and asked > 0")))).first()
+    if any(bad):
+        raise ValueError(f"the provider of identities left {bad['missing']} mentions without one, named {bad['unknown']} that were not asked and repeated {bad['repeated']}")
+
+
 def check_identities(df: DataFrame) -> None:
     """Raise where identity arrays do not match the authors, or hold nulls."""
     bad = (F.size("Author") != F.size("author_uids")) | F.exists("author_uids", lambda u: u.isNull())

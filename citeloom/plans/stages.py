@@ -205,7 +205,9 @@ def disambiguate(ctx: Context) -> None:
     if named is None and c.provider != "passthrough":
         mentions = lambda df, n: df.select(F.lit(n).alias("table"), "Bibcode", F.posexplode("Author").alias("pos", "name"))
         run = providers.block_authors if c.provider == "blocking" else ctx.providers.get("authors", c.provider)
-        named = run(mentions(pubs, 0).union(mentions(refs, 1))).select("table", "Bibcode", "pos", "author_uid", "author_display_name")
+        asked = materialize(mentions(pubs, 0).union(mentions(refs, 1)), "mentions")
+        named = materialize(run(asked).select("table", "Bibcode", "pos", "author_uid", "author_display_name"), "identities")
+        providers.check_mentions(asked, named)
         if c.cache:
             corpus.save_snapshot(named, c.cache, metadata)
             named = corpus.load_snapshot(ctx.spark, c.cache, metadata)

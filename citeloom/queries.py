@@ -631,6 +631,12 @@ def chunked_and_joined(spark, d):
     return rows.select("doc_id", F.md5(F.array_join("c", "").cast("binary")).alias("joined_md5"), F.forall("c", lambda x: F.length(x) <= 500).alias("within"), (F.size("c") > 1).alias("several"))
 
 
+@query()
+def overlapping_chunks_merged(spark, d):
+    rows = table(spark, d, "documents").select("doc_id", ft.chunks(F.col("text"), 500, 120).alias("c"))
+    return rows.select("doc_id", F.size("c").alias("chunks"), ft.merged(F.col("c")).alias("merged"))
+
+
 @query("""select o_orderkey::varchar as "Bibcode", 'uid:' || substr(sha256(lower(c_name) || '|c'), 1, 16) as uids, c_name as names from orders join customer on o_custkey = c_custkey""")
 def author_identities(spark, d):
     pubs = publications(spark, d)

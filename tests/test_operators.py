@@ -249,3 +249,12 @@ def test_density_clusters():
     assert len(set(label) - {-1}) == 3 and (label[:180] >= 0).mean() > 0.9
     assert (density_cluster(points[:10], 15) == -1).all()
     assert providers.diverse_terms(["a", "b", "c"], np.array([[1, 0.0], [1, 0.01], [0.6, 0.8]]), np.array([1.0, 0.2]), top=2, balance=0.7)[1] == "c"
+
+
+def test_mentions_of_a_provider_are_checked(spark):
+    schema = "table int, Bibcode string, pos int"
+    asked = spark.createDataFrame([(0, "a", 0), (0, "a", 1), (1, None, 0)], schema)
+    providers.check_mentions(asked, asked)
+    for named, said in (([(0, "a", 0), (1, None, 0)], "left 1 "), ([(0, "a", 0), (0, "a", 1), (1, None, 0), (1, "b", 0)], "named 1 that"), ([(0, "a", 0), (0, "a", 0), (0, "a", 1), (1, None, 0)], "repeated 1")):
+        with pytest.raises(ValueError, match=said):
+            providers.check_mentions(asked, spark.createDataFrame(named, schema))

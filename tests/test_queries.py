@@ -63,6 +63,34 @@ def test_clusters_have_their_nearest_centres_and_far_rows_are_noise(spark, small
     assert rows == again
 
 
+def _without_repeats(chunks, words=24):
+    """Chunks joined word by word, each from the first place where what is left does not end what is there."""
+    out = []
+    for chunk in chunks:
+        own = chunk.split()
+        start = max(n for n in range(min(words, len(own), len(out)) + 1) if [w.casefold() for w in out[len(out) - n :]] == [w.casefold() for w in own[:n]])
+        out += own[start:]
+    return " ".join(out)
+
+
+def test_overlapping_chunks_are_merged(spark, small):
+    texts = {r["doc_id"]: r["text"] or "" for r in q.table(spark, small, "documents").collect()}
+    rows = q.queries()["overlapping_chunks_merged"](spark, small).collect()
+    assert len(rows) == len(texts) and any(r["chunks"] > 2 for r in rows)
+    for r in rows:
+        text, at, chunks = texts[r["doc_id"]], 0, []
+        while at < len(text):  # the rule of the cuts: after the last paragraph, sentence or blank of the second half
+            end = at + 500
+            if end < len(text):
+                cuts = [(text.rfind(sign, at + 250, end), len(sign)) for sign in ("\n\n", ". ", " ")]
+                end = next((c + n for c, n in cuts if c > 0), end)
+            chunks.append(text[at:end])
+            if end >= len(text):
+                break
+            at = max(end - 120, at + 1)
+        assert r["chunks"] == len(chunks) and r["merged"] == _without_repeats(chunks)
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
