@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from citeloom.functions import columns as fc
 from citeloom.functions import text as ft
-from citeloom.operators import curation, density, filters, layout, networks, providers, quality, reports, topics, viz
+from citeloom.operators import curation, density, filters, identities, layout, networks, providers, quality, reports, topics, viz
 from citeloom.plans.config import Config, as_dict, changed_settings, fill_title, from_dict, redact, with_overrides
 from citeloom.plans.written import delete, materialize
 from citeloom.sources import corpus, rest, sinks
@@ -194,7 +194,10 @@ def tokenize(ctx: Context) -> None:
 
 
 def disambiguate(ctx: Context) -> None:
-    """Author identities by blocking, as written (`passthrough`), or by a provider over all mentions; kept in authors.cache."""
+    """Author identities by blocking, by evidence, as written (`passthrough`), or by a provider over all mentions; kept in authors.cache.
+
+    By evidence, ids that the cache holds for other rows are kept where their mentions are still there.
+    """
     c, pubs, refs = ctx.config.authors, ctx.tables["pubs_tokens"], ctx.tables["refs_translated"]
     if not c.enabled:
         ctx.save("pubs_authors", pubs)
@@ -203,8 +206,11 @@ def disambiguate(ctx: Context) -> None:
     metadata = {"stage": "author_disambiguation", "provider": c.provider, "rows": [fc.frame_fingerprint(df, ["Bibcode", "Author"]) for df in (pubs, refs)]}
     named = corpus.load_snapshot(ctx.spark, c.cache, metadata) if c.cache else None
     if named is None and c.provider != "passthrough":
-        mentions = lambda df, n: df.select(F.lit(n).alias("table"), "Bibcode", F.posexplode("Author").alias("pos", "name"))
-        run = providers.block_authors if c.provider == "blocking" else ctx.providers.get("authors", c.provider)
+        extra = [k for k in ("Year", "Journal") if c.provider == "evidence" and k in pubs.columns and k in refs.columns]
+        mentions = lambda df, n: df.select(F.lit(n).alias("table"), "Bibcode", *extra, F.posexplode("Author").alias("pos", "name"))
+        before = corpus.any_snapshot(ctx.spark, c.cache, {"stage": metadata["stage"], "provider": c.provider}) if c.cache and c.provider == "evidence" else None
+        built_in = {"blocking": providers.block_authors, "evidence": lambda asked: identities.evident_authors(asked, before)}
+        run = built_in.get(c.provider) or ctx.providers.get("authors", c.provider)
         asked = materialize(mentions(pubs, 0).union(mentions(refs, 1)), "mentions")
         named = materialize(run(asked).select("table", "Bibcode", "pos", "author_uid", "author_display_name"), "identities")
         providers.check_mentions(asked, named)
@@ -468,7 +474,7 @@ def run_variant(spark: SparkSession, variant: Variant, root: str, registry: prov
 
 #: Names that need no provider, by task: the setting and the stage that reads it.
 BUILT_IN: dict[str, tuple[str, str, str, set[str]]] = {
-    "translate": ("translate", "translate", "provider", {"identity"}), "authors": ("author_disambiguation", "authors", "provider", {"blocking", "passthrough"}),
+    "translate": ("translate", "translate", "provider", {"identity"}), "authors": ("author_disambiguation", "authors", "provider", {"blocking", "evidence", "passthrough"}),
     "embed": ("embeddings", "topic", "embedder", {"hash"}), "reduce": ("reduction", "topic", "reduction", {"pca", "spectral"}), "cluster": ("topic_fit", "topic", "clusterer", {"kmeans", "density"}),
     "label": ("topic_dataframe", "topic", "labeler", {"keywords"}),
 }

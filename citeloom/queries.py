@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from citeloom.functions import columns as fc
 from citeloom.functions import text as ft
-from citeloom.operators import curation, density, filters, layout, networks, providers, quality, reports, topics, viz
+from citeloom.operators import curation, density, filters, identities, layout, networks, providers, quality, reports, topics, viz
 from citeloom.sources import corpus, sinks
 from citeloom.streaming import arrivals
 
@@ -646,6 +646,20 @@ def author_identities(spark, d):
     return out.select("Bibcode", F.array_join("author_uids", ";").alias("uids"), F.array_join("author_display_names", ";").alias("names"))
 
 
+def written_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as papers and their suppliers as authors; two suppliers share a surname and an initial, some papers give the initial alone."""
+    given = F.when(F.col("l_orderkey") % 3 == 0, F.lit("A.")).when(F.col("l_suppkey") % 2 == 0, F.lit("Alan")).otherwise(F.lit("Anna"))
+    rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return rows.select(
+        F.col("o_orderkey").cast("string").alias("Bibcode"), F.col("l_linenumber").cast("long").alias("pos"), F.year("o_orderdate").alias("Year"), F.col("o_orderpriority").alias("Journal"),
+        F.concat(F.lit("Name"), F.floor(F.col("l_suppkey") / 2).cast("string"), F.lit(", "), given).alias("name"))
+
+
+@query()
+def evident_authors(spark, d):
+    return identities.evident_authors(written_names(spark, d)).select("Bibcode", "pos", "name", "author_uid", "author_display_name")
+
+
 @query("""with t as (select doc_id, lang, ' ' || lower(text) || ' ' as t from documents),
 g as (select doc_id, lang, substr(t, i, 3) as g from (select doc_id, lang, t, unnest(range(1, length(t) - 1)) as i from t)),
 b as (select lang, g, count(*) as n from g group by 1, 2 qualify row_number() over (partition by lang order by n desc, g) <= 300),

@@ -195,13 +195,22 @@ def save_snapshot(df: DataFrame, path: str, metadata: dict) -> None:
     df.sparkSession.range(1).select(F.lit(line).alias("value")).coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
 
 
-def load_snapshot(spark: SparkSession, path: str, metadata: dict) -> DataFrame | None:
-    """The table, if its metadata are the same; other metadata are like no table."""
+def _metadata(spark: SparkSession, path: str) -> dict | None:
     try:
         held = spark.read.text(f"{path}/metadata").first()
     except Exception as e:
         if "PATH_NOT_FOUND" in str(e):
             return None
         raise
-    same = held is not None and json.loads(held[0]) == json.loads(json.dumps(metadata))
-    return spark.read.parquet(f"{path}/data") if same else None
+    return None if held is None else json.loads(held[0])
+
+
+def load_snapshot(spark: SparkSession, path: str, metadata: dict) -> DataFrame | None:
+    """The table, if its metadata are the same; other metadata are like no table."""
+    return spark.read.parquet(f"{path}/data") if _metadata(spark, path) == json.loads(json.dumps(metadata)) else None
+
+
+def any_snapshot(spark: SparkSession, path: str, some: dict) -> DataFrame | None:
+    """The table, if its metadata hold at least these; for what was made of other rows and is taken further."""
+    held = _metadata(spark, path)
+    return spark.read.parquet(f"{path}/data") if held is not None and held | json.loads(json.dumps(some)) == held else None
