@@ -49,7 +49,7 @@ def main(argv: list[str] | None = None) -> int:
             _write_config(str(target), args.preset)
         return 0
     if args.command == "variant":
-        variant = stages.plan_variant(args.source, dict(map(cfg.parse_override, args.overrides)), args.start)
+        variant = stages.plan_variant(args.source, dict(map(cfg.parse_override, args.overrides)), args.start, _session() if "://" in args.source else None)
         print(variant.text())
         if not args.dry_run:
             stages.run_variant(_session(), variant, args.root)

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pathlib import Path
-
 import yaml
 from pyspark.sql import DataFrame, SparkSession
 
-from citeloom.plans import stages
+from citeloom.plans import files, stages
 from citeloom.plans.config import Config, as_dict, from_dict
 
 
@@ -16,7 +14,7 @@ class Session:
 
     def __init__(self, spark: SparkSession, root: str, config: Config | None = None):
         config = config or Config()
-        self.ctx = stages.Context(spark, config, stages.run_folder(root, config.run.name))
+        self.ctx = stages.Context(spark, config, stages.run_folder(spark, root, config.run.name))
 
     def set_section(self, section: str, **values) -> str | None:
         """Change settings of a section; the earliest stage that they make stale, if any."""
@@ -38,5 +36,5 @@ class Session:
 
     def save_summary(self) -> dict:
         out = stages.summary(self.ctx)
-        Path(self.ctx.folder, "run_summary.yaml").write_text(yaml.safe_dump(out))
+        files.write_text(self.ctx.spark, f"{self.ctx.folder}/run_summary.yaml", yaml.safe_dump(out))
         return out

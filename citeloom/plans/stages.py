@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from citeloom.functions import columns as fc
 from citeloom.functions import text as ft
 from citeloom.operators import curation, density, filters, identities, layout, networks, providers, quality, reports, topics, viz
+from citeloom.plans import files
 from citeloom.plans.config import Config, as_dict, changed_settings, fill_title, from_dict, redact, with_overrides
 from citeloom.plans.written import delete, materialize
 from citeloom.sources import corpus, rest, sinks
@@ -353,7 +354,6 @@ def cite(ctx: Context) -> None:
     tail = "_filtered" if any((c.authors, c.author_uids, c.exclude_authors, c.exclude_uids)) else ""
     for metric, parts in found.items():
         folder = f"{ctx.folder}/citations/{metric}{tail}"
-        Path(folder).mkdir(parents=True, exist_ok=True)
         if c.output_format in ("csv", "all"):
             sinks.write_network_csv(parts["edges"], parts["nodes"], folder, parts["evidence"])
         if c.output_format in ("gexf", "all"):
@@ -391,23 +391,24 @@ def run_stage(ctx: Context, stage: str) -> list[str]:
     return [*ran, stage]
 
 
-def run_folder(root: str, name: str, now: dt.datetime | None = None) -> str:
+def run_folder(spark: SparkSession, root: str, name: str, now: dt.datetime | None = None) -> str:
+    """A new folder of a run, on the file system that root names: where Spark's tasks write, not on the driver's disk."""
     stamp = (now or dt.datetime.now(dt.timezone.utc)).strftime("%Y%m%d_%H%M%S")
-    path = Path(root, f"run_{stamp}_{re.sub(r'[^A-Za-z0-9_-]+', '-', name)}")
+    path = f"{root.rstrip('/')}/run_{stamp}_{re.sub(r'[^A-Za-z0-9_-]+', '-', name)}"
     for part in ("data", "citations"):
-        (path / part).mkdir(parents=True, exist_ok=True)
-    return str(path)
+        files.make_folder(spark, f"{path}/{part}")
+    return path
 
 
 def run(spark: SparkSession, config: Config, root: str, tables: dict[str, DataFrame] | None = None, registry: providers.Registry | None = None,
         progress: Callable[[str, str], None] | None = None) -> Context:
     """The slice of stages of a configuration; configuration and summary are written whether it ends well or not."""
-    ctx = Context(spark, config, run_folder(root, config.run.name), dict(tables or {}), providers=registry or providers.Registry())
+    ctx = Context(spark, config, run_folder(spark, root, config.run.name), dict(tables or {}), providers=registry or providers.Registry())
     ctx.progress = progress or ctx.progress
     start = config.run.start_stage
     if start == "search" and config.source.publications:  # own tables take the place of a search
         start = "export"
-    Path(ctx.folder, "config.yaml").write_text(yaml.safe_dump(json.loads(json.dumps(redact(as_dict(config))))))
+    files.write_text(spark, f"{ctx.folder}/config.yaml", yaml.safe_dump(json.loads(json.dumps(redact(as_dict(config))))))
     ran: list[str] = []
     error = None
     try:
@@ -420,7 +421,7 @@ def run(spark: SparkSession, config: Config, root: str, tables: dict[str, DataFr
         raise
     finally:
         ctx.notes["stages"] = ran
-        Path(ctx.folder, "run_summary.yaml").write_text(yaml.safe_dump(summary(ctx, error)))
+        files.write_text(spark, f"{ctx.folder}/run_summary.yaml", yaml.safe_dump(summary(ctx, error)))
 
 
 def summary(ctx: Context, error: str | None = None) -> dict:
@@ -448,12 +449,13 @@ class Variant:
         return f"variant of {self.source}\nchanged: {', '.join(self.changed) or 'nothing'}\nstarts at: {self.start}\nreuses: {', '.join(self.reused) or 'nothing'}"
 
 
-def plan_variant(folder: str, overrides: dict[str, Any], start: str | None = None) -> Variant:
-    """What a run with other settings can take over from an earlier one."""
-    path = Path(folder, "config.yaml")
-    if not path.exists():
+def plan_variant(folder: str, overrides: dict[str, Any], start: str | None = None, spark: SparkSession | None = None) -> Variant:
+    """What a run with other settings can take over from an earlier one; without any session its folder is one of this machine."""
+    spark = spark or SparkSession.getActiveSession()
+    there = lambda name: files.exists(spark, f"{folder}/{name}") if spark else Path(folder, name).exists()
+    if not there("config.yaml"):
         raise ValueError(f"{folder} is no run folder")
-    held = yaml.safe_load(path.read_text())
+    held = yaml.safe_load(files.read_text(spark, f"{folder}/config.yaml") if spark else Path(folder, "config.yaml").read_text())
     held = {s: {k: None if v == "***" else v for k, v in own.items()} for s, own in held.items()}
     old = from_dict(held)
     new = with_overrides(old, overrides)
@@ -462,7 +464,7 @@ def plan_variant(folder: str, overrides: dict[str, Any], start: str | None = Non
     if first == "curate" and not start:
         first = "topic_fit"
     wanted = {t for s in STAGES[STAGES.index(first) :] for t in NEEDS[s] if STAGES.index(maker(t)) < STAGES.index(first)}
-    reused = tuple(sorted(t for t in wanted if Path(folder, "data", f"{t}.parquet").exists()))
+    reused = tuple(sorted(t for t in wanted if there(f"data/{t}.parquet")))
     return Variant(folder, replace(new, run=replace(new.run, start_stage=first)), tuple(changed), first, reused)
 
 

@@ -1,6 +1,6 @@
 """Writers: tables, graph files, citation text and dataset bundles.
 
-Files that are one document are made of sorted text rows and streamed to the driver, never collected.
+Documents that are one file are written by tasks as sorted parts, which are then copied one behind the other.
 """
 
 from __future__ import annotations
@@ -8,17 +8,20 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import json
-import os
+import re
 from collections.abc import Iterator
-from pathlib import Path
 from xml.sax.saxutils import quoteattr
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+import pyarrow.fs as pafs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.functions.columns import page_count
 from citeloom.functions.text import squeeze, surname
 from citeloom.operators.quality import order_columns, order_topic_columns
+from citeloom.plans import files
+from citeloom.plans.written import numbered, scratch
 
 HIDDEN = ("References", "tokens")
 
@@ -53,44 +56,47 @@ def graph_json_rows(edges: DataFrame, nodes: DataFrame) -> tuple[DataFrame, Data
     return nodes.select(F.col("id").cast("string").alias("key"), node.alias("value")), edges.select(F.concat_ws("\x1f", F.col("source").cast("string"), F.col("target").cast("string")).alias("key"), edge.alias("value"))
 
 
-def _stream(df: DataFrame) -> Iterator[str]:
-    for row in df.orderBy("key").toLocalIterator():
-        yield row["value"]
-
-
 def write_graph_json(edges: DataFrame, nodes: DataFrame, path: str, directed: bool = False) -> None:
     """Nodes and edges of a graph as one JSON document."""
     node_rows, edge_rows = graph_json_rows(edges, nodes)
-    with open(path, "w", encoding="utf-8") as out:
-        out.write('{"options":{"type":"%s","multi":false,"allowSelfLoops":true},"nodes":[' % ("directed" if directed else "undirected"))
-        for rows, close in ((node_rows, '],"edges":['), (edge_rows, "]}")):
-            for k, value in enumerate(_stream(rows)):
-                out.write(("," if k else "") + value)
-            out.write(close)
+    head = '{"options":{"type":"%s","multi":false,"allowSelfLoops":true},"nodes":[' % ("directed" if directed else "undirected")
+    files.write_document(edges.sparkSession, path, [head, (node_rows, ["key"], ",", False), '],"edges":[', (edge_rows, ["key"], ",", False), "]}"])
+
+
+def quoted(c: Column) -> Column:
+    """A text as an XML attribute's value with its quotation marks: single ones where only that saves escaping; null is empty."""
+    text = F.coalesce(c.cast("string"), F.lit(""))
+    for sign, name in (("&", "&amp;"), (">", "&gt;"), ("<", "&lt;"), ("\n", "&#10;"), ("\r", "&#13;"), ("\t", "&#9;")):
+        text = F.replace(text, F.lit(sign), F.lit(name))
+    double = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit("&quot;")), F.lit('"'))
+    return F.when(F.contains(text, F.lit('"')) & ~F.contains(text, F.lit("'")), F.concat(F.lit("'"), text, F.lit("'"))).otherwise(double)
 
 
 def write_gexf(edges: DataFrame, nodes: DataFrame, path: str, directed: bool = False) -> None:
-    """A graph as GEXF; every attribute is text, and empty ones are left out."""
+    """A graph as GEXF; every attribute is text, and empty ones are left out.  Edges are numbered by source and target."""
 
     def declare(kind: str, names: list[str]) -> str:
         return f'<attributes class="{kind}">' + "".join(f"<attribute id={quoteattr(n)} title={quoteattr(n)} type=\"string\"/>" for n in names) + "</attributes>\n"
 
-    def values(row, names: list[str]) -> str:
-        return "<attvalues>" + "".join(f"<attvalue for={quoteattr(n)} value={quoteattr(row[n])}/>" for n in names if row[n] is not None) + "</attvalues>"
+    def values(names: list[str]) -> Column:
+        each = [F.when(F.col(f"`{n}`").isNotNull(), F.concat(F.lit(f"<attvalue for={quoteattr(n)} value="), quoted(F.col(f"`{n}`")), F.lit("/>"))) for n in names]
+        return F.concat_ws("", F.lit("<attvalues>"), *each, F.lit("</attvalues>"))
 
     node_names = [c for c in nodes.columns if c not in ("id", *HIDDEN)]
     edge_names = [c for c in edges.columns if c not in ("source", "target", "weight")]
-    with open(path, "w", encoding="utf-8") as out:
-        out.write(f'<?xml version="1.0" encoding="UTF-8"?>\n<gexf xmlns="http://gexf.net/1.3" version="1.3">\n<graph defaultedgetype="{"directed" if directed else "undirected"}">\n')
-        out.write(declare("node", node_names) + declare("edge", edge_names) + "<nodes>\n")
-        for row in _flat(nodes.select("id", *node_names)).orderBy("id").toLocalIterator():
-            label = row["label"] if "label" in node_names and row["label"] is not None else row["id"]
-            out.write(f"<node id={quoteattr(row['id'])} label={quoteattr(label)}>{values(row, node_names)}</node>\n")
-        out.write("</nodes>\n<edges>\n")
-        for k, row in enumerate(_flat(edges).orderBy("source", "target").toLocalIterator()):
-            weight = f" weight={quoteattr(row['weight'])}" if "weight" in edges.columns else ""
-            out.write(f"<edge id=\"{k}\" source={quoteattr(row['source'])} target={quoteattr(row['target'])}{weight}>{values(row, edge_names)}</edge>\n")
-        out.write("</edges>\n</graph>\n</gexf>\n")
+    flat = _flat(nodes.select("id", *(f"`{c}`" for c in node_names)))
+    label = F.coalesce("label", "id") if "label" in node_names else F.col("id")
+    node_rows = flat.select("id", F.concat(F.lit("<node id="), quoted(F.col("id")), F.lit(" label="), quoted(label), F.lit(">"), values(node_names), F.lit("</node>")).alias("value"))
+    weight = F.concat(F.lit(" weight="), quoted(F.col("weight"))) if "weight" in edges.columns else F.lit("")
+    rest = F.concat(F.lit(" source="), quoted(F.col("source")), F.lit(" target="), quoted(F.col("target")), weight, F.lit(">"), values(edge_names), F.lit("</edge>"))
+    spark = edges.sparkSession
+    with scratch(spark):
+        numbers = numbered(_flat(edges).select("source", "target", rest.alias("rest")), ["source", "target", "rest"], "k")
+        edge_rows = numbers.select("k", F.concat(F.lit('<edge id="'), F.col("k").cast("string"), F.lit('"'), "rest").alias("value"))
+        files.write_document(spark, path, [
+            f'<?xml version="1.0" encoding="UTF-8"?>\n<gexf xmlns="http://gexf.net/1.3" version="1.3">\n<graph defaultedgetype="{"directed" if directed else "undirected"}">\n',
+            declare("node", node_names) + declare("edge", edge_names) + "<nodes>\n", (node_rows, ["id"], "\n", True), "</nodes>\n<edges>\n", (edge_rows, ["k"], "\n", True),
+            "</edges>\n</graph>\n</gexf>\n"])
 
 
 def citation_records(pubs: DataFrame, refs: DataFrame) -> DataFrame:
@@ -131,9 +137,7 @@ def citation_records(pubs: DataFrame, refs: DataFrame) -> DataFrame:
 
 def write_citation_records(pubs: DataFrame, refs: DataFrame, path: str) -> None:
     """The records in the order of rows, with a blank line between."""
-    with open(path, "w", encoding="utf-8") as out:
-        for k, row in enumerate(citation_records(pubs, refs).orderBy("ord").toLocalIterator()):
-            out.write(("\n\n" if k else "") + row["value"])
+    files.write_document(pubs.sparkSession, path, [(citation_records(pubs, refs), ["ord"], "\n\n", False)])
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
@@ -149,32 +153,48 @@ def write_search(df: DataFrame, folder: str, now: dt.datetime) -> str:
     return f"{folder}/{name}"
 
 
-def file_sha256(path: str | Path) -> str:
-    digest = hashlib.sha256()
-    with open(path, "rb") as data:
-        while block := data.read(1 << 20):
-            digest.update(block)
-    return digest.hexdigest()
+def file_digests(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """The SHA-256 of each file, read by tasks block by block."""
+
+    def over(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            found = []
+            for path in rows["path"]:
+                # as a URI with an authority, which may be empty
+                system, name = pafs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", path))
+                digest = hashlib.sha256()
+                with system.open_input_stream(name, compression=None) as data:
+                    while block := data.read(1 << 20):
+                        digest.update(block)
+                found.append(digest.hexdigest())
+            yield pd.DataFrame({"path": rows["path"], "sha256": found})
+
+    if not paths:
+        return {}
+    asked = spark.createDataFrame([(p,) for p in paths], "path string").repartition(min(len(paths), 10_000))
+    return {r["path"]: r["sha256"] for r in asked.mapInPandas(over, "path string, sha256 string").collect()}  # a row for each file
 
 
-def manifest_entry(path: str | Path) -> dict:
-    """Size and digest of a file, or of the files of a folder in the order of their names."""
-    path = Path(path)
-    files = sorted(p for p in path.rglob("*.parquet")) if path.is_dir() else [path]
-    digest = hashlib.sha256("".join(file_sha256(p) for p in files).encode()).hexdigest() if path.is_dir() else file_sha256(path)
-    return {"path": path.name, "bytes": sum(p.stat().st_size for p in files), "sha256": digest}
+def manifest_entry(spark: SparkSession, path: str) -> dict:
+    """Size and digest of a file, or of a folder's Parquet files: the digest of their digests in the order of their names."""
+    found = files.listed(spark, path)
+    whole = len(found) == 1 and found[0][0].rstrip("/").endswith(path.rstrip("/").rsplit("/", 1)[-1])
+    found = found if whole else [(p, n) for p, n in found if p.endswith(".parquet")]
+    digests = file_digests(spark, [p for p, _ in found])
+    digest = digests[found[0][0]] if whole else hashlib.sha256("".join(digests[p] for p, _ in found).encode()).hexdigest()
+    return {"path": path.rstrip("/").rsplit("/", 1)[-1], "bytes": sum(n for _, n in found), "sha256": digest}
 
 
 def write_bundle(folder: str, pubs: DataFrame, refs: DataFrame, topic_info: DataFrame | None = None, report: DataFrame | None = None) -> dict:
-    """The tables of a dataset and a manifest of their sizes and digests, for a folder that the driver can read."""
+    """The tables of a dataset and a manifest of their sizes and digests, on any file system."""
+    spark = pubs.sparkSession
     tables = {"publications": order_columns(pubs), "references": order_columns(refs)} | ({"topic_info": order_topic_columns(topic_info)} if topic_info is not None else {})
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
-    manifest = {"schema_version": 1, "artifacts": {name: manifest_entry(f"{folder}/{name}.parquet") for name in tables}}
+    manifest = {"schema_version": 1, "artifacts": {name: manifest_entry(spark, f"{folder}/{name}.parquet") for name in tables}}
     if report is not None:
         manifest["cleaning"] = json.loads(report.toJSON().first())
-    os.makedirs(folder, exist_ok=True)
-    Path(folder, "manifest.json").write_text(json.dumps(manifest, indent=2))
+    files.write_text(spark, f"{folder}/manifest.json", json.dumps(manifest, indent=2))
     return manifest
 
 
