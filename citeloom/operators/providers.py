@@ -16,11 +16,40 @@ from pyspark.sql import functions as F
 
 from citeloom.functions.text import fill_prompt, surname, topic_label, without_thinking
 from citeloom.operators.filters import translation_targets
+from citeloom.plans.written import materialize
 
 Translate = Callable[[list[str], list[str]], list[str]]
 Embed = Callable[[list[str]], np.ndarray]
 
 
+#: What a provider says of its calls, a struct for each.
+USAGE = "array<struct<model:string,prompt_tokens:bigint,completion_tokens:bigint,cost_usd:double,generation_id:string>>"
+
+
+class Answered(list):
+    """A provider's answers and what its calls used: a dict for each call, with any of the fields of USAGE.
+
+    A function that has nothing to say of its use returns a plain list (or matrix).  Use is written with the answers, row by
+    row, so that a task that is tried again counts its calls once: those whose answers are kept.
+    """
+
+    def __init__(self, answers, usage: list[dict] = ()):
+        super().__init__(answers)
+        self.usage = [dict(u) for u in usage]
+
+
+def _used(answers) -> list[dict]:
+    names = ("model", "prompt_tokens", "completion_tokens", "cost_usd", "generation_id")
+    return [{n: u.get(n) for n in names} for u in getattr(answers, "usage", [])]
+
+
+def calls(answered: DataFrame, step: str, provider: str) -> DataFrame:
+    """(step, provider, model, prompt_tokens, completion_tokens, total_tokens, cost_usd, generation_id): a row for each call that answered says of."""
+    rows = answered.select(F.explode("_usage").alias("u")).select("u.*")
+    total = F.when(F.col("prompt_tokens").isNotNull() | F.col("completion_tokens").isNotNull(), F.coalesce("prompt_tokens", F.lit(0)) + F.coalesce("completion_tokens", F.lit(0)))
+    return rows.select(F.lit(step).alias("step"), F.lit(provider).alias("provider"), "model", "prompt_tokens", "completion_tokens", total.alias("total_tokens"), "cost_usd", "generation_id")
+
+
 @dataclass
 class Registry:
     """Providers by task and name."""
@@ -84,32 +113,40 @@ def _trigram_codes(text: str) -> np.ndarray:
     return c[:-2] << 42 | c[1:-1] << 21 | c[2:]
 
 
-def translate(df: DataFrame, key: str, column: str, provider: Translate, target: str = "en") -> DataFrame:
+def translate(df: DataFrame, key: str, column: str, provider: Translate, target: str = "en", ledger: list[DataFrame] | None = None) -> DataFrame:
     """df with `<column>_en` and `<column>_error`: texts in other languages pass the provider, others are copied.
 
-    Only rows to translate reach Python, longest first within a task; a failure keeps the source text.
+    Only rows to translate reach Python, longest first within a task; a failure keeps the source text.  With a ledger the
+    answers are written, so that no text is sent twice, and the table of them with their use (`_usage`) is put there.
     """
 
     def over(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            texts, errors = rows["text"].tolist(), [None] * len(rows)
+            texts, errors, used = rows["text"].tolist(), [None] * len(rows), [[] for _ in range(len(rows))]
             try:
                 out = provider(texts, rows["lang"].tolist())
+                if used:  # the first row of a batch holds the use of all
+                    used[0] = _used(out)
             except Exception:  # one by one, so that one bad text does not cost the batch
                 out = []
                 for k, (t, lang) in enumerate(zip(texts, rows["lang"])):
                     try:
-                        out += provider([t], [lang])
+                        one = provider([t], [lang])
+                        out += one
+                        used[k] = _used(one)
                     except Exception as e:
                         out.append(t)
                         errors[k] = str(e)[:300]
-            yield pd.DataFrame({"_k": rows["_k"], "_out": out, "_error": errors})
+            yield pd.DataFrame({"_k": rows["_k"], "_out": list(out), "_error": errors, "_usage": used})
 
     kind = df.schema[key].dataType.simpleString()
     todo = translation_targets(df, column, target).select(F.col(key).alias("_k"), F.col(column).alias("text"), F.coalesce(f"{column}_lang", F.lit("")).alias("lang"))
-    done = todo.sortWithinPartitions(F.desc(F.length("text"))).mapInPandas(over, f"_k {kind}, _out string, _error string")
+    done = todo.sortWithinPartitions(F.desc(F.length("text"))).mapInPandas(over, f"_k {kind}, _out string, _error string, _usage {USAGE}")
+    if ledger is not None:
+        done = materialize(done, "translated")
+        ledger.append(done)
     joined = df.join(done, df[key] == done["_k"], "left")
-    return joined.withColumns({f"{column}_en": F.coalesce("_out", column), f"{column}_error": F.col("_error")}).drop("_k", "_out", "_error")
+    return joined.withColumns({f"{column}_en": F.coalesce("_out", column), f"{column}_error": F.col("_error")}).drop("_k", "_out", "_error", "_usage")
 
 
 def identity_translator(texts: list[str], languages: list[str]) -> list[str]:
@@ -130,22 +167,37 @@ def hash_embedder(dim: int = 64) -> Embed:
     return embed
 
 
-def embed_documents(df: DataFrame, key: str, column: str, provider: Embed, cache: DataFrame | None = None, batch: int = 64) -> DataFrame:
-    """(key, text_sha256, embedding); texts whose digest the cache holds are not embedded again, blank ones are `(empty text)`."""
+def _digested(df: DataFrame, key: str, column: str) -> DataFrame:
     text = F.when(F.trim(F.coalesce(column, F.lit(""))) == "", F.lit("(empty text)")).otherwise(F.col(column))
-    rows = df.select(F.col(key), text.alias("_t")).withColumn("text_sha256", F.sha2("_t", 256))
+    return df.select(F.col(key), text.alias("_t")).withColumn("text_sha256", F.sha2("_t", 256))
+
+
+def new_vectors(df: DataFrame, key: str, column: str, provider: Embed, cache: DataFrame | None = None, batch: int = 64) -> DataFrame:
+    """(text_sha256, embedding, _usage) of the different texts whose digest the cache lacks; the first row of a batch holds its use."""
 
     def over(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
             for k in range(0, len(part), batch):
                 own = part.iloc[k : k + batch]
-                yield pd.DataFrame({"text_sha256": own["text_sha256"].values, "embedding": list(provider(own["_t"].tolist()).astype(np.float32))})
+                made = provider(own["_t"].tolist())
+                vectors = np.asarray(made, np.float32)
+                yield pd.DataFrame({"text_sha256": own["text_sha256"].values, "embedding": list(vectors), "_usage": [_used(made)] + [[]] * (len(own) - 1)})
 
-    todo = rows.select("text_sha256", "_t").dropDuplicates(["text_sha256"])
+    todo = _digested(df, key, column).select("text_sha256", "_t").dropDuplicates(["text_sha256"])
     if cache is not None:
         todo = todo.join(cache.select("text_sha256"), "text_sha256", "left_anti")
-    fresh = todo.mapInPandas(over, "text_sha256 string, embedding array<float>")
-    known = fresh if cache is None else fresh.unionByName(cache.select("text_sha256", "embedding"))
+    return todo.mapInPandas(over, f"text_sha256 string, embedding array<float>, _usage {USAGE}")
+
+
+def embed_documents(df: DataFrame, key: str, column: str, provider: Embed, cache: DataFrame | None = None, batch: int = 64, fresh: DataFrame | None = None) -> DataFrame:
+    """(key, text_sha256, embedding); texts whose digest the cache holds are not embedded again, blank ones are `(empty text)`.
+
+    fresh holds new_vectors where they were made and written before.  A digest that a cache holds several times, as two runs
+    may have put it there, counts once.
+    """
+    rows = _digested(df, key, column)
+    fresh = (new_vectors(df, key, column, provider, cache, batch) if fresh is None else fresh).select("text_sha256", "embedding")
+    known = fresh if cache is None else fresh.unionByName(cache.select("text_sha256", "embedding").dropDuplicates(["text_sha256"]))
     return rows.select(key, "text_sha256").join(known, "text_sha256").select(key, "text_sha256", "embedding")
 
 
@@ -214,7 +266,7 @@ LABEL_PROMPT = "Name the topic of these documents in a few words.\nKeywords: [KE
 
 
 def label_topics(terms: DataFrame, docs: DataFrame, provider: Callable[[list[str]], list[str]], most: int = 10, examples: int = 4, prompt: str = LABEL_PROMPT) -> DataFrame:
-    """(topic, name, error): a provider's name for each topic, or its heaviest terms where it fails or has nothing to say.
+    """(topic, name, error, _usage): a provider's name for each topic, or its heaviest terms where it fails or has nothing to say.
 
     terms is (topic, term, weight), docs (ord, topic_id, text); a prompt holds the heaviest terms and the first documents.
     """
@@ -226,20 +278,23 @@ def label_topics(terms: DataFrame, docs: DataFrame, provider: Callable[[list[str
 
     def over(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            answers, errors = [], []
+            answers, errors, used = [], [], []
             for p in rows["prompt"]:
+                used.append([])
                 try:
-                    answers += provider([p])
+                    one = provider([p])
+                    answers += one
+                    used[-1] = _used(one)
                     errors.append(None)
                 except Exception as e:  # one topic without an answer has its terms for a name
                     answers.append(None)
                     errors.append(str(e)[:300])
-            yield pd.DataFrame({"topic": rows["topic"], "words": rows["words"], "answer": answers, "error": errors})
+            yield pd.DataFrame({"topic": rows["topic"], "words": rows["words"], "answer": answers, "error": errors, "_usage": used})
 
     kind = terms.schema["topic"].dataType.simpleString()
-    named = asked.mapInPandas(over, f"topic {kind}, words array<string>, answer string, error string")
+    named = asked.mapInPandas(over, f"topic {kind}, words array<string>, answer string, error string, _usage {USAGE}")
     label = topic_label(without_thinking(F.col("answer")))
-    return named.select("topic", F.when(F.coalesce(label, F.lit("")) != "", label).otherwise(F.array_join(F.slice("words", 1, 4), ", ")).alias("name"), "error")
+    return named.select("topic", F.when(F.coalesce(label, F.lit("")) != "", label).otherwise(F.array_join(F.slice("words", 1, 4), ", ")).alias("name"), "error", "_usage")
 
 
 def block_authors(mentions: DataFrame) -> DataFrame:

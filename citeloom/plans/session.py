@@ -28,7 +28,7 @@ class Session:
         lacking = [t for t in stages.needs(self.ctx.config, stage) if t not in self.ctx.tables]
         if lacking:
             raise ValueError(f"{stage} needs {', '.join(lacking)}; run {', '.join(sorted({stages.maker(t) for t in lacking}, key=stages.STAGES.index))} first")
-        stages.RUN[stage](self.ctx)
+        stages.work(self.ctx, stage)
         self.ctx.notes.setdefault("stages", []).append(stage)
 
     def table(self, name: str) -> DataFrame:

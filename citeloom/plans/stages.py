@@ -9,6 +9,7 @@ import json
 import logging
 import re
 import shutil
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from pathlib import Path
@@ -23,7 +24,7 @@ from citeloom.functions import text as ft
 from citeloom.operators import curation, density, filters, identities, layout, networks, providers, quality, reports, topics, viz
 from citeloom.plans import files
 from citeloom.plans.config import Config, as_dict, changed_settings, fill_title, from_dict, redact, with_overrides
-from citeloom.plans.written import delete, materialize
+from citeloom.plans.written import delete, materialize, scratch
 from citeloom.sources import corpus, rest, sinks
 
 logger = logging.getLogger(__name__)
@@ -61,6 +62,8 @@ class Context:
     tables: dict[str, DataFrame] = field(default_factory=dict)
     notes: dict[str, Any] = field(default_factory=dict)
     providers: providers.Registry = field(default_factory=providers.Registry)
+    #: What providers used in the stage that runs.
+    calls: list[DataFrame] = field(default_factory=list)
     #: Called with a stage and `begins` or `ends`.
     progress: Callable[[str, str], None] = lambda stage, event: None
 
@@ -182,7 +185,9 @@ def translate(ctx: Context) -> None:
                 continue
             if c.enabled and c.provider != "identity":
                 df = providers.identify_language(df, column, profiles)
-                df = providers.translate(df, "Bibcode", column, ctx.providers.get("translate", c.provider), c.target)
+                answered: list[DataFrame] = []
+                df = providers.translate(df, "Bibcode", column, ctx.providers.get("translate", c.provider), c.target, answered)
+                ctx.calls += [providers.calls(a, "translate", c.provider) for a in answered]
             else:
                 df = df.withColumns({f"{column}_lang": F.lit(None).cast("string"), f"{column}_en": F.col(column)})
         ctx.save(f"{name}_translated", df)
@@ -236,12 +241,15 @@ def embed(ctx: Context) -> None:
     metadata, held = {"provider": c.embedder, "dimensions": c.dimensions}, None
     if c.embedding_cache:
         held = corpus.load_snapshot(ctx.spark, c.embedding_cache, metadata)
-    ctx.save("vectors", providers.embed_documents(docs, "Bibcode", "full_text", provider, held))
+    fresh = materialize(providers.new_vectors(docs, "Bibcode", "full_text", provider, held), "vectors")
+    ctx.calls.append(providers.calls(fresh, "embeddings", c.embedder))
+    ctx.save("vectors", providers.embed_documents(docs, "Bibcode", "full_text", provider, held, fresh=fresh))
     if c.embedding_cache:
-        known = ctx.tables["vectors"].select("text_sha256", "embedding").dropDuplicates(["text_sha256"])
-        if held is not None:
-            known = materialize(known.unionByName(held.join(known.select("text_sha256"), "text_sha256", "left_anti")), "vectors")
-        corpus.save_snapshot(known, c.embedding_cache, metadata)
+        new = fresh.select("text_sha256", "embedding")
+        if held is None:
+            corpus.save_snapshot(new, c.embedding_cache, metadata)
+        elif not new.isEmpty():  # what is there stays as it is
+            corpus.append_snapshot(new, c.embedding_cache)
 
 
 def reduce(ctx: Context) -> None:
@@ -285,7 +293,9 @@ def topic_dataframe(ctx: Context) -> None:
     names = topics.topic_names(ctx.tables["terms"])
     if c.labeler != "keywords":
         asked = providers.label_topics(ctx.tables["terms"], docs.select("ord", "topic_id", F.col("full_text").alias("text")), ctx.providers.get("label", c.labeler))
-        names = materialize(asked, "labels")
+        answered = materialize(asked, "labels")
+        ctx.calls.append(providers.calls(answered, "topic_dataframe", c.labeler))
+        names = answered.drop("_usage")
         ctx.notes["label_failures"] = names.where("error is not null").count()
     if c.layers > 1:
         docs = docs.join(topic_layers(ctx), "Bibcode", "left")
@@ -377,6 +387,28 @@ def needs(config: Config, stage: str) -> tuple[str, ...]:
     return ("found",) if stage == "export" and not config.source.publications else NEEDS[stage]
 
 
+def work(ctx: Context, stage: str) -> None:
+    """A stage alone: what it writes on its way is deleted, its seconds are noted, what providers used is kept in the run's folder."""
+    began = time.monotonic()
+    ctx.calls = []
+    with scratch(ctx.spark):
+        RUN[stage](ctx)
+        if ctx.calls:
+            functools.reduce(DataFrame.unionByName, ctx.calls).write.mode("overwrite").parquet(f"{ctx.folder}/usage/{stage}.parquet")
+            ctx.notes.setdefault("usage", {})[stage] = f"{ctx.folder}/usage/{stage}.parquet"
+    ctx.calls = []
+    ctx.notes.setdefault("seconds", {})[stage] = round(time.monotonic() - began, 3)
+
+
+def costs(ctx: Context) -> dict | None:
+    """What providers used in the stages so far, by step, provider and model, and how many calls have a price; None without any call."""
+    paths = list(ctx.notes.get("usage", {}).values())
+    if not paths or (used := ctx.spark.read.parquet(*paths)).isEmpty():
+        return None
+    priced = reports.with_fetched_costs(used, used.select("generation_id", "cost_usd").limit(0))
+    return {"by_model": [r.asDict() for r in reports.cost_summary(used).orderBy("step", "provider", "model").collect()], "calls": reports.cost_resolution(priced).first().asDict()}
+
+
 def run_stage(ctx: Context, stage: str) -> list[str]:
     """Run a stage, and before it whatever makes the tables that it lacks; returns the stages that ran, in order."""
     ran: list[str] = []
@@ -385,7 +417,7 @@ def run_stage(ctx: Context, stage: str) -> list[str]:
             ran += run_stage(ctx, maker(table))
     ctx.progress(stage, "begins")
     logger.info("%s begins", stage)
-    RUN[stage](ctx)
+    work(ctx, stage)
     ctx.progress(stage, "ends")
     logger.info("%s ends", stage)
     return [*ran, stage]
@@ -431,7 +463,9 @@ def summary(ctx: Context, error: str | None = None) -> dict:
     table = next((ctx.tables[t] for t in ("curated", "dataset") if t in ctx.tables), None)
     if table is not None and not error:
         out["counts"] = {k: float(v) if isinstance(v, float) else int(v) for k, v in reports.run_counts(table).first().asDict().items()}
-    for k in ("search", "export", "links", "cleaning", "cleaning_examples", "clusters_per_layer", "label_failures", "title", "networks"):
+    if not error and (used := costs(ctx)):
+        out["costs"] = used
+    for k in ("seconds", "search", "export", "links", "cleaning", "cleaning_examples", "clusters_per_layer", "label_failures", "title", "networks"):
         if k in ctx.notes:
             out[k] = ctx.notes[k]
     return out

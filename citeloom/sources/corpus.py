@@ -214,3 +214,8 @@ def any_snapshot(spark: SparkSession, path: str, some: dict) -> DataFrame | None
     """The table, if its metadata hold at least these; for what was made of other rows and is taken further."""
     held = _metadata(spark, path)
     return spark.read.parquet(f"{path}/data") if held is not None and held | json.loads(json.dumps(some)) == held else None
+
+
+def append_snapshot(df: DataFrame, path: str) -> None:
+    """More rows for a table that has its metadata; those that are there are not written again."""
+    df.write.mode("append").parquet(f"{path}/data")
