@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from citeloom.functions.text import key, strip
 from citeloom.operators.filters import meaningful, placeholder_uid
+from citeloom.plans.written import materialize
 
 EXAMPLES = 20
 
@@ -74,8 +75,13 @@ def _changed_identities(df: DataFrame) -> Column:
     return F.struct((F.size(every) - F.size(valid)).alias("placeholders"), (F.size(valid) - F.size(F.array_distinct(F.transform(valid, strip)))).alias("repeats"))
 
 
-def cleaning_report(pubs: DataFrame, refs: DataFrame) -> DataFrame:
-    """One row of counters about keys, references and identities before cleaning."""
+def best_pair(pubs: DataFrame, refs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The best rows of both tables, written once, for the cleaning, its report and its examples."""
+    return materialize(best_rows(pubs), "best"), materialize(best_rows(refs), "best")
+
+
+def cleaning_report(pubs: DataFrame, refs: DataFrame, best: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """One row of counters about keys, references and identities before cleaning; best holds what best_pair gave."""
 
     def keys(df: DataFrame, name: str) -> DataFrame:
         rows = df.select(key(F.col("Bibcode")).alias("k"), (key(F.col("Bibcode")) != F.coalesce("Bibcode", F.lit(""))).alias("padded"))
@@ -86,13 +92,13 @@ def cleaning_report(pubs: DataFrame, refs: DataFrame) -> DataFrame:
             F.coalesce(F.sum(F.when(full, F.col("n") - 1)), F.lit(0)).alias(f"{name}_duplicate_rows"), F.count_if(full & (F.col("n") > 1)).alias(f"{name}_duplicate_keys"),
             F.count_if(full).alias(f"{name}_output_rows"), F.coalesce(F.sum("padded"), F.lit(0)).alias(f"{name}_padded_keys"))
 
-    best = best_rows(pubs)
-    items = reference_mentions(best, refs).agg(
+    best_pubs, best_refs = best or (best_rows(pubs), best_rows(refs))
+    items = reference_mentions(best_pubs, refs).agg(
         F.count_if("is_empty").alias("empty_mentions"), F.count_if("is_repeat").alias("duplicate_mentions"),
         F.count_if(~F.col("is_empty") & ~F.col("is_repeat") & ~F.col("is_known")).alias("missing_mentions"),
         F.countDistinct(F.when(~F.col("is_empty") & ~F.col("is_known"), F.col("ref"))).alias("missing_keys"))
     out = keys(pubs, "publications").crossJoin(keys(refs, "references")).crossJoin(items)  # one row each
-    for name, df in (("publications", best), ("references", best_rows(refs))):
+    for name, df in (("publications", best_pubs), ("references", best_refs)):
         if "author_uids" in df.columns:
             rows = df.select(_changed_identities(df).alias("c")).select("c.*")
             out = out.crossJoin(rows.agg(  # one row
@@ -101,29 +107,29 @@ def cleaning_report(pubs: DataFrame, refs: DataFrame) -> DataFrame:
     return out
 
 
-def cleaning_examples(pubs: DataFrame, refs: DataFrame, most: int = EXAMPLES) -> DataFrame:
+def cleaning_examples(pubs: DataFrame, refs: DataFrame, most: int = EXAMPLES, best: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """(kind, value, n) of a few values behind the counters: repeated keys, missing references and placeholder ids.
 
     Keys and ids are those first seen, missing references those of most mentions.
     """
     parts = []
-    for name, df in (("publications", pubs), ("references", refs)):
+    best_pubs, best_refs = best or (best_rows(pubs), best_rows(refs))
+    for name, df, own in (("publications", pubs, best_pubs), ("references", refs, best_refs)):
         keys = df.select("ord", key(F.col("Bibcode")).alias("value")).where("value != ''").groupBy("value").agg(F.count("*").alias("n"), F.min("ord").alias("first")).where("n > 1")
         parts.append(keys.orderBy("first", "value").limit(most).select(F.lit(f"{name}_duplicate_key").alias("kind"), "value", "n"))
         if "author_uids" in df.columns:
-            uids = best_rows(df).select("ord", F.posexplode("author_uids").alias("pos", "uid")).select("ord", "pos", key(F.col("uid")).alias("value")).where((F.col("value") != "") & placeholder_uid(F.col("value")))
+            uids = own.select("ord", F.posexplode("author_uids").alias("pos", "uid")).select("ord", "pos", key(F.col("uid")).alias("value")).where((F.col("value") != "") & placeholder_uid(F.col("value")))
             first = uids.groupBy("value").agg(F.count("*").alias("n"), F.min(F.struct("ord", "pos")).alias("first"))
             parts.append(first.orderBy("first", "value").limit(most).select(F.lit(f"{name}_placeholder_uid").alias("kind"), "value", "n"))
-    missing = missing_references(reference_mentions(best_rows(pubs), refs), most)
+    missing = missing_references(reference_mentions(best_pubs, refs), most)
     parts.append(missing.select(F.lit("missing_reference").alias("kind"), F.col("ref").alias("value"), F.col("mentions").alias("n")))
     return functools.reduce(DataFrame.unionByName, parts)
 
 
-def prepare_bundle(pubs: DataFrame, refs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def prepare_bundle(pubs: DataFrame, refs: DataFrame, best: tuple[DataFrame, DataFrame] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(publications, references, report): best rows of both, lists against the cleaned references, then identities."""
-    clean_refs = best_rows(refs)
-    clean_pubs = clean_references(best_rows(pubs), clean_refs)
-    return clean_identities(clean_pubs), clean_identities(clean_refs), cleaning_report(pubs, refs)
+    best_pubs, best_refs = best or (best_rows(pubs), best_rows(refs))
+    return clean_identities(clean_references(best_pubs, best_refs)), clean_identities(best_refs), cleaning_report(pubs, refs, best)
 
 
 def sync_topic_counts(topic_info: DataFrame, pubs: DataFrame) -> DataFrame:

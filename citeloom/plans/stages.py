@@ -301,13 +301,14 @@ def topic_dataframe(ctx: Context) -> None:
         docs = docs.join(topic_layers(ctx), "Bibcode", "left")
     info = topics.topic_info(docs, names)
     topics.check_names(info)
-    framed = topics.topic_frame(docs, info)
-    pubs, refs, report = quality.prepare_bundle(framed, ctx.tables["refs_authors"])
+    framed = materialize(topics.topic_frame(docs, info), "framed")  # the dataset, its report, its examples and its links read it
+    best = quality.best_pair(framed, ctx.tables["refs_authors"])
+    pubs, refs, report = quality.prepare_bundle(framed, ctx.tables["refs_authors"], best)
     ctx.save("dataset", quality.order_columns(pubs))
     ctx.save("dataset_refs", quality.order_columns(refs))
     ctx.save("topic_info", quality.order_topic_columns(quality.sync_topic_counts(info, ctx.tables["dataset"])))
     ctx.notes["cleaning"] = json.loads(report.toJSON().first())
-    examples = quality.cleaning_examples(framed, ctx.tables["refs_authors"]).collect()  # at most 20 of each kind
+    examples = quality.cleaning_examples(framed, ctx.tables["refs_authors"], best=best).collect()  # at most 20 of each kind
     ctx.notes["cleaning_examples"] = [r.asDict() for r in examples]
     kept = reports.link_retention(framed, ctx.tables["refs_authors"]).first().asDict()
     ctx.notes["links"] = {k: float(v) if isinstance(v, float) else int(v) for k, v in kept.items()}

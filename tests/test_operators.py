@@ -117,6 +117,11 @@ def test_bundle_cleaning(spark):
     assert (counts["publications_output_rows"], counts["publications_duplicate_keys"], counts["missing_mentions"], counts["references_placeholder_uids"], counts["references_uid_changed_rows"]) == (2, 1, 2, 1, 1)
     examples = {(e["kind"], e["value"], e["n"]) for e in quality.cleaning_examples(pubs, refs.drop("References")).collect()}
     assert examples == {("publications_duplicate_key", "p1", 2), ("references_duplicate_key", "r1", 2), ("publications_placeholder_uid", "nan", 1), ("references_placeholder_uid", "x::unknown", 1), ("missing_reference", "gone", 1), ("missing_reference", "gone2", 1)}
+    own = refs.drop("References")
+    best = quality.best_pair(pubs, own)  # written once, they give the same
+    again = quality.prepare_bundle(pubs, own, best)
+    assert again[2].first() == report.first() and sorted(again[0].collect()) == sorted(p.collect())
+    assert sorted(quality.cleaning_examples(pubs, own, best=best).collect()) == sorted(quality.cleaning_examples(pubs, own).collect())
     assert quality.order_topic_columns(spark.createDataFrame([], "z int, Name string, Main string, Topic int")).columns == ["Topic", "Name", "Main", "z"]
     names = ["embedding_2d_y", "full_embeddings", "z", "embedding_5d_10", "topic_layer_10_id", "topic_layer_2_label", "topic_layer_2_id", "embedding_2d_x", "embedding_5d_2", "topic_layer_count", "Name", "Title_lang", "Title", "Year", "Bibcode", "embedding_other"]
     ordered = quality.order_columns(spark.createDataFrame([], ", ".join(f"{n} int" for n in names))).columns
