@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,15 +67,41 @@ class Registry:
         return own[name]
 
 
+#: Bytes of text whose trigrams a task counts at a time.
+COUNTED_BYTES = 4 << 20
+
+
 def train_language_profiles(labelled: DataFrame, text: str, lang: str, size: int = 300) -> dict[str, dict[str, float]]:
-    """The most frequent character trigrams of each language, as log shares; bounded by languages times size."""
-    grams = labelled.select(F.col(lang).alias("lang"), F.concat(F.lit(" "), F.lower(F.col(text)), F.lit(" ")).alias("t"))
-    each = F.transform(F.sequence(F.lit(1), F.greatest(F.length("t") - 2, F.lit(1))), lambda i: F.col("t").substr(i, F.lit(3)))
-    counts = grams.select("lang", F.explode(each).alias("g")).groupBy("lang", "g").agg(F.count("*").alias("n"))
-    best = counts.withColumn("_r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "g"))).where(F.col("_r") <= size)
+    """The most frequent character trigrams of each language, as log shares; bounded by languages times size.
+
+    Rows without a text or a language teach nothing.  Trigrams are cut and counted in slices of a batch's texts, in time that
+    grows with their length; only counts leave a task.
+    """
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held: dict[str, list[np.ndarray]] = {}
+            waiting = 0
+            for name, t in zip(batch.column(0), batch.column(1)):
+                held.setdefault(name.as_py(), []).append(_trigram_codes(t.as_py()))
+                waiting += len(t.as_buffer())
+                if waiting >= COUNTED_BYTES:
+                    yield from counted(held)
+                    held, waiting = {}, 0
+            yield from counted(held)
+
+    def counted(held: dict[str, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for name, codes in held.items():
+            code, times = np.unique(np.concatenate(codes), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(code), pa.string()), pa.array(code), pa.array(times)], ["lang", "code", "n"])
+
+    rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.concat(F.lit(" "), F.lower(F.col(text)), F.lit(" ")).alias("t"))
+    counts = rows.mapInArrow(over, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    # codes are in the order of the trigrams
+    best = counts.withColumn("_r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))).where(F.col("_r") <= size)
     out: dict[str, dict[str, float]] = {}
     for r in best.collect():  # languages times size
-        out.setdefault(r["lang"], {})[r["g"]] = float(r["n"])
+        out.setdefault(r["lang"], {})["".join(chr(r["code"] >> k & 0x1FFFFF) for k in (42, 21, 0))] = float(r["n"])
     return {k: {g: float(np.log(n / sum(v.values()))) for g, n in v.items()} for k, v in out.items()}
 
 

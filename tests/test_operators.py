@@ -1,6 +1,7 @@
 """Texts, arrays, cleaning, curation, topics, reports and map data on literal rows."""
 
 import datetime as dt
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -263,3 +264,18 @@ def test_mentions_of_a_provider_are_checked(spark):
     for named, said in (([(0, "a", 0), (1, None, 0)], "left 1 "), ([(0, "a", 0), (0, "a", 1), (1, None, 0), (1, "b", 0)], "named 1 that"), ([(0, "a", 0), (0, "a", 0), (0, "a", 1), (1, None, 0)], "repeated 1")):
         with pytest.raises(ValueError, match=said):
             providers.check_mentions(asked, spark.createDataFrame(named, schema))
+
+
+def test_trigrams_of_long_texts_are_cut_in_linear_time(spark):
+    """Cutting each trigram from a text's start took minutes for a text of this length."""
+    import time
+
+    long = "abcdefghij klmnop " * 60_000
+    rows = [("a", long), ("a", "Ünï😀 çode"), ("b", ""), ("b", "zz"), ("b", None), (None, "zzz")]
+    began = time.time()
+    got = providers.train_language_profiles(spark.createDataFrame(rows, "lang string, text string"), "text", "lang")
+    assert time.time() - began < 30
+    padded = [f" {t.lower()} " for lang, t in rows if lang == "a"]
+    want = Counter(t[i : i + 3] for t in padded for i in range(len(t) - 2))
+    assert set(got) == {"a", "b"} and set(got["a"]) == set(want) and all(abs(got["a"][g] - np.log(n / want.total())) < 1e-12 for g, n in want.items())
+    assert set(got["b"]) == {" zz", "zz "}
