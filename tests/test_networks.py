@@ -142,3 +142,23 @@ def test_numbering_is_gapless_in_order(spark):
     out = [(r["a"], r["b"], r["id"]) for r in numbered(df, ["a", "b"]).collect()]
     assert sorted(out) == [(a, b, k) for k, (a, b) in enumerate(sorted((i % 37, i) for i in range(1000)))]
     assert numbered(df.limit(0), ["a", "b"]).count() == 0
+
+
+def test_coupling_edges_are_the_graph_of_the_evidence(spark, small, monkeypatch):
+    from citeloom import queries as own
+
+    pubs = own.publications(spark, small)
+    for least in (1, 2):
+        want = sorted(map(tuple, networks.graph_edges(networks.coupling(pubs, least)).collect()))
+        for block in (1000, 5):
+            monkeypatch.setattr(networks, "BLOCK", block)
+            assert sorted(map(tuple, networks.coupling_edges(pubs, least).collect())) == want and want
+        monkeypatch.setattr(networks, "BLOCK", 1000)
+
+
+def test_coupling_edges_send_lists_and_not_pairs(spark, small):
+    from citeloom import queries as own
+
+    plan = own.queries()["coupling_min_shared2"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    counted = plan[: plan.index("Generate explode")]  # pairs do not move once they are rows
+    assert "HashAggregate(keys=[source" in counted and "Exchange" not in counted
