@@ -42,17 +42,33 @@ def term_counts(docs: DataFrame, topic: str = "topic_id", words: str = "tokens",
 def class_tfidf(counts: DataFrame, top: int | None = 20) -> DataFrame:
     """(topic, term, tf, weight): tf * ln(1 + A / f), A the mean number of terms of a class and f a term's total.
 
-    Counts are written once, as totals of terms and of classes and the weights themselves all follow from them.
+    Counts are written once.  As f is no less than tf, a term weighs at most tf * ln(1 + A / tf), which grows with tf: terms that
+    stay below the weight of a topic's last one among those of most mentions cannot be among its best, so totals are made of
+    the others only.
     """
     counts = materialize(counts, "term-counts")
-    total = counts.groupBy("term").agg(F.sum("tf").alias("_f"))
     mean = counts.groupBy("topic").agg(F.sum("tf").alias("_n")).agg(F.avg("_n").alias("_a"))
-    rows = counts.join(total, "term").crossJoin(F.broadcast(mean))  # the mean is one row
-    rows = rows.select("topic", "term", "tf", (F.col("tf") * F.log1p(F.col("_a") / F.col("_f"))).alias("weight"))
+
+    def weighed(rows: DataFrame, total: DataFrame) -> DataFrame:
+        held = rows.join(total, "term").crossJoin(F.broadcast(mean))  # the mean is one row
+        return held.select("topic", "term", "tf", (F.col("tf") * F.log1p(F.col("_a") / F.col("_f"))).alias("weight"))
+
+    def totals(rows: DataFrame) -> DataFrame:
+        return counts.join(rows.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("tf").alias("_f"))
+
     if top is None:
-        return rows
-    best = Window.partitionBy("topic").orderBy(F.desc("weight"), "term")
-    return rows.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= top).drop("_n")
+        return weighed(counts, counts.groupBy("term").agg(F.sum("tf").alias("_f")))
+
+    def best(rows: DataFrame, order: list[Column | str], n: int) -> DataFrame:
+        return rows.withColumn("_n", F.row_number().over(Window.partitionBy("topic").orderBy(*order))).where(F.col("_n") <= n)
+
+    often = materialize(best(counts, [F.desc("tf"), "term"], 10 * top).drop("_n"), "frequent-terms")
+    last = best(weighed(often, totals(often)), [F.desc("weight"), "term"], top).groupBy("topic").agg(F.min("weight").alias("_least"), F.count("*").alias("_m"))
+    # a topic of fewer terms has no least weight; the bound leaves room for rounding
+    least = F.when(F.col("_m") == top, F.col("_least") * (1 - 1e-9)).otherwise(0.0)
+    may = counts.join(F.broadcast(last.select(F.col("topic").alias("_t"), least.alias("_least"))), F.col("topic").eqNullSafe(F.col("_t"))).crossJoin(F.broadcast(mean))
+    few = materialize(may.where(F.col("tf") * F.log1p(F.col("_a") / F.col("tf")) >= F.col("_least")).select(counts.columns), "terms-of-weight")
+    return best(weighed(few, totals(few)), [F.desc("weight"), "term"], top).drop("_n")
 
 
 def topic_names(terms: DataFrame, most: int = 4) -> DataFrame:

@@ -279,3 +279,15 @@ def test_trigrams_of_long_texts_are_cut_in_linear_time(spark):
     want = Counter(t[i : i + 3] for t in padded for i in range(len(t) - 2))
     assert set(got) == {"a", "b"} and set(got["a"]) == set(want) and all(abs(got["a"][g] - np.log(n / want.total())) < 1e-12 for g, n in want.items())
     assert set(got["b"]) == {" zz", "zz "}
+
+
+def test_totals_are_made_of_terms_that_can_be_best(spark, monkeypatch):
+    held, write = {}, topics.materialize
+    monkeypatch.setattr(topics, "materialize", lambda df, name: held.setdefault(name, write(df, name)))
+    rows = [(t, f"w{k}", 1 + (k * 7919 + t) % 5 + 300 // (k + 1)) for t in (0, 1) for k in range(1500)] + [(None, "w1", 2), (None, "only", 1)]
+    counts = spark.createDataFrame(rows, "topic int, term string, tf long")
+    every = topics.class_tfidf(counts, None).collect()
+    held.clear()
+    want = [r for t in (0, 1, None) for r in sorted((r for r in every if r["topic"] == t), key=lambda r: (-r["weight"], r["term"]))[:5]]
+    assert sorted(map(str, topics.class_tfidf(counts, 5).collect())) == sorted(map(str, want))
+    assert held["terms-of-weight"].where("topic is not null").count() < 300
