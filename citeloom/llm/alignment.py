@@ -12,6 +12,7 @@ that hold it, and gets back the pair's count in the corpus.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,6 +30,8 @@ from citeloom.llm.packing import token_ids
 BORDER = re.compile(r"(?<! )(?= \S)")
 #: Characters after which a text is cut at the next border.
 PART = 100_000
+#: Characters of a stretch that the piece model encodes at a time, from one border to another: its time grows faster than a text.
+STRETCH = 300
 #: Transitions that a task remembers.
 STEPS_KEPT = 500_000
 #: Links of a group above which they are counted by distinct ids.
@@ -116,7 +119,7 @@ class Transducer:
                     except KeyError:
                         state = self._after_a(state, token)
             add(i << 32 | j)
-        both = np.array(ends, np.int64)
+        both = np.frombuffer(array("q", ends), np.int64)
         return np.stack([both >> 32, both & 0xFFFFFFFF], 1)
 
 
@@ -161,12 +164,12 @@ class Aligner:
             raise ValueError("the model has pieces across blanks, so a long text can't be cut before one")
         bytes_b = [bytes([int(name[3:5], 16)]) if self.pieces.is_byte(i) else name.replace("▁", " ").encode() for i, name in enumerate(names)]
         self.encode_a, self.bytes_a, self.bytes_b, self.transducer = token_ids(ranks, pattern), bytes_a, bytes_b, Transducer(bytes_a, bytes_b)
-        #: Each id as text with what may follow it.
-        self.shown = [f"{i}{mark}" for i in range(max(len(bytes_a), len(bytes_b))) for mark in ",|;"]
+        #: Each id as text with what may follow it, filled up with zero bytes.
+        self.shown = np.array([f"{i}{mark}" for i in range(max(len(bytes_a), len(bytes_b))) for mark in ",|;"], "S")
 
-    def _parts(self, text: str) -> Iterator[str]:
+    def _parts(self, text: str, most: int = PART) -> Iterator[str]:
         start = 0
-        while len(text) - start > 2 * PART and (cut := BORDER.search(text, start + PART)):
+        while len(text) - start > 2 * most and (cut := BORDER.search(text, start + most)):
             yield text[start : cut.start()]
             start = cut.start()
         yield text[start:]
@@ -179,7 +182,7 @@ class Aligner:
         codes[np.arange(len(b)) + np.repeat(ends_a, m)] = 3 * b
         codes[ends_a + ends_b - m - 1] += 1
         codes[ends_a + ends_b - 1] += 2
-        return "".join(map(self.shown.__getitem__, codes.tolist()))
+        return self.shown[codes].tobytes().translate(None, b"\0").decode()
 
     def text(self, text: str) -> tuple[tuple[int, int, int, int], str, np.ndarray, np.ndarray]:
         """Counts, groups as text, and the sorted pairs with how often they are linked; all empty where bytes differ."""
@@ -188,10 +191,10 @@ class Aligner:
             return nothing
         counts, shown, links = np.zeros(4, np.int64), [], []
         for part in self._parts(" " + text):
-            a, ids_b = self.encode_a(part).astype(np.int64), self.pieces.encode(part[1:])
+            a, ids_b = self.encode_a(part).astype(np.int64), [i for own in self._parts(part, STRETCH) for i in self.pieces.encode(own[1:])]
             if b"".join(map(self.bytes_b.__getitem__, ids_b)) != part.encode():  # A has a token for each byte, so its tokens always match
                 return nothing
-            b = np.array(ids_b)
+            b = np.frombuffer(array("q", ids_b), np.int64)
             ends_a, ends_b = self.transducer.ends(a.tolist(), ids_b).T
             links.append(_links(a, b, ends_a, ends_b))
             shown.append(self._show(a, b, ends_a, ends_b))

@@ -112,3 +112,28 @@ def test_query_has_a_row_for_each_document(spark, small, name):
     rows = queries.queries()[name](spark, small)
     assert rows.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "n_best", "count_sum"]
     assert rows.count() == spark.read.parquet(f"{small}/documents.parquet").count()
+
+
+def test_the_piece_model_gets_stretches_and_ordinary_texts_are_not_cut_by_the_pattern(monkeypatch):
+    from citeloom.llm import packing
+
+    own = alignment.Aligner(RANKS, P.PATTERN, MODEL)
+    rng = random.Random(5)
+    text = " ".join("".join(rng.choices("abcdeé ü1.,\n", k=rng.randint(1, 9))) for _ in range(6000))
+    seen = []
+
+    class Pieces:
+        def encode(self, x, held=own.pieces):
+            seen.append(len(x))
+            return held.encode(x)
+
+    cut = []
+    monkeypatch.setattr(packing, "compile_pattern", lambda pattern: cut.append(pattern))
+    own.pieces = Pieces()
+    got = own.text(text)
+    assert max(seen) < 3 * alignment.STRETCH and not cut and len(text) > packing.LONG_TEXT
+    monkeypatch.setattr(alignment, "STRETCH", 10**9)
+    whole = own.text(text)
+    assert got[:2] == whole[:2] and (got[2] == whole[2]).all() and (got[3] == whole[3]).all() and got[0][0] > 0
+    for long in ("x" * packing.LONG_WORD, "a" + " " * packing.LONG_WORD, "y " + "é" * (packing.LONG_WORD - 1)):
+        assert packing.long_runs("word " * 9 + long)
