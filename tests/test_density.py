@@ -130,3 +130,21 @@ def test_density_query_against_all_distances(spark, small):
     held = sorted((r["Bibcode"], r["reduced_5d"]) for r in q.reduced_embeddings(spark, small).collect())
     want = density_cluster(np.array([v for _, v in held], float), 15, 3)
     assert _agreement([rows[k] for k, _ in held], want.tolist()) >= 0.95
+
+
+def test_neighbours_of_neighbours_meet_in_blocks():
+    """A block has the lists of its rows once, each vector once, and gives only what a row accepts."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    x, lists = rng.normal(size=(30, 6)), {u: sorted(rng.choice([v for v in range(30) if v != u], 4, replace=False).tolist()) for u in range(30)}
+    d = density._distances(x, x)
+    most = {u: float("inf") if u % 7 == 0 else max(d[u, v] for v in lists[u]) for u in lists}
+    links = [(v, u, most[u]) for u in lists for v in lists[u]] + [(u, v, None) for u in lists for v in lists[u]]
+    rng.shuffle(links)
+    order = rng.permutation(30)
+    names = lambda ids: pa.array([int(100 - i) for i in ids], pa.int64())
+    got = density._closer(None, pa.table({"via": names(r[0] for r in links), "id": names(r[1] for r in links), "most": pa.array([r[2] for r in links], pa.float64())}),
+                          pa.table({"row": names(order), "vector": pa.array(x[order].tolist(), pa.list_(pa.float64()))}))
+    want = {(100 - u, 100 - w): d[u, w] for u in lists for v in lists[u] for w in lists[v] if w != u and d[u, w] <= most[u] + 1e-12}
+    assert {(r["u"], r["v"]): pytest.approx(r["d"]) for r in got.to_pylist()} == want and got.num_rows == len(want)
