@@ -107,3 +107,31 @@ def test_nothing_else_imports_the_training_data_package():
             if n.endswith(".py"):
                 with open(os.path.join(folder, n)) as text:
                     assert "citeloom.llm" not in text.read(), n
+
+
+def test_chunks_are_made_and_merged_a_few_rows_at_a_time():
+    import pyarrow as pa
+
+    from citeloom.functions import text as ft
+
+    class Values:
+        """An array that notes how many of its values become Python objects at a time."""
+
+        def __init__(self, held, seen):
+            self.held, self.seen = held, seen
+
+        def __len__(self):
+            return len(self.held)
+
+        def slice(self, *place):
+            return Values(self.held.slice(*place), self.seen)
+
+        def to_pylist(self):
+            self.seen.append(len(self.held))
+            return self.held.to_pylist()
+
+    texts = [None if k % 50 == 7 else f"Words of text {k}. " * (k % 40) for k in range(300)]
+    seen = []
+    cut = ft._sliced(Values(pa.array(texts), seen), lambda t: ft.chunk_text(t or "", 100, 20), pa.list_(pa.string()))
+    assert cut.to_pylist() == [ft.chunk_text(t or "", 100, 20) for t in texts] and max(seen) == ft.SLICE and sum(seen) == 300
+    assert len(ft._sliced(pa.array([], pa.string()), len, pa.int64())) == 0
