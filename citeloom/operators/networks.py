@@ -35,11 +35,30 @@ def align(pubs: DataFrame, inputs: DataFrame) -> DataFrame:
     return joined.select(F.col("_ord").alias("ord"), "Bibcode", references(F.col("_refs")).alias("References"), *(F.col(f"_p.`{c}`").alias(c) for c in rest))
 
 
+def _lists(pubs: DataFrame) -> DataFrame:
+    """(paper, r): the ord, year and refs of each publication; of repeated keys the last row counts."""
+    rows = pubs.select("Bibcode", "ord", F.col("Year").alias("year"), references(F.col("References")).alias("refs"))
+    return rows.groupBy(F.col("Bibcode").alias("paper")).agg(F.max_by(F.struct("ord", "year", "refs"), "ord").alias("r"))
+
+
 def mentions(pubs: DataFrame) -> DataFrame:
     """(ord, paper, year, pos, ref): a row for each reference of each publication; of repeated keys the last row counts."""
-    rows = pubs.select("Bibcode", "ord", F.col("Year").alias("year"), references(F.col("References")).alias("refs"))
-    last = rows.groupBy("Bibcode").agg(F.max_by(F.struct("ord", "year", "refs"), "ord").alias("r"))
-    return last.select("r.ord", F.col("Bibcode").alias("paper"), "r.year", F.posexplode("r.refs").alias("pos", "ref"))
+    return _lists(pubs).select("r.ord", "paper", "r.year", F.posexplode("r.refs").alias("pos", "ref"))
+
+
+def distinct_mentions(pubs: DataFrame) -> DataFrame:
+    """(paper, ref), each once: a paper is one row, so its list is made distinct where it is."""
+    return _lists(pubs).select("paper", F.explode(F.array_distinct("r.refs")).alias("ref"))
+
+
+def direct_edges(pubs: DataFrame) -> DataFrame:
+    """graph_edges(direct_citations(pubs), directed=True), counted in each paper's sorted list, so that no task holds its edges."""
+    rows = _lists(pubs).select(F.col("paper").alias("source"), F.col("r.year").alias("year"), F.array_sort("r.refs").alias("_refs")).where(F.size("_refs") > 0)
+    new = lambda i: (i == 0) | (F.get("_refs", i) != F.get("_refs", i - 1))
+    rows = rows.select("source", "year", "_refs", F.filter(F.sequence(F.lit(0), F.size("_refs") - 1), new).alias("_at"))
+    ends = F.concat(F.slice("_at", F.lit(2), F.size("_at")), F.array(F.size("_refs")))
+    runs = F.zip_with("_at", ends, lambda i, end: F.struct(F.get("_refs", i).alias("target"), (end - i).cast("long").alias("weight")))
+    return rows.select("source", "year", F.explode(runs).alias("_e")).select("source", "_e.target", "year", "_e.weight")
 
 
 #: Rows of a paper or work that are paired in one task; a group with more is cut into blocks of about so many.

@@ -162,3 +162,14 @@ def test_coupling_edges_send_lists_and_not_pairs(spark, small):
     plan = own.queries()["coupling_min_shared2"](spark, small)._jdf.queryExecution().executedPlan().toString()
     counted = plan[: plan.index("Generate explode")]  # pairs do not move once they are rows
     assert "HashAggregate(keys=[source" in counted and "Exchange" not in counted
+
+
+def test_edges_and_distinct_mentions_of_lists(spark):
+    """Counted in each list, they are those of all mentions; no grouping holds the edges of a task."""
+    rows = [(1, "a", 2000, ["x", "y", "x", None, "", "z", "x"]), (2, "b", None, ["y"]), (3, "c", 2001, []), (4, "d", 2002, None), (5, "a", 2003, ["y", "q", "y"]), (6, None, 2004, ["é", "z", "é"])]
+    pubs = spark.createDataFrame(rows, "ord long, Bibcode string, Year int, References array<string>")
+    got, want = networks.direct_edges(pubs), networks.graph_edges(networks.direct_citations(pubs), directed=True)
+    assert got.columns == want.columns and dict(got.dtypes) == dict(want.dtypes)
+    assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str) and ("a", "y", 2003, 2) in {tuple(r) for r in got.collect()}
+    assert sorted(networks.distinct_mentions(pubs).collect(), key=str) == sorted(networks.mentions(pubs).select("paper", "ref").distinct().collect(), key=str)
+    assert "HashAggregate(keys=[source" not in got._jdf.queryExecution().executedPlan().toString()
