@@ -127,6 +127,15 @@ def _evidence(counts: DataFrame, edges: DataFrame, group: str, item: str, place:
     return rows.select(F.col("_g").alias(group), F.when(ahead, F.col("_x")).otherwise(F.col("_y")).alias("first"), F.when(ahead, F.col("_y")).otherwise(F.col("_x")).alias("second"))
 
 
+def _fewer_in_groups(counts: DataFrame, edges: DataFrame, group: str, item: str) -> bool:
+    """Whether all pairs within groups are fewer rows than what counted pairs fetch from their rarer ends: so with few items of very many mentions."""
+    within = edges.groupBy(group).count().agg(F.sum(F.col("count") * (F.col("count") - 1) / 2)).first()[0] or 0
+    sizes = edges.groupBy(F.col(item).alias("_i")).agg(F.count("*").alias("_n"))
+    side = lambda name: sizes.select(F.col("_i").alias(name), F.col("_n").alias(f"_{name}"))
+    fetched = counts.join(side("source"), "source").join(side("target"), "target").agg(F.sum(F.least("_source", "_target"))).first()[0] or 0
+    return within <= fetched
+
+
 def direct_citations(pubs: DataFrame, min_count: int = 1, authors: list[str] | None = None) -> DataFrame:
     """(source, target, ref_index, year): a row for each mention of a work that is mentioned at least min_count times."""
     pubs = pubs.where(filters.authors_contain(F.col("Author"), authors)) if authors else pubs
@@ -223,7 +232,12 @@ def author_co_citations(pubs: DataFrame, refs: DataFrame, min_count: int = 1, en
     cited = materialize(cited, "cited-authors")
     large = large_groups(cited, "paper")
     if min_count > 1:
-        found = _evidence(pair_counts(cited, "paper", "author", min_count, large), cited, "paper", "author", "author")
+        counts = materialize(pair_counts(cited, "paper", "author", min_count, large), "pair-counts")
+        if _fewer_in_groups(counts, cited, "paper", "author"):
+            left, right = cited.select("paper", F.struct(cited.columns).alias("first"), F.col("author").alias("source")), cited.select("paper", F.struct(cited.columns).alias("second"), F.col("author").alias("target"))
+            found = pairs(left, right, "paper", "source < target", large).join(counts, ["source", "target"], "left_semi")
+        else:
+            found = _evidence(counts, cited, "paper", "author", "author")
         detail = found.select("first.year", F.col("first.author").alias("source"), F.col("second.author").alias("target"), F.col("paper").alias("source_citation"))
     else:
         left, right = cited.select("paper", "year", F.col("author").alias("source")), cited.select("paper", F.col("author").alias("target"))

@@ -173,3 +173,13 @@ def test_edges_and_distinct_mentions_of_lists(spark):
     assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str) and ("a", "y", 2003, 2) in {tuple(r) for r in got.collect()}
     assert sorted(networks.distinct_mentions(pubs).collect(), key=str) == sorted(networks.mentions(pubs).select("paper", "ref").distinct().collect(), key=str)
     assert "HashAggregate(keys=[source" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_few_authors_of_many_mentions_are_paired_within_papers(spark, monkeypatch):
+    pubs = spark.createDataFrame([(k, f"p{k}", 2000 + k % 3, [f"w{k % 4}", f"w{(k + 1) % 4}", f"w{k % 3}"]) for k in range(60)], "ord long, Bibcode string, Year int, References array<string>")
+    works = spark.createDataFrame([(k, f"w{k}", [f"Name{k % 3}, A."]) for k in range(4)], "ord long, Bibcode string, Author array<string>")
+    asked, fewer = [], networks._fewer_in_groups
+    monkeypatch.setattr(networks, "_fewer_in_groups", lambda *a: asked.append(fewer(*a)) or asked[-1])
+    got = sorted(networks.author_co_citations(pubs, works, 2).collect())
+    monkeypatch.setattr(networks, "_fewer_in_groups", lambda *a: False)
+    assert asked == [True] and got and got == sorted(networks.author_co_citations(pubs, works, 2).collect())
