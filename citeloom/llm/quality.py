@@ -22,7 +22,7 @@ from citeloom.llm.common import held_out, materialize
 BITS = 18
 #: The model is fitted on at most so many labelled rows, those with the smallest hashes of their ids.
 SAMPLE_ROWS = 8000
-#: And of these on as many, in that order, as have distinct n-grams of so many bytes (four each): what the driver gets.
+#: And of these on as many, in that order, as have distinct n-grams of so many bytes (four each): what the task that fits it gets.
 SAMPLE_BYTES = 64 << 20
 _SHAPE = np.arange(256, dtype=np.uint8)
 _SHAPE[97:123] = 97
@@ -151,8 +151,20 @@ def fit(rows: list[np.ndarray], label: np.ndarray) -> QualityModel:
     return QualityModel(ratio.astype(np.float32), weight.astype(np.float32), float(bias), max(slope, 0.0), shift)
 
 
+MODEL = "ratio binary, weight binary, bias double, slope double, shift double, learnt boolean"
+
+
+def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The model of all rows (doc_id, quality, features) of a task, in one row."""
+    held = sorted(row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+    label = np.array([y for _, y, _ in held])
+    model = fit([np.frombuffer(x, "<u4").astype(np.int64) for _, _, x in held], label)
+    row = {"ratio": model.ratio.tobytes(), "weight": model.weight.tobytes(), "bias": model.bias, "slope": model.slope, "shift": model.shift, "learnt": model.learnt}
+    yield pa.RecordBatch.from_pylist([row], pa.schema([("ratio", pa.binary()), ("weight", pa.binary()), ("bias", pa.float64()), ("slope", pa.float64()), ("shift", pa.float64()), ("learnt", pa.bool_())]))
+
+
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> QualityModel:
-    """Fit on labelled rows outside the held-out fold; only their distinct features, of a bounded size, reach the driver.
+    """Fit on labelled rows outside the held-out fold; their distinct features, of a bounded size, go to one task, and the model to the driver.
 
     Of several labels of an id the lowest counts; rows that repeat an id are learnt each.
     """
@@ -175,8 +187,11 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sa
     before = Window.orderBy(F.xxhash64("doc_id"), "doc_id", "name").rowsBetween(Window.unboundedPreceding, 0)
     sizes = rows.groupBy("doc_id", "name").agg(F.sum(F.octet_length("features")).alias("bytes"))  # a few bytes for each row of the sample
     within = sizes.withColumn("bytes", F.sum("bytes").over(before)).where(F.col("bytes") <= sample_bytes).select("doc_id", "name")
-    held = sorted((r["doc_id"], r["quality"], bytes(r["features"])) for r in rows.join(F.broadcast(within), ["doc_id", "name"], "left_semi").collect())
-    return fit([np.frombuffer(x, "<u4").astype(np.int64) for _, _, x in held], np.array([y for _, y, _ in held]))
+    held = rows.join(F.broadcast(within), ["doc_id", "name"], "left_semi").select("doc_id", "quality", "features")
+    row = held.repartition(1).mapInArrow(fitted, MODEL).first()  # none if no row is labelled
+    if row is None:
+        return fit([], np.zeros(0))
+    return QualityModel(np.frombuffer(row["ratio"], np.float32), np.frombuffer(row["weight"], np.float32), row["bias"], row["slope"], row["shift"], row["learnt"])
 
 
 def score_quality(docs: DataFrame, model: QualityModel, cutoff: float = 0.7) -> DataFrame:

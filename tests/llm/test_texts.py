@@ -229,6 +229,18 @@ def test_quality_held_out(spark, odd, none):
     assert quality.keep_good(none, labels.limit(0)).count() == 0
 
 
+def test_quality_is_fitted_in_a_task(spark, monkeypatch):
+    rows = [(i, f"text {i} is {'good and sound' if i % 2 else 'bad or poor'} as {i % 7} says") for i in range(80)]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, quality int")
+    learnt = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    held = [quality.features(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[0] for _, t in learnt]
+    want = quality.fit(held, np.array([i % 2 for i, _ in learnt]))
+    monkeypatch.setattr(quality, "fit", None)  # the driver's; tasks have their own
+    got = quality.train(docs, labels)
+    assert got.learnt and (got.bias, got.slope, got.shift) == (want.bias, want.slope, want.shift)
+    assert (got.ratio == want.ratio).all() and (got.weight == want.weight).all()
+
+
 def test_quality_filter_keeps_all_where_nothing_is_learnt(spark, odd):
     held_out = [i for i in range(200) if zlib.crc32(str(i).encode()) % 4 == 2]
     for rows in ([], [(i, i % 2) for i in held_out], [(4, 0), (5, 0), (6, 0)]):
