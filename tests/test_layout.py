@@ -80,3 +80,25 @@ def test_a_second_run_reads_the_cache(spark, tmp_path):
         assert ctx.notes["reduction_cached"] == (turn == 1)
         rows.append(sorted(map(str, ctx.tables["reduced"].collect())))
     assert rows[0] == rows[1] and len(rows[2]) == 59
+
+
+def test_a_round_moves_coordinates_only_and_blocks_change_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(c, 0.5, (180, 6)) for c in (0, 1, 3)] + [np.ones((60, 6))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "k int, embedding array<float>")
+    plans, write = [], layout.materialize
+
+    def seen(rows, name, *rest):
+        plans.append((name, rows._jdf.queryExecution().executedPlan().toString()))
+        return write(rows, name, *rest)
+
+    monkeypatch.setattr(layout, "materialize", seen)
+    whole = {r["k"]: r["reduced_3d"] for r in layout.spectral_layout(df, "k", sizes=(3,), rounds=4).collect()}
+    rounds = [p for name, p in plans if name == "layout"][-4:]
+    assert [p.count("Exchange ") for p in rounds] == [1] * 4
+    monkeypatch.setattr(layout, "BLOCK_ROWS", 50)
+    cut = {r["k"]: r["reduced_3d"] for r in layout.spectral_layout(df, "k", sizes=(3,), rounds=4).collect()}
+    assert sorted(whole) == sorted(cut) == list(range(600))
+    assert np.allclose([whole[i] for i in range(600)], [cut[i] for i in range(600)], atol=1e-4)
+    sizes = [r["count"] for r in layout._blocks(df.select(df["k"].cast("long").alias("id"), df["embedding"].alias("vector")), 0)[1].groupBy("block").count().collect()]
+    assert len(sizes) > 8 and sum(sizes) == 600
