@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +16,8 @@ from citeloom.plans.written import materialize
 #: A short list of English words without content.
 STOP_WORDS = ["a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "has", "have", "in", "is", "it", "its", "not", "of", "on", "or", "that", "the", "their", "this", "to", "was", "we", "were", "which", "with"]
 OUTLIER = "Outlier Topic"
+#: About the words of a task whose runs are counted at a time.
+RUN_WORDS = 1 << 22
 
 
 def tokens(c: Column, least: int = 3, stop_words: list[str] = STOP_WORDS, lemma=None) -> Column:
@@ -20,23 +27,64 @@ def tokens(c: Column, least: int = 3, stop_words: list[str] = STOP_WORDS, lemma=
     return F.filter(words, lambda w: (F.length(w) >= least) & ~w.isin(stop_words))
 
 
-def ngrams(words: Column, most: int = 3) -> Column:
-    """Runs of one to `most` words, joined by blanks, runs of one first; a run is the shorter run and the next word."""
-
-    def longer(runs: Column, n: int) -> Column:
-        count = F.greatest(F.size(words) - (n - 1), F.lit(0))
-        return F.zip_with(F.slice(runs, F.lit(1), count), F.slice(words, F.lit(n), count), lambda run, word: F.concat(run, F.lit(" "), word))
-
-    out, last = words, words
-    for n in range(2, most + 1):
-        last = longer(last, n)
-        out = F.concat(out, last)
-    return out
+def _runs(topics: pa.Array, words: pa.ListArray, most: int) -> Iterator[pa.Table]:
+    """(topic, term, tf) over the runs of one to `most` words of some rows; a run is the shorter run at its place and the next word."""
+    sizes = pc.fill_null(pc.list_value_length(words), 0).to_numpy()
+    flat = words.flatten().dictionary_encode("encode")
+    word, names = flat.indices.to_numpy().astype(np.int64), flat.dictionary
+    topic = topics.dictionary_encode("encode")
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(word))  # words from here to the end of the row
+    run, terms = np.repeat(topic.indices.to_numpy().astype(np.int64), sizes), None
+    owner = np.arange(len(topic.dictionary))
+    for n in range(1, most + 1):
+        at = np.flatnonzero(left >= n)
+        found = pa.array(run[at] * len(names) + word[at + n - 1]).dictionary_encode()
+        if not len(at):
+            return
+        keys, held = found.dictionary.to_numpy(), found.indices.to_numpy()
+        before, last = keys // len(names), names.take(pa.array(keys % len(names)))
+        owner, terms = owner[before], last if n == 1 else pc.binary_join_element_wise(terms.take(pa.array(before)), last, " ")
+        yield pa.table([topic.dictionary.take(pa.array(owner)), terms, pa.array(np.bincount(held, minlength=len(keys)).astype(np.int64))], ["topic", "term", "tf"])
+        run[at] = held
+
+
+def _counted(most: int, limit: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function that counts the runs of rows (topic, words), about `limit` words at a time."""
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            rows = pa.Table.from_batches(held)
+            for found in _runs(rows.column(0).combine_chunks(), rows.column(1).combine_chunks(), most):
+                yield from found.to_batches(max_chunksize=1 << 16)
+
+        for batch in batches:
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy())
+            begin = 0
+            while begin < len(batch):
+                done = ends[begin - 1] if begin else 0
+                end = max(begin + 1, int(np.searchsorted(ends, done + limit - size, "right")))
+                held.append(batch.slice(begin, end - begin))
+                size += int(ends[end - 1] - done)
+                begin = end
+                if size >= limit or begin < len(batch):
+                    yield from counted()
+                    held, size = [], 0
+        if held:
+            yield from counted()
+
+    return over
 
 
 def term_counts(docs: DataFrame, topic: str = "topic_id", words: str = "tokens", most: int = 3) -> DataFrame:
-    """(topic, term, tf) over n-grams; counted in the tasks before anything moves."""
-    return docs.select(F.col(topic).alias("topic"), F.explode(ngrams(F.col(words), most)).alias("term")).groupBy("topic", "term").agg(F.count("*").alias("tf"))
+    """(topic, term, tf) over n-grams; counted in the tasks, by numbers of words, before anything moves."""
+    rows = docs.select(F.col(topic).alias("topic"), F.col(words).alias("words"))
+    kind = rows.schema["topic"].dataType.simpleString()
+    counts = rows.mapInArrow(_counted(most, RUN_WORDS), f"topic {kind}, term string, tf long")
+    # dealt first: few counts of a task can be added up there, and its maps would spill
+    return counts.repartition("topic", "term").groupBy("topic", "term").agg(F.sum("tf").alias("tf"))
 
 
 def class_tfidf(counts: DataFrame, top: int | None = 20) -> DataFrame:

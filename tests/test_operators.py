@@ -1,6 +1,7 @@
 """Texts, arrays, cleaning, curation, topics, reports and map data on literal rows."""
 
 import datetime as dt
+import random
 from collections import Counter
 
 import numpy as np
@@ -291,3 +292,24 @@ def test_totals_are_made_of_terms_that_can_be_best(spark, monkeypatch):
     want = [r for t in (0, 1, None) for r in sorted((r for r in every if r["topic"] == t), key=lambda r: (-r["weight"], r["term"]))[:5]]
     assert sorted(map(str, topics.class_tfidf(counts, 5).collect())) == sorted(map(str, want))
     assert held["terms-of-weight"].where("topic is not null").count() < 300
+
+
+def test_term_counts_make_no_row_for_each_run(spark, monkeypatch):
+    rng = random.Random(7)
+    docs = [(rng.choice(["a", "b", None]), rng.choice([None, [], *([[rng.choice(["x", "yy", "zz z", "é", None][: 4 + (i % 9 == 0)]) for _ in range(rng.randint(1, 9))]] * 6)])) for i in range(120)]
+    df = spark.createDataFrame(docs, "topic_id string, tokens array<string>")
+    want = Counter()
+    for topic, words in docs:
+        for n in (1, 2, 3):
+            for i in range(len(words or []) - n + 1):
+                run = words[i : i + n]
+                want[topic, None if None in run else " ".join(run)] += 1
+    for limit in (topics.RUN_WORDS, 11, 1):
+        monkeypatch.setattr(topics, "RUN_WORDS", limit)
+        counts = topics.term_counts(df)
+        rows = [((r["topic"], r["term"]), r["tf"]) for r in counts.collect()]
+        assert dict(rows) == want and len(rows) == len(want)
+        plan = counts._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate" not in plan
+    assert topics.term_counts(df.limit(0)).count() == 0
+    assert {r["term"] for r in topics.term_counts(df, most=1).collect()} == {"x", "yy", "zz z", "é", None}
