@@ -183,3 +183,20 @@ def test_few_authors_of_many_mentions_are_paired_within_papers(spark, monkeypatc
     got = sorted(networks.author_co_citations(pubs, works, 2).collect())
     monkeypatch.setattr(networks, "_fewer_in_groups", lambda *a: False)
     assert asked == [True] and got and got == sorted(networks.author_co_citations(pubs, works, 2).collect())
+
+
+def test_coupling_edges_send_names_as_one_text(spark, monkeypatch):
+    """Names of any signs, years that are missing, and rows of one ord give the graph of the evidence; a work's list meets no join."""
+    odd = ["", "\x1f", "\x1b0", "\x1b1", "a\x1fb", "\x1b\x1f", "é", "z", "10", "9"]
+    rows = [(k % 7, name, None if k % 4 == 1 else 2000 - k, [f"r{j}" for j in range(k % 5 + 2)] + ["r0", ""]) for k, name in enumerate(odd)]
+    pubs = spark.createDataFrame(rows, "ord long, Bibcode string, Year int, References array<string>")
+    for block in (1000, 3):
+        monkeypatch.setattr(networks, "BLOCK", block)
+        for least in (1, 2, 4):
+            want = networks.graph_edges(networks.coupling(pubs)).where(F.col("weight") >= least)
+            got = networks.coupling_edges(pubs, least)
+            assert got.columns == want.columns and dict(got.dtypes) == dict(want.dtypes)
+            assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str) and got.count() > 5
+    monkeypatch.setattr(networks, "BLOCK", 1000)
+    plan = networks.coupling_edges(pubs)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "split(_to" in plan
